@@ -2,18 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontam
+from . import decontam, katz
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def remainder(n: int) -> Column:
+    """crc32 of the id as text, modulo n; what splits documents into folds."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
+def op1_katz_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.katz_scores(table(spark, sf_dir, "documents"), remainder(10) != 0)
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("item_ids")
 
 
-QUERIES = {"op2_decontaminate": op2_decontaminate}
+QUERIES = {"op1_katz_score": op1_katz_score, "op2_decontaminate": op2_decontaminate}
 ORACLE_SQL = {"op2_decontaminate": decontam.SQL}
