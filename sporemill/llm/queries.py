@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, katz, minhash
+from . import decontam, embed_dedup, katz, minhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,9 +25,18 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("item_ids")
 
 
+def op3_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.jaccard_join(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_katz_score": op1_katz_score, "op2_decontaminate": op2_decontaminate, "op4_jaccard_join": op4_jaccard_join}
+QUERIES = {
+    "op1_katz_score": op1_katz_score,
+    "op2_decontaminate": op2_decontaminate,
+    "op3_near_vectors": op3_near_vectors,
+    "op4_jaccard_join": op4_jaccard_join,
+}
 ORACLE_SQL = {"op2_decontaminate": decontam.SQL}
