@@ -54,7 +54,8 @@ def tokens(text: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray,
     """
     if isinstance(text, pa.ChunkedArray):
         text = text.combine_chunks()
-    text = pc.fill_null(text.cast(pa.large_string()), "")
+    # Arrow's string functions misread arrays whose data starts within a larger buffer, as slices do: copy first
+    text = pc.fill_null(text.cast(pa.large_string()).take(pa.array(np.arange(len(text)))), "")
     if lower:
         text = pc.ascii_lower(text)
     lists = pc.ascii_split_whitespace(text)
