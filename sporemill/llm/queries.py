@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, embed_dedup, katz, minhash, quality
+from . import decontam, embed_dedup, katz, minhash, quality, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,11 +37,16 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), remainder(3) != 1)
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), remainder(4) != 2)
+
+
 QUERIES = {
     "op1_katz_score": op1_katz_score,
     "op2_decontaminate": op2_decontaminate,
     "op3_near_vectors": op3_near_vectors,
     "op4_jaccard_join": op4_jaccard_join,
     "op7_quality": op7_quality,
+    "op9_toxicity": op9_toxicity,
 }
 ORACLE_SQL = {"op2_decontaminate": decontam.SQL}
