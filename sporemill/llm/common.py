@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
@@ -28,6 +29,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark)}/sporemill-{name}-{uuid.uuid4().hex}"
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def shuffles_dropped(spark: SparkSession):
+    """While it lasts, the shuffle files of an action go when the action ends; its result is a table by then."""
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
+def write_table(df: DataFrame, path: str, *partition_by: str) -> None:
+    writer = df.write.option("compression", "zstd")
+    with shuffles_dropped(df.sparkSession):
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+
+
 def materialise(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
@@ -35,8 +56,7 @@ def materialise(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    writer = df.write.option("compression", "zstd")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    write_table(df, path, *partition_by)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash_strings, materialise, mix64, scratch_path, tokens
+from .common import hash_strings, materialise, mix64, scratch_path, tokens, write_table
 
 GT_MAX = 5
 G = 0.5
@@ -333,14 +333,7 @@ def katz_scores(
     # a bucket holds as many n-grams as a chunk or so
     buckets = buckets or max(64, chunks.count())
     model_path = model_path or scratch_path(spark, "katz-model")
-    (
-        chunks.mapInArrow(blocks(order, buckets), BLOCK)
-        .groupBy("level", "bucket")
-        .applyInArrow(sum_bucket, MODEL)
-        .write.option("compression", "zstd")
-        .partitionBy("kind", "level")
-        .parquet(model_path)
-    )
+    write_table(chunks.mapInArrow(blocks(order, buckets), BLOCK).groupBy("level", "bucket").applyInArrow(sum_bucket, MODEL), model_path, "kind", "level")
     model = spark.read.schema(MODEL).parquet(model_path)
     sums = [f"n{i}" for i in range(1, 7)] + ["n_types", "n_tokens"]
     got = {r["level"]: r.asDict() for r in model.where("kind = 'counts'").groupBy("level").agg(*[F.sum(c).alias(c) for c in sums]).collect()}
