@@ -28,11 +28,12 @@ from pyspark.sql import functions as F
 from .common import hash_strings, materialise, mix64, scratch_path, tokens, write_table
 
 GT_MAX = 5
+ZSTD = "zstd"
 G = 0.5
 #: Tokens of a chunk, about; a single longer text is a chunk of its own.
-CHUNK_TOKENS = 3_000_000
+CHUNK_TOKENS = 2_000_000
 END, BOS = np.uint64(0xE0D0E0D0E0D0E0D1), np.uint64(0xB05B05B05B05B051)
-CHUNK = "chunk long, doc_ids binary, nulls binary, train binary, lengths binary, vocabulary binary, codes binary"
+CHUNK = "chunk long, doc_ids binary, nulls binary, train binary, lengths binary, vocabulary binary, codes binary, code_bytes long"
 BLOCK = "chunk long, bucket int, level int, n_train long, grams binary, counts binary"
 MODEL = "kind string, level int, bucket int, chunk long, grams binary, counts binary, owned binary, n_types long, n_tokens long, n1 long, n2 long, n3 long, n4 long, n5 long, n6 long"
 PART = "kind string, row long, doc_id long, held_out boolean, level int, history long, n long, n_known long, base double, score double, seen double, lower double"
@@ -83,7 +84,8 @@ def chunk_docs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         "train": rows["train"].to_numpy(zero_copy_only=False).astype(np.uint8).tobytes(),
                         "lengths": lengths.astype("<i8").tobytes(),
                         "vocabulary": hash_strings(vocabulary).astype("<u8").tobytes(),
-                        "codes": bytes([np.dtype(width).itemsize]) + codes.astype(width).tobytes(),
+                        "codes": pa.compress(bytes([np.dtype(width).itemsize]) + codes.astype(width).tobytes(), ZSTD, asbytes=True),
+                        "code_bytes": 1 + len(codes) * np.dtype(width).itemsize,
                     }
                 ],
                 schema=CHUNK_ARROW,
@@ -91,7 +93,7 @@ def chunk_docs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             made += 1
 
 
-CHUNK_ARROW = pa.schema([("chunk", pa.int64())] + [(c, pa.binary()) for c in ("doc_ids", "nulls", "train", "lengths", "vocabulary", "codes")])
+CHUNK_ARROW = pa.schema([("chunk", pa.int64())] + [(c, pa.binary()) for c in ("doc_ids", "nulls", "train", "lengths", "vocabulary", "codes")] + [("code_bytes", pa.int64())])
 
 
 class Grams:
@@ -106,7 +108,7 @@ class Grams:
     def __init__(self, row: dict, order: int):
         lengths = np.frombuffer(row["lengths"], "<i8")
         vocabulary = np.frombuffer(row["vocabulary"], "<u8")
-        raw = row["codes"]
+        raw = pa.decompress(row["codes"], row["code_bytes"], ZSTD, asbytes=True)
         codes = np.frombuffer(raw, f"<u{raw[0]}", offset=1).astype(np.int64)
         n_docs, v = len(lengths), len(vocabulary)
         ends = np.cumsum(lengths + 2)
