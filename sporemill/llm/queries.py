@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, embed_dedup, katz, minhash, quality, toxicity
+from . import decontam, embed_dedup, katz, langid, minhash, quality, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,10 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.jaccard_join(table(spark, sf_dir, "documents"))
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify_languages(table(spark, sf_dir, "documents"), remainder(5) != 0)
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), remainder(3) != 1)
 
@@ -46,6 +50,7 @@ QUERIES = {
     "op2_decontaminate": op2_decontaminate,
     "op3_near_vectors": op3_near_vectors,
     "op4_jaccard_join": op4_jaccard_join,
+    "op6_language": op6_language,
     "op7_quality": op7_quality,
     "op9_toxicity": op9_toxicity,
 }
