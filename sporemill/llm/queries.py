@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, embed_dedup, katz, langid, minhash, quality, toxicity
+from . import decontam, embed_dedup, katz, langid, minhash, quality, secrets, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +45,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), remainder(4) != 2)
 
 
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents")).drop("row")
+
+
 QUERIES = {
     "op1_katz_score": op1_katz_score,
     "op2_decontaminate": op2_decontaminate,
@@ -53,5 +57,6 @@ QUERIES = {
     "op6_language": op6_language,
     "op7_quality": op7_quality,
     "op9_toxicity": op9_toxicity,
+    "op10_secrets": op10_secrets,
 }
 ORACLE_SQL = {"op2_decontaminate": decontam.SQL}
