@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, embed_dedup, katz, langid, minhash, quality, secrets, toxicity
+from . import decontam, embed_dedup, katz, langid, minhash, mixing, quality, secrets, toxicity, urlfilter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,11 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.jaccard_join(table(spark, sf_dir, "documents"))
 
 
+def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "source", "lang", "mix_topic", "mix_tokens", F.round("mix_weight", 6).alias("mix_weight"), F.round("mix_p", 6).alias("mix_p"))
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify_languages(table(spark, sf_dir, "documents"), remainder(5) != 0)
 
@@ -41,6 +46,11 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), remainder(3) != 1)
 
 
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return urlfilter.filter_urls(urlfilter.fetch_times(pages), urlfilter.derived_entries(pages))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), remainder(4) != 2)
 
@@ -54,9 +64,11 @@ QUERIES = {
     "op2_decontaminate": op2_decontaminate,
     "op3_near_vectors": op3_near_vectors,
     "op4_jaccard_join": op4_jaccard_join,
+    "op5_mix": op5_mix,
     "op6_language": op6_language,
     "op7_quality": op7_quality,
+    "op8_url_filter": op8_url_filter,
     "op9_toxicity": op9_toxicity,
     "op10_secrets": op10_secrets,
 }
-ORACLE_SQL = {"op2_decontaminate": decontam.SQL}
+ORACLE_SQL = {"op2_decontaminate": decontam.SQL, "op5_mix": mixing.oracle_sql(), "op8_url_filter": urlfilter.oracle_sql()}
