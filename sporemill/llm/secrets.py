@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from .common import materialise
 
 LEAST = 10
+MASK = "[SECRET]"
 DICTIONARY = 5
 #: Labelled findings that the forest is fitted on, at most; chosen by a hash.
 SAMPLE = 20_000
@@ -144,7 +145,7 @@ def scan(docs: DataFrame, labelled=rule_labels, doc_id: str = "doc_id", text: st
     return scored.select(*columns, "score", (F.col("score") >= threshold).alias("secret"))
 
 
-def mask(docs: DataFrame, scanned: DataFrame, doc_id: str = "doc_id", text: str = "text", by: str = "[SECRET]") -> DataFrame:
+def mask(docs: DataFrame, scanned: DataFrame, doc_id: str = "doc_id", text: str = "text", by: str = MASK) -> DataFrame:
     """``docs`` with every value that ``scanned`` calls a secret replaced in its text; other rows as they are."""
     hits = scanned.where("secret").groupBy(F.col("doc_id").alias("_d"), F.col("row").alias("_r")).agg(F.collect_set("value").alias("_v"))
     key = F.xxhash64(F.col(text))
