@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import seq
-from ..operators import ecology, reads, table, taxonomy
+from ..functions.scratch import materialise
+from ..operators import cluster, demux, ecology, reads, simjoin, table, taxonomy
 from . import views as v
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -309,3 +310,102 @@ def drop_samples(spark, sf_dir):
 def parse_titles(spark, sf_dir):
     t = F.col("title")
     return v.titles(spark, sf_dir).select("title", seq.sample_of(t).alias("sample"), seq.title_values(t)["size"].cast("long").alias("size"))
+
+
+# ---- matching, clustering, statistics --------------------------------------------------------------------------------
+
+
+def plate(spark: SparkSession, sf_dir: str) -> list[tuple[str, str]]:
+    """The dozen barcodes of the reads view."""
+    return [(r["label"], r["barcode"]) for r in v.barcodes(spark, sf_dir).orderBy("label").collect()]
+
+
+def demultiplexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return demux.single_end(v.reads(spark, sf_dir), "GTGARTCATCGAATCTTTG", "TCCTCCGCTTATTGATATGC", plate(spark, sf_dir), barcode_mismatches=0, primer_mismatches=2, length=100)
+
+
+@query("SELECT sample AS label, CAST(NULL AS VARCHAR) AS reason, count(*) AS reads, CAST(sum(length(seq) - 8 - 19 - 20) AS BIGINT) AS bases FROM reads GROUP BY 1", v.READS)
+def demultiplex(spark, sf_dir):
+    return demultiplexed(spark, sf_dir).groupBy("label", "reason").agg(F.count("*").alias("reads"), F.sum(F.length("seq")).alias("bases"))
+
+
+def amplicons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct amplicons with their sizes, ids by sequence."""
+    good = demultiplexed(spark, sf_dir).where("reason is null")
+    return materialise(reads.dereplicate(good.select("read_id", "seq")).select(F.md5("seq").alias("id"), "seq", "size"), "amplicons")
+
+
+@query()
+def cluster_amplicons(spark, sf_dir):
+    """Greedy centroid clusters at 97 % of all amplicons of two reads or more."""
+    return cluster.cluster(amplicons(spark, sf_dir).where("size >= 2"))
+
+
+@query()
+def otu_table(spark, sf_dir):
+    """All reads mapped to the centroids of the clusters, counted by sample."""
+    good = materialise(demultiplexed(spark, sf_dir).where("reason is null").select("read_id", F.col("label").alias("sample"), "seq"), "demultiplexed")
+    seqs = reads.dereplicate(good).select(F.md5("seq").alias("id"), "seq", "size")
+    found = cluster.cluster(seqs.where("size >= 2")).select("centroid").distinct()
+    otus = seqs.join(found, F.col("id") == F.col("centroid"), "left_semi").select("id", "seq")
+    return table.count_table(simjoin.map_reads(good, otus))
+
+
+@query()
+def denoise_amplicons(spark, sf_dir):
+    return cluster.denoise(amplicons(spark, sf_dir), min_size=4)
+
+
+@query()
+def chimera_check(spark, sf_dir):
+    return cluster.chimeras(amplicons(spark, sf_dir).where("size >= 2"))
+
+
+@query()
+def curate_table(spark, sf_dir):
+    """Daughters merged into parents, all OTUs of one last digit counting as similar."""
+    c = v.counts(spark, sf_dir)
+    o = c.select("otu", F.regexp_extract("otu", "([0-9])$", 1).alias("d")).distinct()
+    pairs = o.select(F.col("otu").alias("query"), "d").join(o.select(F.col("otu").alias("target"), "d"), "d").where("query <> target")
+    return cluster.curate(c, pairs.select("query", "target", F.lit(90.0).alias("pident")), min_cooccurrence=0.9, min_ratio=0.5)[0]
+
+
+def groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return v.metadata(spark, sf_dir).where("treatment <> 'no_data'").select("sample", F.col("treatment").alias("grp"))
+
+
+@query()
+def permanova(spark, sf_dir):
+    return ecology.permanova(ecology.bray_curtis(v.counts(spark, sf_dir)), groups(spark, sf_dir), 199)
+
+
+@query()
+def dispersion(spark, sf_dir):
+    return ecology.dispersion(ecology.bray_curtis(v.counts(spark, sf_dir)), groups(spark, sf_dir), 199)
+
+
+@query()
+def indicator_species(spark, sf_dir):
+    return ecology.indicators(v.counts(spark, sf_dir), groups(spark, sf_dir), 99)
+
+
+UNIFRAC_SQL = """, edge AS (
+  SELECT 'r' || r AS edge_id, 2.0 AS length, otu FROM (SELECT otu, ranks[1] AS r FROM ranks) UNION ALL
+  SELECT 'o' || otu, 1.0, otu FROM ranks),
+p AS (SELECT DISTINCT edge_id, length, sample FROM counts JOIN edge USING (otu)),
+own AS (SELECT sample, sum(length) AS o FROM p GROUP BY 1),
+x AS (SELECT a.sample AS s1, b.sample AS s2, sum(a.length) AS x FROM p a JOIN p b USING (edge_id) WHERE a.sample < b.sample GROUP BY 1, 2)
+SELECT a.sample AS s1, b.sample AS s2, round((a.o + b.o - 2 * coalesce(x, 0)) / (a.o + b.o - coalesce(x, 0)), 6) AS d
+FROM own a JOIN own b ON a.sample < b.sample LEFT JOIN x ON s1 = a.sample AND s2 = b.sample"""
+
+
+@query()
+def unifrac(spark, sf_dir):
+    """Unweighted, on a tree whose edges are the regions and the OTUs."""
+    r = v.ranks(spark, sf_dir)
+    regions = r.groupBy(F.concat(F.lit("r"), F.get("ranks", F.lit(0))).alias("edge_id")).agg(F.collect_list("otu").alias("leaf_otus")).select("edge_id", F.lit(2.0).alias("length"), "leaf_otus")
+    tips = r.select(F.concat(F.lit("o"), "otu").alias("edge_id"), F.lit(1.0).alias("length"), F.array("otu").alias("leaf_otus"))
+    return rounded(ecology.unifrac(v.counts(spark, sf_dir), regions.unionByName(tips)), "d")
+
+
+ORACLE_SQL["unifrac"] = f"WITH {v.COUNTS}, {v.RANKS}" + UNIFRAC_SQL
