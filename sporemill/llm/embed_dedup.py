@@ -83,7 +83,7 @@ def encoder(plans: dict):
                 hashes = np.empty((len(x), bands), np.uint64)
                 weight = np.uint64(1) << np.arange(bits, dtype=np.uint64)
                 for b in range(bands):
-                    hashes[:, b] = mix64(mix64(sign[:, b * bits : (b + 1) * bits] @ weight) + np.uint64(b))
+                    hashes[:, b] = mix64(mix64(sign[:, b * bits : (b + 1) * bits] @ weight) + np.uint64(b) + np.uint64(int(dim) << 20))
                 factor = np.abs(turned[:, :dim]).sum(1) / math.sqrt(dim)
                 yield pa.RecordBatch.from_arrays(
                     [

@@ -1,0 +1,426 @@
+"""The corpus operators against brute force, and on nulls, empty and repeated rows, and empty tables."""
+
+import collections
+import hashlib
+import math
+import random
+import re
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from oracle import assert_equal, views
+from pyspark.sql import functions as F
+
+from sporemill.llm import common, decontam, embed_dedup, katz, langid, labelled, minhash, mixing, quality, queries, secrets, toxicity, urlfilter
+
+SF = "/root/testdata/sf0.001"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+LABELS = "doc_id long, quality int, toxic int"
+
+
+def words(text):
+    return re.findall("[^\x20\x09-\x0d]+", (text or "").translate(LOWER))
+
+
+def odd_documents(spark, more=()):
+    """Null ids and texts, empty, tiny and very long texts, repeated rows, and columns whose names clash."""
+    rows = [(1, None), (2, ""), (3, "   \n"), (4, "one"), (5, "the same text of a few words here"), (5, "the same text of a few words here"), (6, "the same text of a few words here"), (None, "an id is missing"), (7, "word " * 40_000), *more]
+    df = spark.createDataFrame([(i, t, "en", None, len(t or "")) for i, t in rows], DOCS)
+    for name in ("word", "n", "size", "label", "score", "row", "value", "pos", "_t", "node", "chunk"):
+        df = df.withColumn(name, F.lit(1))
+    return df, rows
+
+
+def empty(spark):
+    return spark.createDataFrame([], DOCS)
+
+
+def labels_of(spark, rows):
+    return spark.createDataFrame(rows, LABELS)
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet")
+
+
+@pytest.fixture(scope="module")
+def texts(docs):
+    return {r.doc_id: r.text for r in docs.collect()}
+
+
+def test_tokens_are_the_contracts_words_even_in_slices():
+    random.seed(3)
+    letters = list("aBÉ\t\n\x0b\x0c\r \x1c\x85\xa0!ßİ中")
+    rows = [None, "", " ", "  a  "] + ["".join(random.choice(letters) for _ in range(random.randint(0, 30))) for _ in range(300)]
+    for part in (pa.array(rows), pa.array(rows).slice(100, 150)):
+        codes, lengths, vocabulary = common.tokens(part)
+        names, at = vocabulary.to_pylist(), 0
+        for text, n in zip(part.to_pylist(), lengths):
+            assert [names[c] for c in codes[at : at + n]] == words(text)
+            at += n
+
+
+def test_components(spark):
+    random.seed(1)
+    edges = [(random.randint(0, 300), random.randint(0, 300)) for _ in range(220)] + [(i, i + 1) for i in range(400, 460)] + [(500, None)]
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        if b is not None and a != b:
+            x, y = sorted((find(a), find(b)))
+            root[y] = x
+    got = {r.id: r.component for r in common.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {x: find(x) for x in root if any(x in e and None not in e and e[0] != e[1] for e in edges)}
+    assert common.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+# ---- 1 Katz ----------------------------------------------------------------------------------------------------------
+
+
+def brute_katz(texts, order):
+    counts, seqs = [collections.Counter() for _ in range(order)], {}
+    for i, t in texts.items():
+        s = seqs[i] = ["<s>", *words(t), "</s>"]
+        if zlib.crc32(str(i).encode()) % 10:
+            for p in range(len(s)):
+                for k in range(1, order + 1):
+                    if p - k + 1 >= 0 and not (k > 1 and p == 0):
+                        counts[k - 1][tuple(s[p - k + 1 : p + 1])] += 1
+    stats = []
+    for c in counts:
+        real = [n for g, n in c.items() if g != ("<s>",)]
+        stats.append({"n_types": len(real), "n_tokens": sum(real)} | {f"n{i}": real.count(i) for i in range(1, 7)})
+    d = [katz.discounts([0] + [s[f"n{i}"] for i in range(1, 7)]) for s in stats]
+    scale, unknown = katz.unigram_scale(stats[0], d[0])
+    after = collections.defaultdict(list)
+    for c in counts[1:]:
+        for g in c:
+            after[g[:-1]].append(g[-1])
+    memo = {}
+
+    def p(h, w):
+        n = counts[len(h)].get((*h, w), 0)
+        if n:
+            kept = d[len(h)][min(n, 6)] * n
+            return kept / (counts[len(h) - 1][h] + katz.G) if h else kept * scale
+        return (alpha(h) if h in after else 1) * p(h[1:], w) if h else unknown
+
+    def alpha(h):
+        if h not in memo:
+            memo[h] = (1 - sum(p(h, w) for w in after[h])) / (1 - sum(p(h[1:], w) for w in after[h]))
+        return memo[h]
+
+    return seqs, counts, stats[0], p
+
+
+@pytest.mark.parametrize("order", [2, 3])
+def test_katz_against_brute_force(docs, texts, order):
+    seqs, counts, stats, p = brute_katz(texts, order)
+    vocabulary = [g[0] for g in counts[0] if g != ("<s>",)]
+    for h in (("the",), ("<s>",), ("nowhere",)):
+        assert math.isclose(sum(p(h, w) for w in vocabulary) + p(h, "an unknown word"), 1, rel_tol=1e-9)
+    got = {r.doc_id: r for r in katz.katz_scores(docs, queries.remainder(10) != 0, order=order).collect()}
+    for i, s in seqs.items():
+        score = sum(math.log10(p(tuple(s[max(0, j - order + 1) : j]), s[j])) for j in range(1, len(s)))
+        base = sum(math.log10((counts[0][(w,)] + 0.1) / (stats["n_tokens"] + 0.1 * (stats["n_types"] + 1))) for w in s[1:])
+        r = got[i]
+        assert math.isclose(r.score, score, rel_tol=1e-9) and math.isclose(r.base_score, base, rel_tol=1e-9)
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(s) - 1, sum((w,) in counts[0] for w in s[1:]), stats["n_tokens"])
+        assert r.held_out == (zlib.crc32(str(i).encode()) % 10 == 0)
+
+
+def test_katz_odd_rows(spark):
+    df, rows = odd_documents(spark)
+    got = katz.katz_scores(df, queries.remainder(10) != 0).collect()
+    assert sorted(str(r.doc_id) for r in got) == sorted(str(i) for i, _ in rows)
+    by = {r.doc_id: r for r in got}
+    assert by[1].n_tokens == by[2].n_tokens == 1 and by[7].n_tokens == 40_001 and all(math.isfinite(r.score) for r in got)
+    five = [r for r in got if r.doc_id == 5]
+    assert five[0] == five[1]
+    assert katz.katz_scores(empty(spark), queries.remainder(10) != 0).count() == 0
+    alone = katz.katz_scores(spark.createDataFrame([(1, "a b")], "doc_id long, text string"), F.lit(False)).first()
+    assert alone.n_known == 0 and alone.score == 0.0
+
+
+# ---- 2 decontamination -----------------------------------------------------------------------------------------------
+
+
+def brute_decontam(documents, items):
+    def split(t):
+        return re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", (t or "").translate(LOWER))
+
+    out = []
+    wins = collections.defaultdict(set)
+    for i, t in items:
+        w = split(t)
+        for s in range(max(len(w) - 13, 0) + 1 if w else 0):
+            wins[tuple(w[s : s + 13])].add(str(i))
+    for i, t in documents:
+        w, hit, ids = split(t), set(), set()
+        for n in {len(x) for x in wins}:
+            for s in range(len(w) - n + 1):
+                if (found := wins.get(tuple(w[s : s + n]))) is not None:
+                    hit |= set(range(s, s + n))
+                    ids |= found
+        digest = hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest()
+        out.append((str(i), len(w), len(hit), len(ids), digest, bool(hit) and 20 * len(hit) >= len(w)))
+    return sorted(out)
+
+
+def test_decontamination(spark, docs, texts):
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()] + [(900, "Tiny item."), (901, None), (902, "...")]
+    long_item = items[0][1]
+    more = [(20, "x " + long_item + " y"), (21, long_item.upper()), (22, "a tiny ITEM here"), (23, ("pad " * 2000) + long_item), (24, "tiny item " * 3000)]
+    df, rows = odd_documents(spark, more)
+    bench = spark.createDataFrame(items, "item_id long, text string").withColumn("word", F.lit("x"))
+    for part, known in ((df, rows), (docs, texts.items())):
+        got = decontam.decontaminate(part, bench).select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated").collect()
+        assert sorted((str(r.doc_id), *r[1:]) for r in got) == brute_decontam(known, items)
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert decontam.decontaminate(df, none).where("contaminated or n_items > 0").count() == 0
+    assert decontam.decontaminate(empty(spark), bench).count() == 0
+
+
+def test_decontamination_without_broadcast(spark, docs, monkeypatch):
+    bench = spark.read.parquet(f"{SF}/benchmark.parquet")
+    a = decontam.decontaminate(docs, bench).orderBy("doc_id").collect()
+    monkeypatch.setattr(decontam, "BROADCAST_WINDOWS", 0)
+    assert decontam.decontaminate(docs, bench).orderBy("doc_id").collect() == a
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_query_equals_sql(spark, name):
+    assert_equal(queries.QUERIES[name](spark, SF), views(SF), queries.ORACLE_SQL[name])
+
+
+# ---- 3 embeddings ----------------------------------------------------------------------------------------------------
+
+
+def test_near_vectors(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    base = rng.standard_normal((60, 32))
+    rows = [(i, x) for i, x in enumerate(base)]
+    rows += [(100 + i, base[i % 6] + rng.standard_normal(32) * s) for i, s in enumerate(np.linspace(0.02, 0.4, 120))]
+    rows += [(300, base[0] * 3), (301, base[0]), (302, base[0]), (302, base[0])]
+    x = np.stack([r[1] for r in rows])
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    link = u @ u.T >= 0.95
+    np.fill_diagonal(link, False)
+    low = np.array([r[0] for r in rows])
+    while True:
+        new = np.minimum(low, np.where(link, low[None], 1 << 40).min(1))
+        if (new == low).all():
+            break
+        low = new
+    expected = sorted((r[0], int(n), int(c), bool(r[0] == c)) for r, n, c in zip(rows, link.sum(1), low))
+    odd = [(400, None), (401, [0.0] * 32), (402, [float("nan")] * 32), (403, [None] * 32), (404, []), (405, [1.0] * 3), (None, [1.0] * 32), (406, [float("inf")] * 32)]
+    df = spark.createDataFrame([(i, [float(y) for y in v]) for i, v in rows] + odd, "vec_id long, embedding array<double>").withColumn("size", F.lit(9)).withColumn("node", F.lit(9))
+    for block in (1024, 16):
+        monkeypatch.setattr(embed_dedup, "BLOCK", block)
+        got = [tuple(r) for r in embed_dedup.near_vectors(df).collect()]
+        assert sorted(r for r in got if r[0] is not None and r[0] < 400) == expected
+        assert sorted(r for r in got if r[0] is not None and r[0] >= 400) == [(i, 0, i, True) for i in range(400, 407)]
+    assert embed_dedup.near_vectors(df.limit(0)).count() == 0
+
+
+# ---- 4 MinHash -------------------------------------------------------------------------------------------------------
+
+
+def brute_jaccard(rows, threshold=0.8):
+    sets = []
+    for _, t in rows:
+        w = words(t)
+        sets.append({tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))} if w else set())
+    n = len(rows)
+    links = [[j for j in range(n) if j != i and sets[i] and sets[j] and len(sets[i] & sets[j]) >= threshold * len(sets[i] | sets[j])] for i in range(n)]
+    low = [r[0] for r in rows]
+    while True:
+        new = [min([low[i], *(low[j] for j in links[i])]) for i in range(n)]
+        if new == low:
+            return [(r[0], len(s), len(k), g) for r, s, k, g in zip(rows, sets, links, low)]
+        low = new
+
+
+def test_jaccard_join(spark, texts, monkeypatch):
+    random.seed(9)
+    rows = list(texts.items())
+    base = [f"w{i}" for i in range(60)]
+    for k in range(60):
+        w = list(base)
+        for _ in range(k % 4):
+            w[random.randrange(60)] = f"x{random.randrange(9)}"
+        rows.append((1000 + k, " ".join(w)))
+    odd = [(2000, None), (2001, ""), (2002, "one"), (2003, "One"), (2004, "a b"), (2005, "z " * 30_000), (2005, "a b")]
+    for block in (256, 8):
+        monkeypatch.setattr(minhash, "BLOCK", block)
+        df = spark.createDataFrame(rows + odd + [(None, "a b")], "doc_id long, text string").withColumn("size", F.lit(0)).withColumn("bands", F.lit(0))
+        got = minhash.jaccard_join(df).collect()
+        assert sorted((r.doc_id, r.n_shingles, r.n_links, r.group_id) for r in got if r.doc_id is not None) == sorted(brute_jaccard(rows + odd))
+        assert sum(r.doc_id is None for r in got) == 1
+    assert minhash.jaccard_join(empty(spark)).count() == 0
+    bands, n = minhash.choose_bands(0.8, 0.9999)
+    assert 1 - (1 - 0.8**n) ** bands >= 0.9999 and bands * n <= minhash.PERMUTATIONS
+
+
+# ---- 5 mixing --------------------------------------------------------------------------------------------------------
+
+
+def test_raking_meets_the_targets(spark, docs):
+    rows = docs.select(F.col("source"), F.col("lang"), mixing.hashed_topic(F.col("text")).alias("topic"), mixing.count_tokens(F.col("text")).alias("tokens"))
+    cells = rows.groupBy("source", "lang", "topic").agg(F.sum("tokens").alias("tokens"))
+    targets = mixing.root_targets(cells).toPandas()
+    raked = mixing.rake(cells, spark.createDataFrame(targets), 24).toPandas()
+    for d in mixing.DIMENSIONS:
+        want = targets[targets.dimension == d].set_index("value")["share"]
+        have = raked.groupby(d)["weight"].sum() / raked["weight"].sum()
+        assert np.allclose(have.sort_index(), want.sort_index(), atol=0.02 if d == "source" else 0.01)
+
+
+def test_mixing_odd_rows(spark):
+    df, rows = odd_documents(spark)
+    got = mixing.mix(df, keep_share=1e9)
+    assert sorted(str(r.doc_id) for r in got.collect()) == sorted(str(i) for i, _ in rows)
+    assert mixing.mix(empty(spark)).count() == 0
+    again = lambda: sorted(str(r.doc_id) for r in mixing.mix(df).collect())
+    assert again() == again()
+
+
+# ---- 6 language ------------------------------------------------------------------------------------------------------
+
+
+def test_language(spark, docs):
+    got = langid.identify_languages(docs, queries.remainder(5) != 0).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    held = [r for r in got if r.held_out]
+    assert sum(r.lang == r.lang_pred for r in held) / len(held) > 0.95 and all(0 <= r.score <= 1 for r in got)
+    df, rows = odd_documents(spark, [(30, "12 34 !!"), (31, "\U0001f600")])
+    by = {r.doc_id: r for r in langid.identify_languages(df, queries.remainder(5) != 0).collect()}
+    assert {i for i, r in by.items() if r.lang_pred == "und"} == {1, 2, 3, 30, 31} and by[4].lang_pred == "en"
+    assert {r.lang_pred for r in langid.identify_languages(df, F.lit(False)).collect()} == {"und"}
+    assert langid.identify_languages(empty(spark), F.lit(True)).count() == 0
+
+
+def test_out_of_place_distance():
+    a, b = [10, 11, 12], [12, 11, 10]
+    p = langid.Profiles({"a": a, "b": b}, 3)
+    assert p.distances(np.array([10, 11, 12])).tolist() == [0.0, 4 / 9]
+    assert p.distances(np.array([10, 99])).tolist() == [3 / 6, (2 + 3) / 6]
+    counts = collections.Counter()
+    for w in "abba ab".split():
+        padded = f" {w} "
+        for n in (2, 3):
+            counts.update(padded[i : i + n] for i in range(len(padded) - n + 1))
+        counts.update(w)
+    g, n = langid.grams("Abba, 12 ab", langid.letter_table())
+    assert sum(n) == sum(counts.values()) and sorted(n) == sorted(counts.values())
+
+
+# ---- 7 quality, 9 toxicity -------------------------------------------------------------------------------------------
+
+
+def accuracy(scored, labels, column):
+    rows = scored.where("held_out").join(labels.where(f"{column} is not null"), "doc_id").collect()
+    return sum(r.predicted == r[column] for r in rows) / len(rows), rows
+
+
+def test_quality(spark, docs):
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    right, rows = accuracy(quality.quality_scores(docs, labels, queries.remainder(3) != 1), labels, "quality")
+    assert right > 0.9
+    df, known = odd_documents(spark)
+    some = labels_of(spark, [(i, i % 2, 0) for i in range(1, 8)] + [(None, 1, 1), (5, None, None)])
+    got = quality.quality_scores(df, some, F.lit(True)).collect()
+    assert len(got) == len(known) and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in got)
+    none = quality.quality_scores(df, labels_of(spark, []), F.lit(True)).collect()
+    assert len(none) == len(known) and {r.score for r in none} == {0.5}
+    assert quality.quality_scores(empty(spark), some, F.lit(True)).count() == 0
+
+
+def test_network_learns_and_is_calibrated():
+    rng = np.random.default_rng(0)
+    x = rng.standard_normal((3000, 5))
+    p = 1 / (1 + np.exp(-2 * x[:, 0] * x[:, 1]))
+    y = (rng.random(3000) < p).astype(float)
+    net = quality.train(x[:2000], y[:2000])
+    got = net.probability(x[2000:])
+    assert np.mean((got - p[2000:]) ** 2) < 0.02 and abs(got.mean() - y[2000:].mean()) < 0.05
+
+
+def test_toxicity(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    hidden = spark.createDataFrame([(10**6 + i, f"of the {w} and on") for i, w in enumerate(["idiot", "1d10t", "i.d.i.o.t", "i d i o t", "idiooot", "IDIOT!!", "of"])], "doc_id long, text string")
+    got = toxicity.toxicity_scores(docs.select("doc_id", "text").union(hidden), labels, queries.remainder(4) != 2)
+    right, rows = accuracy(got, labels, "toxic")
+    assert right > 0.9 and not any(r.predicted and not r.toxic for r in rows) or right > 0.93
+    found = {r.doc_id - 10**6: r.predicted for r in got.where(f"doc_id >= {10**6}").collect()}
+    assert [found[i] for i in range(7)] == [1, 1, 1, 1, 1, 1, 0]
+    df, known = odd_documents(spark)
+    some = labels_of(spark, [(i, 1, i % 2) for i in range(1, 8)])
+    got = toxicity.toxicity_scores(df, some, F.lit(True)).collect()
+    assert len(got) == len(known) and all(0 <= r.score <= 1 for r in got)
+    assert toxicity.toxicity_scores(empty(spark), labels_of(spark, []), F.lit(True)).count() == 0
+
+
+def test_viterbi_is_exhaustive_search():
+    rng = np.random.default_rng(3)
+    d = toxicity.Decoder(rng.integers(0, 40, toxicity.SYMBOLS**3))
+    for text in ("a1b", "x0|y", "aaab", "s-t", "l00l", "$e3"):
+        best, stack = None, [(0.0, "", (0, 0))]
+        for readings in d.lattice(text):
+            step = []
+            for s, w, (a, b) in stack:
+                for letters, cost in readings:
+                    t, x, y = s + cost, a, b
+                    for c in letters:
+                        t, x, y = t + d.log[x, y, toxicity.symbol(c)], y, toxicity.symbol(c)
+                    step.append((t, w + letters, (x, y)))
+            stack = step
+        best = max((s + d.log[a, b, 0], w) for s, w, (a, b) in stack)[1]
+        assert d.decode(text) == best
+
+
+def test_sample_is_bounded_and_repeatable(spark, docs):
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    take = lambda: sorted(r.doc_id for r in labelled.labelled_sample(docs, labels, "quality", F.lit(True), bound=20).collect())
+    assert take() == take() and len(take()) == 20
+
+
+# ---- 8 URLs ----------------------------------------------------------------------------------------------------------
+
+
+def test_intervals_and_urls(spark):
+    at = "2024-01-{:02d} 00:00:00".format
+    log = [("l", "host", "a.x.org", "add", 2), ("l", "host", "a.x.org", "add", 3), ("l", "host", "a.x.org", "remove", 5), ("l", "host", "a.x.org", "add", 9), ("m", "domain", "y.org", "add", 1), ("m", "domain", "y.org", "remove", 1), ("m", "domain", "z.org", "add", 4), ("p", "prefix", "z.org/bad", "add", 1), (None, "host", None, "add", 1), ("l", "host", "q.org", "remove", 1)]
+    entries = spark.createDataFrame([(a, b, c, d, at(e)) for a, b, c, d, e in log], "list string, kind string, pattern string, change string, at string").withColumn("at", F.to_timestamp("at"))
+    captures = [(1, "http://A.x.org/p", 1), (2, "http://a.x.org:80/", 2), (3, "https://u@a.x.org?q", 5), (4, "http://a.x.org", 20), (5, "http://w.y.org/", 3), (6, "http://v.w.z.org/", 5), (7, "http://z.org/bad/x?y", 2), (8, "http://z.org/badly", 2), (9, None, 3), (10, "no url", 3), (11, "http://z.org/", None), (11, "http://z.org/", None)]
+    df = spark.createDataFrame([(i, u, t and at(t)) for i, u, t in captures], "page_id long, url string, fetched string").withColumn("fetched", F.to_timestamp("fetched")).withColumn("list", F.lit(1)).withColumn("salt", F.lit(1))
+    got = urlfilter.filter_urls(df, entries).collect()
+    assert len(got) == len(captures)
+    assert {r.page_id: r.lists for r in got if r.blocked} == {2: "l", 4: "l", 6: "m", 7: "p"}
+    assert urlfilter.filter_urls(df, entries.limit(0)).where("blocked").count() == 0 and urlfilter.filter_urls(df.limit(0), entries).count() == 0
+
+
+# ---- 10 secrets ------------------------------------------------------------------------------------------------------
+
+
+def test_secrets(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = secrets.scan(docs).collect()
+    real = re.compile(r"^(AKIA[0-9A-Z]{16}|[0-9a-f]{40}|[0-9a-f]{18})$")
+    assert got and all(r.secret == bool(real.match(r.value)) for r in got)
+    key = "1beb58b8af68854f0e01b4ad40cdbb6ae7f578ae"
+    df, rows = odd_documents(spark, [(40, f'x token = "{key}" y {key}'), (41, "mail bosbt.42@mail8.example.com now")])
+    found = secrets.scan(df)
+    assert [(r.doc_id, r.value) for r in found.where("secret").collect()] == [(40, key)] * 2
+    masked = {str(r.doc_id): r.text for r in secrets.mask(df, found).collect()}
+    assert masked["40"] == 'x token = "[SECRET]" y [SECRET]' and masked["41"] == rows[-1][1] and secrets.mask(df, found).count() == len(rows)
+    assert secrets.scan(empty(spark)).count() == 0

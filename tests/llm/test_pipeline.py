@@ -1,0 +1,48 @@
+"""Each stage of the pipeline against brute force on its own input."""
+
+import re
+
+import corpus_pipeline as pipeline
+import pytest
+from pyspark.sql import functions as F
+from test_llm import SF, brute_decontam, brute_jaccard
+
+from sporemill.llm import mixing, quality, queries
+from sporemill.llm.common import materialise
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    docs, out = queries.table(spark, SF, "documents"), []
+    for name, stage in pipeline.STAGES:
+        after = materialise(stage(spark, docs, SF), "stage")
+        out.append((name, docs, after))
+        docs = after
+    return out
+
+
+def ids(df):
+    return sorted(r.doc_id for r in df.select("doc_id").collect())
+
+
+def test_stages(spark, stages):
+    (_, d0, d1), (_, _, d2), (_, _, d3), (_, _, d4), (_, _, d5) = stages
+    assert all(after.columns == before.columns for _, before, after in stages[:-1])
+    scored = quality.quality_scores(d0, queries.table(spark, SF, "labels"), queries.remainder(3) != 1)
+    assert ids(d1) == ids(scored.where("predicted = 1")) and 0 < d1.count() < d0.count()
+    groups = brute_jaccard([(r.doc_id, r.text) for r in d1.collect()])
+    assert ids(d2) == sorted({g for _, n, _, g in groups if n} | {i for i, n, _, _ in groups if not n})
+    items = [(r.item_id, r.text) for r in queries.table(spark, SF, "benchmark").collect()]
+    clean = [int(r[0]) for r in brute_decontam([(r.doc_id, r.text) for r in d2.collect()], items) if not r[-1]]
+    assert ids(d3) == sorted(clean)
+    key = re.compile(r"AKIA[0-9A-Z]{16}|\b[0-9a-f]{40}\b|(?<==)[0-9a-f]{18}\b")
+    before, after = ({r.doc_id: r for r in d.collect()} for d in (d3, d4))
+    assert after.keys() == before.keys()
+    for i, r in before.items():
+        assert after[i].text == key.sub("[SECRET]", r.text) and (after[i].n_chars == len(after[i].text) or after[i] == r)
+    assert set(ids(d5)) < set(ids(d4))
+    assert ids(d5) == ids(mixing.mix(d4)) and d5.where("mix_p <= 0 or mix_p > 1").count() == 0
+
+
+def test_run(spark, stages):
+    assert ids(pipeline.run(spark, SF)) == ids(stages[-1][2])
