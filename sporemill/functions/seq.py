@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -58,9 +60,23 @@ def phred(qual: Column) -> Column:
     return F.transform(F.filter(F.split(qual, ""), lambda c: c != ""), lambda c: F.ascii(c) - 33)
 
 
+#: Error probability of each byte of Phred+33 text.
+ERROR = np.power(10.0, -(np.arange(256) - 33) / 10.0)
+
+
+def sum_errors(quals: pd.Series) -> pd.Series:
+    """Expected errors of a batch: one table lookup over all its bytes, and a sum per read."""
+    raw = [b"" if q is None else q.encode("latin-1", "replace") for q in quals]
+    n = np.array([len(x) for x in raw], np.int64)
+    out, full = np.zeros(len(raw)), n > 0
+    if full.any():
+        out[full] = np.add.reduceat(ERROR[np.frombuffer(b"".join(raw), np.uint8)], (np.cumsum(n) - n)[full])
+    return pd.Series(out).where(quals.notna().to_numpy(), None)
+
+
 def expected_errors(qual: Column) -> Column:
-    """Sum of 10^(-Q/10)."""
-    return F.aggregate(phred(qual), F.lit(0.0), lambda acc, q: acc + F.pow(F.lit(10.0), -q / 10.0))
+    """Sum of 10^(-Q/10), in Arrow batches: per base, a lambda expression costs a hundred times as much."""
+    return F.pandas_udf(sum_errors, "double")(qual)
 
 
 def average_quality(qual: Column) -> Column:
