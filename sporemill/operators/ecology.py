@@ -187,3 +187,43 @@ def indicators(counts: DataFrame, groups: DataFrame, permutations: int = 999, ho
     real = best.where("perm = 0").select("otu", "grp", F.col("stat").alias("real"))
     tests = real.join(best.where("perm > 0").select("otu", "stat"), "otu").groupBy("otu", "grp", "real").agg(((F.count_if(F.col("stat") >= F.col("real") - 1e-12) + 1) / (F.lit(permutations) + 1)).alias("p"))
     return benjamini_hochberg(tests.select("otu", "grp", F.col("real").alias("stat"), "p"))
+
+
+def raup_crick(counts: DataFrame, simulations: int = 999, seed: str = "raup") -> DataFrame:
+    """Share of null communities in which a pair of samples shares at least as many OTUs as it does.
+
+    A null community has the sample's richness; OTUs are drawn without replacement, by how many samples have them
+    (exponential keys over the weight, least first), from a hash of simulation, sample and OTU.
+    """
+    weight = counts.groupBy("otu").agg(F.count("*").alias("w"))
+    rich = counts.groupBy("sample").agg(F.count("*").alias("k"))
+    sims = counts.sparkSession.range(simulations).withColumnRenamed("id", "sim")
+    u = (F.pmod(F.xxhash64("sim", "sample", "otu", F.lit(seed)), F.lit(1 << 40).cast("long")) + 1) / float((1 << 40) + 1)
+    order = Window.partitionBy("sim", "sample").orderBy(-F.log(u) / F.col("w"), "otu")
+    drawn = sims.join(rich).join(weight).withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= F.col("k")).select("sim", "sample", "otu")
+    a, b = drawn.withColumnRenamed("sample", "s1"), drawn.withColumnRenamed("sample", "s2")
+    null = a.join(b, ["sim", "otu"]).where("s1 < s2").groupBy("sim", "s1", "s2").agg(F.count("*").alias("x"))
+    real = pairs_of(counts).join(shared(counts, lambda a, b: F.lit(1)).withColumnRenamed("x", "obs"), ["s1", "s2"], "left").withColumn("obs", F.coalesce("obs", F.lit(0)))
+    ge = null.join(real, ["s1", "s2"]).where("x >= obs").groupBy("s1", "s2").agg(F.count("*").alias("ge"))
+    d = F.when(F.col("obs") == 0, 1.0).otherwise((F.coalesce("ge", F.lit(0)) + 1) / (F.lit(simulations) + 1))
+    return real.join(ge, ["s1", "s2"], "left").select("s1", "s2", d.alias("d"))
+
+
+def ordination(counts: DataFrame, axes: int = 2) -> DataFrame:
+    """(sample, axis1, ..): principal components of Hellinger-transformed counts; signs are arbitrary."""
+    from pyspark.ml.feature import PCA, VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+
+    t = counts.groupBy("sample").agg(F.sum("n").alias("t"))
+    h = counts.join(t, "sample").select("sample", "otu", F.sqrt(F.col("n") / F.col("t")).alias("h"))
+    otus = [r["otu"] for r in counts.select("otu").distinct().orderBy("otu").collect()]
+    wide = h.groupBy("sample").pivot("otu", otus).agg(F.first("h")).na.fill(0.0)
+    v = VectorAssembler(inputCols=[f"`{o}`" if "." in o else o for o in otus], outputCol="v").transform(wide).select("sample", "v")
+    scores = PCA(k=axes, inputCol="v", outputCol="p").fit(v).transform(v).withColumn("p", vector_to_array("p"))
+    return scores.select("sample", *[F.get("p", F.lit(i)).alias(f"axis{i + 1}") for i in range(axes)])
+
+
+def group_centres(scores: DataFrame, groups: DataFrame, axes: int = 2) -> DataFrame:
+    """(grp, mean and standard deviation of each axis)."""
+    j = scores.join(groups.where("grp is not null"), "sample")
+    return j.groupBy("grp").agg(*[f(f"axis{i}").alias(f"{n}{i}") for i in range(1, axes + 1) for n, f in (("mean", F.avg), ("sd", F.stddev))])
