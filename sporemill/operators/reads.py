@@ -126,3 +126,48 @@ def exact_barcodes(reads: DataFrame, barcodes: DataFrame) -> DataFrame:
         own = barcodes.where(F.length("barcode") == n).groupBy("barcode").agg(F.min("label").alias("_label"))
         out = out.join(own, F.left("seq", F.lit(n)) == F.col("barcode"), "left").withColumn("label", F.coalesce("label", "_label")).drop("_label", "barcode")
     return out
+
+
+def right_index(pairs: DataFrame, expected: str) -> DataFrame:
+    """Pairs (title1, title2, ...) whose titles carry no index other than ``expected``; numbers are no index."""
+    wrong = lambda c: F.coalesce(s.index_of(F.col(c)) != expected, F.lit(False))
+    return pairs.where(~wrong("title1") & ~wrong("title2"))
+
+
+def trim_three_prime(seqs: DataFrame, length: int, remove: DataFrame | None = None) -> DataFrame:
+    """Sequences (id, seq) cut to ``length``, without the ids of ``remove``."""
+    out = seqs.withColumn("seq", F.left("seq", F.lit(length)))
+    return out if remove is None else out.join(remove.select("id"), "id", "left_anti")
+
+
+def proper_reads(reads: DataFrame, least: int, partial: bool = False) -> DataFrame:
+    """Reads with primers array<int> (positions of the forward and the reverse primer, -1 where missing): both found and
+    ``least`` apart, or with ``partial`` one found in a read of that length."""
+    f, r = F.get("primers", F.lit(0)), F.get("primers", F.lit(1))
+    both = (f >= 0) & (r >= 0)
+    ok = both & (r - f >= least)
+    if partial:
+        ok = ok | (((f >= 0) != (r >= 0)) & (F.length("seq") >= least))
+    return reads.where(F.coalesce(ok, F.lit(False)))
+
+
+def not_bad(reads: DataFrame, report: DataFrame, least: int) -> DataFrame:
+    """Reads that an overlap report (read_id, status, length, data) calls NotBad, of this length or more; adds data."""
+    good = report.where((F.col("status") == "NotBad") & (F.col("length") >= least)).select("read_id", "data")
+    return reads.join(good, "read_id")
+
+
+def distinct_ids(records: DataFrame, key: str = "id") -> DataFrame:
+    """The records, after a check that no id repeats; raises with examples if one does."""
+    twice = records.groupBy(key).agg(F.count("*").alias("n")).where("n > 1").limit(5).collect()
+    if twice:
+        raise ValueError(f"ids that repeat: {[r[key] for r in twice]}")
+    return records
+
+
+def union_of(*tables: DataFrame) -> DataFrame:
+    """Records of several sources in one table, whatever order their columns have; missing columns are null."""
+    out = tables[0]
+    for t in tables[1:]:
+        out = out.unionByName(t, allowMissingColumns=True)
+    return out

@@ -87,6 +87,7 @@ def test_statistics_against_numpy(spark):
     samples, otus = [f"s{i}" for i in range(8)], [f"o{i}" for i in range(12)]
     m = np.array([[random.choice([0, 0, random.randint(1, 50)]) for _ in otus] for _ in samples])
     m[:, 0] += 1
+    m[0] += 1  # every OTU occurs
     c = spark.createDataFrame([(o, s, int(m[i, j])) for i, s in enumerate(samples) for j, o in enumerate(otus) if m[i, j]], "otu string, sample string, n long")
     bc = {(r.s1, r.s2): r.d for r in ecology.bray_curtis(c).collect()}
     log = np.log(m + 1.0)
