@@ -2,62 +2,18 @@
 
 from __future__ import annotations
 
-import contextlib
-import tempfile
-import uuid
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-
-
-def scratch_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or a new local one where it is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="spark-scratch-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base.rstrip("/")
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_dir(spark)}/sporemill-{name}-{uuid.uuid4().hex}"
-
-
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+from ..functions.scratch import materialise, scratch_path, write_table
 
+__all__ = ["ascii_lower", "components", "hash_strings", "local_roots", "materialise", "mix64", "scratch_path", "tokens", "write_table"]
 
-@contextlib.contextmanager
-def shuffles_dropped(spark: SparkSession):
-    """While it lasts, the shuffle files of an action go when the action ends; its result is a table by then."""
-    before = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(CLEANUP, before)
-
-
-def write_table(df: DataFrame, path: str, *partition_by: str) -> None:
-    writer = df.write.option("compression", "zstd")
-    with shuffles_dropped(df.sparkSession):
-        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-
-
-def materialise(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
-    """Write ``df`` as a Parquet table in the shared folder and read it back.
-
-    Cuts lineage so that a lost executor costs a re-read and not a re-run.
-    """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    write_table(df, path, *partition_by)
-    return spark.read.schema(df.schema).parquet(path)
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def ascii_lower(c):
