@@ -110,7 +110,7 @@ def duplicates(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def uc(spark: SparkSession, path: str) -> DataFrame:
-    """USEARCH cluster format to (query, target, pident); target and identity null where there is no hit."""
+    """The ten-column .uc format to (query, target, pident); target and identity null where there is no hit."""
     c = spark.read.option("sep", "\t").csv(path, schema=", ".join(f"c{i} string" for i in range(10)))
     none = lambda x: F.when(x != "*", x)
     return c.select(F.col("c8").alias("query"), none(F.col("c9")).alias("target"), F.expr("try_cast(c3 as double)").alias("pident"))
