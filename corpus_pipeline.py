@@ -1,7 +1,8 @@
 """The corpus pipeline: quality, near duplicates, decontamination, secrets, mixing.
 
 Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept, and returns a DataFrame; the runner
-writes it and reads it again as the next stage's docs. All but the last return the columns of ``documents``.
+writes it and reads it again as the next stage's docs. All but the last return the columns of ``documents``. An id stands for a
+document: rows that share an id, null included, are kept or dropped together.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     scored = quality.quality_scores(docs, table(spark, sf_dir, "labels"), remainder(3) != 1)
     rejected = scored.where("predicted = 0").select(F.col("doc_id").alias("_d")).distinct()
     empty = F.coalesce(F.trim("text"), F.lit("")) == ""
-    named = docs.join(rejected, (F.col("doc_id") == F.col("_d")) & ~empty, "left_anti")
+    named = docs.join(rejected, F.col("doc_id").eqNullSafe(F.col("_d")) & ~empty, "left_anti")
     return named.select(*docs.columns)
 
 
