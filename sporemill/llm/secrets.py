@@ -1,13 +1,16 @@
 """Secret scanning: candidates by form, then a random forest that removes false positives (DataFrame functions only).
 
-A candidate is a token with a digit and at least ``LEAST`` characters. Its features are length, shares of character
-classes, transitions between classes, the mean log probability of its letter transitions under the words of the whole
+A candidate is a token of at least ``LEAST`` characters that has a digit or unlikely letter transitions; and, whatever
+its digits and length, one of a known key format, one that a credential's name precedes or is assigned, and one in the
+body of a PEM private key. Its features are length, shares of character classes, known formats, transitions between classes, the mean log probability of its letter transitions under the words of the whole
 corpus, how much of it dictionary words cover (words that occur ``DICTIONARY`` times or more in the corpus), path and
 address marks, and its neighbouring words (their hashes). The forest is fitted on labelled findings, a bounded sample.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -27,19 +30,59 @@ SALTS = 16
 SPLIT = r"""[\x00-\x20"'`<>(),;\[\]{}]+"""
 ASSIGNED = r"^([A-Za-z][A-Za-z0-9_.-]{0,60}[=:]+)"
 EDGES = r"^[.,:!?&%#*$|-]+|[.,:!?&%#*$|-]+$"
-CREDENTIAL = r"(?i)(token|passw|passwd|pwd|secret|api_?key|apikey|access_?key|auth|bearer|credential|private_?key)"
-
-
-def findings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Candidates: (doc_id, row, pos, value, key, before, before2, after); row tells repeated ids apart."""
-    d = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text)).alias("row"), F.split(F.coalesce(F.col(text), F.lit("")), SPLIT).alias("w"))
-    each = d.select("doc_id", "row", "w", F.posexplode("w").alias("pos", "t")).where((F.length("t") >= LEAST) & F.col("t").rlike("[0-9]"))
-    key = F.regexp_extract("t", ASSIGNED, 1)
-    near = lambda k: F.coalesce(F.get("w", F.col("pos") + k), F.lit(""))
-    each = each.select(
-        "doc_id", "row", "pos", F.regexp_replace(F.regexp_replace("t", ASSIGNED, ""), EDGES, "").alias("value"), key.alias("key"), near(-1).alias("before"), near(-2).alias("before2"), near(1).alias("after")
-    )
-    return each.where((F.length("value") >= LEAST) & F.col("value").rlike("[0-9]"))
+CREDENTIAL = r"(?i)(token|passphrase|passw|passwd|pwd|secret|api_?key|apikey|access_?key|auth|bearer|credential|private_?key)"
+#: Key formats that are secrets by themselves.
+KNOWN = r"^(AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[A-Za-z0-9]{36}|^sk-[A-Za-z0-9]{20,}"
+PASSWORD = r"(?i)(passphrase|passw|passwd|pwd|secret)[A-Za-z0-9_.-]*[=:]*$"
+SIGN = r"^(=|:|:=|=>|->)$"
+#: The lines of a private key after its header (and the fields "Name: value" of an encrypted one).
+PEM = r"-----BEGIN [A-Z ]*PRIVATE KEY-----\s*((?:[A-Za-z-]+:[^\n]*\n\s*){0,9}(?:[A-Za-z0-9+/=]{12,}\s+){0,400}[A-Za-z0-9+/=]*)"
+PEM_KEY = "private_key:"
+#: Mean log probability of a letter after another where letters are drawn evenly; words of a language are likelier.
+EVEN = -math.log(27)
+UNSEEN = -8.0
+
+
+def fluency_of(value: Column, logp: list[float]) -> Column:
+    """Mean log probability of the transitions between the letters a-z of ``value``; null without any."""
+    table = F.array(*[F.lit(x) for x in logp])
+    # a fold over the characters, so that ``value`` is computed once and not for every letter
+    start = F.struct(F.lit(0).alias("c"), F.lit(0.0).alias("sum"), F.lit(0).alias("n"))
+
+    def step(acc: Column, x: Column) -> Column:
+        c = F.ascii(x) - 96
+        c = F.when((c >= 1) & (c <= 26), c).otherwise(0)
+        both = (acc["c"] > 0) & (c > 0)
+        return F.struct(c.alias("c"), (acc["sum"] + F.when(both, F.get(table, acc["c"] * 27 + c)).otherwise(0.0)).alias("sum"), (acc["n"] + F.when(both, 1).otherwise(0)).alias("n"))
+
+    return F.aggregate(F.split(F.lower(value), ""), start, step, lambda acc: F.when(acc["n"] > 0, acc["sum"] / acc["n"]))
+
+
+def findings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", logp: list[float] | None = None) -> DataFrame:
+    """Candidates: (doc_id, row, pos, value, key, before, before2, after); row tells repeated ids apart.
+
+    ``logp`` are the log probabilities of ``letter_table``; without them no token is a candidate for its transitions.
+    """
+    whole = F.coalesce(F.col(text), F.lit(""))
+    body = F.when(whole.contains("PRIVATE KEY-----"), F.split(F.concat_ws(" ", F.regexp_extract_all(whole, F.lit(PEM), F.lit(1))), SPLIT)).otherwise(F.array().cast("array<string>"))
+    d = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text)).alias("row"), F.split(whole, SPLIT).alias("w"), body.alias("body"))
+    # neighbours are shifted arrays, not looked up in the whole text, which would be copied to every token
+    none = F.array(F.lit(""))
+    inside = F.when(F.size("body") > 0, F.transform("w", lambda t: F.array_contains("body", t))).otherwise(F.array().cast("array<boolean>"))
+    d = d.select("doc_id", "row", F.col("w").alias("t"), F.concat(none, "w").alias("before"), F.concat(none, none, "w").alias("before2"), F.slice(F.concat("w", none), 2, F.size("w")).alias("after"), inside.alias("pem"))
+    each = d.select("doc_id", "row", F.posexplode(F.arrays_zip("t", "before", "before2", "after", "pem")).alias("pos", "z")).where("z.t <> ''")
+    each = each.select("doc_id", "row", "pos", "z.t", "z.before", "z.before2", "z.after", F.coalesce("z.pem", F.lit(False)).alias("pem"))
+    bare = F.regexp_replace(F.regexp_replace("t", ASSIGNED, ""), EDGES, "")
+    key = F.when(F.col("pem"), PEM_KEY).otherwise(F.regexp_extract("t", ASSIGNED, 1))
+    # cheap conditions first: only what may be a candidate is cut
+    named = F.col("t").rlike(CREDENTIAL) | F.col("before").rlike(CREDENTIAL) | (F.col("before").rlike(SIGN) & F.col("before2").rlike(CREDENTIAL))
+    each = each.where(F.col("pem") | (F.length("t") >= LEAST) | named)
+    each = each.select("doc_id", "row", "pos", bare.alias("value"), key.alias("key"), "before", "before2", "after").where(F.col("value").rlike(r"[\p{L}\p{N}]") & (F.col("value") != MASK.strip("[]")))
+    v = F.col("value")
+    follows = F.col("key").rlike(CREDENTIAL) | F.col("before").rlike(CREDENTIAL) | (F.col("before").rlike(SIGN) & F.col("before2").rlike(CREDENTIAL))
+    odd = F.lit(False) if logp is None else F.coalesce(fluency_of(v, logp) < EVEN, F.lit(False))
+    long = F.length("value") >= LEAST
+    return each.where((long & v.rlike("[0-9]")) | v.rlike(KNOWN) | follows | (long & ~v.rlike("[0-9]") & odd))
 
 
 def dictionary(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -65,8 +108,17 @@ def transitions(words: DataFrame) -> DataFrame:
     return n.select("pair", F.log((F.col("n") + 1) / (F.col("total") + 27)).alias("logp"))
 
 
+def letter_table(words: DataFrame) -> list[float]:
+    """The log probability of letter j after letter i (a = 1) at i * 27 + j; the pairs come to the driver, 27 * 27 at most."""
+    number = lambda c: ord(c) - 96 if c != "#" else 0
+    table = [UNSEEN] * 729
+    for r in transitions(words).collect():
+        table[number(r["pair"][0]) * 27 + number(r["pair"][1])] = r["logp"]
+    return table
+
+
 ID = ["doc_id", "row", "pos"]
-FEATURES = ["len", "digits", "uppers", "lowers", "others", "distinct", "changes", "fluency", "coverage", "slashes", "at_sign", "dots", "scheme", "has_key", "credential"] + [
+FEATURES = ["len", "digits", "uppers", "lowers", "others", "distinct", "changes", "fluency", "coverage", "slashes", "at_sign", "dots", "scheme", "has_key", "credential", "known"] + [
     f"{side}{i}" for side in ("b", "a") for i in range(NEIGHBOUR_BINS)
 ]
 
@@ -98,7 +150,7 @@ def describe(found: DataFrame, words: DataFrame) -> DataFrame:
         F.length(F.regexp_replace("value", "[^.]", "")).cast("double").alias("dots"),
         flag(v.contains("://")).alias("scheme"),
         flag((F.length("key") > 0) | F.col("before").isin("=", ":", ":=")).alias("has_key"),
-        flag(named.rlike(CREDENTIAL)).alias("credential"),
+        flag(named.rlike(CREDENTIAL)).alias("credential"), flag(v.rlike(KNOWN)).alias("known"),
         *hashed("b", F.concat_ws(" ", "before2", "before")), *hashed("a", F.col("after")),
     )
     out = plain
@@ -111,14 +163,20 @@ def describe(found: DataFrame, words: DataFrame) -> DataFrame:
 def rule_labels(found: DataFrame) -> DataFrame:
     """Labels by rule for corpora that come without labelled findings: 1, 0, or null where no rule speaks.
 
-    1: a known key format, or a mixed value that a credential's name is assigned. 0: addresses, numbers, dates, links.
+    1: a known key format, a mixed value that a credential's name is assigned, or a value of four characters or more that a
+    password's name is assigned, in one token or, unless it is a plain word, in several. 0: addresses, numbers, dates, links,
+    and plain words that nothing is assigned.
     """
     v, named = F.col("value"), F.concat_ws(" ", "key", "before", "before2")
-    mixed = v.rlike(r"^[A-Za-z0-9+/_=-]{12,}$") & v.rlike("[A-Za-z]")
+    mixed = v.rlike(r"^[A-Za-z0-9+/_=-]{12,}$") & v.rlike("[A-Za-z]") & (v.rlike("[0-9]") | (F.col("fluency") < EVEN))
     assigned = (F.length("key") > 0) | F.col("before").isin("=", ":", ":=")
-    good = v.rlike(r"^(AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[A-Za-z0-9]{36}|^sk-[A-Za-z0-9]{20,}") | (mixed & assigned & named.rlike(CREDENTIAL))
+    good = v.rlike(KNOWN) | (mixed & assigned & named.rlike(CREDENTIAL))
     bad = v.rlike(r"^[^@]+@[^@]+\.[A-Za-z.]+$|^[0-9.,:/+_-]+$|^[a-z]+://|^www\.")
-    return found.withColumn("label", F.when(good, 1).when(bad, 0))
+    bad = bad | (~assigned & v.rlike("^[A-Za-z]+$") & ((F.length("value") < 4) | ((F.col("coverage") >= 1) & (F.col("fluency") >= EVEN))))
+    word = v.rlike("^[A-Za-z]+$") & (F.col("coverage") >= 1)
+    spaced = F.when(F.col("before").rlike(SIGN), F.col("before2")).when(F.col("before").rlike("[=:]$"), F.col("before"))
+    password = (F.length("value") >= 4) & (F.col("key").rlike(PASSWORD) | (~word & F.coalesce(spaced.rlike(PASSWORD), F.lit(False))))
+    return found.withColumn("label", F.when(good | (password & ~bad), 1).when(bad, 0))
 
 
 def scan(docs: DataFrame, labelled=rule_labels, doc_id: str = "doc_id", text: str = "text", threshold: float = 0.5, sample: int = SAMPLE) -> DataFrame:
@@ -127,10 +185,10 @@ def scan(docs: DataFrame, labelled=rule_labels, doc_id: str = "doc_id", text: st
     ``labelled`` is a function that adds a column label (1, 0 or null) to a table of findings, from a join with
     reviewed findings for example; the default labels by rule. ``row`` is a hash of the text. Null and empty texts have
     no candidates; a text that occurs in several rows under one id is reported once. Without labels of both kinds the
-    score is the share of label 1 (0 without any). An empty table gives no rows; other columns are ignored.
+    score is the share of label 1 (0 without any). A finding of label 1 has score 1, be it of a kind too rare for the forest to learn. An empty table gives no rows; other columns are ignored.
     """
-    found = materialise(findings(docs, doc_id, text).dropDuplicates(ID), "findings")
     words = materialise(dictionary(docs, text), "dictionary")
+    found = materialise(findings(docs, doc_id, text, letter_table(words)).dropDuplicates(ID), "findings")
     full = materialise(labelled(describe(found, words)), "features")
     known = full.where("label is not null").orderBy(F.xxhash64(*ID), *ID).limit(sample)
     known = materialise(known.select(*FEATURES, F.col("label").cast("double").alias("label")), "labelled")
@@ -139,17 +197,30 @@ def scan(docs: DataFrame, labelled=rule_labels, doc_id: str = "doc_id", text: st
     if len(kinds) < 2:
         share = float(max(kinds, default=0.0))
         return full.select(*columns, F.lit(share).alias("score"), F.lit(share >= threshold).alias("secret"))
+    certain = F.col("label").eqNullSafe(F.lit(1))
     assemble = VectorAssembler(inputCols=FEATURES, outputCol="features")
     forest = RandomForestClassifier(labelCol="label", featuresCol="features", numTrees=TREES, maxDepth=DEPTH, seed=17).fit(assemble.transform(known))
-    scored = forest.transform(assemble.transform(full)).withColumn("score", vector_to_array("probability")[1])
+    scored = forest.transform(assemble.transform(full)).withColumn("score", F.when(certain, 1.0).otherwise(vector_to_array("probability")[1]))
     return scored.select(*columns, "score", (F.col("score") >= threshold).alias("secret"))
 
 
 def mask(docs: DataFrame, scanned: DataFrame, doc_id: str = "doc_id", text: str = "text", by: str = MASK) -> DataFrame:
-    """``docs`` with every value that ``scanned`` calls a secret replaced in its text; other rows as they are."""
-    hits = scanned.where("secret").groupBy(F.col("doc_id").alias("_d"), F.col("row").alias("_r")).agg(F.collect_set("value").alias("_v"))
+    """``docs`` with every value that ``scanned`` calls a secret replaced in its text; other rows as they are.
+
+    Values of ``LEAST`` characters or more are replaced wherever they stand in the text, shorter ones, which may be part of
+    other words, in their own tokens only.
+    """
+    short = F.length("value") < LEAST
+    hits = scanned.where("secret").groupBy(F.col("doc_id").alias("_d"), F.col("row").alias("_r"))
+    hits = hits.agg(F.collect_set(F.when(~short, F.col("value"))).alias("_v"), F.collect_set(F.when(short, F.struct(F.col("pos").alias("pos"), F.col("value").alias("value")))).alias("_p"))
     key = F.xxhash64(F.col(text))
+    at = F.map_from_entries("_p")
+    rest = lambda t: F.regexp_replace(t, ASSIGNED, "")
+    own = lambda t: F.substring(t, F.lit(1), F.length(t) - F.length(rest(t)))
+    cut = F.transform(F.split(F.col(text), SPLIT), lambda t, i: F.when(F.element_at(at, i).isNotNull(), F.concat(own(t), F.replace(rest(t), F.element_at(at, i), F.lit(by)))).otherwise(t))
+    between = F.regexp_extract_all(F.col(text), F.lit(SPLIT), F.lit(0))
+    tokens = F.when(F.size("_p") > 0, F.array_join(F.zip_with(cut, between, lambda t, x: F.concat(t, F.coalesce(x, F.lit("")))), "")).otherwise(F.col(text))
     longest_first = F.array_sort("_v", lambda a, b: F.length(b) - F.length(a))
-    masked = F.aggregate(longest_first, F.col(text), lambda acc, x: F.replace(acc, x, F.lit(by)))
+    masked = F.aggregate(longest_first, tokens, lambda acc, x: F.replace(acc, x, F.lit(by)))
     out = docs.join(hits, F.col(doc_id).eqNullSafe(F.col("_d")) & (key == F.col("_r")), "left")
     return out.withColumn(text, F.when(F.col("_v").isNotNull(), masked).otherwise(F.col(text))).select(*docs.columns)
