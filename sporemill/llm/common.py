@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -9,9 +11,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scratch import materialise, scratch_path, write_table
+from ..functions.scratch import discard, materialise, scratch_path, scratch_scope, write_table
 
-__all__ = ["ascii_lower", "components", "hash_strings", "local_roots", "materialise", "mix64", "scratch_path", "tokens", "write_table"]
+__all__ = ["ascii_lower", "components", "fresh", "hash_strings", "local_roots", "materialise", "mix64", "runs", "scratch_path", "scratch_scope", "tokens", "type_of", "write_table"]
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -22,6 +24,42 @@ def ascii_lower(c):
     return F.when(c.rlike(r"[^\x00-\x7F]"), F.translate(c, UPPER, LOWER)).otherwise(F.lower(c))
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names like ``names`` that ``df`` does not have."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def type_of(df: DataFrame, column: str) -> str:
+    return df.schema[column].dataType.simpleString()
+
+
+def runs(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[pa.Table]:
+    """The rows of each run of equal keys (numbers without nulls), across batches."""
+    held, last = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch[k].to_numpy(zero_copy_only=False) for k in keys]
+        new = np.zeros(batch.num_rows, bool)
+        for c in columns:
+            new[1:] |= c[1:] != c[:-1]
+        cuts = [0, *np.flatnonzero(new).tolist(), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:]):
+            if (key := tuple(c[a] for c in columns)) != last and held:
+                yield pa.Table.from_batches(held)
+                held = []
+            last = key
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def tokens(text: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray, list]:
     """Whitespace tokens (``[^\\x20\\x09-\\x0D]+``) of a string array.
 
@@ -94,7 +132,9 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
         .distinct()
     )
-    e = materialise(e, "edges")
+    spark, path = edges.sparkSession, scratch_path(edges.sparkSession, "edges")
+    write_table(e, path)
+    e = spark.read.schema("u long, v long").parquet(path)
 
     def seal(df: DataFrame) -> tuple:
         return tuple(df.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
@@ -121,8 +161,11 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
             .where("u <> v")
             .distinct()
         )
-        e = materialise(small, "edges")
+        before_path, path = path, scratch_path(spark, "edges")
+        write_table(small, path)
+        e = spark.read.schema("u long, v long").parquet(path)
         now = seal(e)
+        discard(spark, before_path)
         if now == before:
             break
         before = now
