@@ -2,12 +2,14 @@
 
 1. Every text becomes the set of its hashed five-word shingles; rows with equal sets form one class.
 2. Each class has ``bands`` hashes of ``rows`` minima each; numbers chosen for a target recall at the threshold.
-3. Classes that meet under a band hash are linked to the bucket's smallest class, never to each other, and the
-   components of those links are the groups within which pairs are verified.
-4. The members' full shingle sets travel to their group. A group of more than ``BLOCK`` members is cut into hashed
-   blocks, and each pair of blocks is a unit of work of its own, so no group has to fit one task.
-5. Units count links (Jaccard >= threshold on the full sets) and report a few links that span their components; pairs
-   are not emitted.
+3. Classes meet in the buckets of their band hashes, by set sizes and band hashes only. A pair belongs to the first band
+   that it shares, so it is looked at once; a class stays in a bucket if it has a pair there whose sizes allow the
+   threshold.
+4. Those that stay meet in the bucket again with their full shingle sets, and their pairs are verified exactly.
+
+A bucket of more than ``BLOCK`` classes is cut into hashed blocks, and each pair of blocks is a unit of work of its own,
+so no bucket has to fit one task. Units count links (Jaccard >= threshold on the full sets) and report a few links that
+span their components; pairs are not emitted.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, hash_strings, local_roots, materialise, mix64, tokens
+from .common import components, hash_strings, local_roots, materialise, mix64, runs, tokens, type_of
 
 #: Members of a block; a unit of work holds two blocks at most.
 BLOCK = 256
@@ -63,11 +65,6 @@ def shingle_sets(text: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     return h[keep], np.bincount(row[keep], minlength=len(lengths)).astype(np.int64)
 
 
-def print_of(shingles: np.ndarray) -> np.uint64:
-    """A hash of a set of shingle hashes that does not depend on their order."""
-    return np.add.reduce(mix64(shingles)) if len(shingles) else np.uint64(0)
-
-
 def signer(width: int, bands: int, rows: int):
     rng = np.random.default_rng(20240229)
     mult = rng.integers(1, 1 << 63, bands * rows, dtype=np.uint64) | np.uint64(1)
@@ -88,17 +85,18 @@ def signer(width: int, bands: int, rows: int):
                             low = np.minimum.reduceat(sets * mult[b * rows + r], starts)
                             acc = mix64(acc * MERSENNE_MIX + low)
                         band[full, b] = acc
-                    prints[0, full] = np.add.reduceat(mix64(sets), starts)  # as print_of
+                    prints[0, full] = np.add.reduceat(mix64(sets), starts)
                     prints[1, full] = np.add.reduceat(mix64(sets ^ MERSENNE_MIX), starts)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch["doc_id"].cast(pa.int64()),
+                        batch["doc_id"],
+                        batch["text_hash"],
                         pa.array(n),
                         pa.array(prints[0].view(np.int64)),
                         pa.array(prints[1].view(np.int64)),
                         pa.FixedSizeListArray.from_arrays(pa.array(band.view(np.int64).ravel()), bands).cast(pa.list_(pa.int64())),
                     ],
-                    names=["doc_id", "n_shingles", "print1", "print2", "bands"],
+                    names=["doc_id", "text_hash", "n_shingles", "print1", "print2", "bands"],
                 )
 
     return run
@@ -110,34 +108,65 @@ def set_maker(width: int):
             for at in range(0, whole.num_rows, 1000):
                 batch = whole.slice(at, 1000)
                 sets, n = shingle_sets(batch["text"], width)
-                ends = np.cumsum(n)
-                raw = [sets[e - k : e].astype("<u8") for e, k in zip(ends, n)]
-                # an id may stand for several texts; the class's own is known by its print
-                own = np.array([print_of(x) for x in raw], np.uint64).view(np.int64) == batch["node"].to_numpy(zero_copy_only=False)
-                columns = [batch["node"], batch["size"], batch["grp"], batch["blocks"], pa.array([x.tobytes() for x in raw], pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=["node", "size", "grp", "blocks", "shingles"]).filter(pa.array(own, pa.bool_()))
+                raw = [sets[e - k : e].astype("<u8").tobytes() for e, k in zip(np.cumsum(n), n)]
+                yield pa.RecordBatch.from_arrays([batch["cid"], pa.array(raw, pa.binary())], names=["cid", "shingles"])
 
     return run
 
 
-def unit_links(ids: np.ndarray, sizes: np.ndarray, block: np.ndarray, raw: list, crossing: bool, threshold: float) -> tuple:
-    """Links within a unit: (documents linked to each member, index pairs of spanning links).
+UNIT = ("h", "band", "b1", "b2")
 
-    ``crossing``: only pairs of different blocks count, since the pairs within a block are another unit's.
-    """
-    sets = [np.frombuffer(x, "<u8") for x in raw]
+
+def matrix_of(column: pa.ChunkedArray) -> np.ndarray:
+    return column.combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
+def candidates(unit: pa.Table, threshold: float) -> np.ndarray:
+    """Which members of a unit have a pair that belongs to its band and whose sizes allow the threshold."""
+    band, crossing = unit["band"][0].as_py(), unit["b1"][0] != unit["b2"][0]
+    n, block, hashes = unit["n"].to_numpy(), unit["block"].to_numpy(), matrix_of(unit["bands"])
+    some = np.zeros(len(n), bool)
+    for s in range(0, len(n), 256):
+        e = slice(s, s + 256)
+        pair = (n[None] >= threshold * n[e, None]) & (n[None] * threshold <= n[e, None])
+        pair[np.arange(len(pair)), np.arange(s, s + len(pair))] = False
+        if crossing:
+            pair &= block[e, None] != block[None]
+        for k in range(band):
+            pair &= hashes[e, k, None] != hashes[None, :, k]
+        some[e] = pair.any(1)
+    return some
+
+
+def sieve(threshold: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for unit in runs(batches, *UNIT):
+            if unit.num_rows > 1:
+                yield from unit.select([*UNIT, "block", "cid"]).filter(pa.array(candidates(unit, threshold))).to_batches()
+
+    return run
+
+
+def unit_links(unit: pa.Table, threshold: float) -> tuple:
+    """(ids, documents linked to each, spanning links as pairs of ids) among the classes of a unit."""
+    band, crossing = unit["band"][0].as_py(), unit["b1"][0] != unit["b2"][0]
+    ids, sizes, block, hashes = unit["cid"].to_numpy(), unit["size"].to_numpy(), unit["block"].to_numpy(), matrix_of(unit["bands"])[:, :band]
+    sets = [np.frombuffer(x, "<u8") for x in unit["shingles"].to_pylist()]
     n = np.array([len(s) for s in sets])
     _, column = np.unique(np.concatenate(sets), return_inverse=True)
     starts = np.cumsum(n) - n
     linked = np.zeros(len(ids), np.int64)
-    a_all, b_all = [], []
+    a_all, b_all = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     mark = np.zeros(column.max() + 1, np.int64)
+    later = np.arange(len(ids))
     for i in range(len(ids)):
-        mine = column[starts[i] : starts[i] + n[i]]
-        mark[mine] = 1
-        # only members whose sizes allow the threshold
-        near = np.flatnonzero((n >= threshold * n[i]) & (n * threshold <= n[i]) & ((block != block[i]) if crossing else True) & (np.arange(len(ids)) > i))
+        # only members whose sizes allow the threshold, and that no earlier band has brought here
+        near = np.flatnonzero((n >= threshold * n[i]) & (n * threshold <= n[i]) & ((block != block[i]) if crossing else True) & (later > i))
+        if band and len(near):
+            near = near[(hashes[near] != hashes[i]).all(1)]
         if len(near):
+            mine = column[starts[i] : starts[i] + n[i]]
+            mark[mine] = 1
             span = n[near]
             at = np.repeat(starts[near] - (np.cumsum(span) - span), span) + np.arange(span.sum())
             common = np.add.reduceat(mark[column[at]], np.cumsum(span) - span)
@@ -146,49 +175,27 @@ def unit_links(ids: np.ndarray, sizes: np.ndarray, block: np.ndarray, raw: list,
             linked[hit] += sizes[i]
             a_all.append(np.full(len(hit), i))
             b_all.append(hit)
-        mark[mine] = 0
-    if not a_all:
-        return linked, np.zeros((0, 2), np.int64)
-    a, b = np.concatenate(a_all), np.concatenate(b_all)
-    root = local_roots(len(ids), a, b)
+            mark[mine] = 0
+    root = local_roots(len(ids), np.concatenate(a_all), np.concatenate(b_all))
     moved = np.flatnonzero(root != np.arange(len(ids)))
-    return linked, np.stack([ids[moved], ids[root[moved]]], 1)
+    return ids, linked, np.stack([ids[moved], ids[root[moved]]], 1)
 
 
 def verifier(threshold: float):
-    """Rows sorted by unit (grp, b1, b2) to rows (node, links, to): links found, and a spanning link or null."""
-
-    def flush(held: list) -> pa.RecordBatch | None:
-        if len(held) < 2:
-            return None
-        held = sorted(held, key=lambda r: r["node"])
-        ids = np.array([r["node"] for r in held])
-        linked, pairs = unit_links(
-            ids, np.array([r["size"] for r in held]), np.array([r["block"] for r in held]), [r["shingles"] for r in held], held[0]["b1"] != held[0]["b2"], threshold
-        )
-        some = np.flatnonzero(linked)
-        if not len(some):
-            return None
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.concatenate([ids[some], pairs[:, 0]])),
-                pa.array(np.concatenate([linked[some], np.zeros(len(pairs), np.int64)])),
-                pa.array([None] * len(some) + pairs[:, 1].tolist(), pa.int64()),
-            ],
-            names=["node", "links", "to"],
-        )
+    """Rows sorted by unit to rows (cid, links, to): links found, and a spanning link or null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, unit = [], None
-        for batch in batches:
-            for r in batch.to_pylist():
-                if (now := (r["grp"], r["b1"], r["b2"])) != unit:
-                    if out := flush(held):
-                        yield out
-                    held, unit = [], now
-                held.append(r)
-        if out := flush(held):
-            yield out
+        for unit in runs(batches, *UNIT):
+            if unit.num_rows > 1:
+                ids, linked, pairs = unit_links(unit, threshold)
+                some = np.flatnonzero(linked)
+                to = np.concatenate([np.zeros(len(some), np.int64), pairs[:, 1]])
+                columns = [
+                    pa.array(np.concatenate([ids[some], pairs[:, 0]])),
+                    pa.array(np.concatenate([linked[some], np.zeros(len(pairs), np.int64)])),
+                    pa.array(to, pa.int64(), mask=np.arange(len(to)) < len(some)),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["cid", "links", "to"])
 
     return run
 
@@ -201,45 +208,43 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     one row of each group (the class's first by id; of rows repeated under that id all are kept). Words are whitespace
     words with A-Z lower-cased. Texts of fewer than ``width`` words have one shingle; null and wordless texts have none,
     link with nothing, and stand alone (class_size 1, kept). Rows with a null id take no part: they have null class_id
-    and group_id, no links, and are kept. An empty table gives no rows; other columns are ignored.
+    and group_id, no links, and are kept. Ids may be of any type that has an order. An empty table gives no rows; other
+    columns are ignored.
     """
     bands, rows = choose_bands(threshold, recall)
-    source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    signed = materialise(source.mapInArrow(signer(width, bands, rows), "doc_id long, n_shingles long, print1 long, print2 long, bands array<long>"), "minhash")
+    source = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text)).alias("text_hash"), F.col(text).alias("text"))
+    signed = source.mapInArrow(signer(width, bands, rows), f"doc_id {type_of(source, 'doc_id')}, text_hash long, n_shingles long, print1 long, print2 long, bands array<long>")
+    signed = materialise(signed, "minhash")
     usable = signed.where("doc_id is not null and n_shingles > 0")
-    classes = materialise(
-        usable.groupBy("print1", "print2", "n_shingles").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("size"), F.first("bands").alias("bands")), "classes"
-    )
-
-    keyed = classes.select(F.col("print1").alias("node"), F.posexplode("bands").alias("band", "h"))
-    lowest = keyed.groupBy("band", "h").agg(F.min("node").alias("low"), F.count("*").alias("n")).where("n > 1")
-    stars = keyed.join(lowest, ["band", "h"]).where("node <> low").select(F.col("node").alias("a"), F.col("low").alias("b"))
-    groups = materialise(components(stars).select(F.col("id").alias("node"), F.col("component").alias("grp")), "groups")
-    size = groups.groupBy("grp").agg(F.count("*").alias("m"))
-    members = groups.join(size, "grp").select("node", "grp", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
-    members = members.join(classes.select(F.col("print1").alias("node"), "class_id", "size"), "node")
-    sets = source.join(members, F.col("doc_id") == F.col("class_id")).select("node", "size", "grp", "blocks", "text")
-    sets = sets.mapInArrow(set_maker(width), "node long, size long, grp long, blocks int, shingles binary").dropDuplicates(["node"])
-    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    units = sets.withColumn("block", block).select("*", F.explode(F.expr("sequence(0, blocks - 1)")).alias("other"))
-    units = units.select("node", "size", "grp", "block", "shingles", F.least("block", "other").alias("b1"), F.greatest("block", "other").alias("b2"))
-    units = units.repartition("grp", "b1", "b2").sortWithinPartitions("grp", "b1", "b2")
-    found = materialise(units.mapInArrow(verifier(threshold), "node long, links long, to long"), "links")
-
-    links = found.groupBy(F.col("node").alias("print1")).agg(F.sum("links").alias("links"))
-    comp = components(found.where("to is not null").select(F.col("node").alias("a"), F.col("to").alias("b")))
-    comp = comp.select(F.col("id").alias("print1"), "component").join(classes.select("print1", "class_id"), "print1")
+    same = ["print1", "print2", "n_shingles"]
+    # one row a distinct set, with a number of its own; the numbers are fixed by the written table
+    classes = usable.groupBy(*same).agg(F.min(F.struct("doc_id", "text_hash")).alias("one"), F.count("*").alias("size"), F.first("bands").alias("bands"))
+    classes = classes.select(*same, "size", "bands", F.col("one.doc_id").alias("class_id"), F.col("one.text_hash").alias("text_hash"), F.monotonically_increasing_id().alias("cid"))
+    classes = materialise(classes, "classes")
+
+    keyed = classes.select("cid", F.posexplode("bands").alias("band", "h"))
+    crowd = keyed.groupBy("h", "band").agg(F.count("*").alias("m")).where("m > 1").select("h", "band", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
+    place = keyed.join(crowd, ["h", "band"]).withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
+    place = place.select("cid", "h", "band", "block", F.explode(F.expr("sequence(0, blocks - 1)")).alias("other"))
+    place = place.select("cid", "h", "band", "block", F.least("block", "other").alias("b1"), F.greatest("block", "other").alias("b2"))
+    light = place.join(classes.select("cid", F.col("n_shingles").alias("n"), "bands"), "cid").repartition(*UNIT).sortWithinPartitions(*UNIT)
+    left = materialise(light.mapInArrow(sieve(threshold), "h long, band int, b1 int, b2 int, block int, cid long"), "candidates")
+
+    wanted = classes.join(left.select("cid").distinct(), "cid", "left_semi").select("cid", F.col("class_id").alias("doc_id"), "text_hash")
+    sets = source.join(wanted, ["doc_id", "text_hash"]).select("cid", "text").mapInArrow(set_maker(width), "cid long, shingles binary").dropDuplicates(["cid"])
+    full = left.join(sets, "cid").join(classes.select("cid", "size", "bands"), "cid").repartition(*UNIT).sortWithinPartitions(*UNIT)
+    found = materialise(full.mapInArrow(verifier(threshold), "cid long, links long, to long"), "links")
+
+    links = found.groupBy("cid").agg(F.sum("links").alias("links"))
+    comp = components(found.where("to is not null").select(F.col("cid").alias("a"), F.col("to").alias("b")))
+    comp = comp.select(F.col("id").alias("cid"), "component").join(classes.select("cid", "class_id"), "cid")
     first = comp.groupBy("component").agg(F.min("class_id").alias("group_id"))
-    comp = comp.join(first, "component").select("print1", "group_id")
-    about = (
-        classes.drop("bands")
-        .join(links, "print1", "left")
-        .join(comp, "print1", "left")
-        .select("print1", "print2", "n_shingles", "class_id", "size", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("group_id", "class_id").alias("group_id"))
-    )
+    comp = comp.join(first, "component").select("cid", "group_id")
+    about = classes.drop("bands", "text_hash").join(links, "cid", "left").join(comp, "cid", "left")
+    about = about.select(*same, "class_id", "size", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("group_id", "class_id").alias("group_id"))
     known = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
     # copies of one class may be many rows; the other side has one row a class
-    out = usable.drop("bands").join(about, ["print1", "print2", "n_shingles"]).select(
+    out = usable.drop("bands").join(about, same).select(
         "doc_id", "n_shingles", "class_id", F.col("size").alias("class_size"), (F.col("links") + F.col("size") - 1).alias("n_links"), "group_id", (F.col("doc_id") == F.col("group_id")).alias("kept")
     )
     alone = signed.where(~known).select(
