@@ -1,15 +1,17 @@
 """Document quality: random-indexing word vectors, pooled, and a two-layer network with calibrated probabilities.
 
-Every frequent word and word shape ("Aa.", "a&&&") has a sparse random index vector. Over all documents each of them
-adds up the index vectors of what stands within ``WINDOW`` tokens of it; these sums, scaled, are its vector. A document
-is the mean vector of its words, the mean vector of its shapes, and a few ratios (repeated, distinct and unknown
-tokens). The network learns from a bounded sample of labelled documents; a temperature, fitted on a part of the sample
-that the weights have not seen, calibrates its probabilities.
+Every word and every word shape ("Aa.", "a&&&") has a sparse random index vector, drawn from its hash. Over all documents
+each of them adds up the index vectors of what stands within ``WINDOW`` tokens of it; these sums, scaled, are its vector.
+The sums are kept in a table of ``WORD_ROWS`` and ``SHAPE_ROWS`` rows that words and shapes share by hash: no word is left
+out whatever the vocabulary, the table's size is known, and where words share a row the frequent one shapes it. A document
+is the mean vector of its words, the mean vector of its shapes, and a few ratios (repeated, distinct and rare tokens).
+The network learns from a bounded sample of labelled documents; a temperature, fitted on a part of the sample that the
+weights have not seen, calibrates its probabilities.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
@@ -18,35 +20,20 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import tokens
+from .common import hash_strings, mix64, tokens
 from .labelled import SAMPLE, labelled_sample
 
 DIM = 32
 NONZERO = 4
 WINDOW = 2
-#: Words and shapes that get vectors: the most frequent of the labelled sample, by documents.
-WORDS, SHAPES = 2000, 200
+#: Rows of the context table; words first, then shapes.
+WORD_ROWS, SHAPE_ROWS = 1 << 15, 1 << 11
 HIDDEN = 24
 #: Tokens handled at once.
 SLICE = 400_000
-
-
-class Vocabulary(NamedTuple):
-    """Ids: words first, then shapes, then the shape of all others."""
-
-    words: list
-    shapes: list
-
-    @property
-    def size(self) -> int:
-        return len(self.words) + len(self.shapes) + 1
-
-    def ids(self, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """For each distinct token: its word's id or -1, and its shape's id."""
-        n = len(self.words)
-        word = pc.fill_null(pc.index_in(distinct, pa.array(self.words, distinct.type)), -1).to_numpy(zero_copy_only=False).astype(np.int64)
-        form = pc.index_in(shapes(distinct), pa.array(self.shapes, distinct.type))
-        return word, pc.fill_null(form, len(self.shapes)).to_numpy(zero_copy_only=False).astype(np.int64) + n
+#: A token is rare if fewer than one in so many tokens share its row.
+RARE = 20_000
+FEATURES = 2 * DIM + 6
 
 
 def shapes(words: pa.Array) -> pa.Array:
@@ -56,14 +43,34 @@ def shapes(words: pa.Array) -> pa.Array:
     return words
 
 
-def index_vectors(size: int) -> np.ndarray:
-    rng = np.random.default_rng(4711)
-    out = np.zeros((size, DIM), np.float32)
-    for row in out:
-        row[rng.choice(DIM, NONZERO, replace=False)] = rng.choice([-1, 1], NONZERO)
+def index_vectors(hashes: np.ndarray) -> np.ndarray:
+    """NONZERO signs at places that the hash draws; where two meet they add up."""
+    out = np.zeros((len(hashes), DIM), np.int8)
+    rows = np.arange(len(hashes))
+    for j in range(NONZERO):
+        place = (hashes >> np.uint64(8 * j)) % np.uint64(DIM)
+        sign = (hashes >> np.uint64(8 * j + 7)) & np.uint64(1)
+        out[rows, place.astype(np.int64)] += np.where(sign > 0, 1, -1).astype(np.int8)
     return out
 
 
+class Known(NamedTuple):
+    """What each distinct token of a piece has: its rows in the table, and its index vector (word and shape together)."""
+
+    word: np.ndarray
+    shape: np.ndarray
+    index: np.ndarray
+
+
+def know(distinct: pa.Array, index: bool = True) -> Known:
+    form = shapes(distinct).dictionary_encode()
+    of = form.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    word, shape = mix64(hash_strings(distinct)), mix64(hash_strings(form.dictionary) + np.uint64(1))
+    vectors = index_vectors(word) + index_vectors(shape)[of] if index else np.zeros((0, DIM), np.int8)
+    rows = lambda h, n: (h >> np.uint64(40)).astype(np.int64) % n
+    return Known(rows(word, WORD_ROWS), rows(shape, SHAPE_ROWS)[of] + WORD_ROWS, vectors)
+
+
 def slices(batches: Iterator[pa.RecordBatch], size: int = SLICE) -> Iterator[pa.RecordBatch]:
     """Pieces of batches with about ``size`` tokens; a single longer text is a piece of its own."""
     for batch in batches:
@@ -76,76 +83,60 @@ def slices(batches: Iterator[pa.RecordBatch], size: int = SLICE) -> Iterator[pa.
             yield batch.slice(a, b - a)
 
 
-def document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """In how many documents of a piece each token and each shape occurs: (kind, token, n)."""
+CONTEXT = ["n"] + [f"c{j}" for j in range(DIM)]
+
+
+def context_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Tokens and sums of the index vectors near them, one row a row of the table and task: (id, n, c0, c1, ...)."""
+    total = np.zeros((WORD_ROWS + SHAPE_ROWS, 1 + DIM), np.int64)
     for rows in slices(batches):
         codes, lengths, distinct = tokens(rows["text"], lower=False)
+        if not len(codes):
+            continue
+        known = know(distinct)
+        own = known.index[codes]
         doc = np.repeat(np.arange(len(lengths)), lengths)
-        df = np.bincount(np.unique(doc * np.int64(max(len(distinct), 1)) + codes) % max(len(distinct), 1), minlength=len(distinct))
-        form = shapes(distinct).dictionary_encode()
-        f = form.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        m = max(len(form.dictionary), 1)
-        sf = np.bincount(np.unique(doc * np.int64(m) + (f[codes] if len(codes) else codes)) % m, minlength=len(form.dictionary))
-        for kind, token, n in ((0, distinct, df), (1, form.dictionary, sf)):
-            yield pa.RecordBatch.from_arrays([pa.array([kind] * len(token), pa.int32()), token.cast(pa.string()), pa.array(n.astype(np.int64))], names=["kind", "token", "n"])
-
-
-def learn_vocabulary(sample: DataFrame) -> Vocabulary:
-    n = sample.mapInArrow(document_counts, "kind int, token string, n long").groupBy("kind", "token").agg(F.sum("n").alias("n")).where("n > 1")
-    top = lambda kind, k: [r["token"] for r in n.where(F.col("kind") == kind).orderBy(F.desc("n"), "token").limit(k).collect()]
-    return Vocabulary(top(0, WORDS), top(1, SHAPES))
-
-
-def context_sums(vocabulary: Vocabulary):
-    """Sums of the index vectors near each id, one row an id and task: (id, c0, c1, ...)."""
-    index = np.vstack([index_vectors(vocabulary.size), np.zeros((1, DIM), np.float32)])  # the last for id -1
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((vocabulary.size, DIM))
-        for rows in slices(batches):
-            codes, lengths, distinct = tokens(rows["text"], lower=False)
-            if not len(codes):
-                continue
-            word, form = (x[codes] for x in vocabulary.ids(distinct))
-            own = index[word] + index[form]
-            doc = np.repeat(np.arange(len(lengths)), lengths)
-            near = np.zeros_like(own)
-            for k in range(1, WINDOW + 1):
-                same = (doc[k:] == doc[:-k])[:, None]
-                near[k:] += own[:-k] * same
-                near[:-k] += own[k:] * same
-            for ids in (word, form):
-                at = np.flatnonzero(ids >= 0)
-                at = at[np.argsort(ids[at], kind="stable")]
-                if len(at):
-                    first = np.flatnonzero(np.diff(ids[at], prepend=-1))
-                    total[ids[at[first]]] += np.add.reduceat(near[at], first, axis=0)
-        some = np.flatnonzero(np.abs(total).sum(1))
-        yield pa.RecordBatch.from_arrays([pa.array(some)] + [pa.array(total[some, j]) for j in range(DIM)], names=["id"] + [f"c{j}" for j in range(DIM)])
-
-    return run
-
-
-def learn_vectors(docs: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
-    """A vector of length 1 for each id, from all documents; at most WORDS + SHAPES + 1 rows come to the driver."""
-    columns = [f"c{j}" for j in range(DIM)]
-    rows = docs.select("text").mapInArrow(context_sums(vocabulary), "id long, " + ", ".join(f"{c} double" for c in columns))
-    got = rows.groupBy("id").agg(*[F.sum(c).alias(c) for c in columns]).toPandas()
-    out = np.zeros((vocabulary.size, DIM))
-    out[got["id"]] = got[columns]
-    out /= np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
-    out -= out.mean(0)
-    out /= np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
-    return out.astype(np.float32)
-
-
-def features(text: pa.Array, vocabulary: Vocabulary, vectors: np.ndarray) -> np.ndarray:
+        near = np.zeros_like(own)
+        for k in range(1, WINDOW + 1):
+            same = (doc[k:] == doc[:-k])[:, None]
+            near[k:] += own[:-k] * same
+            near[:-k] += own[k:] * same
+        small = codes.astype(np.uint16) if len(distinct) < 1 << 16 else codes  # sorted by radix
+        order = np.argsort(small, kind="stable")
+        first = np.flatnonzero(np.diff(codes[order], prepend=-1))
+        each = np.add.reduceat(near[order], first, axis=0, dtype=np.int32)
+        n = np.diff(first, append=len(codes))
+        which = codes[order[first]]
+        for at in (known.word[which], known.shape[which]):
+            np.add.at(total, at, np.hstack([n[:, None], each]))
+    some = np.flatnonzero(total[:, 0])
+    yield pa.RecordBatch.from_arrays([pa.array(some)] + [pa.array(total[some, j]) for j in range(1 + DIM)], names=["id", *CONTEXT])
+
+
+def learn_vectors(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(a vector of length 1 for each row of the table, how rare its tokens are as -log10 of their share), from all
+    documents. WORD_ROWS + SHAPE_ROWS rows come to the driver at most."""
+    rows = docs.select("text").mapInArrow(context_sums, ", ".join(f"{c} long" for c in ("id", *CONTEXT)))
+    got = rows.groupBy("id").agg(*[F.sum(c).alias(c) for c in CONTEXT]).toPandas()
+    size = WORD_ROWS + SHAPE_ROWS
+    out, n = np.zeros((size, DIM)), np.zeros(size)
+    out[got["id"]], n[got["id"]] = got[CONTEXT[1:]], got["n"]
+    unit = lambda x: x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+    out = unit(out)
+    seen = n > 0
+    if seen.any():
+        out[seen] -= out[seen].mean(0)
+    share = np.maximum(n, 0.5) / max(n[:WORD_ROWS].sum(), 1)
+    return unit(out).astype(np.float32), np.minimum(-np.log10(share), 9).astype(np.float32)
+
+
+def features(text: pa.Array, vectors: np.ndarray, rarity: np.ndarray) -> np.ndarray:
     codes, lengths, distinct = tokens(text, lower=False)
-    out = np.zeros((len(lengths), 2 * DIM + 5), np.float32)
+    out = np.zeros((len(lengths), FEATURES), np.float32)
     full = np.flatnonzero(lengths)
     if len(full):
-        word, form = vocabulary.ids(distinct)
-        both = np.hstack([np.vstack([vectors, np.zeros((1, DIM), np.float32)])[word], vectors[form]])
+        known = know(distinct, index=False)
+        both = np.hstack([vectors[known.word], vectors[known.shape]])
         starts = (np.cumsum(lengths) - lengths)[full]
         n = lengths[full][:, None]
         out[full, : 2 * DIM] = np.add.reduceat(both[codes], starts, axis=0) / n
@@ -153,10 +144,9 @@ def features(text: pa.Array, vocabulary: Vocabulary, vectors: np.ndarray) -> np.
         again = np.zeros(len(codes))
         again[1:] = (codes[1:] == codes[:-1]) & (doc[1:] == doc[:-1])
         distinct_in = np.bincount(np.unique(doc * np.int64(len(distinct)) + codes) // len(distinct), minlength=len(lengths))
-        unknown = (word < 0)[codes].astype(float)
-        out[full, 2 * DIM :] = np.hstack(
-            [np.add.reduceat(again, starts)[:, None] / n, distinct_in[full][:, None] / n, np.add.reduceat(unknown, starts)[:, None] / n, np.log1p(n), np.ones_like(n)]
-        )
+        rare = rarity[known.word][codes]
+        mean = lambda x: np.add.reduceat(x, starts)[:, None] / n
+        out[full, 2 * DIM :] = np.hstack([mean(again), distinct_in[full][:, None] / n, mean(rare), mean((rare > np.log10(RARE)).astype(np.float32)), np.log1p(n), np.ones_like(n)])
     return out
 
 
@@ -215,41 +205,50 @@ def train(x: np.ndarray, y: np.ndarray, epochs: int = 60) -> Network:
     return net._replace(temperature=float(min(np.geomspace(0.25, 16, 61), key=loss)))
 
 
-def featurise(vocabulary: Vocabulary, vectors: np.ndarray):
+def featurise(vectors: np.ndarray, rarity: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in slices(batches):
-            x = features(rows["text"], vocabulary, vectors)
-            yield pa.RecordBatch.from_arrays([rows["doc_id"], rows["label"], pa.array([r.tobytes() for r in x], pa.binary())], names=["doc_id", "label", "x"])
+            x = features(rows["text"], vectors, rarity)
+            yield pa.RecordBatch.from_arrays([rows["label"], pa.array([r.tobytes() for r in x], pa.binary())], names=["label", "x"])
 
     return run
 
 
-def scorer(vocabulary: Vocabulary, vectors: np.ndarray, net: Network):
+def scorer(vectors: np.ndarray, rarity: np.ndarray, net: Network):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in slices(batches):
-            p = net.probability(features(rows["text"], vocabulary, vectors).astype(np.float64))
-            yield pa.RecordBatch.from_arrays([rows["doc_id"], rows["held_out"], pa.array(p)], names=["doc_id", "held_out", "score"])
+            p = net.probability(features(rows["text"], vectors, rarity).astype(np.float64))
+            passed = [c for c in rows.schema.names if c != "text"]
+            yield pa.RecordBatch.from_arrays([*(rows[c] for c in passed), pa.array(p)], names=[*passed, "score"])
 
     return run
 
 
 def quality_scores(
-    docs: DataFrame, labels: DataFrame, learn: Column, label: str = "quality", doc_id: str = "doc_id", text: str = "text", threshold: float = 0.5, sample: int = SAMPLE
+    docs: DataFrame,
+    labels: DataFrame,
+    learn: Column,
+    label: str = "quality",
+    doc_id: str = "doc_id",
+    text: str = "text",
+    threshold: float = 0.5,
+    sample: int = SAMPLE,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """Per row of ``docs``: doc_id, held_out, score (0 to 1, higher: label 1 likelier), predicted.
+    """Per row of ``docs``: doc_id, held_out, the columns ``carry``, score (0 to 1, higher: label 1 likelier), predicted.
 
     ``learn`` is a Column over doc_id: labels are learnt from rows where it holds, from ``sample`` of them at most;
     held_out is its opposite (null counts as held out). Null and empty texts are scored as texts without words.
-    Without labels of both kinds the score is the smoothed share of label 1. Repeated rows each get the same score;
-    a null id is kept. An empty table gives no rows; other columns are ignored.
+    Without labels of both kinds the score is the smoothed share of label 1. Repeated rows each get the same score, which
+    depends on the text alone; ids may be of any type and null. An empty table gives no rows; other columns are ignored.
     """
+    source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), *carry)
+    vectors, rarity = learn_vectors(source)
     some = labelled_sample(docs, labels, label, learn, doc_id, text, sample)
-    vocabulary = learn_vocabulary(some)
-    source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    vectors = learn_vectors(source, vocabulary)
-    got = some.mapInArrow(featurise(vocabulary, vectors), "doc_id long, label int, x binary").toPandas().sort_values(["doc_id", "x"])
-    x = np.frombuffer(b"".join(got["x"]), np.float32).reshape(len(got), 2 * DIM + 5)
+    got = some.mapInArrow(featurise(vectors, rarity), "label int, x binary").toPandas().sort_values(["x", "label"])
+    x = np.frombuffer(b"".join(got["x"]), np.float32).reshape(len(got), FEATURES)
     net = train(x, got["label"].to_numpy(np.float64))
-    rows = source.select("doc_id", (~F.coalesce(learn, F.lit(False))).alias("held_out"), "text")
-    scored = rows.mapInArrow(scorer(vocabulary, vectors, net), "doc_id long, held_out boolean, score double")
+    rows = source.withColumn("held_out", ~F.coalesce(learn, F.lit(False))).select("doc_id", "held_out", *carry, "text")
+    returned = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
+    scored = rows.mapInArrow(scorer(vectors, rarity, net), f"{returned}, score double")
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
