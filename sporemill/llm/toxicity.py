@@ -2,10 +2,12 @@
 
 A writer hides a word by look-alike characters ("1d10t"), separators ("i.d.i.o.t", "i d i o t") and repetition
 ("idiooot"). Suspicious tokens, and runs of single characters, become lattices: each position lists the letters that
-may have been meant, with the channel's cost. A Viterbi search under a character trigram model, counted over all
+may have been meant, with the channel's cost; length does not matter. A Viterbi search under a character trigram model, counted over all
 documents, picks the likeliest letters. Restored and plain words are then scored by a lexicon of words and word
 beginnings learnt from labelled documents: a feature's score is its smoothed precision, a document's the highest
-of its words, or the rate of label 1 among documents without such words.
+of its words, or the rate of label 1 among documents without such words. Within runs of single letters, which may hold
+several words, features are looked up at every letter. All readings of a lattice share one canonical form, so tokens whose
+form is that of no feature are not decoded when documents are scored.
 """
 
 from __future__ import annotations
@@ -20,26 +22,32 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash_strings, mix64, tokens
+from .common import hash_strings, materialise, mix64, tokens, type_of
 from .labelled import SAMPLE, labelled_sample
 from .quality import slices
 
 #: Look-alikes: a fixed table of what a character may stand for.
 LOOKALIKE = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l"}
-SEPARATORS = ".-_*~'`^/\\,:;#=" "​­"
+SEPARATORS = ".-_*~'`^/\\,:;#=" "\u200b\u00ad"
 #: Natural logs of what the channel does: replace a letter, insert a separator, repeat a letter.
 REPLACE, SEPARATE, REPEAT = -2.0, -0.7, -1.0
-#: Longer tokens are not decoded; words of this length do not occur, keys and addresses do.
-LONGEST = 24
+#: The same where a letter stands twice, as it does in many words.
+TWICE = -6.0
 SYMBOLS = 64
 BEAM = 24
 #: Lengths of the word beginnings that are features beside whole words.
 BEGINNINGS = (4, 5, 6)
+#: Letters that a word within a run of single letters has at least.
+INSIDE = 4
 LEAST_DOCUMENTS = 3
 PRECISION = 0.7
 
 EDGE = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum()) + "«»“”„‘’…¿¡–—"
-SUSPICIOUS = re.compile(r"[^\W\d_][%s]+[^\W\d_]|^[01345789@$|+(][^\W\d_]|[^\W\d_][01345789@$|(]$|([^\W\d_])\1\1|([^\W\d_])\2([^\W\d_])\3([^\W\d_])\4" % re.escape("".join(LOOKALIKE) + SEPARATORS))
+SUSPICIOUS = re.compile(r"[^\W\d_][%s]+[^\W\d_]|^[01345789@$|+(][^\W\d_]|[^\W\d_][01345789@$|(]+$|([^\W\d_])\1\1|([^\W\d_])\2([^\W\d_])\3([^\W\d_])\4" % re.escape("".join(LOOKALIKE) + SEPARATORS))
+PARTS = re.compile("[%s]+" % re.escape(SEPARATORS))
+ADDRESS = re.compile(r"://|^www\.|.@.")
+#: One letter for all that a look-alike may stand for; ``l`` and ``i`` share theirs.
+SAME = str.maketrans({"l": "i"} | {c: letters[0].replace("l", "i") for c, letters in LOOKALIKE.items()})
 
 
 def symbol(c: str) -> int:
@@ -56,11 +64,16 @@ def bare(token: str) -> str:
     at = token.find(core) if core else 0
     if core and at > 0 and token[at - 1] in "@$(|":
         core = token[at - 1] + core
-    if core and token[at + len(core) :][:1] in ("@", "$"):
+    while core and token[at + len(core) :][:1] in ("@", "$"):
         core += token[at + len(core)]
     return core
 
 
+def canonical(text: str) -> str:
+    """What all readings of a lattice share: letters by look-alike class, without separators and repetition."""
+    return re.sub(r"(.)\1+", r"\1", "".join(filter(str.isalpha, text.translate(SAME))))
+
+
 class Decoder:
     """Viterbi over lattices; states are the last two letters."""
 
@@ -77,7 +90,7 @@ class Decoder:
         for m in re.finditer(r"(.)\1*", text, re.S):
             c, n = m[1], len(m[0])
             if c.isalpha():
-                read = [(c, 0.0)] if n < 2 else [(c * 2, 0.0), (c, REPEAT)] if n == 2 else [(c, REPEAT), (c * 2, REPEAT)] + ([(c * 3, 0.0)] if n == 3 else [])
+                read = [(c, 0.0)] if n < 2 else [(c * 2, 0.0), (c, TWICE)] if n == 2 else [(c, REPEAT), (c * 2, REPEAT)] + ([(c * 3, 0.0)] if n == 3 else [])
             else:
                 read = [(x * k, REPLACE - (0 if k == n else 1)) for x in LOOKALIKE.get(c, "") for k in {1, min(n, 2)}]
                 if c in SEPARATORS or not read:
@@ -86,11 +99,11 @@ class Decoder:
         return out
 
     def decode(self, text: str) -> str:
-        """The likeliest word behind ``text`` (lower case)."""
-        beam = {(0, 0): (0.0, "")}
+        """The likeliest word behind ``text`` (lower case), in time linear in its length."""
+        beam = {(0, 0): (0.0, None)}  # state: (score, (what came before, letters))
         for readings in self.lattice(text):
             step: dict = {}
-            for (a, b), (score, word) in beam.items():
+            for (a, b), (score, trail) in beam.items():
                 for letters, cost in readings:
                     x, y, s = a, b, score + cost
                     for c in letters:
@@ -98,21 +111,46 @@ class Decoder:
                         s += self.log[x, y, z]
                         x, y = y, z
                     if (x, y) not in step or s > step[x, y][0]:
-                        step[x, y] = (s, word + letters)
-            beam = dict(sorted(step.items(), key=lambda kv: (-kv[1][0], kv[1][1]))[:BEAM])
-        return max(((s + self.log[a, b, 0], w) for (a, b), (s, w) in beam.items()))[1]
-
-
-def words_of(distinct: list[str], decoder: Decoder | None) -> list[tuple[str, ...]]:
-    """For each token (lower case) its readings: the bare word, and the restored one if it differs."""
-    out = []
-    for t in distinct:
-        w = bare(t)
-        if decoder is not None and 3 < len(w) <= LONGEST and SUSPICIOUS.search(w) and sum(map(str.isdigit, w)) <= max(2, len(w) // 2 + 1):
-            r = decoder.decode(w)
-            out.append((w, r) if r != w else (w,))
-        else:
-            out.append((w,))
+                        step[x, y] = (s, (trail, letters))
+            beam = dict(sorted(step.items(), key=lambda kv: (-kv[1][0], kv[0]))[:BEAM])
+        (a, b), (_, trail) = max(beam.items(), key=lambda kv: (kv[1][0] + self.log[kv[0][0], kv[0][1], 0], kv[0]))
+        out = []
+        while trail:
+            trail, letters = trail
+            out.append(letters)
+        return "".join(reversed(out))
+
+
+def suspicious(word: str) -> bool:
+    return len(word) > 2 and SUSPICIOUS.search(word) is not None and sum(map(str.isdigit, word)) <= max(2, len(word) // 2 + 1)
+
+
+def spelled(word: str) -> bool:
+    """Whether separators stand between single letters, which may be repeated."""
+    parts = [x for x in PARTS.split(word) if x]
+    return len(parts) > 2 and all(len(set(x)) == 1 for x in parts)
+
+
+def readings(token: str, decoder: Decoder, word_may, run_may) -> list[tuple[bool, str]]:
+    """(whether it is a run of letters, text) for a token (lower case): the bare word, what it was restored to, and the
+    same for the parts that separators leave. ``word_may`` and ``run_may`` tell from a text's canonical form whether its
+    restored form can matter; what cannot is not decoded."""
+    word = bare(token)
+    out = [(False, word)] if word else []
+    if word and (core := word.strip(EDGE)) != word:  # what stands at the edge may be a look-alike or not
+        out += readings(core, decoder, word_may, run_may)
+    if suspicious(word):
+        form = canonical(word)
+        if spelled(word):
+            if run_may(form):
+                out.append((True, decoder.decode(word)))
+            return out
+        if word_may(form) and (restored := decoder.decode(word)) != word:
+            out.append((False, restored))
+    if not ADDRESS.search(word):
+        parts = [x for x in PARTS.split(word) if len(x) > 2]
+        if parts and parts != [word]:
+            out += [r for x in dict.fromkeys(parts) for r in readings(x, decoder, word_may, run_may)]
     return out
 
 
@@ -159,11 +197,7 @@ def learn_characters(docs: DataFrame) -> Decoder:
     return Decoder(counts)
 
 
-def features_of(word: str) -> list[str]:
-    return [word] + [word[:k] + "-" for k in BEGINNINGS if len(word) > k]
-
-
-def spaced(codes: np.ndarray, lengths: np.ndarray, bares: list[str], least: int = 4) -> list[tuple[int, str]]:
+def spaced(codes: np.ndarray, lengths: np.ndarray, bares: list[str], least: int = 3) -> list[tuple[int, str]]:
     """(row, joined characters) of every run of at least ``least`` single-character tokens within a row."""
     single = np.array([len(w) == 1 for w in bares], bool)[codes] if len(codes) else np.zeros(0, bool)
     row = np.repeat(np.arange(len(lengths)), lengths)
@@ -178,29 +212,38 @@ def spaced(codes: np.ndarray, lengths: np.ndarray, bares: list[str], least: int
     return out
 
 
-def each_row(text: pa.Array, decoder: Decoder, value) -> list[tuple[int, object]]:
-    """(row, value(word)) for the words of each row, plain and restored, where value gives something."""
+def each_row(text: pa.Array, decoder: Decoder, word_value, run_value, word_may=bool, run_may=bool) -> list[tuple[int, object]]:
+    """(row, value) for the words and the runs of letters of each row, plain and restored, where there is a value.
+
+    Each distinct token of the piece is read once, each run where it stands.
+    """
     codes, lengths, distinct = distinct_words(text)
     if not len(codes):
         return []
     worth = np.zeros(len(distinct), bool)
     got: list = [None] * len(distinct)
-    read = words_of(distinct, decoder)
-    for i, ws in enumerate(read):
-        found = [v for w in ws if w and (v := value(w))]
+    bares = []
+    for i, t in enumerate(distinct):
+        bares.append(bare(t) or t)
+        found = [v for run, w in readings(t, decoder, word_may, run_may) if (v := (run_value if run else word_value)(w))]
         if found:
             worth[i], got[i] = True, found
     row = np.repeat(np.arange(len(lengths)), lengths)
     hits = np.flatnonzero(worth[codes])
     pairs = np.unique(row[hits] * np.int64(len(distinct)) + codes[hits])
     out = [(int(p // len(distinct)), v) for p in pairs for v in got[int(p % len(distinct))]]
-    for r, joined in spaced(codes, lengths, [ws[0] or t for ws, t in zip(read, distinct)]):
-        if len(joined) <= 4 * LONGEST:
-            word = decoder.decode(joined)
-            out += [(r, v) for i in range(len(word)) if (v := value(word[i:]))]
+    for r, joined in spaced(codes, lengths, bares):
+        if run_may(canonical(joined)) and (v := run_value(decoder.decode(joined))):
+            out.append((r, v))
     return out
 
 
+def features_of(word: str, run: bool) -> list[str]:
+    """A word and its beginnings; of a run of letters the whole, and the beginnings of what starts at each letter."""
+    starts = range(len(word)) if run else (0,)
+    return [word] + [word[i : i + k] + "-" for i in starts for k in BEGINNINGS if len(word) - i > k]
+
+
 def least_shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Adds a MinHash of five-word shingles, equal for most near copies."""
     for rows in slices(batches):
@@ -219,48 +262,104 @@ def least_shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([rows["doc_id"], rows["text"], rows["label"], pa.array(out.view(np.int64))], names=["doc_id", "text", "label", "low"])
 
 
-def feature_counts(decoder: Decoder):
+READ = "label int, words array<string>, runs array<string>"
+
+
+def read_rows(decoder: Decoder):
+    """(label, distinct words, distinct runs of letters) of each document, restored where need be."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in slices(batches):
-            label = rows["label"].to_numpy(zero_copy_only=False)
-            seen = {(r, f) for r, fs in each_row(rows["text"], decoder, features_of) for f in fs}
-            count: dict = {}
-            for r, f in seen:
-                count.setdefault(f, [0, 0])[int(label[r] > 0)] += 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(count), pa.string()), pa.array([v[1] for v in count.values()], pa.int64()), pa.array([v[0] for v in count.values()], pa.int64())], names=["feature", "pos", "neg"]
-            )
+            have: list[tuple[set, set]] = [(set(), set()) for _ in range(rows.num_rows)]
+            for r, (is_run, w) in each_row(rows["text"], decoder, lambda w: (False, w), lambda w: (True, w)):
+                have[r][is_run].add(w)
+            columns = [pa.array([sorted(h[i]) for h in have], pa.list_(pa.string())) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([rows["label"], *columns], names=["label", "words", "runs"])
 
     return run
 
 
-def feature_lists(decoder: Decoder, wanted: dict):
-    """Which of the wanted features each document has."""
+def row_features(words: list[str], runs: list[str]) -> set[str]:
+    return {f for is_run, ws in ((False, words), (True, runs)) for w in ws for f in features_of(w, is_run)}
+
+
+def feature_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """In how many documents of each label a feature occurs: (feature, pos, neg)."""
+    for rows in batches:
+        count: dict = {}
+        for label, words, runs in zip(*(rows[c].to_pylist() for c in ("label", "words", "runs"))):
+            for f in row_features(words, runs):
+                count.setdefault(f, [0, 0])[int(label > 0)] += 1
+        columns = [pa.array(list(count), pa.string())] + [pa.array([v[i] for v in count.values()], pa.int64()) for i in (1, 0)]
+        yield pa.RecordBatch.from_arrays(columns, names=["feature", "pos", "neg"])
+
+
+def feature_lists(wanted: dict):
+    """Which of the wanted features each document has; within runs, wanted words are found wherever they stand."""
+    known = Lexicon({f: 0.0 for f in wanted})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in slices(batches):
-            have: list[set] = [set() for _ in range(rows.num_rows)]
-            for r, fs in each_row(rows["text"], decoder, lambda w: [wanted[f] for f in features_of(w) if f in wanted]):
-                have[r].update(fs)
-            yield pa.RecordBatch.from_arrays([rows["label"], pa.array([sorted(h) for h in have], pa.list_(pa.int64()))], names=["label", "have"])
+        for rows in batches:
+            have = []
+            for words, runs in zip(rows["words"].to_pylist(), rows["runs"].to_pylist()):
+                names = row_features(words, runs) | {word for r in runs for word in known.within(r)}
+                have.append(sorted(wanted[f] for f in names if f in wanted))
+            yield pa.RecordBatch.from_arrays([rows["label"], pa.array(have, pa.list_(pa.int64()))], names=["label", "have"])
 
     return run
 
 
+class Lexicon:
+    """Features with their precision, looked up in words and in runs of letters."""
+
+    def __init__(self, features: dict[str, float]):
+        self.whole = {f: p for f, p in features.items() if not f.endswith("-")}
+        self.start = {f[:-1]: p for f, p in features.items() if f.endswith("-")}
+        self.lengths = sorted({len(f) for f in self.whole if len(f) >= INSIDE})
+        self.forms = {canonical(f) for f in self.whole}
+        self.start_forms = {canonical(f) for f in self.start}
+        self.inner_forms = {canonical(f) for f in self.whole if len(f) >= INSIDE} | self.start_forms
+        self.start_form_lengths = sorted({len(f) for f in self.start_forms})
+        self.inner_form_lengths = sorted({len(f) for f in self.inner_forms})
+
+    def word_may(self, form: str) -> bool:
+        """Whether a word of this canonical form can be in the lexicon or begin as one of its beginnings."""
+        return form in self.forms or any(form[:k] in self.start_forms for k in self.start_form_lengths)
+
+    def run_may(self, form: str) -> bool:
+        return form in self.forms or any(form[i : i + k] in self.inner_forms for k in self.inner_form_lengths for i in range(len(form) - k + 1))
+
+    def within(self, run: str) -> list[str]:
+        """Words of the lexicon at any place of a run of letters."""
+        return [run[i : i + k] for k in self.lengths for i in range(len(run) - k + 1) if run[i : i + k] in self.whole]
+
+    def word(self, word: str) -> tuple | None:
+        """(precision, word) by the best feature, or None."""
+        p = max([self.whole.get(word, 0.0)] + [self.start.get(word[:k], 0.0) for k in BEGINNINGS if len(word) > k])
+        return (p, word) if p else None
+
+    def run(self, run: str) -> tuple | None:
+        best = [x for x in (self.word(run),) if x] + [(self.whole[w], w) for w in self.within(run)]
+        best += [(p, run[i : i + k]) for k in BEGINNINGS for i in range(1, len(run) - k) if (p := self.start.get(run[i : i + k], 0.0))]
+        return max(best, default=None)
+
+
 def learn_lexicon(sample: DataFrame, decoder: Decoder) -> tuple[dict[str, float], float]:
     """({feature: precision}, rate of label 1 where no feature occurs), from the labelled sample.
 
     Near copies count once. A feature must be precise, and either frequent among the documents of label 1 or needed to
     explain documents that better features leave unexplained; words that merely stand beside toxic ones are neither.
     """
-    once = sample.mapInArrow(least_shingle, "doc_id long, text string, label int, low long")
+    once = sample.mapInArrow(least_shingle, f"doc_id {type_of(sample, 'doc_id')}, text string, label int, low long")
     once = once.groupBy("low", "label").agg(F.min_by("text", F.struct("doc_id", "text")).alias("text")).select("text", "label")
+    spread = once.repartition(4 * sample.sparkSession.sparkContext.defaultParallelism)
+    once = materialise(spread.mapInArrow(read_rows(decoder), READ), "readings")
     n_pos = once.where("label > 0").count()
-    counted = once.mapInArrow(feature_counts(decoder), "feature string, pos long, neg long").groupBy("feature").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    counted = once.mapInArrow(feature_counts, "feature string, pos long, neg long").groupBy("feature").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     good = counted.where((F.col("pos") >= LEAST_DOCUMENTS) & (F.col("pos") / (F.col("pos") + F.col("neg") + 1) >= PRECISION)).orderBy("feature").toPandas()
     names = good["feature"].tolist()
     precision = (good["pos"] / (good["pos"] + good["neg"] + 1)).to_numpy()
-    lists = once.mapInArrow(feature_lists(decoder, {f: i for i, f in enumerate(names)}), "label int, have array<long>").toPandas()
+    lists = once.mapInArrow(feature_lists({f: i for i, f in enumerate(names)}), "label int, have array<long>").toPandas()
     positive = [set(h) for label, h in zip(lists["label"], lists["have"]) if label > 0]
     by_feature: dict[int, set] = {}
     for d, have in enumerate(positive):
@@ -288,21 +387,13 @@ def learn_lexicon(sample: DataFrame, decoder: Decoder) -> tuple[dict[str, float]
     return {names[f]: float(p) for f, p in kept.items()}, (sum(without) + 0.5) / (len(without) + 10)
 
 
-def scorer(lexicon: dict, rest: float, decoder: Decoder):
-    whole = {f: p for f, p in lexicon.items() if not f.endswith("-")}
-    start = {f[:-1]: p for f, p in lexicon.items() if f.endswith("-")}
-
-    def value(word: str) -> tuple | None:
-        p = whole.get(word, 0.0)
-        for k in BEGINNINGS:
-            if len(word) > k:
-                p = max(p, start.get(word[:k], 0.0))
-        return (p, word) if p else None
+def scorer(features: dict, rest: float, decoder: Decoder):
+    lexicon = Lexicon(features)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in slices(batches):
             score, words = [rest] * rows.num_rows, [None] * rows.num_rows
-            for r, (p, w) in each_row(rows["text"], decoder, value):
+            for r, (p, w) in each_row(rows["text"], decoder, lexicon.word, lexicon.run, lexicon.word_may, lexicon.run_may):
                 if (p, w) > (score[r] if words[r] else 0.0, words[r] or ""):
                     score[r], words[r] = p, w
             yield pa.RecordBatch.from_arrays([rows["doc_id"], rows["held_out"], pa.array(score, pa.float64()), pa.array(words, pa.string())], names=["doc_id", "held_out", "score", "worst"])
@@ -317,12 +408,12 @@ def toxicity_scores(
 
     ``learn`` is a Column over doc_id: labels are learnt where it holds, from ``sample`` of them at most; held_out is
     its opposite. Character counts come from all documents. Null and empty texts have no words and get the rate of
-    documents without lexicon words; so does everything when there are no labels. Repeated rows get the same score; a
-    null id is kept. An empty table gives no rows; other columns are ignored.
+    documents without lexicon words; so does everything when there are no labels. Repeated rows get the same score; ids may
+    be of any type and null. An empty table gives no rows; other columns are ignored.
     """
-    source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     decoder = learn_characters(source)
     lexicon, rest = learn_lexicon(labelled_sample(docs, labels, label, learn, doc_id, text, sample), decoder)
     rows = source.select("doc_id", (~F.coalesce(learn, F.lit(False))).alias("held_out"), "text")
-    scored = rows.mapInArrow(scorer(lexicon, rest, decoder), "doc_id long, held_out boolean, score double, worst string")
+    scored = rows.mapInArrow(scorer(lexicon, rest, decoder), f"doc_id {type_of(source, 'doc_id')}, held_out boolean, score double, worst string")
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
