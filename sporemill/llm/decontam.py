@@ -10,7 +10,10 @@ single rarest word: a document that holds the window holds that word. The steps
    drops starts before the first word and the length bound ends after the last;
 4. compare the words of the span with the window, one by one, over spans of the window's own size.
 
-No document is compared with an item with which it shares no rare word, and no candidate pair is kept that fails.
+No document is compared with an item with which it shares no rare word, and no candidate pair is kept that fails. An index
+of a checked size is broadcast. A larger one is met by a shuffle: hashes of the rarest words, broadcast in blocks of a
+fixed size, leave only those places of a document that may begin a match; each travels with the words around it that a
+window can span, salted, since a rarest word may still be frequent. Texts are never shuffled.
 """
 
 from __future__ import annotations
@@ -24,6 +27,9 @@ from .common import ascii_lower, materialise
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: The index is broadcast up to so many windows; a larger one is joined by a shuffle.
 BROADCAST_WINDOWS = 200_000
+#: Hashes of rarest words that are broadcast at once, 16 bytes or so each.
+BLOCK_WORDS = 1_000_000
+SALTS = 16
 
 
 def words(text: Column) -> Column:
@@ -49,10 +55,13 @@ def windows(items: DataFrame, item_id: str = "item_id", text: str = "text", widt
     )
 
 
-def rarity(docs: DataFrame, vocabulary: DataFrame, text: str = "text") -> DataFrame:
+def rarity(docs: DataFrame, vocabulary: DataFrame, small: bool, text: str = "text") -> DataFrame:
     """In how many documents each word of ``vocabulary`` (column ``word``) occurs: (word, df). Absent words: 0."""
     seen = docs.select(F.explode(F.array_distinct(words(F.col(text)))).alias("word"))
-    counted = seen.join(vocabulary, "word", "left_semi").groupBy("word").agg(F.count("*").alias("df"))
+    if small:
+        vocabulary = F.broadcast(vocabulary)
+        seen = seen.join(vocabulary, "word", "left_semi")
+    counted = seen.groupBy("word").agg(F.count("*").alias("df"))  # a row a word and task, before any shuffle
     return vocabulary.join(counted, "word", "left").select("word", F.coalesce("df", F.lit(0)).alias("df"))
 
 
@@ -63,14 +72,36 @@ def prefix_index(wins: DataFrame, frequency: DataFrame) -> DataFrame:
     return wins.join(rarest, "window").select("r.word", "r.offset", "n", "window", "items")
 
 
-def find_windows(docs: DataFrame, index: DataFrame, small: bool, text: str = "text", key: tuple = ("doc_id",)) -> DataFrame:
+def near_prefixes(spread: DataFrame, index: DataFrame, key: tuple, width: int) -> DataFrame:
+    """The places of ``spread`` whose word is some window's rarest: key columns, _p, word, _n (words of the document), _c
+    (the words that a window there can span), _lo (where these start)."""
+    prefix = materialise(index.select(F.xxhash64("word").alias("_x")).distinct(), "prefix-words")
+    blocks = max(1, -(-prefix.count() // BLOCK_WORDS))
+    parts = []
+    for b in range(blocks):
+        some = F.broadcast(prefix.where(F.pmod("_x", F.lit(blocks)) == b))
+        at = spread.join(some, F.xxhash64("word") == F.col("_x"), "left_semi")
+        lo = F.greatest(F.col("_p") - (width - 1), F.lit(0))
+        parts.append(at.select(*key, "_p", "word", F.size("_w").alias("_n"), F.slice("_w", lo + 1, 2 * width - 1).alias("_c"), lo.alias("_lo")))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionAll(part)
+    return out
+
+
+def find_windows(docs: DataFrame, index: DataFrame, small: bool, text: str = "text", key: tuple = ("doc_id",), width: int = 13) -> DataFrame:
     """Every occurrence of a window: key columns, start (0-based word), n, items."""
     spread = docs.select(*key, words(F.col(text)).alias("_w")).select(*key, "_w", F.posexplode("_w").alias("_p", "word"))
-    start = F.col("_p") - F.col("offset")
-    hits = spread.join(F.broadcast(index) if small else index, "word")
+    start, n = F.col("_p") - F.col("offset"), F.col("n")
+    if small:
+        hits = spread.join(F.broadcast(index), "word").withColumns({"_n": F.size("_w"), "_c": F.col("_w"), "_lo": F.lit(0)})
+    else:
+        salt = F.pmod(F.xxhash64(*key, "_p"), F.lit(SALTS).cast("long"))
+        salted = index.select("*", F.explode(F.expr(f"sequence(0L, {SALTS - 1}L)")).alias("_k"))
+        hits = near_prefixes(spread, index, key, width).withColumn("_k", salt).join(salted, ["word", "_k"])
     return (
-        hits.where((start >= 0) & (start + F.col("n") <= F.size("_w")))
-        .where(F.slice("_w", start + 1, F.col("n")) == F.col("window"))
+        hits.where((start >= 0) & (start + n <= F.col("_n")))
+        .where(F.slice("_c", start - F.col("_lo") + 1, n) == F.col("window"))
         .select(*key, start.alias("start"), "n", "items")
     )
 
@@ -102,18 +133,17 @@ def decontaminate(
     n_hit counts the document's words inside any occurrence of a window; n_items the items with such windows;
     contaminated: n_hit > 0 and share * n_hit >= n_words. Null and empty texts have no words and are clean; null and
     empty items have no windows; an empty benchmark leaves every document clean. Null ids are kept: a null document id
-    as null, a null item id as no item (its windows still hit). Repeated rows each get the same result, other columns
-    of the inputs are ignored.
+    as null, a null item id as no item (its windows still hit). Ids may be of any type. Repeated rows each get the same
+    result, which depends on the text alone; other columns of the inputs are ignored.
     """
     d = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("_t"))
     wins = materialise(windows(items, item_id, item_text, width), "windows")
     vocabulary = wins.select(F.explode("window").alias("word")).distinct()
     small = wins.count() <= BROADCAST_WINDOWS
-    vocabulary = F.broadcast(vocabulary) if small else vocabulary
-    index = materialise(prefix_index(wins, rarity(d, vocabulary, "_t")), "prefix")
+    index = materialise(prefix_index(wins, rarity(d, vocabulary, small, "_t")), "prefix")
 
     key = d.select("doc_id", F.xxhash64("_t").alias("_h"), F.length("_t").alias("_l"), "_t")
-    hits = find_windows(key, index, small, "_t", ("doc_id", "_h", "_l"))
+    hits = find_windows(key, index, small, "_t", ("doc_id", "_h", "_l"), width)
     found = hits.groupBy("doc_id", "_h", "_l").agg(
         F.collect_set(F.struct("start", "n")).alias("_s"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("_i")
     )
