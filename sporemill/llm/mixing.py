@@ -1,9 +1,11 @@
 """Mixing sources to target weights by iterative proportional fitting (DataFrame functions only).
 
-Documents are summed to cells (source, language, topic) of tokens. Raking scales the cells until the shares of every
-source, language and topic are those of the targets. A cell's documents are then kept with a probability proportional
-to its scaled over its real tokens, such that the sample has a given share of all tokens where no probability would
-exceed 1. Documents are chosen by a hash of their id, so a re-run chooses the same.
+Documents are summed to cells (source, language, topic) of tokens. Raking scales the cells until the tokens expected of
+every source, language and topic have the targets' shares. No cell can give more than it has, so scaled cells are held to
+their real tokens while the others go on to make up for it. How much the sample keeps of all tokens is at most
+``keep_share`` and what the scarcest value can give; as the three marginals together may allow less, several levels are
+raked side by side, and the highest that meets the targets within ``TOLERANCE`` is taken, or the one that comes nearest.
+A document is kept with the probability of its cell, by a hash of its id, so a re-run chooses the same.
 """
 
 from __future__ import annotations
@@ -14,10 +16,15 @@ from pyspark.sql import functions as F
 from .common import materialise
 
 #: Rounds of raking over the three marginals.
-ROUNDS = 12
-#: Rounds after which the cells are written, to keep plans short.
-WRITE_EVERY = 4
+ROUNDS = 16
+#: Parts of the most that can be kept which are tried.
+LEVELS = (1.0, 0.85, 0.7, 0.5, 0.3, 0.1)
+#: Difference of a share from its target, at most.
+TOLERANCE = 0.002
+#: Rows of a marginal's totals that are broadcast; more are joined by a shuffle.
+BROADCAST_VALUES = 100_000
 DIMENSIONS = ("source", "lang", "topic")
+ADDED = ("mix_topic", "mix_tokens", "mix_p")
 NONE = "(none)"
 
 
@@ -26,10 +33,19 @@ def count_tokens(text: Column) -> Column:
     return F.size(F.array_remove(F.split(F.coalesce(text, F.lit("")), r"[\x09-\x0D\x20]+"), "")).cast("long")
 
 
-def hashed_topic(text: Column, topics: int = 6) -> Column:
-    """A stand-in topic for tables without one: the hash of the text's first word."""
-    word = F.regexp_extract(F.coalesce(text, F.lit("")), r"([^\x09-\x0D\x20]+)", 1)
-    return F.concat(F.lit("t"), (F.conv(F.substring(F.md5(word), 1, 4), 16, 10).cast("long") % topics).cast("string"))
+def genre(text: Column, tokens: Column) -> Column:
+    """A stand-in topic for tables without one, from a text's form: figures (a tenth of the characters are digits), list
+    (three lines or more of fewer than 12 tokens on average), or by length note, article and long."""
+    t = F.coalesce(text, F.lit(""))
+    without = lambda chars: F.length(F.translate(t, chars, ""))
+    lines = F.length(t) - without("\n") + 1
+    return (
+        F.when((F.length(t) - without("0123456789")) * 10 >= F.length(t), "figures")
+        .when((lines >= 3) & (tokens < lines * 12), "list")
+        .when(tokens < 60, "note")
+        .when(tokens < 400, "article")
+        .otherwise("long")
+    )
 
 
 def root_targets(cells: DataFrame) -> DataFrame:
@@ -39,90 +55,123 @@ def root_targets(cells: DataFrame) -> DataFrame:
     return union.select("dimension", "value", (F.col("w") / F.sum("w").over(Window.partitionBy("dimension"))).alias("share"))
 
 
-def rake(cells: DataFrame, targets: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """Adds ``weight``: the cells' tokens scaled to the targets' shares of all tokens.
+def goals(cells: DataFrame, targets: DataFrame, keep_share: float) -> DataFrame:
+    """Cells for every level, with goal_<dimension> (tokens that its value is to give), keep (share kept of all tokens) and
+    weight (tokens given so far).
 
-    A value without a target keeps share 0 and so weight 0; targets of values that do not occur are ignored and the rest
-    scaled up to 1. The last marginal raked is met exactly, the others as far as ``rounds`` rounds bring them.
+    A value without a target has goal 0; targets of values that do not occur are ignored and the rest scaled up to 1.
     """
-    for d in DIMENSIONS:
-        own = targets.where(F.col("dimension") == d).select(F.col("value").alias(d), F.col("share").alias(f"to_{d}"))
-        cells = cells.join(own, d, "left").withColumn(f"to_{d}", F.coalesce(f"to_{d}", F.lit(0.0)))
-    present = [cells.groupBy(d).agg(F.first(f"to_{d}").alias("s")).agg(F.sum("s").alias(f"all_{d}")) for d in DIMENSIONS]
     grand = cells.agg(F.sum("tokens").alias("grand"))
-    for one in (*present, grand):  # one row each
-        cells = cells.join(F.broadcast(one))
-    cells = materialise(cells.withColumn("weight", F.col("tokens").cast("double")), "cells")
-    for i in range(rounds):
+    most = F.lit(keep_share)
+    for d in DIMENSIONS:
+        own = targets.where(F.col("dimension") == d).groupBy(F.col("value").alias(d)).agg(F.sum("share").alias("share"))
+        values = cells.groupBy(d).agg(F.sum("tokens").alias("has")).join(own, d, "left").withColumn("share", F.coalesce("share", F.lit(0.0)))
+        total = values.agg(F.sum("share").alias("total"))
+        values = values.join(F.broadcast(total)).withColumn(f"to_{d}", F.when(F.col("total") > 0, F.col("share") / F.col("total")).otherwise(0.0))
+        scarce = values.where(F.col(f"to_{d}") > 0).agg(F.min(F.col("has") / F.col(f"to_{d}")).alias(f"most_{d}"))
+        cells = cells.join(values.select(d, f"to_{d}"), d).join(F.broadcast(scarce))
+        most = F.least(most, F.coalesce(F.col(f"most_{d}") / F.col("grand"), F.lit(0.0)))
+    cells = cells.join(F.broadcast(grand))  # one row, as the other tables without a key
+    cells = cells.withColumn("level", F.explode(F.array(*[F.lit(x) for x in LEVELS]))).withColumn("keep", most * F.col("level"))
+    for d in DIMENSIONS:
+        cells = cells.withColumn(f"goal_{d}", F.col(f"to_{d}") * F.col("keep") * F.col("grand"))
+    return cells.select(*DIMENSIONS, "tokens", "level", "keep", *[f"goal_{d}" for d in DIMENSIONS], (F.col("tokens") * F.col("keep")).alias("weight"))
+
+
+def rake(cells: DataFrame, targets: DataFrame, keep_share: float = 0.5, rounds: int = ROUNDS) -> DataFrame:
+    """(source, lang, topic, tokens, keep, weight): the tokens that each cell is to give, at the level that is taken.
+
+    Every round is a table in the shared folder. The totals of a marginal are summed before they are shuffled and joined
+    back, so a value with very many cells takes no task of its own.
+    """
+    cells = materialise(goals(cells, targets, keep_share), "cells")
+    most = cells.agg(F.greatest(*[F.count_distinct(d) for d in DIMENSIONS])).first()[0]
+    hint = F.broadcast if most * len(LEVELS) <= BROADCAST_VALUES else lambda df: df
+    for _ in range(rounds):
         for d in DIMENSIONS:
-            now = F.sum("weight").over(Window.partitionBy(d))
-            goal = F.col(f"to_{d}") / F.col(f"all_{d}") * F.col("grand")
-            cells = cells.withColumn("weight", F.when(now > 0, F.col("weight") * goal / now).otherwise(F.lit(0.0)))
-        if (i + 1) % WRITE_EVERY == 0:
-            cells = materialise(cells, "cells")
-    return cells
+            now = cells.groupBy("level", d).agg(F.sum("weight").alias("now"))
+            scaled = F.col("weight") * (F.col(f"goal_{d}") / F.col("now"))
+            cells = cells.join(hint(now), ["level", d]).withColumn("weight", F.when(F.col("now") > 0, F.least(F.col("tokens").cast("double"), scaled)).otherwise(0.0)).drop("now")
+        cells = materialise(cells.select(*DIMENSIONS, "tokens", "level", "keep", *[f"goal_{d}" for d in DIMENSIONS], "weight"), "cells")
+    errors = None
+    for d in DIMENSIONS:
+        own = cells.groupBy("level", d).agg((F.abs(F.sum("weight") - F.first(f"goal_{d}"))).alias("off"), F.first(f"goal_{d}").alias("goal")).groupBy("level").agg(F.max("off").alias("off"), F.sum("goal").alias("goal"))
+        errors = own if errors is None else errors.unionAll(own)
+    worst = errors.groupBy("level").agg(F.round(F.max(F.col("off") / F.col("goal")), 6).alias("error"))
+    taken = worst.orderBy(F.greatest("error", F.lit(TOLERANCE)), F.desc("level")).limit(1).select("level")
+    return cells.join(F.broadcast(taken), "level").select(*DIMENSIONS, "tokens", "keep", "weight")
 
 
 def mix(
     docs: DataFrame, topic: Column | None = None, targets=root_targets, keep_share: float = 0.5, seed: str = "mix", rounds: int = ROUNDS, doc_id: str = "doc_id", text: str = "text", source: str = "source", lang: str = "lang"
 ) -> DataFrame:
-    """``docs`` sampled to target weights, with columns mix_topic, mix_tokens, mix_weight and mix_p added.
-
-    ``targets`` is a function from the cells to (dimension, value, share). mix_weight is the cell's scaled over its real
-    tokens, mix_p = min(1, keep_share * mix_weight) the probability by which a row was kept. Null sources, languages and
-    topics are a value of their own, "(none)". Documents without tokens carry no weight and are kept with probability
-    ``keep_share``. A null id hashes as an empty one; rows repeated under one id are kept or dropped together. An empty
-    table gives an empty one.
+    """``docs`` sampled to target weights, with columns mix_topic, mix_tokens and mix_p added.
+
+    ``targets`` is a function from the cells to (dimension, value, share); ``topic`` a Column of docs, ``genre`` by default.
+    mix_p is the probability by which the row was kept: what its cell gives over what it has, so the tokens expected of the
+    sample have the targets' shares. Null sources, languages and topics are a value of their own, "(none)". Documents
+    without tokens carry no weight and are kept with the probability of the whole (``keep_share`` if nothing has tokens). A
+    null id hashes as an empty one; rows repeated under one id and cell are kept or dropped together. An empty table gives
+    an empty one. Columns of docs that have the name of an added one are replaced by it, all others are kept.
     """
+    docs = docs.drop(*[c for c in docs.columns if c.lower() in ADDED])
     name = lambda c: F.coalesce(c.cast("string"), F.lit(NONE))
-    topic = hashed_topic(F.col(text)) if topic is None else topic
-    rows = docs.select("*", name(F.col(source)).alias("_s"), name(F.col(lang)).alias("_l"), name(topic).alias("mix_topic"), count_tokens(F.col(text)).alias("mix_tokens"))
-    cells = rows.groupBy(F.col("_s").alias("source"), F.col("_l").alias("lang"), F.col("mix_topic").alias("topic")).agg(F.sum("mix_tokens").alias("tokens"))
+    tokens = count_tokens(F.col(text))
+    topic = genre(F.col(text), tokens) if topic is None else topic
+    # the row is one column here, so that no name of its own can clash
+    rows = docs.select(F.struct("*").alias("row"), F.col(doc_id).cast("string").alias("id"), name(F.col(source)).alias("source"), name(F.col(lang)).alias("lang"), name(topic).alias("mix_topic"), tokens.alias("mix_tokens"))
+    cells = rows.groupBy("source", "lang", F.col("mix_topic").alias("topic")).agg(F.sum("mix_tokens").alias("tokens"))
     cells = materialise(cells.where("tokens > 0"), "cells")
-    raked = rake(cells, materialise(targets(cells), "targets"), rounds).select(
-        F.col("source").alias("_s2"), F.col("lang").alias("_l2"), F.col("topic").alias("_t2"), (F.col("weight") / F.col("tokens")).alias("_w")
-    )
+    raked = materialise(rake(cells, materialise(targets(cells), "targets"), keep_share, rounds), "raked")
+    given = raked.select("source", "lang", F.col("topic").alias("mix_topic"), (F.col("weight") / F.col("tokens")).alias("share"))
     # a hot cell holds many documents and the other side one row: salted, so that no task gets a whole cell
     salt = 16
-    raked = raked.select("*", F.explode(F.expr(f"sequence(0L, {salt - 1}L)")).alias("_k2"))
-    rows = rows.withColumn("_k", F.pmod(F.xxhash64(doc_id), F.lit(salt).cast("long")))
-    on = (F.col("_s") == F.col("_s2")) & (F.col("_l") == F.col("_l2")) & (F.col("mix_topic") == F.col("_t2")) & (F.col("_k") == F.col("_k2"))
-    u = F.conv(F.substring(F.md5(F.concat(F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.lit(":" + seed))), 1, 8), 16, 10).cast("double") / 4294967296.0
-    p = F.when(F.col("mix_tokens") > 0, F.least(F.lit(1.0), F.lit(keep_share) * F.coalesce("_w", F.lit(0.0)))).otherwise(F.lit(keep_share))
-    kept = rows.join(raked, on, "left").withColumn("mix_weight", F.when(F.col("mix_tokens") > 0, F.coalesce("_w", F.lit(0.0))).otherwise(1.0)).withColumn("mix_p", p).where(u < F.col("mix_p"))
-    return kept.select(*docs.columns, "mix_topic", "mix_tokens", "mix_weight", "mix_p")
+    given = given.select("*", F.explode(F.expr(f"sequence(0L, {salt - 1}L)")).alias("salt"))
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salt).cast("long")))
+    u = F.conv(F.substring(F.md5(F.concat(F.coalesce("id", F.lit("")), F.lit(":" + seed))), 1, 8), 16, 10).cast("double") / 4294967296.0
+    whole = raked.agg(F.coalesce(F.first("keep"), F.lit(keep_share)).alias("keep"))
+    joined = rows.join(given, ["source", "lang", "mix_topic", "salt"], "left").join(F.broadcast(whole))
+    p = F.when(F.col("mix_tokens") > 0, F.coalesce("share", F.lit(0.0))).otherwise(F.col("keep"))
+    return joined.withColumn("mix_p", p).where(u < F.col("mix_p")).select("row.*", *ADDED)
 
 
-def oracle_sql(rounds: int = ROUNDS, keep_share: float = 0.5, topics: int = 6, seed: str = "mix") -> str:
+def oracle_sql(rounds: int = ROUNDS, keep_share: float = 0.5, seed: str = "mix") -> str:
     """The query's rows in SQL, raking unrolled."""
     steps, at = [], "c0"
-    for i in range(rounds):
+    for _ in range(rounds):
         for d in DIMENSIONS:
             new = f"c{len(steps) + 1}"
-            steps.append(f"{new} AS (SELECT * REPLACE (weight * (to_{d} / sum_{d} * grand) / sum(weight) OVER (PARTITION BY {d}) AS weight) FROM {at})")
+            steps.append(f"{new} AS (SELECT * REPLACE (least(tokens, weight * (to_{d} * keep * grand / sum(weight) OVER (PARTITION BY level, {d}))) AS weight) FROM {at})")
             at = new
     token = r"'[^\x09-\x0D\x20]+'"
+    shares = ", ".join(f"t_{d} AS (SELECT {d}, sqrt(sum(tokens)) / sum(sqrt(sum(tokens))) OVER () AS to_{d}, sum(tokens) AS has FROM cell GROUP BY {d})" for d in DIMENSIONS)
+    most = ", ".join(f"(SELECT min(has / to_{d}) FROM t_{d}) / (SELECT sum(tokens) FROM cell)" for d in DIMENSIONS)
+    errors = " UNION ALL ".join(f"SELECT level, max(off) / sum(goal) AS error FROM (SELECT level, {d}, abs(sum(weight) - any_value(to_{d} * keep * grand)) AS off, any_value(to_{d} * keep * grand) AS goal FROM {at} GROUP BY level, {d}) GROUP BY level" for d in DIMENSIONS)
     return f"""
-WITH r AS (
-  SELECT doc_id, coalesce(source, '{NONE}') AS source, coalesce(lang, '{NONE}') AS lang,
-    't' || CAST(CAST('0x' || substr(md5(regexp_extract(coalesce(text, ''), {token})), 1, 4) AS BIGINT) % {topics} AS VARCHAR) AS topic,
-    CAST(len(regexp_extract_all(coalesce(text, ''), {token})) AS BIGINT) AS tokens
+WITH t AS (
+  SELECT doc_id, coalesce(source, '{NONE}') AS source, coalesce(lang, '{NONE}') AS lang, coalesce(text, '') AS t,
+    CAST(len(regexp_extract_all(coalesce(text, ''), {token})) AS BIGINT) AS tokens,
+    length(coalesce(text, '')) - length(translate(coalesce(text, ''), chr(10), '')) + 1 AS lines
   FROM documents),
+r AS (
+  SELECT doc_id, source, lang, tokens, CASE
+    WHEN (length(t) - length(translate(t, '0123456789', ''))) * 10 >= length(t) THEN 'figures'
+    WHEN lines >= 3 AND tokens < lines * 12 THEN 'list' WHEN tokens < 60 THEN 'note' WHEN tokens < 400 THEN 'article' ELSE 'long' END AS topic
+  FROM t),
 cell AS (SELECT source, lang, topic, sum(tokens) AS tokens FROM r GROUP BY ALL HAVING sum(tokens) > 0),
-ts AS (SELECT source, sqrt(sum(tokens)) / sum(sqrt(sum(tokens))) OVER () AS to_source FROM cell GROUP BY source),
-tl AS (SELECT lang, sqrt(sum(tokens)) / sum(sqrt(sum(tokens))) OVER () AS to_lang FROM cell GROUP BY lang),
-tt AS (SELECT topic, sqrt(sum(tokens)) / sum(sqrt(sum(tokens))) OVER () AS to_topic FROM cell GROUP BY topic),
+{shares},
+most AS (SELECT least({keep_share}, {most}) AS most, (SELECT sum(tokens) FROM cell) AS grand),
 c0 AS (
-  SELECT source, lang, topic, tokens, CAST(tokens AS DOUBLE) AS weight, to_source, to_lang, to_topic,
-    (SELECT sum(to_source) FROM ts) AS sum_source, (SELECT sum(to_lang) FROM tl) AS sum_lang, (SELECT sum(to_topic) FROM tt) AS sum_topic,
-    (SELECT sum(tokens) FROM cell) AS grand
-  FROM cell JOIN ts USING (source) JOIN tl USING (lang) JOIN tt USING (topic)),
+  SELECT source, lang, topic, CAST(tokens AS DOUBLE) AS tokens, to_source, to_lang, to_topic, level, grand, most * level AS keep, tokens * (most * level) AS weight
+  FROM most, cell JOIN t_source USING (source) JOIN t_lang USING (lang) JOIN t_topic USING (topic), (SELECT unnest([{", ".join(f"{x}::DOUBLE" for x in LEVELS)}]) AS level)),
 {", ".join(steps)},
+worst AS (SELECT level, round(max(error), 6) AS error FROM ({errors}) GROUP BY level),
+taken AS (SELECT level FROM worst ORDER BY greatest(error, {TOLERANCE}), level DESC LIMIT 1),
+z AS (SELECT source, lang, topic, weight / tokens AS share, keep FROM {at} WHERE level = (SELECT level FROM taken)),
 p AS (
   SELECT r.doc_id, r.source, r.lang, r.topic AS mix_topic, r.tokens AS mix_tokens,
-    CASE WHEN r.tokens > 0 THEN z.weight / z.tokens ELSE 1.0 END AS w,
-    CASE WHEN r.tokens > 0 THEN least(1.0, {keep_share} * z.weight / z.tokens) ELSE {keep_share} END AS p,
+    CASE WHEN r.tokens > 0 THEN share ELSE (SELECT coalesce(any_value(keep), {keep_share}) FROM z) END AS p,
     CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':{seed}'), 1, 8) AS BIGINT) / 4294967296.0 AS u
-  FROM r LEFT JOIN {at} z USING (source, lang, topic))
-SELECT doc_id, source, lang, mix_topic, mix_tokens, round(w, 6) AS mix_weight, round(p, 6) AS mix_p FROM p WHERE u < p
+  FROM r LEFT JOIN z USING (source, lang, topic))
+SELECT doc_id, source, lang, mix_topic, mix_tokens, round(p, 6) AS mix_p FROM p WHERE u < p
 """

@@ -35,7 +35,7 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
-    return mixed.select("doc_id", "source", "lang", "mix_topic", "mix_tokens", F.round("mix_weight", 6).alias("mix_weight"), F.round("mix_p", 6).alias("mix_p"))
+    return mixed.select("doc_id", F.coalesce("source", F.lit(mixing.NONE)).alias("source"), F.coalesce("lang", F.lit(mixing.NONE)).alias("lang"), "mix_topic", "mix_tokens", F.round("mix_p", 6).alias("mix_p"))
 
 
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
