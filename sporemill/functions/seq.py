@@ -98,10 +98,10 @@ def human_size(n: Column) -> Column:
     return out
 
 
-#: Latin-1 letters that become one ASCII letter, and those that become several.
-LATIN_FROM = "ÀÁÂÃÅÇÈÉÊËÌÍÎÏÑÒÓÔÕØÙÚÛÝàáâãåçèéêëìíîïñòóôõøùúûýÿÐð"
-LATIN_TO = "AAAAACEEEEIIIINOOOOOUUUYaaaaaceeeeiiiinooooouuuyyDd"
-LATIN_MANY = {"Ä": "Ae", "Ö": "Oe", "Ü": "Ue", "ä": "ae", "ö": "oe", "ü": "ue", "ß": "ss", "Æ": "Ae", "æ": "ae", "Þ": "Th", "þ": "th", "×": "x"}
+#: Latin-1 characters that become one ASCII character, and those that become several.
+LATIN_FROM = "¡¢£¤¥¦§¨©ª¬\u00ad®¯°²³´µ¶·¸¹º¿ÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖØÙÚÛÜÝÞßàáâãäåçèéêëìíîïðñòóôõö÷øùúûüýþÿ’×"
+LATIN_TO = "!cLoY|S`ca--R-o23'uP.,1o?AAAAAACEEEEIIeIDNOOOOOOUUUUYpbaaaaaaceeeeiiiidnooooo/ouuuuypy'x"
+LATIN_MANY = {"«": "<<", "±": "+-", "»": ">>", "¼": "1/4", "½": "1/2", "¾": "3/4", "Æ": "Ae", "æ": "ae"}
 
 
 def to_ascii(text: Column) -> Column:

@@ -44,7 +44,7 @@ def sintax(queries: DataFrame, ref: DataFrame, cutoff: float = 0.8, k: int = 8,
     return out.select("otu", F.coalesce("score", F.lit(0.0)).alias("score"), F.coalesce(F.transform("l", lambda x: x["name"]), F.array().cast("array<string>")).alias("ranks"))
 
 
-def aligned(queries: DataFrame, ref: DataFrame, identity: float = 0.7, k: int = 8) -> DataFrame:
+def aligned(queries: DataFrame, ref: DataFrame, identity: float = 0.7, k: int | None = None) -> DataFrame:
     """(otu, pident, ref, lca, ranks) from all reference hits tied at the best identity, either strand, by their LCA."""
     hits = simjoin.top_hits(queries.select(F.col("otu").alias("id"), "seq"), ref.select(F.col("ref").alias("id"), "seq"), identity, k).where("target is not null")
     full = hits.join(ref.select(F.col("ref").alias("target"), "ranks"), "target")

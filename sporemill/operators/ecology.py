@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.order import numbered
+
 
 def richness(counts: DataFrame) -> DataFrame:
     return counts.groupBy("sample").agg(F.count_distinct("otu").alias("observed"))
@@ -156,13 +158,19 @@ def pairwise_permanova(dist: DataFrame, groups: DataFrame, permutations: int = 9
     return out.withColumn("adjusted", adjusted).withColumn("sig", stars(adjusted))
 
 
+#: Tests of a block; blocks are what later minima are taken over.
+BLOCK = 50_000
+
+
 def benjamini_hochberg(tests: DataFrame, p: str = "p") -> DataFrame:
-    """Adds fdr."""
+    """Adds fdr: the least of p * tests / rank over this and all larger p, 1 at most. Ranks and minima are found by blocks."""
     m = tests.agg(F.count("*").alias("_m"))
-    order = Window.orderBy(F.col(p))  # a row a test
-    ranked = tests.join(F.broadcast(m)).withColumn("_r", F.row_number().over(order))
-    back = Window.orderBy(F.col("_r").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    return ranked.withColumn("fdr", F.least(F.lit(1.0), F.min(F.col(p) * F.col("_m") / F.col("_r")).over(back))).drop("_m", "_r")
+    r = numbered(tests, "_r", F.col(p)).join(F.broadcast(m)).withColumn("_v", F.col(p) * F.col("_m") / F.col("_r")).withColumn("_b", F.floor(F.col("_r") / BLOCK))
+    least = r.groupBy("_b").agg(F.min("_v").alias("_l"))
+    later = least.select("_b").alias("a").join(least.alias("b"), F.col("b._b") > F.col("a._b")).groupBy(F.col("a._b").alias("_b")).agg(F.min("b._l").alias("_l"))
+    back = Window.partitionBy("_b").orderBy(F.desc("_r")).rowsBetween(Window.unboundedPreceding, 0)
+    own = r.withColumn("_w", F.min("_v").over(back)).join(later, "_b", "left")
+    return own.withColumn("fdr", F.least(F.lit(1.0), F.col("_w"), F.coalesce("_l", F.lit(1.0)))).drop("_m", "_r", "_v", "_b", "_l", "_w")
 
 
 def indicators(counts: DataFrame, groups: DataFrame, permutations: int = 999, how: str = "indval") -> DataFrame:
@@ -227,3 +235,13 @@ def group_centres(scores: DataFrame, groups: DataFrame, axes: int = 2) -> DataFr
     """(grp, mean and standard deviation of each axis)."""
     j = scores.join(groups.where("grp is not null"), "sample")
     return j.groupBy("grp").agg(*[f(f"axis{i}").alias(f"{n}{i}") for i in range(1, axes + 1) for n, f in (("mean", F.avg), ("sd", F.stddev))])
+
+
+def results_table(tests: dict[str, DataFrame]) -> DataFrame:
+    """(test, df, f, r2, p, sig): the one-row results of named tests in one table, nulls where a test has no such value."""
+    columns = {"df": "int", "f": "double", "r2": "double", "p": "double"}
+    parts = [t.select(F.lit(name).alias("test"), *[(F.col(c) if c in t.columns else F.lit(None)).cast(k).alias(c) for c, k in columns.items()]) for name, t in tests.items()]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out.withColumn("sig", stars(F.col("p")))

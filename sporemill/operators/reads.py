@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import seq as s
+from ..functions.order import numbered
 
 
 def max_errors(reads: DataFrame, most: float = 1.0, length: int | None = None) -> DataFrame:
@@ -40,15 +41,8 @@ def dereplicate(reads: DataFrame) -> DataFrame:
 
 
 def relabel(seqs: DataFrame, prefix: str) -> DataFrame:
-    """Adds id = prefix + rank by size, then sequence. Ranks come from a range sort and per-partition offsets, not from
-    one task."""
-    order = seqs.repartitionByRange(F.desc("size"), F.asc("seq")).sortWithinPartitions(F.desc("size"), "seq")
-    placed = order.withColumn("_p", F.spark_partition_id())
-    placed = placed.withColumn("_i", F.row_number().over(Window.partitionBy("_p").orderBy(F.desc("size"), "seq")))
-    sizes = placed.groupBy("_p").agg(F.count("*").alias("_n"))
-    before = sizes.alias("a").join(sizes.alias("b"), F.col("b._p") < F.col("a._p"), "left").groupBy(F.col("a._p").alias("_p")).agg(F.coalesce(F.sum("b._n"), F.lit(0)).alias("_o"))
-    out = placed.join(F.broadcast(before), "_p")  # a row for each partition
-    return out.withColumn("id", F.concat(F.lit(prefix), (F.col("_i") + F.col("_o")).cast("string"))).drop("_p", "_i", "_o")
+    """Adds id = prefix + rank by size, then sequence."""
+    return numbered(seqs, "_r", F.desc("size"), F.asc("seq")).withColumn("id", F.concat(F.lit(prefix), F.col("_r").cast("string"))).drop("_r")
 
 
 def sample_counts(reads: DataFrame) -> DataFrame:

@@ -5,9 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import cluster, simjoin
+
 #: What marks a rank or a species name as no name.
 NO_RANK = ["unidentified", "Incertae", "uncultured", "Group", "incertae"]
 NO_SPECIES = [" sp", "_sp", "uncultured", "isolate", "mycorrhizae", "vouchered", "fungal", "basidiomycete", "ascomycete", "fungus", "symbiont"]
+NO_RDP_RANK = ["unidentified", "Incertae", "uncultured", "Group", "incertae", "Chloroplast", "unclassified", "Family", "leaf"]
+NO_RDP_SPECIES = [" sp", "_sp", "uncultured", "isolate", "mycorrhizae", "vouchered", "fungal", "basidiomycete", "ascomycete", "fungus", "symbiont", "unclassified", "unidentified", "bacterium", "phytoplasma", "genogroup"]
 NO_PR2 = ["_clade", "_Clade", "-lineage", "_cluster", "_Group", "_sp1-", "-Group", "MAST-", "-Clade", "BurkholderiaCaballeroniaParaburkholderia"]
 
 
@@ -62,11 +66,11 @@ def rdp(header: Column) -> Column:
     def rank(word: str, letter: str) -> Column:
         at = F.array_position(parts, word)
         value = F.substring_index(F.replace(F.get(parts, (at - 2).cast("int")), F.lit('"')), " ", 1)
-        return F.when((at > 1) & ~holds_any(value, NO_RANK) & ~value.rlike("[0-9]"), F.concat(F.lit(f"{letter}:"), value))
+        return F.when((at > 1) & ~holds_any(value, NO_RDP_RANK) & ~value.rlike("[0-9]"), F.concat(F.lit(f"{letter}:"), value))
 
     s = F.replace(F.replace(F.regexp_replace(F.regexp_extract(name, r"^\S+ (.*)$", 1), r"\(.*$", ""), F.lit(","), F.lit("_")), F.lit("."))
     words = F.filter(F.split(F.trim(s), " "), lambda w: ~w.isin("cf", "aff") & ~w.rlike("^[IVX]+$"))
-    species = F.when((F.size(words) >= 2) & ~holds_any(s, NO_SPECIES) & ~s.rlike("[0-9]"), F.concat(F.lit("s:"), F.array_join(words, " ")))
+    species = F.when((F.size(words) >= 2) & ~holds_any(s, NO_RDP_SPECIES) & ~s.rlike("[0-9]"), F.concat(F.lit("s:"), F.array_join(words, " ")))
     ranks = [rank(w, c) for w, c in zip(("domain", "phylum", "class", "order", "family", "genus"), "kpcofg")]
     return F.concat(F.substring_index(name, " ", 1), F.lit(";tax="), F.array_join(F.array_compact(F.array(*ranks, species)), ","))
 
@@ -120,3 +124,29 @@ def bold_records(dump: DataFrame, marker: str = "COI", need_accession: bool = Fa
 def best_by_bin(records: DataFrame) -> DataFrame:
     """(bin, ranks): the most ranks of each BIN, ties to the smallest id."""
     return records.groupBy("bin").agg(F.min_by("ranks", F.struct((-F.size("ranks")).alias("k"), "id")).alias("ranks"))
+
+
+def representatives(records: DataFrame, identity: float = 0.97, k: int | None = 12) -> DataFrame:
+    """(bin, id, seq): the centroids of each BIN's own clusters of records(bin, id, seq); equal sequences count as one
+    that is as abundant. The centroid stands for its cluster, and not a consensus of columns."""
+    uniques = records.groupBy("bin", "seq").agg(F.min("id").alias("id"), F.count("*").alias("size"))
+    bins = uniques.select("id", "bin")
+    hits = simjoin.similar(uniques.select("id", "seq"), uniques.select("id", "seq"), identity, k).where("query <> target")
+    same = hits.join(bins.withColumnsRenamed({"id": "query", "bin": "_b1"}), "query").join(bins.withColumnsRenamed({"id": "target", "bin": "_b2"}), "target")
+    same = same.where("_b1 = _b2").drop("_b1", "_b2")
+    found = cluster.cluster(uniques.select("id", "seq", "size"), identity, pairs=same).select(F.col("centroid").alias("id")).distinct()
+    return uniques.join(found, "id", "left_semi").select("bin", "id", "seq")
+
+
+def name_representatives(reps: DataFrame, taxonomy: DataFrame) -> DataFrame:
+    """(id, header, seq): representatives(bin, id, seq) under their BIN's taxonomy(bin, ranks), as id|bin;tax=k:..,p:..;
+    one of every id, the longest."""
+    named = reps.join(taxonomy, "bin")
+    one = named.groupBy("id").agg(F.max_by(F.struct("bin", "ranks", "seq"), F.struct(F.length("seq"), "seq", "bin")).alias("o"))
+    return one.select("id", F.concat("id", F.lit("|"), "o.bin", F.lit(";tax="), F.array_join("o.ranks", ",")).alias("header"), F.col("o.seq").alias("seq"))
+
+
+def barcode_reference(dump: DataFrame, marker: str = "COI", need_accession: bool = False, identity: float = 0.97) -> DataFrame:
+    """A barcode-of-life dump to reference records (id, header, seq)."""
+    records = bold_records(dump, marker, need_accession)
+    return name_representatives(representatives(records.select("bin", "id", "seq"), identity), best_by_bin(records))

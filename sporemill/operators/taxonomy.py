@@ -122,11 +122,16 @@ def summarise(counts: DataFrame, ranks: DataFrame, levels: tuple[str, ...] = RAN
     return s.select("rank", "taxon", "sample", "n", (F.col("n") / F.sum("n").over(Window.partitionBy("rank", "sample")) * 100).alias("percent"))
 
 
-def collapse(counts: DataFrame, ranks: DataFrame, depth: int) -> DataFrame:
+def collapse(counts: DataFrame, ranks: DataFrame, depth: int, compat: bool = False) -> DataFrame:
     """Sums OTUs that have the same taxonomy of at least ``depth`` ranks: (otu, sample, n), named cOTUs_<a>_<b>..
 
-    OTUs of less depth, and those alone with their taxonomy, pass as they are.
+    OTUs of less depth, and those alone with their taxonomy, pass as they are. ``compat`` keeps of the OTUs of less depth
+    only the first of each taxonomy.
     """
+    if compat:
+        shallow = ranks.where(F.size("ranks") < depth).groupBy(F.array_join("ranks", ",").alias("tax")).agg(F.min("otu").alias("first"))
+        later = ranks.where(F.size("ranks") < depth).join(shallow, F.array_join("ranks", ",") == F.col("tax")).where("otu <> first")
+        counts = counts.join(later.select("otu"), "otu", "left_anti")
     deep = ranks.where(F.size("ranks") >= depth).select("otu", F.array_join("ranks", ",").alias("tax"))
     names = deep.groupBy("tax").agg(F.count("*").alias("k"), F.array_join(F.array_sort(F.collect_list("otu")), "_").alias("all")).where("k > 1")
     names = deep.join(names, "tax").select("otu", F.concat(F.lit("cOTUs_"), "all").alias("name"))
@@ -150,6 +155,27 @@ def guild_stats(found: DataFrame, column: str) -> DataFrame:
     return found.groupBy(F.coalesce(F.col(column), F.lit(UNCLASSIFIED)).alias(column)).agg(F.count("*").alias("otus"))
 
 
+def guild_summary(found: DataFrame, *columns: str) -> DataFrame:
+    """(what, value, otus): how many OTUs have each value of the trait columns, Unclassified where a column is null, and
+    the distinct values of each column as what = "distinct <column>"."""
+    each = found.select("otu", F.explode(F.array(*[F.struct(F.lit(c).alias("what"), F.coalesce(F.col(c), F.lit(UNCLASSIFIED)).alias("value")) for c in columns])).alias("e"))
+    n = each.groupBy("e.what", "e.value").agg(F.count("*").alias("otus"))
+    distinct = n.where(F.col("value") != UNCLASSIFIED).groupBy(F.concat(F.lit("distinct "), "what").alias("what")).agg(F.lit("").alias("value"), F.count("*").alias("otus"))
+    return n.unionByName(distinct.select("what", "value", "otus"))
+
+
+def at_rank(ranks: DataFrame, rank: str) -> DataFrame:
+    """(otu, taxon) at a rank, the name cut at its first comma and blank; Unclassified where there is none."""
+    name = F.substring_index(F.substring_index(F.coalesce(rank_value(F.col("ranks"), rank), F.lit(UNCLASSIFIED)), ",", 1), " ", 1)
+    return ranks.select("otu", name.alias("taxon"))
+
+
+def split_by_taxon(counts: DataFrame, ranks: DataFrame, rank: str) -> DataFrame:
+    """(taxon, otu, sample, n): a count table for every taxon of a rank."""
+    c = counts.join(at_rank(ranks, rank), "otu", "left")
+    return c.select(F.coalesce("taxon", F.lit(UNCLASSIFIED)).alias("taxon"), "otu", "sample", "n")
+
+
 def scored_ranks(text: Column, cutoff: float = 0.8) -> Column:
     """"k:Fungi(1.0),p:..(0.93)" to the leading ranks whose scores reach the cutoff."""
     each = F.split(text, ",")

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import seq
 from ..functions.scratch import materialise
-from ..operators import classify, cluster, reads, simjoin, table, taxonomy
+from ..operators import classify, cluster, demux, ecology, reads, simjoin, table, taxonomy
+from ..sources import scans, sinks
 
 
 def unique_reads(good: DataFrame, max_errors: float) -> DataFrame:
@@ -27,15 +28,22 @@ def finished(otus: DataFrame, good: DataFrame, prefix: str, identity: float) ->
     return named.withColumnRenamed("id", "otu"), counts
 
 
-def cluster_reads(good: DataFrame, max_errors: float = 1.0, min_size: int = 2, identity: float = 0.97, reference: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """good(read_id, sample, seq, qual) to (otus, counts): filter, dereplicate, cluster, chimeras, strand, map."""
+def cluster_reads(good: DataFrame, max_errors: float = 1.0, min_size: int = 2, identity: float = 0.97, reference: DataFrame | None = None, pre_denoise: bool = False) -> tuple[DataFrame, DataFrame]:
+    """good(read_id, sample, seq, qual) to (otus, counts): filter, dereplicate, cluster, chimeras, strand, map.
+
+    ``pre_denoise`` first joins sequences within five edits of a more abundant one (at 90 %), and clusters those.
+    """
     uniques = unique_reads(good, max_errors).where(F.col("size") >= min_size)
+    if pre_denoise:
+        near = cluster.cluster(uniques, 0.9, most_edits=5)
+        sums = near.join(uniques.select("id", "size"), "id").groupBy("centroid").agg(F.sum("size").alias("size"))
+        uniques = materialise(uniques.drop("size").join(sums, F.col("id") == F.col("centroid")).select("id", "seq", "size"), "uniques")
     members = cluster.cluster(uniques, identity)
     sizes = members.join(uniques.select("id", "size"), "id").groupBy("centroid").agg(F.sum("size").alias("size"))
     otus = uniques.drop("size").join(sizes, F.col("id") == F.col("centroid")).select("id", "seq", "size")
     otus = materialise(cluster.without_chimeras(otus), "otus")
     if reference is not None:
-        otus = cluster.without_chimeras(otus, parents=reference)
+        otus = cluster.without_chimeras(otus, parents=reference, min_divergence=1.0)
     return finished(one_strand(otus), good, "OTU", identity)
 
 
@@ -72,3 +80,75 @@ def annotated(otus: DataFrame, counts: DataFrame, reference: DataFrame, cutoff:
     """(taxonomy, counts with taxonomy) of otus(otu, seq) against ref(ref, ranks, seq)."""
     tax = materialise(classify.hybrid(otus.select("otu", "seq"), reference, cutoff), "taxonomy")
     return tax, taxonomy.attach(counts, tax)
+
+
+def demultiplexed(marked: DataFrame, label: str = "sample") -> dict[str, DataFrame]:
+    """What a run of demultiplexing gives, from reads with reason: good reads, rejects, counters, reads per sample."""
+    marked = materialise(marked, "marked")
+    good = marked.where("reason is null").withColumn("sample", F.col(label)).drop("reason")
+    return {"good": good, "rejects": marked.where("reason is not null"), "counters": reads.reasons(marked), "samples": reads.sample_counts(good)}
+
+
+def single_reads(raw: DataFrame, forward: str, reverse: str, barcodes: list[tuple[str, str]], **options) -> dict[str, DataFrame]:
+    """Single reads with barcodes: raw(read_id, seq, qual) of a FASTQ or SAM scan; options are those of demux.single_end."""
+    return demultiplexed(demux.single_end(raw.where("seq is not null"), forward, reverse, barcodes, **options), "label")
+
+
+def merged_pairs(pairs: DataFrame, length: int | None, min_length: int, rescue: bool) -> DataFrame:
+    """Pairs without reason are merged and cut; those that have one keep it."""
+    good = demux.merge_pairs(pairs.where("reason is null").drop("reason"), min_length=min_length, rescue=rescue)
+    if length:
+        good = good.withColumn("seq", F.left("seq", F.lit(length))).withColumn("qual", F.left("qual", F.lit(length)))
+    return good.unionByName(pairs.where("reason is not null").drop("r1", "r2"), allowMissingColumns=True)
+
+
+def barcoded_pairs(pairs: DataFrame, sheet: DataFrame, forward_barcodes: list[tuple[str, str]], reverse_barcodes: list[tuple[str, str]], forward: str, reverse: str, mismatches: int = 0, primer_mismatches: int = 2, length: int | None = None, min_length: int = 50, rescue: bool = False) -> dict[str, DataFrame]:
+    """Pairs with a barcode in both mates: barcodes by the sheet(sample_id, for_label, rev_label), primers, merging."""
+    p = demux.dual_barcodes(pairs, sheet, forward_barcodes, reverse_barcodes, mismatches).withColumnRenamed("reason", "_why")
+    p = demux.strip_pair_primers(p, forward, reverse, primer_mismatches).withColumn("reason", F.coalesce("_why", "reason")).drop("_why")
+    return demultiplexed(merged_pairs(p, length, min_length, rescue), "sample_id")
+
+
+def folder_of_pairs(first: DataFrame, second: DataFrame, forward: str, reverse: str, mismatches: int = 2, need_primers: bool = True, length: int | None = None, min_length: int = 50, rescue: bool = False) -> dict[str, DataFrame]:
+    """A folder of samples that are apart already: FASTQ scans of all R1 and all R2 files, samples by file name."""
+    named = scans.folder_names(scans.pairs(first, second).withColumnRenamed("pair", "source")).drop("i5", "i7", "lane", "mate")
+    named = named.where("r1 is not null and r2 is not null")
+    if need_primers:
+        named = demux.reorient_pairs(named, forward, reverse, mismatches).drop("reason")
+    return demultiplexed(merged_pairs(demux.strip_pair_primers(named, forward, reverse, mismatches, need_primers), length, min_length, rescue))
+
+
+def indexed_pairs(pairs: DataFrame, barcodes: list[tuple[str, str]], forward: str, reverse: str, mismatches: int = 1, primer_mismatches: int = 2, length: int | None = None, min_length: int = 50, rescue: bool = False) -> dict[str, DataFrame]:
+    """Pairs whose barcode is a read of its own (column index)."""
+    p = demux.match_index(pairs, barcodes, mismatches).withColumn("label", F.col("barcode.label")).drop("barcode")
+    p = demux.strip_pair_primers(p, forward, reverse, primer_mismatches)
+    return demultiplexed(merged_pairs(p.withColumn("reason", F.when(F.col("label").isNull(), "no_barcode").otherwise(F.col("reason"))), length, min_length, rescue), "label")
+
+
+def consensus_reads(sam: DataFrame, barcodes: DataFrame, forward: str, reverse: str, mismatches: int = 2, min_length: int = 100, internal: tuple[str, str] | None = None) -> dict[str, DataFrame]:
+    """Circular consensus reads of a SAM scan: barcode numbers to names, orientation, length."""
+    named = scans.barcode_names(sam.where("reason is null").drop("reason").withColumn("read_id", F.col("zm")), barcodes)
+    r = demux.orient_reads(named, forward, reverse, mismatches, internal)
+    return demultiplexed(r.withColumn("reason", F.coalesce("reason", F.when(F.length("seq") < min_length, "too_short"))))
+
+
+def nanopore_reads(raw: DataFrame, forward: str, reverse: str, mapping: DataFrame | None = None, least: int = 200, min_average: float = 10.0, mismatches: int = 4) -> dict[str, DataFrame]:
+    """Long reads of run folders: names by folder, length and quality, orientation."""
+    named = reads.long_reads(scans.run_folders(raw.where("reason is null").drop("reason"), mapping), least, min_average)
+    return demultiplexed(demux.orient_reads(named, forward, reverse, mismatches))
+
+
+def community_tests(counts: DataFrame, groups: DataFrame, permutations: int = 999) -> DataFrame:
+    """(test, df, f, r2, p, sig): PERMANOVA and dispersion of groups(sample, grp) for every distance of a count table."""
+    tests = {}
+    for name, distance in (("bray-curtis", ecology.bray_curtis), ("jaccard", ecology.jaccard), ("aitchison", ecology.aitchison)):
+        d = materialise(distance(counts), "distances")
+        tests[f"permanova {name}"] = ecology.permanova(d, groups, permutations)
+        tests[f"dispersion {name}"] = ecology.dispersion(d, groups, permutations)
+    return ecology.results_table(tests)
+
+
+def submission(good: DataFrame, biosamples: DataFrame, platform: dict[str, str], path: str) -> DataFrame:
+    """Writes a FASTQ folder a sample, and returns the sheet that a repository asks for."""
+    sinks.write_fastq_by_sample(good, path)
+    return sinks.submission_sheet(good.select("sample").distinct(), biosamples, platform)

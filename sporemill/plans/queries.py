@@ -374,21 +374,6 @@ def groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.metadata(spark, sf_dir).where("treatment <> 'no_data'").select("sample", F.col("treatment").alias("grp"))
 
 
-@query()
-def permanova(spark, sf_dir):
-    return ecology.permanova(ecology.bray_curtis(v.counts(spark, sf_dir)), groups(spark, sf_dir), 199)
-
-
-@query()
-def dispersion(spark, sf_dir):
-    return ecology.dispersion(ecology.bray_curtis(v.counts(spark, sf_dir)), groups(spark, sf_dir), 199)
-
-
-@query()
-def indicator_species(spark, sf_dir):
-    return ecology.indicators(v.counts(spark, sf_dir), groups(spark, sf_dir), 99)
-
-
 UNIFRAC_SQL = """, edge AS (
   SELECT 'r' || r AS edge_id, 2.0 AS length, otu FROM (SELECT otu, ranks[1] AS r FROM ranks) UNION ALL
   SELECT 'o' || otu, 1.0, otu FROM ranks),
@@ -409,3 +394,5 @@ def unifrac(spark, sf_dir):
 
 
 ORACLE_SQL["unifrac"] = f"WITH {v.COUNTS}, {v.RANKS}" + UNIFRAC_SQL
+
+from . import read_queries, table_queries  # noqa: E402, F401  (they register themselves)

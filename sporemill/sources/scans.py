@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import seq
+from ..operators import taxonomy
 
 
 def fasta(spark: SparkSession, path: str) -> DataFrame:
@@ -145,10 +146,59 @@ def rdp(spark: SparkSession, path: str, cutoff: float = 0.8) -> DataFrame:
 
 
 def traits(spark: SparkSession, path: str) -> DataFrame:
-    """A JSON list of trait records; of records of one taxon the greatest counts, so a re-run takes the same."""
-    t = spark.read.option("multiLine", True).json(path)
-    rest = [c for c in t.columns if c != "taxon"]
-    return t.groupBy("taxon").agg(F.max(F.struct(*rest)).alias("r")).select("taxon", "r.*")
+    """A JSON list of trait records; of records of one taxon the last counts. A list is read in its order."""
+    t = spark.read.option("multiLine", True).json(path).withColumn("_at", F.monotonically_increasing_id())
+    rest = [c for c in t.columns if c not in ("taxon", "_at")]
+    return t.groupBy("taxon").agg(F.max_by(F.struct(*rest), "_at").alias("r")).select("taxon", "r.*")
+
+
+def classifier(spark: SparkSession, path: str, cutoff: float = 0.8) -> DataFrame:
+    """Classifier results "id<tab>k:Fungi(1.0),p:..(0.93)<tab>..": (otu, score, ranks), the leading ranks that reach the
+    cutoff and the score of the last of them, 0 without any."""
+    f = F.split("value", "\t")
+    r = spark.read.text(path).where("value <> ''").select(F.get(f, F.lit(0)).alias("otu"), F.coalesce(F.get(f, F.lit(1)), F.lit("")).alias("t"))
+    r = r.withColumn("ranks", taxonomy.scored_ranks(F.col("t"), cutoff))
+    return r.select("otu", F.coalesce(F.expr(r"try_cast(regexp_extract(get(split(t, ','), size(ranks) - 1), r'\(([0-9.]+)\)$', 1) as double)"), F.lit(0.0)).alias("score"), "ranks")
+
+
+def blast(spark: SparkSession, path: str) -> DataFrame:
+    """Hits of qseqid, sseqid, pident and stitle: (query, target, pident, title); the target is the fourth |-separated
+    field of sseqid, or all of it where there are fewer."""
+    f = F.split("value", "\t")
+    raw = spark.read.text(path).where("value <> ''").select(f.alias("f"))
+    s = F.get("f", F.lit(1))
+    return raw.select(F.get("f", F.lit(0)).alias("query"), F.coalesce(F.get(F.split(s, r"\|"), F.lit(3)), s).alias("target"), F.expr("try_cast(get(f, 2) as double)").alias("pident"), F.get("f", F.lit(3)).alias("title"))
+
+
+def user_taxonomy(spark: SparkSession, path: str) -> DataFrame:
+    """(otu, taxonomy) of two tab-separated columns."""
+    f = F.split("value", "\t", 2)
+    return spark.read.text(path).where("value like '%\t%'").select(F.get(f, F.lit(0)).alias("otu"), F.get(f, F.lit(1)).alias("taxonomy"))
+
+
+def sheet_by_position(spark: SparkSession, path: str) -> DataFrame:
+    """A sheet of older form, columns by position: sample, barcode, forward primer, reverse primer; comment lines go, and a
+    barcode that the primer contains is cut off, with what stands before it."""
+    f = F.split("value", "\t")
+    raw = spark.read.text(path).where("value <> '' and not startswith(value, '#')").select(f.alias("f"))
+    b, p = F.get("f", F.lit(1)), F.get("f", F.lit(2))
+    bare = F.when((b != "") & (F.instr(p, b) > 0), F.substring(p, F.instr(p, b) + F.length(b), F.length(p))).otherwise(p)
+    return raw.select(F.get("f", F.lit(0)).alias("sample_id"), b.alias("for_barcode"), bare.alias("for_primer"), F.get("f", F.lit(3)).alias("rev_primer"))
+
+
+def index_sheet(spark: SparkSession, path: str) -> DataFrame:
+    """A sheet whose barcode column holds both indexes as FORWARD-REVERSE: (sample_id, for_barcode, rev_barcode)."""
+    s = sample_sheet(spark, path)
+    both = F.split("for_barcode", "-")
+    return s.select("sample_id", F.get(both, F.lit(0)).alias("for_barcode"), F.get(both, F.lit(1)).alias("rev_barcode"))
+
+
+def names_by_sequence(records: DataFrame) -> DataFrame:
+    """(seq, id) of records(id, seq); raises with examples if a sequence has several ids."""
+    twice = records.groupBy("seq").agg(F.count_distinct("id").alias("n")).where("n > 1").limit(5).collect()
+    if twice:
+        raise ValueError(f"sequences with several names: {[r['seq'] for r in twice]}")
+    return records.select("seq", "id").distinct()
 
 
 def folder_names(df: DataFrame) -> DataFrame:

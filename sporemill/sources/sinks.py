@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import seq
+from ..functions.order import numbered
 from ..operators import table, taxonomy
 
 
@@ -63,11 +64,66 @@ def biom_rows(counts: DataFrame, ranks: DataFrame, metadata: DataFrame) -> DataF
     return rows.unionByName(cols).unionByName(data)
 
 
+def biom_lines(counts: DataFrame, ranks: DataFrame, metadata: DataFrame) -> DataFrame:
+    """The lines of one sparse BIOM 1.0 document: (section, place, value), to be written in that order.
+
+    Rows and columns are numbered by ranges, so only the writer of the single file that the format asks for sees all
+    lines, one at a time.
+    """
+    otus = numbered(counts.select("otu").distinct().join(ranks, "otu", "left"), "place", F.asc("otu"))
+    samples = numbered(counts.select("sample").distinct().join(metadata, "sample"), "place", F.asc("sample"))
+    cells = counts.join(otus.select("otu", F.col("place").alias("i")), "otu").join(samples.select("sample", F.col("place").alias("j")), "sample")
+    cells = numbered(cells.select("i", "j", "n"), "place", F.asc("i"), F.asc("j"))
+    about = [c for c in metadata.columns if c != "sample"]
+    comma = F.when(F.col("place") > 1, ",").otherwise("")
+    tax = F.struct(F.coalesce("ranks", F.array().cast("array<string>")).alias("taxonomy"))
+    row = F.concat(comma, F.to_json(F.struct(F.col("otu").alias("id"), tax.alias("metadata"))))
+    column = F.concat(comma, F.to_json(F.struct(F.col("sample").alias("id"), F.struct(*about).alias("metadata")) if about else F.struct(F.col("sample").alias("id"))))
+    cell = F.concat(comma, F.lit("["), F.col("i") - 1, F.lit(","), F.col("j") - 1, F.lit(","), "n", F.lit("]"))
+    shape = otus.agg(F.count("*").alias("r")).join(samples.agg(F.count("*").alias("c")))
+    head = F.concat(F.lit('{"format":"Biological Observation Matrix 1.0.0","type":"OTU table","matrix_type":"sparse","matrix_element_type":"int","shape":['), "r", F.lit(","), "c", F.lit('],"rows":['))
+    line = lambda df, section, value: df.select(F.lit(section).alias("section"), F.col("place").cast("long").alias("place"), value.alias("value"))
+    fixed = lambda section, value: shape.select(F.lit(section).alias("section"), F.lit(0).cast("long").alias("place"), value.alias("value"))
+    parts = [fixed(0, head), line(otus, 1, row), fixed(2, F.lit('],"columns":[')), line(samples, 3, column), fixed(4, F.lit('],"data":[')), line(cells, 5, cell), fixed(6, F.lit("]}"))]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def write_biom(counts: DataFrame, ranks: DataFrame, metadata: DataFrame, path: str) -> None:
+    """One JSON file; refused where samples lack metadata or have it twice."""
+    lacking = [r["sample"] for r in missing_metadata(counts, metadata).limit(5).collect()]
+    twice = [r["sample"] for r in metadata.groupBy("sample").count().where("count > 1").limit(5).collect()]
+    if lacking or twice:
+        raise ValueError(f"samples without metadata: {lacking}, with several rows of it: {twice}")
+    lines = biom_lines(counts, ranks, metadata).repartitionByRange(1, "section", "place").sortWithinPartitions("section", "place")
+    lines.select("value").write.mode("error").text(path)
+
+
+def write_rank_tables(summary: DataFrame, path: str) -> None:
+    """A folder of CSV for every rank of summary(rank, taxon, sample, n, percent), samples as columns."""
+    samples = [r["sample"] for r in summary.select("sample").distinct().orderBy(table.natural_key(F.col("sample"))).collect()]
+    wide = summary.groupBy("rank", "taxon").pivot("sample", samples).agg(F.sum("n")).na.fill(0)
+    wide.repartition("rank").sortWithinPartitions("rank", "taxon").write.mode("error").option("header", True).partitionBy("rank").csv(path)
+
+
+def write_by_taxon(counts: DataFrame, ranks: DataFrame, rank: str, path: str) -> None:
+    """A folder for every taxon of a rank, with its cells as CSV."""
+    taxonomy.split_by_taxon(counts, ranks, rank).write.mode("error").option("header", True).partitionBy("taxon").csv(path)
+
+
 def missing_metadata(counts: DataFrame, metadata: DataFrame) -> DataFrame:
     return counts.select("sample").distinct().join(metadata.select("sample"), "sample", "left_anti")
 
 
-def taxonomy_table(tax: DataFrame, qiime: bool = False) -> DataFrame:
+def taxonomy_table(tax: DataFrame, qiime: bool = False, evidence: dict[str, DataFrame] | None = None) -> DataFrame:
+    """(otu, taxonomy); with ``evidence``, named tables (otu, text), a column for each, empty where it says nothing."""
+    if evidence:
+        out = tax.select("otu", "taxonomy")
+        for name, df in evidence.items():
+            out = out.join(df.select("otu", F.col("text").alias(name)), "otu", "left").na.fill("", [name])
+        return out
     if not qiime:
         return tax.select("otu", "taxonomy")
     return tax.select("otu", taxonomy.qiime(taxonomy.parse_ranks(F.col("taxonomy"))).alias("taxonomy"))
