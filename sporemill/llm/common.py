@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scratch import discard, materialise, scratch_path, scratch_scope, write_table
 
-__all__ = ["ascii_lower", "components", "fresh", "hash_strings", "local_roots", "materialise", "mix64", "runs", "scratch_path", "scratch_scope", "tokens", "type_of", "write_table"]
+__all__ = ["ascii_lower", "components", "discard", "fresh", "hash_strings", "local_roots", "materialise", "mix64", "runs", "scratch_path", "scratch_scope", "tokens", "type_of", "write_table"]
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 

@@ -232,10 +232,9 @@ def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "e
 
     keyed = coded.select("cid", "dim", F.posexplode("bands").alias("band", "h"))
     crowd = keyed.groupBy("h", "dim", "band").agg(F.count("*").alias("m")).where("m > 1").select("h", "dim", "band", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
-    place = keyed.join(crowd, ["h", "dim", "band"]).withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
-    place = place.select("cid", "h", "dim", "band", "block", F.explode(F.expr("sequence(0, blocks - 1)")).alias("other"))
-    place = place.select("cid", "h", "dim", "band", "block", F.least("block", "other").alias("b1"), F.greatest("block", "other").alias("b2"))
-    light = place.join(coded.select("cid", "code", "factor", "step", "steps"), "cid")
+    light = keyed.join(crowd, ["h", "dim", "band"]).join(coded.select("cid", "code", "factor", "step", "steps"), "cid")
+    light = light.withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    light = light.withColumns({"b1": F.least("block", "other"), "b2": F.greatest("block", "other")}).drop("other", "blocks")
     light = light.repartition(*UNIT).sortWithinPartitions(*UNIT)
     left = light.mapInArrow(sieve(threshold), "h long, dim long, band int, b1 int, b2 int, block int, cid long")
     full = materialise(left, "undecided").join(coded.select("cid", "size", "unit", "bands"), "cid").repartition(*UNIT).sortWithinPartitions(*UNIT)

@@ -2,7 +2,7 @@
 
 Documents become *chunks*: coded token sequences of a bounded number of tokens. A chunk reduces its n-grams to distinct
 ones before anything is shuffled, so a frequent word or pair costs one row a chunk. The n-grams of all chunks meet in
-hash buckets, where their counts over the training documents are summed and written as tables partitioned by order.
+hash buckets, where their counts over the training documents are summed and written as a table partitioned by order.
 The counts return to the chunks, which evaluate the model recursively per token:
 
     P(w|h) = d(c(hw)) * c(hw) / (c(h) + G)   if c(hw) > 0
@@ -14,6 +14,9 @@ example in tiny corpora, absolute discounting by a half), c(h) the count of h as
 the mass left by the seen words of h over the lower-order mass of the words not seen. G is a small constant that keeps
 some mass for unseen words after histories whose counts are all large. At order 1 the mass left by discounting goes to
 the unknown word, one type.
+
+The model is a folder of tables: ``counts`` and ``backoff`` (the log of a(h) for every history), both partitioned by level,
+and ``about``. ``score`` evaluates new texts with it.
 """
 
 from __future__ import annotations
@@ -24,8 +27,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import hash_strings, materialise, mix64, scratch_path, tokens, write_table
+from .common import discard, hash_strings, mix64, scratch_path, tokens, write_table
 
 GT_MAX = 5
 ZSTD = "zstd"
@@ -33,10 +37,10 @@ G = 0.5
 #: Tokens of a chunk, about; a single longer text is a chunk of its own.
 CHUNK_TOKENS = 2_000_000
 END, BOS = np.uint64(0xE0D0E0D0E0D0E0D1), np.uint64(0xB05B05B05B05B051)
-CHUNK = "chunk long, doc_ids binary, nulls binary, train binary, lengths binary, vocabulary binary, codes binary, code_bytes long"
+CHUNK = "chunk long, doc_ids binary, train binary, lengths binary, vocabulary binary, codes binary, code_bytes long"
 BLOCK = "chunk long, bucket int, level int, n_train long, grams binary, counts binary"
 MODEL = "kind string, level int, bucket int, chunk long, grams binary, counts binary, owned binary, n_types long, n_tokens long, n1 long, n2 long, n3 long, n4 long, n5 long, n6 long"
-PART = "kind string, row long, doc_id long, held_out boolean, level int, history long, n long, n_known long, base double, score double, seen double, lower double"
+PART = "kind string, row long, doc_id {}, held_out boolean, level int, history long, n long, n_known long, base double, score double, seen double, lower double"
 
 
 def planes(x: np.ndarray) -> bytes:
@@ -60,6 +64,14 @@ def unsmall(b: bytes) -> np.ndarray:
     return np.frombuffer(b, f"<i{b[0]}", offset=1).astype(np.int64)
 
 
+def packed(rows: pa.RecordBatch) -> bytes:
+    """Rows of any type as bytes."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema) as out:
+        out.write_batch(rows)
+    return sink.getvalue().to_pybytes()
+
+
 def chunk_docs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc_id, train, text) to coded chunks."""
     from pyspark import TaskContext
@@ -74,13 +86,12 @@ def chunk_docs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows = batch.slice(a, b - a)
             codes, lengths, vocabulary = tokens(rows["text"])
             width = np.uint32 if len(vocabulary) >= 65536 else np.uint16
-            ids = rows["doc_id"]
+            ids = rows.select(["doc_id"])
             yield pa.RecordBatch.from_pylist(
                 [
                     {
                         "chunk": first + made,
-                        "doc_ids": pa.compute.fill_null(ids, 0).to_numpy(zero_copy_only=False).astype("<i8").tobytes(),
-                        "nulls": ids.is_null().to_numpy(zero_copy_only=False).astype(np.uint8).tobytes(),
+                        "doc_ids": packed(ids),
                         "train": rows["train"].to_numpy(zero_copy_only=False).astype(np.uint8).tobytes(),
                         "lengths": lengths.astype("<i8").tobytes(),
                         "vocabulary": hash_strings(vocabulary).astype("<u8").tobytes(),
@@ -93,7 +104,7 @@ def chunk_docs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             made += 1
 
 
-CHUNK_ARROW = pa.schema([("chunk", pa.int64())] + [(c, pa.binary()) for c in ("doc_ids", "nulls", "train", "lengths", "vocabulary", "codes")] + [("code_bytes", pa.int64())])
+CHUNK_ARROW = pa.schema([("chunk", pa.int64())] + [(c, pa.binary()) for c in ("doc_ids", "train", "lengths", "vocabulary", "codes")] + [("code_bytes", pa.int64())])
 
 
 class Grams:
@@ -120,9 +131,8 @@ class Grams:
         self.doc = np.repeat(np.arange(n_docs), lengths + 2)
         self.train = np.frombuffer(row["train"], np.uint8).astype(bool)[self.doc]
         self.real = seq != self.bos
-        self.doc_ids = np.frombuffer(row["doc_ids"], "<i8")
+        self.doc_ids = pa.ipc.open_stream(row["doc_ids"]).read_all()["doc_id"].combine_chunks()
         self.rows = (row["chunk"] << 20) + np.arange(n_docs)
-        self.nulls = np.frombuffer(row["nulls"], np.uint8).astype(bool)
         self.held = ~np.frombuffer(row["train"], np.uint8).astype(bool)
         self.lengths = lengths + 1
         self.at, self.keys = [seq], [np.concatenate([vocabulary, [BOS, END]]).astype(np.uint64)]
@@ -233,13 +243,15 @@ def unigram_scale(stats: dict, d: np.ndarray) -> tuple[float, float]:
     return (1 - unknown) / max(stats["n_tokens"] - left, 1e-300), unknown
 
 
-def evaluate(order: int, buckets: int, stats: list[dict], d: list[np.ndarray]):
+def evaluate(order: int, buckets: int, stats: list[dict], id_type: pa.DataType):
+    d = [discounts([0] + [s[f"n{i}"] for i in range(1, 7)]) for s in stats]
+    schema = pa.schema([pa.field(f.name, id_type) if f.name == "doc_id" else f for f in PART_ARROW])
     scale, unknown = unigram_scale(stats[0], d[0])
     total, types = stats[0]["n_tokens"], stats[0]["n_types"]
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
-            return PART_ARROW.empty_table()
+            return schema.empty_table()
         g = Grams(left.to_pylist()[0], order)
         count = [np.zeros(len(k), np.int64) for k in g.keys]
         owned = [np.zeros(len(k), bool) for k in g.keys]
@@ -265,7 +277,7 @@ def evaluate(order: int, buckets: int, stats: list[dict], d: list[np.ndarray]):
             size = len(g.keys[level - 1])
             seen, lower = np.bincount(h, p[level][mine], size), np.bincount(h, p[level - 1][g.suffix[level][mine]], size)
             some = np.unique(h)
-            parts.append(part("mass", len(some), level=level, history=g.keys[level - 1][some].view(np.int64), seen=seen[some], lower=lower[some]))
+            parts.append(part(schema, "mass", len(some), level=level, history=g.keys[level - 1][some].view(np.int64), seen=seen[some], lower=lower[some]))
 
         n_docs = len(g.doc_ids)
         where = np.flatnonzero(g.real)
@@ -287,12 +299,12 @@ def evaluate(order: int, buckets: int, stats: list[dict], d: list[np.ndarray]):
                 size = len(g.keys[level - 1])
                 pair, n = np.unique(doc[back] * np.int64(size) + h, return_counts=True)
                 own = pair // size
-                parts.append(part("need", len(pair), row=g.rows[own], level=level, history=g.keys[level - 1][pair % size].view(np.int64), n=n))
+                parts.append(part(schema, "need", len(pair), row=g.rows[own], level=level, history=g.keys[level - 1][pair % size].view(np.int64), n=n))
         at = g.at[0][where]
         c = count[0][at]
         base = np.log10((c + 0.1) / (total + 0.1 * (types + 1)))
         parts.append(
-            part("doc", n_docs, nulls=g.nulls, row=g.rows, doc_id=g.doc_ids, held_out=g.held, n=g.lengths, n_known=np.bincount(doc, c > 0, n_docs).astype(np.int64), base=np.bincount(doc, base, n_docs), score=np.bincount(doc, score, n_docs))
+            part(schema, "doc", n_docs, row=g.rows, doc_id=g.doc_ids, held_out=g.held, n=g.lengths, n_known=np.bincount(doc, c > 0, n_docs).astype(np.int64), base=np.bincount(doc, base, n_docs), score=np.bincount(doc, score, n_docs))
         )
         return pa.concat_tables(parts)
 
@@ -305,16 +317,75 @@ PART_ARROW = pa.schema(
 )
 
 
-def part(kind: str, rows: int, nulls: np.ndarray | None = None, **given) -> pa.Table:
+def part(schema: pa.Schema, kind: str, rows: int, **given) -> pa.Table:
     def column(f: pa.Field) -> pa.Array:
         if f.name == "kind":
             return pa.array([kind] * rows, f.type)
         x = given.get(f.name)
         if x is None:
             return pa.nulls(rows, f.type)
-        return pa.array(np.full(rows, x) if np.ndim(x) == 0 else x, f.type, mask=nulls if f.name == "doc_id" else None)
+        if isinstance(x, pa.Array):
+            return x.cast(f.type)
+        return pa.array(np.full(rows, x) if np.ndim(x) == 0 else x, f.type)
+
+    return pa.table([column(f) for f in schema], schema=schema)
+
+
+SUMS = [f"n{i}" for i in range(1, 7)] + ["n_types", "n_tokens"]
+COUNTS = ["level", "bucket", "grams", "counts", *SUMS]
+COUNTS_SCHEMA = "level int, bucket int, grams binary, counts binary, " + ", ".join(f"{c} long" for c in SUMS)
+
+
+def look_up(model: pa.Table, blocks_: pa.Table) -> pa.Table:
+    """Replies to the blocks of a (level, bucket) from its part of a model; nothing is owned, as nothing is learnt."""
+    known, total = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    for r in model.to_pylist():  # one row, or none
+        known, total = unplanes(r["grams"]), unsmall(r["counts"])
+    out = []
+    for r in blocks_.to_pylist():
+        keys = unplanes(r["grams"])
+        at = np.minimum(np.searchsorted(known, keys), max(len(known) - 1, 0))
+        n = np.where(known[at] == keys, total[at], 0) if len(known) else np.zeros(len(keys), np.int64)
+        out.append({"chunk": r["chunk"], "level": r["level"], "bucket": r["bucket"], "counts": small_ints(n), "owned": np.packbits(np.zeros(len(n), bool)).tobytes()})
+    return pa.Table.from_pylist(out, schema=REPLY_ARROW)
+
+
+REPLY_ARROW = pa.schema([(f.name, f.type) for f in MODEL_ARROW if f.name in ("level", "bucket", "chunk", "counts", "owned")])
+REPLY = "level int, bucket int, chunk long, counts binary, owned binary"
+
 
-    return pa.table([column(f) for f in PART_ARROW], schema=PART_ARROW)
+def chunked(docs: DataFrame, train, doc_id: str, text: str, path: str) -> DataFrame:
+    source = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(train, F.lit(False)).alias("train"), F.col(text).alias("text"))
+    write_table(source.mapInArrow(chunk_docs, CHUNK), path)
+    return docs.sparkSession.read.schema(CHUNK).parquet(path)
+
+
+def statistics(counts: DataFrame, order: int) -> list[dict]:
+    """The sums of each level: a row a level comes to the driver."""
+    got = {r["level"]: r.asDict() for r in counts.groupBy("level").agg(*[F.sum(c).alias(c) for c in SUMS]).collect()}
+    return [got.get(level, dict.fromkeys(SUMS, 0)) for level in range(order)]
+
+
+def evaluated(chunks: DataFrame, replies: DataFrame, order: int, buckets: int, stats: list[dict], id_type, path: str) -> DataFrame:
+    spark, schema = chunks.sparkSession, PART.format(id_type.simpleString())
+    parts = chunks.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(evaluate(order, buckets, stats, to_arrow_type(id_type)), schema)
+    write_table(parts, path, "kind")
+    return spark.read.schema(schema).parquet(path)
+
+
+def summed(parts: DataFrame, backoff: DataFrame, stats: list[dict]) -> DataFrame:
+    """Adds the back-off weights that each document needs to what its chunk could tell."""
+    back = parts.where("kind = 'need'").select("row", "level", "history", "n").join(backoff, ["level", "history"])
+    back = back.groupBy("row").agg(F.sum(F.col("n") * F.col("alpha")).alias("back"))
+    return parts.where("kind = 'doc'").join(back, "row", "left").select(
+        "doc_id",
+        "held_out",
+        F.col("n").alias("n_tokens"),
+        "n_known",
+        F.lit(int(stats[0]["n_tokens"])).cast("long").alias("train_tokens"),
+        F.col("base").alias("base_score"),
+        (F.col("score") + F.coalesce("back", F.lit(0.0))).alias("score"),
+    )
 
 
 def katz_scores(
@@ -324,40 +395,45 @@ def katz_scores(
 
     Returns per row: doc_id, held_out (not train), n_tokens, n_known, train_tokens, base_score, score. Tokens are
     whitespace words with A-Z lower-cased, then one end. Null text counts as empty: its one token is the end. A null
-    ``train`` counts as false. Rows are numbered, so repeated rows and repeated or null ids are each scored by
-    themselves. An empty table gives no rows; without training rows
-    every token is unknown. Other columns are ignored. The count tables are written below ``model_path`` (the shared
-    scratch folder by default), partitioned by kind and level.
+    ``train`` counts as false. Rows are numbered, so repeated rows and repeated or null ids, which may be of any type, are
+    each scored by themselves. An empty table gives no rows; without training rows every token is unknown. Other columns
+    are ignored. The model is written below ``model_path`` (the shared scratch folder by default) for ``score``.
     """
     spark = docs.sparkSession
-    source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(train, F.lit(False)).alias("train"), F.col(text).alias("text"))
-    chunks = materialise(source.mapInArrow(chunk_docs, CHUNK), "katz-chunks")
+    model_path = model_path or scratch_path(spark, "katz-model")
+    chunk_path, bucket_path, part_path = (scratch_path(spark, f"katz-{x}") for x in ("chunks", "buckets", "parts"))
+    chunks = chunked(docs, train, doc_id, text, chunk_path)
     # a bucket holds as many n-grams as a chunk or so
     buckets = buckets or max(64, chunks.count())
-    model_path = model_path or scratch_path(spark, "katz-model")
-    write_table(chunks.mapInArrow(blocks(order, buckets), BLOCK).groupBy("level", "bucket").applyInArrow(sum_bucket, MODEL), model_path, "kind", "level")
-    model = spark.read.schema(MODEL).parquet(model_path)
-    sums = [f"n{i}" for i in range(1, 7)] + ["n_types", "n_tokens"]
-    got = {r["level"]: r.asDict() for r in model.where("kind = 'counts'").groupBy("level").agg(*[F.sum(c).alias(c) for c in sums]).collect()}
-    stats = [got.get(level, dict.fromkeys(sums, 0)) for level in range(order)]
-    d = [discounts([0] + [s[f"n{i}"] for i in range(1, 7)]) for s in stats]
-
-    replies = model.where("kind = 'reply'").select("chunk", "level", "bucket", "counts", "owned")
-    parts = chunks.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(evaluate(order, buckets, stats, d), PART)
-    parts = materialise(parts, "katz-parts", "kind")
-    alpha = (
+    write_table(chunks.mapInArrow(blocks(order, buckets), BLOCK).groupBy("level", "bucket").applyInArrow(sum_bucket, MODEL), bucket_path, "kind", "level")
+    summed_up = spark.read.schema(MODEL).parquet(bucket_path)
+    counts = summed_up.where("kind = 'counts'").select(*COUNTS)
+    stats = statistics(counts, order)
+    replies = summed_up.where("kind = 'reply'").select("chunk", "level", "bucket", "counts", "owned")
+    parts = evaluated(chunks, replies, order, buckets, stats, docs.schema[doc_id].dataType, part_path)
+    discard(spark, chunk_path)
+    backoff = (
         parts.where("kind = 'mass'").groupBy("level", "history").agg(F.sum("seen").alias("seen"), F.sum("lower").alias("lower"))
         .select("level", "history", F.log10((1 - F.col("seen")) / (1 - F.col("lower"))).alias("alpha"))
     )
-    back = parts.where("kind = 'need'").select("row", "level", "history", "n").join(alpha, ["level", "history"])
-    back = back.groupBy("row").agg(F.sum(F.col("n") * F.col("alpha")).alias("back"))
-    doc = parts.where("kind = 'doc'").join(back, "row", "left")
-    return doc.select(
-        "doc_id",
-        "held_out",
-        F.col("n").alias("n_tokens"),
-        "n_known",
-        F.lit(int(stats[0]["n_tokens"])).cast("long").alias("train_tokens"),
-        F.col("base").alias("base_score"),
-        (F.col("score") + F.coalesce("back", F.lit(0.0))).alias("score"),
-    )
+    write_table(backoff, f"{model_path}/backoff", "level")
+    write_table(counts, f"{model_path}/counts", "level")
+    write_table(spark.createDataFrame([(order, buckets)], "order int, buckets int"), f"{model_path}/about")
+    discard(spark, bucket_path)
+    return summed(parts, spark.read.schema(BACKOFF).parquet(f"{model_path}/backoff"), stats)
+
+
+BACKOFF = "level int, history long, alpha double"
+
+
+def score(docs: DataFrame, model_path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """What ``katz_scores`` returns for rows that the model of ``model_path`` has not learnt from; all are held out."""
+    spark = docs.sparkSession
+    order, buckets = spark.read.parquet(f"{model_path}/about").first()
+    counts = spark.read.schema(COUNTS_SCHEMA).parquet(f"{model_path}/counts")
+    stats = statistics(counts, order)
+    chunks = chunked(docs, F.lit(False), doc_id, text, scratch_path(spark, "katz-chunks"))
+    asked = chunks.mapInArrow(blocks(order, buckets), BLOCK)
+    replies = counts.groupBy("level", "bucket").cogroup(asked.groupBy("level", "bucket")).applyInArrow(look_up, REPLY)
+    parts = evaluated(chunks, replies, order, buckets, stats, docs.schema[doc_id].dataType, scratch_path(spark, "katz-parts"))
+    return summed(parts, spark.read.schema(BACKOFF).parquet(f"{model_path}/backoff"), stats)

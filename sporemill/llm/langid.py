@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import materialise, type_of
 from .quality import slices
 
 #: N-grams of a profile.
@@ -86,12 +87,13 @@ def learn_profiles(docs: DataFrame, top: int = TOP) -> dict[str, list[int]]:
     n = docs.where("lang is not null and text is not null").select("lang", "text")
     n = n.mapInArrow(language_counts, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    best = n.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).orderBy("lang", "rank")
+    best = materialise(n.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top), "profiles")
+    languages = best.select("lang").distinct().count()
+    if languages > MOST_LANGUAGES:  # before any profile comes to the driver
+        raise ValueError(f"{languages} languages are too many to hold at once")
     out: dict[str, list[int]] = {}
-    for r in best.collect():
+    for r in best.orderBy("lang", "rank").collect():
         out.setdefault(r["lang"], []).append(r["gram"])
-    if len(out) > MOST_LANGUAGES:
-        raise ValueError(f"{len(out)} languages are too many to hold at once")
     return out
 
 
@@ -143,11 +145,12 @@ def identify_languages(docs: DataFrame, learn: Column, doc_id: str = "doc_id", t
     Profiles come from text and non-null lang of the rows where ``learn``, a Column over doc_id, holds; held_out is its
     opposite (null counts as held out). Only the text decides a prediction. Null texts and texts without a letter are
     ``und`` with score 0, as is everything when nothing could be learnt. Equal distances go to the alphabetically first
-    language. Repeated rows get equal results; a null id is kept. An empty table gives no rows; other columns are
+    language. Repeated rows get equal results; ids may be of any type
+    and null. An empty table gives no rows; other columns are
     ignored.
     """
-    source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
+    source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     learned = F.coalesce(learn, F.lit(False))
     profiles = learn_profiles(source.where(learned), top)
     rows = source.select("doc_id", (~learned).alias("held_out"), "text")
-    return rows.mapInArrow(predictor(profiles, top), "doc_id long, held_out boolean, lang_pred string, score double")
+    return rows.mapInArrow(predictor(profiles, top), f"doc_id {type_of(source, 'doc_id')}, held_out boolean, lang_pred string, score double")

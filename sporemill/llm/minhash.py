@@ -7,8 +7,8 @@
    threshold.
 4. Those that stay meet in the bucket again with their full shingle sets, and their pairs are verified exactly.
 
-A bucket of more than ``BLOCK`` classes is cut into hashed blocks, and each pair of blocks is a unit of work of its own,
-so no bucket has to fit one task. Units count links (Jaccard >= threshold on the full sets) and report a few links that
+A large bucket is cut into hashed blocks, and each pair of blocks is a unit of work of its own, so no bucket has to fit
+one task. Units count links (Jaccard >= threshold on the full sets) and report a few links that
 span their components; pairs are not emitted.
 """
 
@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 
 from .common import components, hash_strings, local_roots, materialise, mix64, runs, tokens, type_of
 
-#: Members of a block; a unit of work holds two blocks at most.
-BLOCK = 256
+#: Members of a block; a unit of work holds two blocks at most. Full sets are much larger than sizes and band hashes, so
+#: their blocks are smaller.
+BLOCK, LIGHT_BLOCK = 256, 2048
 PERMUTATIONS = 96
 MERSENNE_MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -142,7 +143,7 @@ def sieve(threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for unit in runs(batches, *UNIT):
             if unit.num_rows > 1:
-                yield from unit.select([*UNIT, "block", "cid"]).filter(pa.array(candidates(unit, threshold))).to_batches()
+                yield from unit.select(["h", "band", "cid"]).filter(pa.array(candidates(unit, threshold))).to_batches()
 
     return run
 
@@ -200,6 +201,17 @@ def verifier(threshold: float):
     return run
 
 
+def in_units(members: DataFrame, block: int) -> DataFrame:
+    """Members of buckets (h, band, cid, ...) dealt to units: a row for every pair of blocks that a member's block is in.
+
+    Members that are alone in their bucket go."""
+    crowd = members.groupBy("h", "band").agg(F.count("*").alias("m")).where("m > 1").select("h", "band", F.ceil(F.col("m") / block).cast("int").alias("blocks"))
+    placed = members.join(crowd, ["h", "band"]).withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
+    dealt = placed.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    dealt = dealt.withColumns({"b1": F.least("block", "other"), "b2": F.greatest("block", "other")}).drop("other", "blocks")
+    return dealt.repartition(*UNIT).sortWithinPartitions(*UNIT)
+
+
 def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, threshold: float = 0.8, recall: float = 0.9999) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, class_id, class_size, n_links, group_id, kept.
 
@@ -222,17 +234,13 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     classes = classes.select(*same, "size", "bands", F.col("one.doc_id").alias("class_id"), F.col("one.text_hash").alias("text_hash"), F.monotonically_increasing_id().alias("cid"))
     classes = materialise(classes, "classes")
 
-    keyed = classes.select("cid", F.posexplode("bands").alias("band", "h"))
-    crowd = keyed.groupBy("h", "band").agg(F.count("*").alias("m")).where("m > 1").select("h", "band", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
-    place = keyed.join(crowd, ["h", "band"]).withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
-    place = place.select("cid", "h", "band", "block", F.explode(F.expr("sequence(0, blocks - 1)")).alias("other"))
-    place = place.select("cid", "h", "band", "block", F.least("block", "other").alias("b1"), F.greatest("block", "other").alias("b2"))
-    light = place.join(classes.select("cid", F.col("n_shingles").alias("n"), "bands"), "cid").repartition(*UNIT).sortWithinPartitions(*UNIT)
-    left = materialise(light.mapInArrow(sieve(threshold), "h long, band int, b1 int, b2 int, block int, cid long"), "candidates")
+    keyed = classes.select("cid", F.col("n_shingles").alias("n"), "bands", F.posexplode("bands").alias("band", "h"))
+    left = in_units(keyed, LIGHT_BLOCK).mapInArrow(sieve(threshold), "h long, band int, cid long")
+    left = materialise(left.distinct(), "candidates")
 
     wanted = classes.join(left.select("cid").distinct(), "cid", "left_semi").select("cid", F.col("class_id").alias("doc_id"), "text_hash")
     sets = source.join(wanted, ["doc_id", "text_hash"]).select("cid", "text").mapInArrow(set_maker(width), "cid long, shingles binary").dropDuplicates(["cid"])
-    full = left.join(sets, "cid").join(classes.select("cid", "size", "bands"), "cid").repartition(*UNIT).sortWithinPartitions(*UNIT)
+    full = in_units(left.join(sets, "cid").join(classes.select("cid", "size", "bands"), "cid"), BLOCK)
     found = materialise(full.mapInArrow(verifier(threshold), "cid long, links long, to long"), "links")
 
     links = found.groupBy("cid").agg(F.sum("links").alias("links"))

@@ -2,9 +2,11 @@
 
 A candidate is a token of at least ``LEAST`` characters that has a digit or unlikely letter transitions; and, whatever
 its digits and length, one of a known key format, one that a credential's name precedes or is assigned, and one in the
-body of a PEM private key. Its features are length, shares of character classes, known formats, transitions between classes, the mean log probability of its letter transitions under the words of the whole
-corpus, how much of it dictionary words cover (words that occur ``DICTIONARY`` times or more in the corpus), path and
-address marks, and its neighbouring words (their hashes). The forest is fitted on labelled findings, a bounded sample.
+body of a PEM private key. Its features are length, shares of character classes, transitions between classes, the mean log
+probability of its letter transitions under the words of the whole corpus, how much of it dictionary words cover (words
+that occur ``DICTIONARY`` times or more in the corpus), path and address marks, and its neighbouring words (their hashes).
+The forest is fitted on labelled findings, a bounded sample. The marks that the default labels go by (known formats, the
+names of credentials, assignment) are no features, so the forest learns what secrets look like and not the rule.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import fresh, materialise
 
 LEAST = 10
 MASK = "[SECRET]"
@@ -28,15 +30,17 @@ TREES, DEPTH = 30, 6
 NEIGHBOUR_BINS = 8
 SALTS = 16
 SPLIT = r"""[\x00-\x20"'`<>(),;\[\]{}]+"""
-ASSIGNED = r"^([A-Za-z][A-Za-z0-9_.-]{0,60}[=:]+)"
+ASSIGNED = r"^([A-Za-z][A-Za-z0-9_.-]*[=:]+)"
 EDGES = r"^[.,:!?&%#*$|-]+|[.,:!?&%#*$|-]+$"
 CREDENTIAL = r"(?i)(token|passphrase|passw|passwd|pwd|secret|api_?key|apikey|access_?key|auth|bearer|credential|private_?key)"
 #: Key formats that are secrets by themselves.
 KNOWN = r"^(AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[A-Za-z0-9]{36}|^sk-[A-Za-z0-9]{20,}"
 PASSWORD = r"(?i)(passphrase|passw|passwd|pwd|secret)[A-Za-z0-9_.-]*[=:]*$"
 SIGN = r"^(=|:|:=|=>|->)$"
-#: The lines of a private key after its header (and the fields "Name: value" of an encrypted one).
-PEM = r"-----BEGIN [A-Z ]*PRIVATE KEY-----\s*((?:[A-Za-z-]+:[^\n]*\n\s*){0,9}(?:[A-Za-z0-9+/=]{12,}\s+){0,400}[A-Za-z0-9+/=]*)"
+#: Where a text is cut so that the body of a private key is a piece of its own; the piece before it ends as PEM_HEAD says.
+PEM_CUT = r"(?<=PRIVATE KEY-----)(?=\s)|(?<=\s)(?=-----END )"
+PEM_HEAD = r"-----BEGIN [A-Z ]*PRIVATE KEY-----$"
+PEM_BODY = r"^[A-Za-z0-9+/=]{4,}$"
 PEM_KEY = "private_key:"
 #: Mean log probability of a letter after another where letters are drawn evenly; words of a language are likelier.
 EVEN = -math.log(27)
@@ -58,31 +62,44 @@ def fluency_of(value: Column, logp: list[float]) -> Column:
     return F.aggregate(F.split(F.lower(value), ""), start, step, lambda acc: F.when(acc["n"] > 0, acc["sum"] / acc["n"]))
 
 
+def in_private_key(whole: Column) -> Column:
+    """For each token of ``split(whole, SPLIT)``, whether it is in the body of a private key; empty for texts without one.
+
+    The text is cut before and after bodies; a cut makes one empty token at the side where the blank is."""
+    pieces = F.split(whole, PEM_CUT)
+
+    def flags(piece: Column, i: Column) -> Column:
+        blank = F.when((i > 0) & piece.rlike(r"^\s"), 1).otherwise(0) + F.when((i < F.size(pieces) - 1) & piece.rlike(r"\s$"), 1).otherwise(0)
+        return F.array_repeat(F.coalesce(F.get(pieces, i - 1).rlike(PEM_HEAD), F.lit(False)), F.size(F.split(piece, SPLIT)) - blank)
+
+    return F.when(whole.contains("PRIVATE KEY-----"), F.flatten(F.transform(pieces, flags))).otherwise(F.array().cast("array<boolean>"))
+
+
 def findings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", logp: list[float] | None = None) -> DataFrame:
-    """Candidates: (doc_id, row, pos, value, key, before, before2, after); row tells repeated ids apart.
+    """Candidates: (doc_id, row, pos, value, key, before, before2, after); row, a hash of the text, tells repeated ids apart.
 
-    ``logp`` are the log probabilities of ``letter_table``; without them no token is a candidate for its transitions.
+    ``logp`` are the log probabilities of ``letter_table``; without them no token is a candidate for its transitions. Null
+    and empty texts have no candidates, an empty table none; rows repeated under one id give their candidates each.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
-    body = F.when(whole.contains("PRIVATE KEY-----"), F.split(F.concat_ws(" ", F.regexp_extract_all(whole, F.lit(PEM), F.lit(1))), SPLIT)).otherwise(F.array().cast("array<string>"))
-    d = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text)).alias("row"), F.split(whole, SPLIT).alias("w"), body.alias("body"))
+    d = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text)).alias("row"), F.split(whole, SPLIT).alias("w"), in_private_key(whole).alias("pem"), whole.rlike(CREDENTIAL).alias("speaks"))
     # neighbours are shifted arrays, not looked up in the whole text, which would be copied to every token
     none = F.array(F.lit(""))
-    inside = F.when(F.size("body") > 0, F.transform("w", lambda t: F.array_contains("body", t))).otherwise(F.array().cast("array<boolean>"))
-    d = d.select("doc_id", "row", F.col("w").alias("t"), F.concat(none, "w").alias("before"), F.concat(none, none, "w").alias("before2"), F.slice(F.concat("w", none), 2, F.size("w")).alias("after"), inside.alias("pem"))
-    each = d.select("doc_id", "row", F.posexplode(F.arrays_zip("t", "before", "before2", "after", "pem")).alias("pos", "z")).where("z.t <> ''")
-    each = each.select("doc_id", "row", "pos", "z.t", "z.before", "z.before2", "z.after", F.coalesce("z.pem", F.lit(False)).alias("pem"))
+    d = d.select("doc_id", "row", "speaks", F.col("w").alias("t"), F.concat(none, "w").alias("before"), F.concat(none, none, "w").alias("before2"), F.slice(F.concat("w", none), 2, F.size("w")).alias("after"), "pem")
+    each = d.select("doc_id", "row", "speaks", F.posexplode(F.arrays_zip("t", "before", "before2", "after", "pem")).alias("pos", "z")).where("z.t <> ''")
+    each = each.select("doc_id", "row", "speaks", "pos", "z.t", "z.before", "z.before2", "z.after", (F.coalesce("z.pem", F.lit(False)) & F.col("z.t").rlike(PEM_BODY)).alias("pem"))
     bare = F.regexp_replace(F.regexp_replace("t", ASSIGNED, ""), EDGES, "")
     key = F.when(F.col("pem"), PEM_KEY).otherwise(F.regexp_extract("t", ASSIGNED, 1))
     # cheap conditions first: only what may be a candidate is cut
-    named = F.col("t").rlike(CREDENTIAL) | F.col("before").rlike(CREDENTIAL) | (F.col("before").rlike(SIGN) & F.col("before2").rlike(CREDENTIAL))
+    beside = F.col("before").rlike(CREDENTIAL) | (F.col("before").rlike(SIGN) & F.col("before2").rlike(CREDENTIAL))
+    named = F.col("speaks") & (F.col("t").rlike(CREDENTIAL) | beside)
     each = each.where(F.col("pem") | (F.length("t") >= LEAST) | named)
-    each = each.select("doc_id", "row", "pos", bare.alias("value"), key.alias("key"), "before", "before2", "after").where(F.col("value").rlike(r"[\p{L}\p{N}]") & (F.col("value") != MASK.strip("[]")))
+    each = each.select("doc_id", "row", "speaks", "pos", bare.alias("value"), key.alias("key"), "before", "before2", "after").where(F.col("value").rlike(r"[\p{L}\p{N}]") & (F.col("value") != MASK.strip("[]")))
     v = F.col("value")
-    follows = F.col("key").rlike(CREDENTIAL) | F.col("before").rlike(CREDENTIAL) | (F.col("before").rlike(SIGN) & F.col("before2").rlike(CREDENTIAL))
+    follows = (F.col("key") == PEM_KEY) | (F.col("speaks") & (F.col("key").rlike(CREDENTIAL) | beside))
     odd = F.lit(False) if logp is None else F.coalesce(fluency_of(v, logp) < EVEN, F.lit(False))
     long = F.length("value") >= LEAST
-    return each.where((long & v.rlike("[0-9]")) | v.rlike(KNOWN) | follows | (long & ~v.rlike("[0-9]") & odd))
+    return each.where((long & v.rlike("[0-9]")) | v.rlike(KNOWN) | follows | (long & ~v.rlike("[0-9]") & odd)).drop("speaks")
 
 
 def dictionary(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -118,7 +135,7 @@ def letter_table(words: DataFrame) -> list[float]:
 
 
 ID = ["doc_id", "row", "pos"]
-FEATURES = ["len", "digits", "uppers", "lowers", "others", "distinct", "changes", "fluency", "coverage", "slashes", "at_sign", "dots", "scheme", "has_key", "credential", "known"] + [
+FEATURES = ["len", "digits", "uppers", "lowers", "others", "distinct", "changes", "fluency", "coverage", "slashes", "at_sign", "dots", "scheme"] + [
     f"{side}{i}" for side in ("b", "a") for i in range(NEIGHBOUR_BINS)
 ]
 
@@ -138,7 +155,6 @@ def describe(found: DataFrame, words: DataFrame) -> DataFrame:
     share = lambda chars: F.length(F.regexp_replace("value", f"[^{chars}]", "")) / F.length("value")
     classes = F.regexp_replace(F.regexp_replace(F.regexp_replace("value", "[A-Z]+", "\u0001"), r"[^\x010-9]+", "\u0002"), "[0-9]+", "\u0003")
     flag = lambda c: c.cast("double")
-    named = F.concat_ws(" ", "key", "before", "before2")
     hashed = lambda side, c: [flag(F.pmod(F.xxhash64(F.lower(c)), F.lit(NEIGHBOUR_BINS)) == i).alias(f"{side}{i}") for i in range(NEIGHBOUR_BINS)]
     plain = found.select(
         *ID, "value", "key", "before", "before2", "after",
@@ -149,8 +165,6 @@ def describe(found: DataFrame, words: DataFrame) -> DataFrame:
         flag(v.contains("@")).alias("at_sign"),
         F.length(F.regexp_replace("value", "[^.]", "")).cast("double").alias("dots"),
         flag(v.contains("://")).alias("scheme"),
-        flag((F.length("key") > 0) | F.col("before").isin("=", ":", ":=")).alias("has_key"),
-        flag(named.rlike(CREDENTIAL)).alias("credential"), flag(v.rlike(KNOWN)).alias("known"),
         *hashed("b", F.concat_ws(" ", "before2", "before")), *hashed("a", F.col("after")),
     )
     out = plain
@@ -205,22 +219,24 @@ def scan(docs: DataFrame, labelled=rule_labels, doc_id: str = "doc_id", text: st
 
 
 def mask(docs: DataFrame, scanned: DataFrame, doc_id: str = "doc_id", text: str = "text", by: str = MASK) -> DataFrame:
-    """``docs`` with every value that ``scanned`` calls a secret replaced in its text; other rows as they are.
+    """``docs`` with every value that ``scanned`` calls a secret replaced in its text; other rows and columns as they are.
 
     Values of ``LEAST`` characters or more are replaced wherever they stand in the text, shorter ones, which may be part of
-    other words, in their own tokens only.
+    other words, in their own tokens only. Rows are met by id, null included, and by text, so repeated ids and rows do no
+    harm; null and empty texts have nothing to replace. No column of docs can clash with a name that is used here.
     """
     short = F.length("value") < LEAST
-    hits = scanned.where("secret").groupBy(F.col("doc_id").alias("_d"), F.col("row").alias("_r"))
-    hits = hits.agg(F.collect_set(F.when(~short, F.col("value"))).alias("_v"), F.collect_set(F.when(short, F.struct(F.col("pos").alias("pos"), F.col("value").alias("value")))).alias("_p"))
+    one, row, values, places = fresh(docs, "one", "hash", "values", "places")
+    hits = scanned.where("secret").groupBy(F.col("doc_id").alias(one), F.col("row").alias(row))
+    hits = hits.agg(F.collect_set(F.when(~short, F.col("value"))).alias(values), F.collect_set(F.when(short, F.struct(F.col("pos").alias("pos"), F.col("value").alias("value")))).alias(places))
     key = F.xxhash64(F.col(text))
-    at = F.map_from_entries("_p")
+    at = F.map_from_entries(places)
     rest = lambda t: F.regexp_replace(t, ASSIGNED, "")
     own = lambda t: F.substring(t, F.lit(1), F.length(t) - F.length(rest(t)))
     cut = F.transform(F.split(F.col(text), SPLIT), lambda t, i: F.when(F.element_at(at, i).isNotNull(), F.concat(own(t), F.replace(rest(t), F.element_at(at, i), F.lit(by)))).otherwise(t))
     between = F.regexp_extract_all(F.col(text), F.lit(SPLIT), F.lit(0))
-    tokens = F.when(F.size("_p") > 0, F.array_join(F.zip_with(cut, between, lambda t, x: F.concat(t, F.coalesce(x, F.lit("")))), "")).otherwise(F.col(text))
-    longest_first = F.array_sort("_v", lambda a, b: F.length(b) - F.length(a))
+    tokens = F.when(F.size(places) > 0, F.array_join(F.zip_with(cut, between, lambda t, x: F.concat(t, F.coalesce(x, F.lit("")))), "")).otherwise(F.col(text))
+    longest_first = F.array_sort(values, lambda a, b: F.length(b) - F.length(a))
     masked = F.aggregate(longest_first, tokens, lambda acc, x: F.replace(acc, x, F.lit(by)))
-    out = docs.join(hits, F.col(doc_id).eqNullSafe(F.col("_d")) & (key == F.col("_r")), "left")
-    return out.withColumn(text, F.when(F.col("_v").isNotNull(), masked).otherwise(F.col(text))).select(*docs.columns)
+    out = docs.join(hits, F.col(doc_id).eqNullSafe(F.col(one)) & (key == F.col(row)), "left")
+    return out.withColumn(text, F.when(F.col(values).isNotNull(), masked).otherwise(F.col(text))).select(*docs.columns)

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 #: A hot host's captures are spread over so many join keys.
 SALTS = 16
-#: Domain labels and path parts that are looked up; entries of greater depth are matched by the exact rest, see keys().
 HOST = r"(?i)^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
 PATH = r"(?i)^[a-z][a-z0-9+.-]*://[^/?#]+(/[^?#]*)"
 
@@ -34,13 +33,14 @@ def intervals(entries: DataFrame) -> DataFrame:
     return turns.where("change = 'add' and (until is null or until > at)").select("list", "kind", "pattern", F.col("at").alias("valid_from"), F.col("until").alias("valid_to"))
 
 
-def keys(url: Column) -> Column:
-    """What a capture can match: array of struct(kind, pattern)."""
+def keys(url: Column, deepest: Column) -> Column:
+    """What a capture can match: array of struct(kind, pattern). ``deepest`` is the number of parts of the longest prefix on
+    the list; longer ones are not built."""
     h, path = host(url), F.lower(F.regexp_extract(url, PATH, 1))
     labels, parts = F.split(h, r"\."), F.split(F.regexp_replace(path, "/+$", ""), "/")
     one = lambda kind, p: F.struct(F.lit(kind).alias("kind"), p.alias("pattern"))
     domains = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: one("domain", F.array_join(F.slice(labels, i, F.size(labels)), ".")))
-    prefixes = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: one("prefix", F.concat(h, F.array_join(F.slice(parts, 1, i), "/"))))
+    prefixes = F.transform(F.slice(F.sequence(F.lit(1), F.size(parts)), F.lit(1), deepest), lambda i: one("prefix", F.concat(h, F.array_join(F.slice(parts, 1, i), "/"))))
     return F.when(h != "", F.array_distinct(F.concat(F.array(one("host", h)), domains, prefixes))).otherwise(F.array().cast("array<struct<kind:string,pattern:string>>"))
 
 
@@ -51,10 +51,12 @@ def filter_urls(captures: DataFrame, entries: DataFrame, capture_id: str = "page
     pattern or time are ignored. Repeated captures each get a row; a null id is kept. An empty list blocks nothing, an
     empty table of captures gives no rows; other columns are ignored. Host and path are compared without regard to case.
     """
+    spans = intervals(entries)
+    deepest = spans.where("kind = 'prefix'").agg(F.coalesce(F.max(F.size(F.split("pattern", "/"))), F.lit(0)).alias("deepest"))  # one row
     rows = captures.select(F.col(capture_id).alias("_id"), F.coalesce(F.col(url), F.lit("")).alias("_u"), F.col(fetched).alias("_f"))
     salt = F.pmod(F.xxhash64("_id", "_u"), F.lit(SALTS).cast("long"))
-    look = rows.select("_id", "_u", "_f", salt.alias("salt"), F.explode(keys(F.col("_u"))).alias("k")).select("_id", "_u", "_f", "salt", "k.kind", "k.pattern").distinct()
-    active = intervals(entries).select("list", F.col("kind"), "pattern", "valid_from", "valid_to", F.explode(F.expr(f"sequence(0L, {SALTS - 1}L)")).alias("salt"))
+    look = rows.join(F.broadcast(deepest)).select("_id", "_u", "_f", salt.alias("salt"), F.explode(keys(F.col("_u"), F.col("deepest"))).alias("k")).select("_id", "_u", "_f", "salt", "k.kind", "k.pattern").distinct()
+    active = spans.select("list", F.col("kind"), "pattern", "valid_from", "valid_to", F.explode(F.expr(f"sequence(0L, {SALTS - 1}L)")).alias("salt"))
     at = (F.col("_f") >= F.col("valid_from")) & (F.col("valid_to").isNull() | (F.col("_f") < F.col("valid_to")))
     hits = look.join(active, ["kind", "pattern", "salt"]).where(at)
     hits = hits.groupBy(F.col("_id").alias("_i"), F.col("_u").alias("_v"), F.col("_f").alias("_g")).agg(F.count("*").alias("n"), F.array_sort(F.collect_set("list")).alias("l"))

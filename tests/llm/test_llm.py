@@ -138,6 +138,18 @@ def test_katz_against_brute_force(docs, texts, order):
         assert r.held_out == (zlib.crc32(str(i).encode()) % 10 == 0)
 
 
+def test_katz_model_scores_new_texts(spark, docs, tmp_path):
+    """A stored model gives every text the score it had when the model was made, and new texts a finite one."""
+    path = f"file://{tmp_path}/model"
+    named = docs.withColumn("doc_id", F.col("doc_id").cast("string"))
+    a = {r.doc_id: r.score for r in katz.katz_scores(named, queries.remainder(10) != 0, order=3, model_path=path).collect()}
+    got = katz.score(named.unionByName(named.limit(1).withColumns({"doc_id": F.lit("new"), "text": F.lit("of the unheardof and")})), path).collect()
+    assert {r.doc_id for r in got} == {*a, "new"} and all(r.held_out for r in got)
+    assert all(math.isclose(r.score, a[r.doc_id], rel_tol=1e-9) for r in got if r.doc_id != "new")
+    weights = spark.read.parquet(f"{path}/backoff")
+    assert {r.level for r in weights.select("level").distinct().collect()} == {1, 2} and weights.where("alpha is null or alpha > 5").count() == 0
+
+
 def test_katz_odd_rows(spark):
     df, rows = odd_documents(spark)
     got = katz.katz_scores(df, queries.remainder(10) != 0).collect()
@@ -280,6 +292,7 @@ def test_jaccard_join(spark, texts, monkeypatch):
     odd = [(2000, None), (2001, ""), (2002, "one"), (2003, "One"), (2004, "a b"), (2005, "z " * 30_000), (2005, "a b")]
     for block in (256, 8):
         monkeypatch.setattr(minhash, "BLOCK", block)
+        monkeypatch.setattr(minhash, "LIGHT_BLOCK", 2 * block)
         df = spark.createDataFrame(rows + odd + [(None, "a b")], "doc_id long, text string").withColumn("size", F.lit(0)).withColumn("bands", F.lit(0))
         got = minhash.jaccard_join(df).collect()
         assert sorted((r.doc_id, r.n_shingles, r.n_links, r.group_id) for r in got if r.doc_id is not None) == sorted(brute_jaccard(rows + odd))
@@ -656,7 +669,10 @@ def test_secrets(spark):
     df, rows = odd_documents(spark, [(40, f'x token = "{key}" y {key}'), (41, "mail bosbt.42@mail8.example.com now")])
     found = secrets.scan(df)
     assert [(r.doc_id, r.value) for r in found.where("secret").collect()] == [(40, key)] * 2
+    for name in ("_d", "_v", "one", "hash", "values", "places"):
+        df = df.withColumn(name, F.lit(7))
     masked = {str(r.doc_id): r.text for r in secrets.mask(df, found).collect()}
+    assert secrets.mask(df, found).columns == df.columns
     assert masked["40"] == 'x token = "[SECRET]" y [SECRET]' and masked["41"] == rows[-1][1] and secrets.mask(df, found).count() == len(rows)
     assert secrets.scan(empty(spark)).count() == 0
 
