@@ -201,12 +201,11 @@ def verifier(threshold: float):
     return run
 
 
-def in_units(members: DataFrame, block: int) -> DataFrame:
-    """Members of buckets (h, band, cid, ...) dealt to units: a row for every pair of blocks that a member's block is in.
-
-    Members that are alone in their bucket go."""
+def in_units(members: DataFrame, about: DataFrame, block: int) -> DataFrame:
+    """Members of buckets (h, band, cid) dealt to units, with what is known about each cid: a row for every pair of blocks
+    that a member's block is in. Members that are alone in their bucket go."""
     crowd = members.groupBy("h", "band").agg(F.count("*").alias("m")).where("m > 1").select("h", "band", F.ceil(F.col("m") / block).cast("int").alias("blocks"))
-    placed = members.join(crowd, ["h", "band"]).withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
+    placed = members.join(crowd, ["h", "band"]).join(about, "cid").withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
     dealt = placed.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
     dealt = dealt.withColumns({"b1": F.least("block", "other"), "b2": F.greatest("block", "other")}).drop("other", "blocks")
     return dealt.repartition(*UNIT).sortWithinPartitions(*UNIT)
@@ -234,13 +233,14 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     classes = classes.select(*same, "size", "bands", F.col("one.doc_id").alias("class_id"), F.col("one.text_hash").alias("text_hash"), F.monotonically_increasing_id().alias("cid"))
     classes = materialise(classes, "classes")
 
-    keyed = classes.select("cid", F.col("n_shingles").alias("n"), "bands", F.posexplode("bands").alias("band", "h"))
-    left = in_units(keyed, LIGHT_BLOCK).mapInArrow(sieve(threshold), "h long, band int, cid long")
+    keyed = classes.select("cid", F.posexplode("bands").alias("band", "h"))
+    light = in_units(keyed, classes.select("cid", F.col("n_shingles").alias("n"), "bands"), LIGHT_BLOCK)
+    left = light.mapInArrow(sieve(threshold), "h long, band int, cid long")
     left = materialise(left.distinct(), "candidates")
 
     wanted = classes.join(left.select("cid").distinct(), "cid", "left_semi").select("cid", F.col("class_id").alias("doc_id"), "text_hash")
     sets = source.join(wanted, ["doc_id", "text_hash"]).select("cid", "text").mapInArrow(set_maker(width), "cid long, shingles binary").dropDuplicates(["cid"])
-    full = in_units(left.join(sets, "cid").join(classes.select("cid", "size", "bands"), "cid"), BLOCK)
+    full = in_units(left, sets.join(classes.select("cid", "size", "bands"), "cid"), BLOCK)
     found = materialise(full.mapInArrow(verifier(threshold), "cid long, links long, to long"), "links")
 
     links = found.groupBy("cid").agg(F.sum("links").alias("links"))
