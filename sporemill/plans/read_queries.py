@@ -109,7 +109,7 @@ def sam_scan(spark, sf_dir):
     tags = [F.concat(F.lit("rq:f:0.9"), F.col("o") % 10), F.concat(F.lit("zm:i:"), "o"), F.concat(F.lit("bc:B:S,"), F.col("s") % 12, F.lit(","), (F.col("s") + F.col("o") % 2) % 12), F.concat(F.lit("bq:i:"), 60 + F.col("l") * 10)]
     line = F.concat_ws("\t", "read_id", F.lit("4\t*\t0\t255\t*\t*\t0\t0"), "seq", "qual", *tags)
     s = scans.sam(spark, text_file(c.select(line), scratch_path(spark, "sam")))
-    names = c.select(F.explode(F.array(F.col("s") % 12, (F.col("s") + 1) % 12)).cast("int").alias("pos")).distinct().select("pos", F.concat(F.lit("S"), "pos").alias("label"))
+    names = c.select(F.explode(F.array(F.col("s") % 12, (F.col("s") + 1) % 12)).alias("i")).distinct().select(F.col("i").cast("int").alias("pos"), F.concat(F.lit("S"), "i").alias("label"))
     good = reads.tag_quality(scans.barcode_names(s.where("reason is null"), names), 0.95, 80)
     return good.groupBy("sample").agg(F.count("*").alias("reads"), F.sum(F.length("seq")).alias("bases"))
 
