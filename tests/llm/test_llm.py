@@ -695,3 +695,87 @@ def test_secrets_without_digits_or_length(spark):
     assert masked[-2] == "login with password=[SECRET] and see the tiger, passwords too"
     assert masked[-3] == rows[2][1].replace(body, "[SECRET]") and masked[-4] == "use [SECRET] here"
     assert all(masked[i] == t for i, t in rows[4:])
+
+
+def brute_findings(rows, secrets):
+    """Candidates and features in plain Python: {(doc, pos): (value, key, features)}."""
+    import xxhash
+
+    split = re.compile(secrets.SPLIT)
+    counts = collections.Counter(w for _, t in rows for w in re.split("[\x00-\x60\x7b-\x7f]+", (t or "").lower()) if len(w) >= 3)
+    known = {w: n for w, n in counts.items() if n >= secrets.DICTIONARY}
+    letter = lambda c: c if "a" <= c <= "z" else "#"
+    pairs, first = collections.Counter(), collections.Counter()
+    for w, n in known.items():
+        for a, b in zip(w, w[1:]):
+            pairs[letter(a) + letter(b)] += n
+            first[letter(a)] += n
+    logp = {p: math.log((n + 1) / (first[p[0]] + 27)) for p, n in pairs.items()}
+    table = lambda a, b: logp.get(a + b, secrets.UNSEEN)
+
+    def odd(v):
+        got = [table(a, b) for a, b in zip(v.lower(), v.lower()[1:]) if letter(a) != "#" and letter(b) != "#"]
+        return bool(got) and sum(got) / len(got) < secrets.EVEN
+
+    bins = lambda t: xxhash.xxh64(t.lower().encode(), seed=42).intdigest()
+    bucket = lambda t: (bins(t) - (1 << 64) if bins(t) >> 63 else bins(t)) % secrets.NEIGHBOUR_BINS
+    cred, known_format, sign = (re.compile(x) for x in (secrets.CREDENTIAL, secrets.KNOWN, secrets.SIGN))
+    out = {}
+    for doc, text in rows:
+        t = split.split(text or "")
+        inside, key_body = [False] * len(t), False
+        for i, x in enumerate(t):
+            inside[i] = key_body and re.match(secrets.PEM_BODY, x) is not None
+            if x.endswith("KEY-----") and t[i - 1] == "PRIVATE" and "-----BEGIN" in t[max(0, i - 4) : i]:
+                key_body = True
+            elif x == "-----END":
+                key_body = False
+        for i, x in enumerate(t):
+            before, before2, after = (t[i - 1] if i else ""), (t[i - 2] if i > 1 else ""), (t[i + 1] if i + 1 < len(t) else "")
+            m = re.match(secrets.ASSIGNED, x)
+            v = re.sub(secrets.EDGES, "", x[m.end() :] if m else x)
+            key = secrets.PEM_KEY if inside[i] else (m[1] if m else "")
+            beside = bool(cred.search(before) or (sign.search(before) and cred.search(before2)))
+            if not x or not any(c.isalnum() for c in v) or v == "SECRET" or not (inside[i] or len(x) >= secrets.LEAST or cred.search(x) or beside):
+                continue
+            long, digit = len(v) >= secrets.LEAST, re.search("[0-9]", v) is not None
+            if not ((long and digit) or known_format.search(v) or key == secrets.PEM_KEY or cred.search(key) or beside or (long and odd(v))):
+                continue
+            low = v.lower()
+            share = lambda chars: sum(re.match(f"[{chars}]", c) is not None for c in v) / len(v)  # noqa: E731, B023
+            flu = [logp.get(letter(a) + letter(b), -8.0) for a, b in zip(low, low[1:])]
+            runs = re.sub("[0-9]+", "\x03", re.sub("[^\x010-9]+", "\x02", re.sub("[A-Z]+", "\x01", v)))
+            b, a = bucket(f"{before2} {before}"), bucket(after)
+            out[doc, i] = (v, key, [
+                len(v), share("0-9"), share("A-Z"), share("a-z"), 1 - share("A-Za-z0-9"), len(set(v)) / len(v), len(runs) / len(v), sum(flu) / len(flu) if flu else -8.0,
+                sum(len(w) for w in re.findall("[a-z]{3,}", low) if w in known) / len(v), v.count("/"), float("@" in v), v.count("."), float("://" in v),
+                *[float(b == j) for j in range(8)], *[float(a == j) for j in range(8)],
+            ])
+    return out
+
+
+def test_secrets_against_brute_force(spark):
+    """The whole scan on a small table: candidates and features in plain Python, the same forest on them."""
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.linalg import Vectors
+
+    some = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("doc_id < 300 and length(text) < 4000").collect()]
+    some += [(10**6, "-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\n" + "MIIBVwIBADANBgkqhkiG\n" * 900 + "q7w=\n-----END RSA PRIVATE KEY----- and on"), (10**6 + 1, "password: hunter2, see http://a.b/c?d=1 or mail a1@b.org")]
+    docs = spark.createDataFrame(some, "doc_id long, text string")
+    words_ = secrets.dictionary(docs)
+    found = secrets.findings(docs, logp=secrets.letter_table(words_))
+    got = {(r.doc_id, r.pos): r for r in secrets.rule_labels(secrets.describe(found, words_)).collect()}
+    want = brute_findings(some, secrets)
+    assert {k: (r.value, r.key) for k, r in got.items()} == {k: x[:2] for k, x in want.items()}
+    assert sum(k[0] == 10**6 for k in want) >= 901  # however long a key is
+    for k, r in got.items():
+        assert np.allclose([r[f] for f in secrets.FEATURES], want[k][2], atol=1e-9), (k, r)
+    rows = [(Vectors.dense(want[k][2]), float(r.label), k[0], k[1]) for k, r in got.items() if r.label is not None]
+    known = spark.createDataFrame(rows, ["features", "label", "doc_id", "pos"])
+    forest = RandomForestClassifier(numTrees=secrets.TREES, maxDepth=secrets.DEPTH, seed=17).fit(known)
+    agree = 0
+    for r in secrets.scan(docs).collect():
+        k = (r.doc_id, r.pos)
+        p = 1.0 if got[k].label == 1 else forest.predictProbability(Vectors.dense(want[k][2]))[1]
+        agree += (p >= 0.5) == r.secret  # bootstrap draws differ with the order of rows
+    assert agree >= 0.98 * len(got)
