@@ -81,7 +81,7 @@ def goals(cells: DataFrame, targets: DataFrame, keep_share: float) -> DataFrame:
 def rake(cells: DataFrame, targets: DataFrame, keep_share: float = 0.5, rounds: int = ROUNDS) -> DataFrame:
     """(source, lang, topic, tokens, keep, weight): the tokens that each cell is to give, at the level that is taken.
 
-    Every round is a table in the shared folder. The totals of a marginal are summed before they are shuffled and joined
+    Every step is a table in the shared folder, so plans stay small. The totals of a marginal are summed before they are shuffled and joined
     back, so a value with very many cells takes no task of its own.
     """
     cells = materialise(goals(cells, targets, keep_share), "cells")
@@ -91,8 +91,8 @@ def rake(cells: DataFrame, targets: DataFrame, keep_share: float = 0.5, rounds:
         for d in DIMENSIONS:
             now = cells.groupBy("level", d).agg(F.sum("weight").alias("now"))
             scaled = F.col("weight") * (F.col(f"goal_{d}") / F.col("now"))
-            cells = cells.join(hint(now), ["level", d]).withColumn("weight", F.when(F.col("now") > 0, F.least(F.col("tokens").cast("double"), scaled)).otherwise(0.0)).drop("now")
-        cells = materialise(cells.select(*DIMENSIONS, "tokens", "level", "keep", *[f"goal_{d}" for d in DIMENSIONS], "weight"), "cells")
+            weight = F.when(F.col("now") > 0, F.least(F.col("tokens").cast("double"), scaled)).otherwise(0.0).alias("weight")
+            cells = materialise(cells.join(hint(now), ["level", d]).select(*DIMENSIONS, "tokens", "level", "keep", *[f"goal_{d}" for d in DIMENSIONS], weight), "cells")
     errors = None
     for d in DIMENSIONS:
         own = cells.groupBy("level", d).agg((F.abs(F.sum("weight") - F.first(f"goal_{d}"))).alias("off"), F.first(f"goal_{d}").alias("goal")).groupBy("level").agg(F.max("off").alias("off"), F.sum("goal").alias("goal"))
