@@ -1,11 +1,12 @@
 """Mixing sources to target weights by iterative proportional fitting (DataFrame functions only).
 
-Documents are summed to cells (source, language, topic) of tokens. Raking scales the cells until the tokens expected of
-every source, language and topic have the targets' shares. No cell can give more than it has, so scaled cells are held to
-their real tokens while the others go on to make up for it. How much the sample keeps of all tokens is at most
-``keep_share`` and what the scarcest value can give; as the three marginals together may allow less, several levels are
-raked side by side, and the highest that meets the targets within ``TOLERANCE`` is taken, or the one that comes nearest.
-A document is kept with the probability of its cell, by a hash of its id, so a re-run chooses the same.
+Documents are summed to cells (source, language, topic) of tokens. The sample is to hold ``keep_share`` of all tokens. Each
+value of a marginal is to give its target's share of them, but nothing can give more than it has: a value that has less
+gives all of it, and the others of its marginal make up for it in proportion to their targets. Raking scales the cells
+until the tokens expected of every value are those goals, cells being held to their real tokens. As the three marginals
+together may allow less, several levels are raked side by side, and the highest that meets its goals within ``TOLERANCE``
+is taken, or the one that comes nearest. A document is kept with the probability of its cell, by a hash of its id, so a
+re-run chooses the same.
 """
 
 from __future__ import annotations
@@ -56,26 +57,37 @@ def root_targets(cells: DataFrame) -> DataFrame:
 
 
 def goals(cells: DataFrame, targets: DataFrame, keep_share: float) -> DataFrame:
-    """Cells for every level, with goal_<dimension> (tokens that its value is to give), keep (share kept of all tokens) and
-    weight (tokens given so far).
+    """(level, keep, dimension, value, goal): the tokens that each value is to give at each level.
 
-    A value without a target has goal 0; targets of values that do not occur are ignored and the rest scaled up to 1.
+    A value without a target has goal 0; targets of values that do not occur are ignored. A goal is the lesser of what the
+    value has and its target times a factor, the same for all values of the marginal, such that goals add up to the share
+    ``keep`` of all tokens. In the order of tokens over targets the values that give all come first, and the factor is the
+    largest of those that would hold if the values before a place gave all.
     """
-    grand = cells.agg(F.sum("tokens").alias("grand"))
-    most = F.lit(keep_share)
+    has = None
     for d in DIMENSIONS:
-        own = targets.where(F.col("dimension") == d).groupBy(F.col("value").alias(d)).agg(F.sum("share").alias("share"))
-        values = cells.groupBy(d).agg(F.sum("tokens").alias("has")).join(own, d, "left").withColumn("share", F.coalesce("share", F.lit(0.0)))
-        total = values.agg(F.sum("share").alias("total"))
-        values = values.join(F.broadcast(total)).withColumn(f"to_{d}", F.when(F.col("total") > 0, F.col("share") / F.col("total")).otherwise(0.0))
-        scarce = values.where(F.col(f"to_{d}") > 0).agg(F.min(F.col("has") / F.col(f"to_{d}")).alias(f"most_{d}"))
-        cells = cells.join(values.select(d, f"to_{d}"), d).join(F.broadcast(scarce))
-        most = F.least(most, F.coalesce(F.col(f"most_{d}") / F.col("grand"), F.lit(0.0)))
-    cells = cells.join(F.broadcast(grand))  # one row, as the other tables without a key
-    cells = cells.withColumn("level", F.explode(F.array(*[F.lit(x) for x in LEVELS]))).withColumn("keep", most * F.col("level"))
+        own = cells.groupBy(F.col(d).alias("value")).agg(F.sum("tokens").alias("has")).select(F.lit(d).alias("dimension"), "value", "has")
+        has = own if has is None else has.unionAll(own)
+    values = has.join(targets.groupBy("dimension", "value").agg(F.sum("share").alias("to")).where(F.col("to") > 0), ["dimension", "value"])
+    grand = cells.agg(F.sum("tokens").alias("grand"))  # one row
+    values = values.join(F.broadcast(grand)).withColumn("level", F.explode(F.array(*[F.lit(x) for x in LEVELS]))).withColumn("keep", F.col("level") * keep_share)
+    # a row a value of a marginal, not a cell
+    order = Window.partitionBy("level", "dimension").orderBy(F.col("has") / F.col("to"), "value")
+    before = F.coalesce(F.sum("has").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    after = F.sum("to").over(order.rowsBetween(0, Window.unboundedFollowing))
+    values = values.withColumn("factor", (F.col("keep") * F.col("grand") - before) / after)
+    most = F.max("factor").over(Window.partitionBy("level", "dimension"))
+    return values.select("level", "keep", "dimension", "value", F.least(F.col("has").cast("double"), F.col("to") * most).alias("goal"))
+
+
+def with_goals(cells: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Cells for every level, with keep, goal_<dimension> and weight, the tokens given so far."""
+    levels = wanted.groupBy("level").agg(F.first("keep").alias("keep"))  # a row a level
+    out = cells.select(*DIMENSIONS, "tokens").join(F.broadcast(levels))
     for d in DIMENSIONS:
-        cells = cells.withColumn(f"goal_{d}", F.col(f"to_{d}") * F.col("keep") * F.col("grand"))
-    return cells.select(*DIMENSIONS, "tokens", "level", "keep", *[f"goal_{d}" for d in DIMENSIONS], (F.col("tokens") * F.col("keep")).alias("weight"))
+        own = wanted.where(F.col("dimension") == d).select("level", F.col("value").alias(d), F.col("goal").alias(f"goal_{d}"))
+        out = out.join(own, ["level", d], "left").withColumn(f"goal_{d}", F.coalesce(f"goal_{d}", F.lit(0.0)))
+    return out.select(*DIMENSIONS, "tokens", "level", "keep", *[f"goal_{d}" for d in DIMENSIONS], (F.col("tokens") * F.col("keep")).alias("weight"))
 
 
 def rake(cells: DataFrame, targets: DataFrame, keep_share: float = 0.5, rounds: int = ROUNDS) -> DataFrame:
@@ -84,7 +96,7 @@ def rake(cells: DataFrame, targets: DataFrame, keep_share: float = 0.5, rounds:
     Every step is a table in the shared folder, so plans stay small. The totals of a marginal are summed before they are shuffled and joined
     back, so a value with very many cells takes no task of its own.
     """
-    cells = materialise(goals(cells, targets, keep_share), "cells")
+    cells = materialise(with_goals(cells, materialise(goals(cells, targets, keep_share), "goals")), "cells")
     most = cells.agg(F.greatest(*[F.count_distinct(d) for d in DIMENSIONS])).first()[0]
     hint = F.broadcast if most * len(LEVELS) <= BROADCAST_VALUES else lambda df: df
     for _ in range(rounds):
@@ -109,7 +121,7 @@ def mix(
 
     ``targets`` is a function from the cells to (dimension, value, share); ``topic`` a Column of docs, ``genre`` by default.
     mix_p is the probability by which the row was kept: what its cell gives over what it has, so the tokens expected of the
-    sample have the targets' shares. Null sources, languages and topics are a value of their own, "(none)". Documents
+    sample have the targets' shares as far as there are tokens for them. Null sources, languages and topics are a value of their own, "(none)". Documents
     without tokens carry no weight and are kept with the probability of the whole (``keep_share`` if nothing has tokens). A
     null id hashes as an empty one; rows repeated under one id and cell are kept or dropped together. An empty table gives
     an empty one. Columns of docs that have the name of an added one are replaced by it, all others are kept.
@@ -141,12 +153,12 @@ def oracle_sql(rounds: int = ROUNDS, keep_share: float = 0.5, seed: str = "mix")
     for _ in range(rounds):
         for d in DIMENSIONS:
             new = f"c{len(steps) + 1}"
-            steps.append(f"{new} AS (SELECT * REPLACE (least(tokens, weight * (to_{d} * keep * grand / sum(weight) OVER (PARTITION BY level, {d}))) AS weight) FROM {at})")
+            steps.append(f"{new} AS (SELECT * REPLACE (least(tokens, weight * (goal_{d} / sum(weight) OVER (PARTITION BY level, {d}))) AS weight) FROM {at})")
             at = new
     token = r"'[^\x09-\x0D\x20]+'"
-    shares = ", ".join(f"t_{d} AS (SELECT {d}, sqrt(sum(tokens)) / sum(sqrt(sum(tokens))) OVER () AS to_{d}, sum(tokens) AS has FROM cell GROUP BY {d})" for d in DIMENSIONS)
-    most = ", ".join(f"(SELECT min(has / to_{d}) FROM t_{d}) / (SELECT sum(tokens) FROM cell)" for d in DIMENSIONS)
-    errors = " UNION ALL ".join(f"SELECT level, max(off) / sum(goal) AS error FROM (SELECT level, {d}, abs(sum(weight) - any_value(to_{d} * keep * grand)) AS off, any_value(to_{d} * keep * grand) AS goal FROM {at} GROUP BY level, {d}) GROUP BY level" for d in DIMENSIONS)
+    has = " UNION ALL ".join(f"SELECT '{d}' AS dimension, {d} AS value, sum(tokens) AS has, sqrt(sum(tokens)) / sum(sqrt(sum(tokens))) OVER () AS target FROM cell GROUP BY {d}" for d in DIMENSIONS)
+    joins = " ".join(f"JOIN (SELECT level, value AS {d}, goal AS goal_{d} FROM goals WHERE dimension = '{d}') USING (level, {d})" for d in DIMENSIONS)
+    errors = " UNION ALL ".join(f"SELECT level, max(off) / sum(goal) AS error FROM (SELECT level, {d}, abs(sum(weight) - any_value(goal_{d})) AS off, any_value(goal_{d}) AS goal FROM {at} GROUP BY level, {d}) GROUP BY level" for d in DIMENSIONS)
     return f"""
 WITH t AS (
   SELECT doc_id, coalesce(source, '{NONE}') AS source, coalesce(lang, '{NONE}') AS lang, coalesce(text, '') AS t,
@@ -159,11 +171,15 @@ r AS (
     WHEN lines >= 3 AND tokens < lines * 12 THEN 'list' WHEN tokens < 60 THEN 'note' WHEN tokens < 400 THEN 'article' ELSE 'long' END AS topic
   FROM t),
 cell AS (SELECT source, lang, topic, sum(tokens) AS tokens FROM r GROUP BY ALL HAVING sum(tokens) > 0),
-{shares},
-most AS (SELECT least({keep_share}, {most}) AS most, (SELECT sum(tokens) FROM cell) AS grand),
+levels AS (SELECT unnest([{", ".join(f"{x}::DOUBLE" for x in LEVELS)}]) AS level),
+factors AS (
+  SELECT *, (level * {keep_share} * (SELECT sum(tokens) FROM cell) - coalesce(sum(has) OVER (PARTITION BY level, dimension ORDER BY has / target, value ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(target) OVER (PARTITION BY level, dimension ORDER BY has / target, value ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS factor
+  FROM ({has}), levels),
+goals AS (SELECT level, dimension, value, least(has, target * max(factor) OVER (PARTITION BY level, dimension)) AS goal FROM factors),
 c0 AS (
-  SELECT source, lang, topic, CAST(tokens AS DOUBLE) AS tokens, to_source, to_lang, to_topic, level, grand, most * level AS keep, tokens * (most * level) AS weight
-  FROM most, cell JOIN t_source USING (source) JOIN t_lang USING (lang) JOIN t_topic USING (topic), (SELECT unnest([{", ".join(f"{x}::DOUBLE" for x in LEVELS)}]) AS level)),
+  SELECT source, lang, topic, CAST(tokens AS DOUBLE) AS tokens, level, level * {keep_share} AS keep, goal_source, goal_lang, goal_topic, tokens * (level * {keep_share}) AS weight
+  FROM (SELECT * FROM cell, levels) {joins}),
 {", ".join(steps)},
 worst AS (SELECT level, round(max(error), 6) AS error FROM ({errors}) GROUP BY level),
 taken AS (SELECT level FROM worst ORDER BY greatest(error, {TOLERANCE}), level DESC LIMIT 1),

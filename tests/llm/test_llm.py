@@ -328,13 +328,23 @@ def hot_cells(spark, extra=()):
     return spark.createDataFrame(rows + list(extra), "source string, lang string, topic string, tokens long")
 
 
-def off(raked, targets):
-    """The largest difference of a share from its target."""
+def filled(has, targets, share):
+    """What each value is to give: its target's share, or all that it has; by halving."""
+    low, high = 0.0, 1e12
+    for _ in range(200):
+        factor = (low + high) / 2
+        low, high = (factor, high) if np.minimum(has, targets * factor).sum() < share * has.sum() else (low, factor)
+    return np.minimum(has, targets * high)
+
+
+def off(given, cells, targets, share):
+    """The largest difference of a share from what it is to be."""
     worst = 0.0
     for d in mixing.DIMENSIONS:
-        want = targets[targets.dimension == d].set_index("value")["share"]
-        have = raked.groupby(d)["weight"].sum() / raked["weight"].sum()
-        worst = max(worst, (have - want.reindex(have.index) / want.reindex(have.index).sum()).abs().max())
+        has = cells.groupby(d)["tokens"].sum().astype(float)
+        want = filled(has, targets[targets.dimension == d].set_index("value")["share"].reindex(has.index), share)
+        have = given.groupby(d)["weight"].sum().reindex(has.index).fillna(0)
+        worst = max(worst, (have / have.sum() - want / want.sum()).abs().max())
     return worst
 
 
@@ -346,7 +356,7 @@ def test_raking_meets_the_targets(spark, docs):
         targets = mixing.root_targets(cells).toPandas()
         raked = mixing.rake(cells, spark.createDataFrame(targets)).toPandas()
         assert (raked.weight <= raked.tokens * (1 + 1e-9)).all() and 0 < raked.keep.iloc[0] <= 0.5
-        assert off(raked, targets) <= tolerance
+        assert off(raked, cells.toPandas(), targets, raked.keep.iloc[0]) <= tolerance
     raked = mixing.rake(hot_cells(spark), spark.createDataFrame(mixing.root_targets(hot_cells(spark)).toPandas())).toPandas()
     assert (raked.weight >= raked.tokens * (1 - 1e-9)).any()  # cells that are held to what they have
 
@@ -363,15 +373,14 @@ def test_sample_has_the_targets_shares(spark):
     got = mixing.mix(df, topic=F.col("kind"))
     counted = got.groupBy("source", "lang", F.col("kind").alias("topic")).agg(F.sum("mix_tokens").alias("weight")).toPandas()
     targets = mixing.root_targets(df.groupBy("source", "lang", F.col("kind").alias("topic")).agg(F.sum(mixing.count_tokens(F.col("text"))).alias("tokens"))).toPandas()
-    assert off(counted, targets) < 0.02 and counted.weight.sum() > 0.05 * cells.tokens.sum()
+    assert off(counted, cells, targets, 0.5) < 0.02 and abs(counted.weight.sum() / cells.tokens.sum() - 0.5) < 0.02
 
 
 def test_mixing_odd_rows(spark):
     df, rows = odd_documents(spark)
     for name in ("_s", "_w", "mix_topic", "mix_p", "salt", "share", "keep", "row", "id"):
         df = df.withColumn(name, F.lit(1))
-    present = lambda cells: mixing.root_targets(cells.withColumn("tokens", F.pow("tokens", 2)))
-    got = mixing.mix(df, targets=present, keep_share=1.0)
+    got = mixing.mix(df, keep_share=1.0)
     assert sorted(str(r.doc_id) for r in got.collect()) == sorted(str(i) for i, _ in rows)
     assert set(df.columns) <= set(got.columns) and len(got.columns) == len(set(got.columns)) and got.where("mix_p = 1 and mix_topic is null").count() == 0
     assert mixing.mix(empty(spark)).count() == 0
