@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, embed_dedup, katz, langid, minhash, mixing, quality, secrets, toxicity, urlfilter
+from . import centroids, decontam, embed_dedup, katz, langid, minhash, mixing, negatives, packing, quality, secrets, toxicity, urlfilter
+from .common import materialise
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,6 +60,23 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents")).drop("row")
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_vectors(table(spark, sf_dir, "embeddings")).drop("centroid")
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    vectors = vectors.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return negatives.hard_negatives(vectors, F.col("vec_id") % 50 == 0)
+
+
+def op13_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    parts = packing.pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), ids=False)
+    return packing.packed(materialise(parts, "pieces")).drop("row")
+
+
 QUERIES = {
     "op1_katz_score": op1_katz_score,
     "op2_decontaminate": op2_decontaminate,
@@ -70,5 +88,8 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_toxicity": op9_toxicity,
     "op10_secrets": op10_secrets,
+    "op11_centroids": op11_centroids,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_pack": op13_pack,
 }
-ORACLE_SQL = {"op2_decontaminate": decontam.SQL, "op5_mix": mixing.oracle_sql(), "op8_url_filter": urlfilter.oracle_sql()}
+ORACLE_SQL = {"op2_decontaminate": decontam.SQL, "op5_mix": mixing.oracle_sql(), "op8_url_filter": urlfilter.oracle_sql(), "op11_centroids": centroids.oracle_sql(), "op12_hard_negatives": negatives.SQL}
