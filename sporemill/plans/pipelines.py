@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import seq
 from ..functions.scratch import materialise
-from ..operators import classify, cluster, demux, ecology, reads, simjoin, table, taxonomy
+from ..operators import classify, cluster, demux, ecology, reads, simjoin, table, taxonomy, variants
 from ..sources import scans, sinks
 
 
@@ -58,6 +58,36 @@ def denoise_reads(good: DataFrame, max_errors: float = 1.0, min_size: int = 8, i
     return asvs, counts, groups.select(F.col("id").alias("asv"), F.col("centroid").alias("otu"))
 
 
+def infer_reads(
+    good: DataFrame, max_errors: float = 1.0, how: str = "sample", platform: str = "illumina", min_reads: int = 10, chimeras: str = "consensus", reference: DataFrame | None = None, identity: float = 0.97, **options
+) -> dict[str, DataFrame]:
+    """Variants by learnt error rates: good(read_id, sample, seq, qual) to variants(otu, seq, size), counts of all reads by
+    variant, inferred(sample, seq, n), otus(otu, seq, size) by clustering the variants, their counts, and members(asv, otu).
+
+    Reads lose padding and are filtered by expected errors and ambiguous bases, consensus reads ("pacbio") by their columns
+    rq and bq; samples of fewer than ``min_reads`` reads go. ``how`` and ``platform`` are those of variants.infer_variants,
+    ``chimeras`` is the mode of cluster.bimeras; with ``reference`` what two of its records explain goes too. Variants that are
+    the other strand of a more abundant one go.
+    """
+    bare, qual = seq.strip_padding(F.col("seq"), F.col("qual"))
+    stripped = good.withColumn("qual", qual).withColumn("seq", bare)
+    clean = reads.tag_quality(stripped) if platform == "pacbio" else reads.max_errors(reads.no_ambiguous(stripped), max_errors)
+    clean = materialise(clean.select("sample", "seq", "qual"), "filtered")
+    clean = reads.drop_samples(clean, most=min_reads - 1)
+    found, _ = variants.infer_variants(clean, how, platform, **options)
+    kept = materialise(cluster.bimeras(found, chimeras, min_fold=3.5 if platform == "pacbio" else 1.5), "variants")
+    asvs = kept.groupBy("seq").agg(F.sum("n").alias("size")).select(F.md5("seq").alias("id"), "seq", "size")
+    if reference is not None:
+        asvs = cluster.without_chimeras(materialise(asvs, "variants"), parents=reference, min_divergence=1.0)
+    named, counts = finished(one_strand(materialise(asvs, "variants")), stripped, "ASV", 0.97)
+    sized = named.select(F.col("otu").alias("id"), "seq", "size")
+    groups = materialise(cluster.cluster(sized, identity), "members")
+    sums = groups.join(sized.select("id", "size"), "id").groupBy("centroid").agg(F.sum("size").alias("size"))
+    otus, otu_counts = finished(sized.drop("size").join(sums, F.col("id") == F.col("centroid")).select("id", "seq", "size"), stripped, "OTU", 0.97)
+    names = sized.join(groups, "id").select(F.col("id").alias("asv"), "centroid").join(sized.select(F.col("id").alias("centroid"), "seq"), "centroid").join(otus.select("otu", "seq"), "seq")
+    return {"variants": named, "counts": counts, "inferred": kept, "otus": otus, "otu_counts": otu_counts, "members": names.select("asv", "otu")}
+
+
 def closed_reference(good: DataFrame, reference: DataFrame, max_errors: float = 1.0, min_size: int = 2, identity: float = 0.97) -> tuple[DataFrame, DataFrame]:
     """Counts by reference record, and the unique sequences that hit none."""
     uniques = cluster.without_chimeras(unique_reads(good, max_errors).where(F.col("size") >= min_size))

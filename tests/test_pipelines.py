@@ -71,3 +71,18 @@ def test_raup_crick_and_ordination(spark):
     assert abs(o["a"] - o["b"]) < 1e-9 and abs(o["a"] - o["c"]) > 0.1
     g = spark.createDataFrame([("a", "x"), ("b", "x"), ("c", "y"), ("d", "y")], "sample string, grp string")
     assert ecology.group_centres(ecology.ordination(c), g).count() == 2
+
+
+def test_inferred_variants_run(spark):
+    truth, rows, good = community(spark)
+    few = spark.createDataFrame([(f"x{i}", "few", truth[0], "I" * 160) for i in range(9)], good.schema)
+    run = pipelines.infer_reads(good.unionByName(few), identity=0.97)
+    found = {r.otu: r.seq for r in run["variants"].collect()}
+    assert sorted(found.values()) == sorted(truth)
+    sizes = [r["size"] for r in run["variants"].orderBy(F.length("otu"), "otu").collect()]
+    assert set(found) == {"ASV1", "ASV2", "ASV3", "ASV4"} and sizes == sorted(sizes, reverse=True)
+    got = {(found[r.otu], r["sample"]): r.n for r in run["counts"].collect()}
+    assert got[truth[0], "few"] == 9 and all(got[t, "s2"] == 10 + 6 * i for i, t in enumerate(truth))
+    assert {r["sample"] for r in run["inferred"].select("sample").distinct().collect()} == {"s1", "s2"}
+    assert len({r.otu for r in run["members"].collect()}) == run["otus"].count() == 4 and run["members"].count() == 4
+    assert run["otu_counts"].count() == run["counts"].count()
