@@ -1,12 +1,12 @@
 """Mixing sources to target weights by iterative proportional fitting (DataFrame functions only).
 
-Documents are summed to cells (source, language, topic) of tokens. The sample is to hold ``keep_share`` of all tokens. Each
-value of a marginal is to give its target's share of them, but nothing can give more than it has: a value that has less
-gives all of it, and the others of its marginal make up for it in proportion to their targets. Raking scales the cells
-until the tokens expected of every value are those goals, cells being held to their real tokens. As the three marginals
-together may allow less, several levels are raked side by side, and the highest that meets its goals within ``TOLERANCE``
-is taken, or the one that comes nearest. A document is kept with the probability of its cell, by a hash of its id, so a
-re-run chooses the same.
+Documents are summed to cells (source, language, topic) of tokens. The targets are shares of the sample's tokens; they hold,
+and the size of the sample yields: at most ``keep_share`` of all tokens, and no more than a value can give at its target.
+Raking scales the cells until the tokens expected of every value are its target's share of the size, cells being held to their
+real tokens. As the three marginals together may allow less, many sizes are raked side by side, and the largest that
+meets the targets within ``TOLERANCE`` is taken. Where none does, as with targets that contradict one another, that is an error, or the size that
+comes nearest with its error in the result. A document is kept with the probability of its cell, by a hash of its id, so a re-run
+chooses the same.
 """
 
 from __future__ import annotations
@@ -18,30 +18,31 @@ from .common import materialise
 
 #: Rounds of raking over the three marginals.
 ROUNDS = 16
-#: Parts of the most that can be kept which are tried.
-LEVELS = (1.0, 0.85, 0.7, 0.5, 0.3, 0.1)
+#: Sizes that are tried, as parts of the largest that every value by itself allows.
+LEVELS = tuple(round(0.9**k, 6) for k in range(32))
 #: Difference of a share from its target, at most.
 TOLERANCE = 0.002
-#: Rows of a marginal's totals that are broadcast; more are joined by a shuffle.
-BROADCAST_VALUES = 100_000
+#: How far the default targets raise a value above its present share, before all are scaled to add up.
+BOOST = 1.5
+#: Cells at all sizes that are raked in one task, and cells whose probabilities are broadcast; more are shuffled.
+FEW = 200_000
 DIMENSIONS = ("source", "lang", "topic")
-ADDED = ("mix_topic", "mix_tokens", "mix_p")
+ADDED = ("mix_topic", "mix_tokens", "mix_p", "mix_size", "mix_error")
 NONE = "(none)"
 
 
 def count_tokens(text: Column) -> Column:
     """Whitespace tokens; null and empty texts have none."""
-    return F.size(F.array_remove(F.split(F.coalesce(text, F.lit("")), r"[\x09-\x0D\x20]+"), "")).cast("long")
+    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"[^\x09-\x0D\x20]+")).cast("long")
 
 
 def genre(text: Column, tokens: Column) -> Column:
     """A stand-in topic for tables without one, from a text's form: figures (a tenth of the characters are digits), list
     (three lines or more of fewer than 12 tokens on average), or by length note, article and long."""
     t = F.coalesce(text, F.lit(""))
-    without = lambda chars: F.length(F.translate(t, chars, ""))
-    lines = F.length(t) - without("\n") + 1
+    lines = F.length(t) - F.length(F.replace(t, F.lit("\n"), F.lit(""))) + 1
     return (
-        F.when((F.length(t) - without("0123456789")) * 10 >= F.length(t), "figures")
+        F.when(F.regexp_count(t, F.lit("[0-9]")) * 10 >= F.length(t), "figures")
         .when((lines >= 3) & (tokens < lines * 12), "list")
         .when(tokens < 60, "note")
         .when(tokens < 400, "article")
@@ -49,102 +50,136 @@ def genre(text: Column, tokens: Column) -> Column:
     )
 
 
-def root_targets(cells: DataFrame) -> DataFrame:
-    """(dimension, value, share): shares in proportion to the square root of each value's tokens."""
-    parts = [cells.groupBy(F.col(d).alias("value")).agg(F.sqrt(F.sum("tokens")).alias("w")).select(F.lit(d).alias("dimension"), "value", "w") for d in DIMENSIONS]
-    union = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return union.select("dimension", "value", (F.col("w") / F.sum("w").over(Window.partitionBy("dimension"))).alias("share"))
+def root_targets(cells: DataFrame, boost: float = BOOST) -> DataFrame:
+    """(dimension, value, share): shares in proportion to the square root of each value's tokens, but none in proportion to
+    more than ``boost`` times its tokens, so that rare values do not set the size of the sample."""
+    parts = [cells.groupBy(F.col(d).alias("value")).agg(F.sum("tokens").alias("t")).select(F.lit(d).alias("dimension"), "value", "t") for d in DIMENSIONS]
+    union = materialise(parts[0].unionByName(parts[1]).unionByName(parts[2]), "roots")
+    total = union.groupBy("dimension").agg(F.sum("t").alias("all"), F.sum(F.sqrt("t")).alias("roots"))  # a row a dimension
+    share = F.least(F.sqrt("t") / F.col("roots"), F.col("t") * boost / F.col("all"))
+    held = materialise(union.join(F.broadcast(total), "dimension").select("dimension", "value", share.alias("share")), "held")
+    sums = held.groupBy("dimension").agg(F.sum("share").alias("sum"))  # a row a dimension
+    return held.join(F.broadcast(sums), "dimension").select("dimension", "value", (F.col("share") / F.col("sum")).alias("share"))
 
 
 def goals(cells: DataFrame, targets: DataFrame, keep_share: float) -> DataFrame:
-    """(level, keep, dimension, value, goal): the tokens that each value is to give at each level.
-
-    A value without a target has goal 0; targets of values that do not occur are ignored. A goal is the lesser of what the
-    value has and its target times a factor, the same for all values of the marginal, such that goals add up to the share
-    ``keep`` of all tokens. In the order of tokens over targets the values that give all come first, and the factor is the
-    largest of those that would hold if the values before a place gave all.
-    """
+    """(dimension, value, share, keep): each occurring value's target, as a share of those of its marginal that occur, and the
+    share of all tokens that the sample may have so that no value gives more than it has."""
     has = None
     for d in DIMENSIONS:
         own = cells.groupBy(F.col(d).alias("value")).agg(F.sum("tokens").alias("has")).select(F.lit(d).alias("dimension"), "value", "has")
         has = own if has is None else has.unionAll(own)
-    values = has.join(targets.groupBy("dimension", "value").agg(F.sum("share").alias("to")).where(F.col("to") > 0), ["dimension", "value"])
+    values = materialise(has.join(targets.groupBy("dimension", "value").agg(F.sum("share").alias("to")).where(F.col("to") > 0), ["dimension", "value"]), "values")
+    total = values.groupBy("dimension").agg(F.sum("to").alias("total"))  # a row a dimension
     grand = cells.agg(F.sum("tokens").alias("grand"))  # one row
-    values = values.join(F.broadcast(grand)).withColumn("level", F.explode(F.array(*[F.lit(x) for x in LEVELS]))).withColumn("keep", F.col("level") * keep_share)
-    # a row a value of a marginal, not a cell
-    order = Window.partitionBy("level", "dimension").orderBy(F.col("has") / F.col("to"), "value")
-    before = F.coalesce(F.sum("has").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    after = F.sum("to").over(order.rowsBetween(0, Window.unboundedFollowing))
-    values = values.withColumn("factor", (F.col("keep") * F.col("grand") - before) / after)
-    most = F.max("factor").over(Window.partitionBy("level", "dimension"))
-    return values.select("level", "keep", "dimension", "value", F.least(F.col("has").cast("double"), F.col("to") * most).alias("goal"))
+    values = values.join(F.broadcast(total), "dimension").withColumn("share", F.col("to") / F.col("total"))
+    keep = values.join(F.broadcast(grand)).agg(F.least(F.lit(float(keep_share)), F.min(F.col("has") / F.col("grand") / F.col("share"))).alias("keep"))
+    return values.join(F.broadcast(keep)).select("dimension", "value", "share", "keep")
 
 
 def with_goals(cells: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Cells for every level, with keep, goal_<dimension> and weight, the tokens given so far."""
-    levels = wanted.groupBy("level").agg(F.first("keep").alias("keep"))  # a row a level
-    out = cells.select(*DIMENSIONS, "tokens").join(F.broadcast(levels))
+    """Cells for every size, with keep (the size as a share of all tokens), goal_<dimension> and weight, the tokens given so far."""
+    grand = cells.agg(F.sum("tokens").alias("grand"))  # one row
+    keep = wanted.agg(F.max("keep").alias("keep"))  # one row
+    out = cells.select(*DIMENSIONS, "tokens").join(F.broadcast(grand)).join(F.broadcast(keep))
+    out = out.withColumn("level", F.explode(F.array(*[F.lit(x) for x in LEVELS]))).withColumn("keep", F.col("level") * F.col("keep"))
     for d in DIMENSIONS:
-        own = wanted.where(F.col("dimension") == d).select("level", F.col("value").alias(d), F.col("goal").alias(f"goal_{d}"))
-        out = out.join(own, ["level", d], "left").withColumn(f"goal_{d}", F.coalesce(f"goal_{d}", F.lit(0.0)))
-    return out.select(*DIMENSIONS, "tokens", "level", "keep", *[f"goal_{d}" for d in DIMENSIONS], (F.col("tokens") * F.col("keep")).alias("weight"))
+        own = wanted.where(F.col("dimension") == d).select(F.col("value").alias(d), F.col("share").alias(f"share_{d}"))
+        out = out.join(own, d, "left").withColumn(f"goal_{d}", F.coalesce(f"share_{d}", F.lit(0.0)) * F.col("keep") * F.col("grand"))
+    return out.select(*KEPT, (F.col("tokens") * F.col("keep")).alias("weight"))
 
 
-def rake(cells: DataFrame, targets: DataFrame, keep_share: float = 0.5, rounds: int = ROUNDS) -> DataFrame:
-    """(source, lang, topic, tokens, keep, weight): the tokens that each cell is to give, at the level that is taken.
+KEPT = [*DIMENSIONS, "tokens", "level", "keep", *[f"goal_{d}" for d in DIMENSIONS]]
+
+
+def scaled(d: str, now: Column) -> Column:
+    weight = F.least(F.col("tokens").cast("double"), F.col("weight") * (F.col(f"goal_{d}") / now))
+    return F.when(now > 0, weight).otherwise(0.0).alias("weight")
 
-    Every step is a table in the shared folder, so plans stay small. The totals of a marginal are summed before they are shuffled and joined
-    back, so a value with very many cells takes no task of its own.
+
+def raking(cells: DataFrame, rounds: int, few: bool) -> DataFrame:
+    """The cells after ``rounds`` of scaling to each marginal in turn.
+
+    Few cells are one partition, where the totals of a marginal need no shuffle, and four rounds are a job. Of many, totals are
+    summed before they are shuffled and joined back, so a value with very many cells takes no task of its own; each step is a table, for small plans.
     """
-    cells = materialise(with_goals(cells, materialise(goals(cells, targets, keep_share), "goals")), "cells")
-    most = cells.agg(F.greatest(*[F.count_distinct(d) for d in DIMENSIONS])).first()[0]
-    hint = F.broadcast if most * len(LEVELS) <= BROADCAST_VALUES else lambda df: df
+    steps = 0
     for _ in range(rounds):
         for d in DIMENSIONS:
-            now = cells.groupBy("level", d).agg(F.sum("weight").alias("now"))
-            scaled = F.col("weight") * (F.col(f"goal_{d}") / F.col("now"))
-            weight = F.when(F.col("now") > 0, F.least(F.col("tokens").cast("double"), scaled)).otherwise(0.0).alias("weight")
-            cells = materialise(cells.join(hint(now), ["level", d]).select(*DIMENSIONS, "tokens", "level", "keep", *[f"goal_{d}" for d in DIMENSIONS], weight), "cells")
+            if few:
+                cells = (cells if steps else cells.coalesce(1)).select(*KEPT, scaled(d, F.sum("weight").over(Window.partitionBy("level", d))))
+            else:
+                now = cells.groupBy("level", d).agg(F.sum("weight").alias("now"))
+                cells = materialise(cells.join(now, ["level", d]).select(*KEPT, scaled(d, F.col("now"))), "cells")
+        steps += 1
+        if few and steps % 4 == 0:
+            cells, steps = materialise(cells, "cells"), 0
+    return cells
+
+
+def rake(cells: DataFrame, targets: DataFrame, keep_share: float = 0.5, rounds: int = ROUNDS) -> DataFrame:
+    """(source, lang, topic, tokens, keep, weight, error, worst): the tokens that each cell is to give at the size that is taken;
+    error: the largest difference of a value's share from its target, and worst: that value as ``dimension=value``."""
+    wanted = materialise(goals(cells, targets, keep_share), "goals")
+    cells = materialise(with_goals(cells, wanted), "cells")
+    few = cells.count() <= FEW
+    cells = raking(cells, rounds, few)
     errors = None
     for d in DIMENSIONS:
-        own = cells.groupBy("level", d).agg((F.abs(F.sum("weight") - F.first(f"goal_{d}"))).alias("off"), F.first(f"goal_{d}").alias("goal")).groupBy("level").agg(F.max("off").alias("off"), F.sum("goal").alias("goal"))
+        own = cells.groupBy("level", d).agg(F.sum("weight").alias("w"), F.first(f"goal_{d}").alias("goal"), F.first("keep").alias("keep"))
+        own = own.select("level", F.concat(F.lit(f"{d}="), F.col(d)).alias("value"), F.abs(F.col("w") - F.col("goal")).alias("off"), "w")
+        own = own.groupBy("level").agg(F.max(F.struct("off", "value")).alias("m"), F.sum("w").alias("size"))
         errors = own if errors is None else errors.unionAll(own)
-    worst = errors.groupBy("level").agg(F.round(F.max(F.col("off") / F.col("goal")), 6).alias("error"))
-    taken = worst.orderBy(F.greatest("error", F.lit(TOLERANCE)), F.desc("level")).limit(1).select("level")
-    return cells.join(F.broadcast(taken), "level").select(*DIMENSIONS, "tokens", "keep", "weight")
+    worst = errors.groupBy("level").agg(F.max(F.struct((F.col("m.off") / F.col("size")).alias("error"), F.col("m.value").alias("worst"))).alias("e"))
+    worst = worst.select("level", F.round("e.error", 6).alias("error"), "e.worst")
+    # a target for a value that has no tokens is missed by all of it
+    missing = targets.where("share > 0").join(wanted, ["dimension", "value"], "left_anti").agg(F.max(F.struct("share", F.concat_ws("=", "dimension", "value").alias("name"))).alias("m"))
+    gap = F.coalesce("m.share", F.lit(0.0))
+    taken = worst.orderBy(F.greatest("error", F.lit(TOLERANCE)), F.desc("level")).limit(1)
+    taken = taken.join(F.broadcast(missing)).select("level", F.greatest("error", gap).alias("error"), F.when(gap > F.col("error"), F.col("m.name")).otherwise(F.col("worst")).alias("worst"))
+    return cells.join(F.broadcast(materialise(taken, "taken")), "level").select(*DIMENSIONS, "tokens", "keep", "weight", "error", "worst")
 
 
 def mix(
-    docs: DataFrame, topic: Column | None = None, targets=root_targets, keep_share: float = 0.5, seed: str = "mix", rounds: int = ROUNDS, doc_id: str = "doc_id", text: str = "text", source: str = "source", lang: str = "lang"
+    docs: DataFrame, topic: Column | None = None, targets=root_targets, keep_share: float = 0.5, strict: bool = True, seed: str = "mix", rounds: int = ROUNDS, doc_id: str = "doc_id", text: str = "text", source: str = "source", lang: str = "lang"
 ) -> DataFrame:
-    """``docs`` sampled to target weights, with columns mix_topic, mix_tokens and mix_p added.
+    """``docs`` sampled to target weights, with columns mix_topic, mix_tokens, mix_p, mix_size and mix_error added.
 
     ``targets`` is a function from the cells to (dimension, value, share); ``topic`` a Column of docs, ``genre`` by default.
-    mix_p is the probability by which the row was kept: what its cell gives over what it has, so the tokens expected of the
-    sample have the targets' shares as far as there are tokens for them. Null sources, languages and topics are a value of their own, "(none)". Documents
-    without tokens carry no weight and are kept with the probability of the whole (``keep_share`` if nothing has tokens). A
-    null id hashes as an empty one; rows repeated under one id and cell are kept or dropped together. An empty table gives
-    an empty one. Columns of docs that have the name of an added one are replaced by it, all others are kept.
+    mix_p is the probability by which the row was kept: what its cell gives over what it has. mix_size is the share of all tokens
+    that the sample is expected to hold, mix_error the largest difference of a value's expected share from its target. With ``strict``
+    targets that cannot be met within TOLERANCE at any size are an error that names the value; otherwise they are come as
+    near to as can be. Null sources, languages and topics are a value of their own, "(none)"; values without a target give
+    nothing. Documents without tokens carry no weight and are kept with the probability of the whole (``keep_share`` if nothing has
+    tokens). A null id hashes as an empty one; rows repeated under one id and cell are kept or dropped together. An empty
+    table gives an empty one. Columns of docs that have the name of an added one are replaced by it, all others are kept.
     """
     docs = docs.drop(*[c for c in docs.columns if c.lower() in ADDED])
     name = lambda c: F.coalesce(c.cast("string"), F.lit(NONE))
     tokens = count_tokens(F.col(text))
-    topic = genre(F.col(text), tokens) if topic is None else topic
     # the row is one column here, so that no name of its own can clash
-    rows = docs.select(F.struct("*").alias("row"), F.col(doc_id).cast("string").alias("id"), name(F.col(source)).alias("source"), name(F.col(lang)).alias("lang"), name(topic).alias("mix_topic"), tokens.alias("mix_tokens"))
+    # the row is one column here, so that no name of its own can clash; tokens are counted below what uses them
+    rows = docs.select(F.struct("*").alias("row"), F.col(doc_id).cast("string").alias("id"), name(F.col(source)).alias("source"), name(F.col(lang)).alias("lang"), tokens.alias("mix_tokens"), *([] if topic is None else [name(topic).alias("mix_topic")]))
+    rows = rows.select("row", "id", "source", "lang", (name(genre(F.col(f"row.`{text}`"), F.col("mix_tokens"))) if topic is None else F.col("mix_topic")).alias("mix_topic"), "mix_tokens")
     cells = rows.groupBy("source", "lang", F.col("mix_topic").alias("topic")).agg(F.sum("mix_tokens").alias("tokens"))
     cells = materialise(cells.where("tokens > 0"), "cells")
     raked = materialise(rake(cells, materialise(targets(cells), "targets"), keep_share, rounds), "raked")
+    missed = raked.select("error", "worst").first()
+    if strict and missed and missed.error > TOLERANCE:
+        raise ValueError(f"the targets cannot be met together: the share of {missed.worst} would be off by {missed.error:.4f}")
     given = raked.select("source", "lang", F.col("topic").alias("mix_topic"), (F.col("weight") / F.col("tokens")).alias("share"))
-    # a hot cell holds many documents and the other side one row: salted, so that no task gets a whole cell
-    salt = 16
-    given = given.select("*", F.explode(F.expr(f"sequence(0L, {salt - 1}L)")).alias("salt"))
-    rows = rows.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salt).cast("long")))
     u = F.conv(F.substring(F.md5(F.concat(F.coalesce("id", F.lit("")), F.lit(":" + seed))), 1, 8), 16, 10).cast("double") / 4294967296.0
-    whole = raked.agg(F.coalesce(F.first("keep"), F.lit(keep_share)).alias("keep"))
-    joined = rows.join(given, ["source", "lang", "mix_topic", "salt"], "left").join(F.broadcast(whole))
-    p = F.when(F.col("mix_tokens") > 0, F.coalesce("share", F.lit(0.0))).otherwise(F.col("keep"))
-    return joined.withColumn("mix_p", p).where(u < F.col("mix_p")).select("row.*", *ADDED)
+    whole = raked.agg(F.coalesce(F.first("keep"), F.lit(float(keep_share))).alias("mix_size"), F.coalesce(F.first("error"), F.lit(0.0)).alias("mix_error"))
+    if raked.count() <= FEW:
+        joined = rows.join(F.broadcast(given), ["source", "lang", "mix_topic"], "left")
+    else:
+        # a hot cell holds many documents and the other side one row: salted, so that no task gets a whole cell
+        salt = 64
+        given = given.select("*", F.explode(F.expr(f"sequence(0L, {salt - 1}L)")).alias("salt"))
+        rows = rows.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salt).cast("long")))
+        joined = rows.join(given, ["source", "lang", "mix_topic", "salt"], "left")
+    p = F.when(F.col("mix_tokens") > 0, F.coalesce("share", F.lit(0.0))).otherwise(F.col("mix_size"))
+    return joined.join(F.broadcast(whole)).withColumn("mix_p", p).where(u < F.col("mix_p")).select("row.*", *ADDED)
 
 
 def oracle_sql(rounds: int = ROUNDS, keep_share: float = 0.5, seed: str = "mix") -> str:
@@ -156,9 +191,11 @@ def oracle_sql(rounds: int = ROUNDS, keep_share: float = 0.5, seed: str = "mix")
             steps.append(f"{new} AS (SELECT * REPLACE (least(tokens, weight * (goal_{d} / sum(weight) OVER (PARTITION BY level, {d}))) AS weight) FROM {at})")
             at = new
     token = r"'[^\x09-\x0D\x20]+'"
-    has = " UNION ALL ".join(f"SELECT '{d}' AS dimension, {d} AS value, sum(tokens) AS has, sqrt(sum(tokens)) / sum(sqrt(sum(tokens))) OVER () AS target FROM cell GROUP BY {d}" for d in DIMENSIONS)
-    joins = " ".join(f"JOIN (SELECT level, value AS {d}, goal AS goal_{d} FROM goals WHERE dimension = '{d}') USING (level, {d})" for d in DIMENSIONS)
-    errors = " UNION ALL ".join(f"SELECT level, max(off) / sum(goal) AS error FROM (SELECT level, {d}, abs(sum(weight) - any_value(goal_{d})) AS off, any_value(goal_{d}) AS goal FROM {at} GROUP BY level, {d}) GROUP BY level" for d in DIMENSIONS)
+    one = lambda d: f"SELECT '{d}' AS dimension, {d} AS value, sum(tokens) AS has, least(sqrt(sum(tokens)) / sum(sqrt(sum(tokens))) OVER (), sum(tokens) * {BOOST} / sum(sum(tokens)) OVER ()) AS s FROM cell GROUP BY {d}"
+    has = " UNION ALL ".join(f"SELECT dimension, value, has, s / sum(s) OVER () AS share FROM ({one(d)})" for d in DIMENSIONS)
+    joins = " ".join(f"JOIN (SELECT value AS {d}, share AS share_{d} FROM goals WHERE dimension = '{d}') USING ({d})" for d in DIMENSIONS)
+    given = ", ".join(f"share_{d} * keep * grand AS goal_{d}" for d in DIMENSIONS)
+    errors = " UNION ALL ".join(f"SELECT level, max(off) / sum(w) AS error FROM (SELECT level, {d}, abs(sum(weight) - any_value(goal_{d})) AS off, sum(weight) AS w FROM {at} GROUP BY level, {d}) GROUP BY level" for d in DIMENSIONS)
     return f"""
 WITH t AS (
   SELECT doc_id, coalesce(source, '{NONE}') AS source, coalesce(lang, '{NONE}') AS lang, coalesce(text, '') AS t,
@@ -172,22 +209,18 @@ r AS (
   FROM t),
 cell AS (SELECT source, lang, topic, sum(tokens) AS tokens FROM r GROUP BY ALL HAVING sum(tokens) > 0),
 levels AS (SELECT unnest([{", ".join(f"{x}::DOUBLE" for x in LEVELS)}]) AS level),
-factors AS (
-  SELECT *, (level * {keep_share} * (SELECT sum(tokens) FROM cell) - coalesce(sum(has) OVER (PARTITION BY level, dimension ORDER BY has / target, value ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
-    / sum(target) OVER (PARTITION BY level, dimension ORDER BY has / target, value ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS factor
-  FROM ({has}), levels),
-goals AS (SELECT level, dimension, value, least(has, target * max(factor) OVER (PARTITION BY level, dimension)) AS goal FROM factors),
-c0 AS (
-  SELECT source, lang, topic, CAST(tokens AS DOUBLE) AS tokens, level, level * {keep_share} AS keep, goal_source, goal_lang, goal_topic, tokens * (level * {keep_share}) AS weight
-  FROM (SELECT * FROM cell, levels) {joins}),
+goals AS ({has}),
+size AS (SELECT least({keep_share}, min(has / (SELECT sum(tokens) FROM cell) / share)) AS most, (SELECT sum(tokens) FROM cell) AS grand FROM goals),
+c0 AS (SELECT source, lang, topic, CAST(tokens AS DOUBLE) AS tokens, level, level * most AS keep, {given}, tokens * (level * most) AS weight FROM (SELECT * FROM cell, levels, size) {joins}),
 {", ".join(steps)},
 worst AS (SELECT level, round(max(error), 6) AS error FROM ({errors}) GROUP BY level),
 taken AS (SELECT level FROM worst ORDER BY greatest(error, {TOLERANCE}), level DESC LIMIT 1),
 z AS (SELECT source, lang, topic, weight / tokens AS share, keep FROM {at} WHERE level = (SELECT level FROM taken)),
+w AS (SELECT coalesce(any_value(keep), {keep_share}) AS keep, coalesce((SELECT error FROM worst WHERE level = (SELECT level FROM taken)), 0) AS error FROM z),
 p AS (
   SELECT r.doc_id, r.source, r.lang, r.topic AS mix_topic, r.tokens AS mix_tokens,
-    CASE WHEN r.tokens > 0 THEN share ELSE (SELECT coalesce(any_value(keep), {keep_share}) FROM z) END AS p,
+    CASE WHEN r.tokens > 0 THEN share ELSE w.keep END AS p, w.keep AS size, w.error,
     CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':{seed}'), 1, 8) AS BIGINT) / 4294967296.0 AS u
-  FROM r LEFT JOIN z USING (source, lang, topic))
-SELECT doc_id, source, lang, mix_topic, mix_tokens, round(p, 6) AS mix_p FROM p WHERE u < p
+  FROM r LEFT JOIN z USING (source, lang, topic) CROSS JOIN w)
+SELECT doc_id, source, lang, mix_topic, mix_tokens, round(p, 6) AS mix_p, round(size, 6) AS mix_size, round(error, 4) AS mix_error FROM p WHERE u < p
 """

@@ -35,8 +35,8 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(table(spark, sf_dir, "documents"))
-    return mixed.select("doc_id", F.coalesce("source", F.lit(mixing.NONE)).alias("source"), F.coalesce("lang", F.lit(mixing.NONE)).alias("lang"), "mix_topic", "mix_tokens", F.round("mix_p", 6).alias("mix_p"))
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), strict=False)
+    return mixed.select("doc_id", F.coalesce("source", F.lit(mixing.NONE)).alias("source"), F.coalesce("lang", F.lit(mixing.NONE)).alias("lang"), "mix_topic", "mix_tokens", F.round("mix_p", 6).alias("mix_p"), F.round("mix_size", 6).alias("mix_size"), F.round("mix_error", 4).alias("mix_error"))
 
 
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
