@@ -27,6 +27,8 @@ DICTIONARY = 5
 #: Labelled findings that the forest is fitted on, at most; chosen by a hash.
 SAMPLE = 20_000
 TREES, DEPTH = 30, 6
+#: Parts of the values, each scored by a forest of the others; and labels of a kind that a forest needs at least.
+FOLDS, FEWEST = 4, 5
 NEIGHBOUR_BINS = 8
 SALTS = 16
 SPLIT = r"""[\x00-\x20"'`<>(),;\[\]{}]+"""
@@ -35,6 +37,8 @@ EDGES = r"^[.,:!?&%#*$|-]+|[.,:!?&%#*$|-]+$"
 CREDENTIAL = r"(?i)(token|passphrase|passw|passwd|pwd|secret|api_?key|apikey|access_?key|auth|bearer|credential|private_?key)"
 #: Key formats that are secrets by themselves.
 KNOWN = r"^(AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[A-Za-z0-9]{36}|^sk-[A-Za-z0-9]{20,}"
+#: What stands in manuals and examples where a secret would.
+PLACEHOLDER = r"(?i)(example|sample|placeholder|change.?me|dummy|redacted|insert|x{4,}|0{6,}|1234567|\*{3,})|^(your|my|some|the)[_-]|[_-](here|goes|name)\b"
 PASSWORD = r"(?i)(passphrase|passw|passwd|pwd|secret)[A-Za-z0-9_.-]*[=:]*$"
 SIGN = r"^(=|:|:=|=>|->)$"
 #: Where a text is cut so that the body of a private key is a piece of its own; the piece before it ends as PEM_HEAD says.
@@ -134,19 +138,30 @@ def letter_table(words: DataFrame) -> list[float]:
     return table
 
 
+def mean_transition(value: Column, logp: list[float]) -> Column:
+    """Mean log probability of all transitions of ``value``, other characters than a-z being one; UNSEEN without any."""
+    table = F.array(*[F.lit(x) for x in logp])
+    start = F.struct(F.lit(-1).alias("c"), F.lit(0.0).alias("sum"), F.lit(0).alias("n"))
+
+    def step(acc: Column, x: Column) -> Column:
+        c = F.ascii(x) - 96
+        c = F.when((c >= 1) & (c <= 26), c).otherwise(0)
+        go = acc["c"] >= 0
+        return F.struct(c.alias("c"), (acc["sum"] + F.when(go, F.get(table, acc["c"] * 27 + c)).otherwise(0.0)).alias("sum"), (acc["n"] + F.when(go, 1).otherwise(0)).alias("n"))
+
+    return F.aggregate(F.split(F.lower(value), ""), start, step, lambda acc: F.when(acc["n"] > 0, acc["sum"] / acc["n"]).otherwise(UNSEEN))
+
+
 ID = ["doc_id", "row", "pos"]
 FEATURES = ["len", "digits", "uppers", "lowers", "others", "distinct", "changes", "fluency", "coverage", "slashes", "at_sign", "dots", "scheme"] + [
-    f"{side}{i}" for side in ("b", "a") for i in range(NEIGHBOUR_BINS)
+    f"{side}{i}" for side in ("b", "a", "k") for i in range(NEIGHBOUR_BINS)
 ]
 
 
-def describe(found: DataFrame, words: DataFrame) -> DataFrame:
-    """Adds FEATURES to candidates."""
+def describe(found: DataFrame, words: DataFrame, logp: list[float] | None = None) -> DataFrame:
+    """Adds FEATURES to candidates; ``logp`` as by ``letter_table``."""
     v = F.col("value")
-    logp = F.broadcast(transitions(words))
-    chars = found.where(F.length("value") > 1).select(*ID, F.explode(pairs(F.lower("value"))).alias("pair"))
-    fluency = chars.join(logp, "pair", "left").groupBy(*ID).agg(F.avg(F.coalesce("logp", F.lit(-8.0))).alias("fluency"))
-
+    logp = letter_table(words) if logp is None else logp
     salt = F.pmod(F.xxhash64("doc_id", "pos"), F.lit(SALTS).cast("long"))
     pieces = found.select(*ID, salt.alias("salt"), F.explode(F.expr("regexp_extract_all(lower(value), '[a-z]{3,}', 0)")).alias("word"))
     known = words.select("word").join(pieces.select("word").distinct(), "word", "left_semi").select("word", F.explode(F.expr(f"sequence(0L, {SALTS - 1}L)")).alias("salt"))
@@ -165,13 +180,12 @@ def describe(found: DataFrame, words: DataFrame) -> DataFrame:
         flag(v.contains("@")).alias("at_sign"),
         F.length(F.regexp_replace("value", "[^.]", "")).cast("double").alias("dots"),
         flag(v.contains("://")).alias("scheme"),
-        *hashed("b", F.concat_ws(" ", "before2", "before")), *hashed("a", F.col("after")),
+        *hashed("b", F.concat_ws(" ", "before2", "before")), *hashed("a", F.col("after")), *hashed("k", F.col("key")),
+        mean_transition(v, logp).alias("fluency"),
     )
-    out = plain
-    for extra, name in ((fluency, "fluency"), (covered, "covered")):
-        extra = extra.select(*[F.col(c).alias(f"_{c}") for c in ID], name)
-        out = out.join(extra, (F.col("doc_id").eqNullSafe(F.col("_doc_id"))) & (F.col("row") == F.col("_row")) & (F.col("pos") == F.col("_pos")), "left").drop(*[f"_{c}" for c in ID])
-    return out.withColumn("fluency", F.coalesce("fluency", F.lit(-8.0))).withColumn("coverage", F.coalesce("covered", F.lit(0)) / F.length("value")).drop("covered")
+    covered = covered.select(*[F.col(c).alias(f"_{c}") for c in ID], "covered")
+    out = plain.join(covered, (F.col("doc_id").eqNullSafe(F.col("_doc_id"))) & (F.col("row") == F.col("_row")) & (F.col("pos") == F.col("_pos")), "left").drop(*[f"_{c}" for c in ID])
+    return out.withColumn("coverage", F.coalesce("covered", F.lit(0)) / F.length("value")).drop("covered")
 
 
 def rule_labels(found: DataFrame) -> DataFrame:
@@ -179,18 +193,67 @@ def rule_labels(found: DataFrame) -> DataFrame:
 
     1: a known key format, a mixed value that a credential's name is assigned, or a value of four characters or more that a
     password's name is assigned, in one token or, unless it is a plain word, in several. 0: addresses, numbers, dates, links,
-    and plain words that nothing is assigned.
+    placeholders, words joined to identifiers, and plain words that nothing is assigned.
     """
     v, named = F.col("value"), F.concat_ws(" ", "key", "before", "before2")
     mixed = v.rlike(r"^[A-Za-z0-9+/_=-]{12,}$") & v.rlike("[A-Za-z]") & (v.rlike("[0-9]") | (F.col("fluency") < EVEN))
     assigned = (F.length("key") > 0) | F.col("before").isin("=", ":", ":=")
     good = v.rlike(KNOWN) | (mixed & assigned & named.rlike(CREDENTIAL))
     bad = v.rlike(r"^[^@]+@[^@]+\.[A-Za-z.]+$|^[0-9.,:/+_-]+$|^[a-z]+://|^www\.")
+    bad = bad | v.rlike(PLACEHOLDER) | v.rlike("^[a-z]{2,}([_-][a-z]{2,})+$")
     bad = bad | (~assigned & v.rlike("^[A-Za-z]+$") & ((F.length("value") < 4) | ((F.col("coverage") >= 1) & (F.col("fluency") >= EVEN))))
     word = v.rlike("^[A-Za-z]+$") & (F.col("coverage") >= 1)
     spaced = F.when(F.col("before").rlike(SIGN), F.col("before2")).when(F.col("before").rlike("[=:]$"), F.col("before"))
     password = (F.length("value") >= 4) & (F.col("key").rlike(PASSWORD) | (~word & F.coalesce(spaced.rlike(PASSWORD), F.lit(False))))
-    return found.withColumn("label", F.when(good | (password & ~bad), 1).when(bad, 0))
+    return found.withColumn("label", F.when((good & ~v.rlike(PLACEHOLDER)) | (password & ~bad), 1).when(bad, 0))
+
+
+def sampled(full: DataFrame, sample: int) -> DataFrame:
+    """At most ``sample`` labelled findings, half of them of either label where there are as many, by a hash."""
+    of = lambda label: full.where(F.col("label") == label).orderBy(F.xxhash64(*ID), *ID).limit(sample // 2)
+    return of(1).unionByName(of(0)).select(*FEATURES, "fold", F.col("label").cast("double").alias("label"))
+
+
+def scored_findings(full: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """Described and labelled findings with score: of each fold by a forest of the other folds, both labels weighing the same.
+
+    Where the other folds have fewer than FEWEST findings of a label, labels stand for themselves, and findings without one, which
+    no forest has seen, are scored by a forest of all labels, or by the share of label 1 if there is one kind only (0 without any).
+    """
+    full = materialise(full.withColumn("fold", F.pmod(F.xxhash64("value"), F.lit(FOLDS)).cast("int")), "features")
+    known = materialise(sampled(full, sample), "labelled")
+    counts = {(r["fold"], int(r["label"])): r["count"] for r in known.groupBy("fold", "label").count().collect()}  # FOLDS x 2 rows
+    assemble = VectorAssembler(inputCols=FEATURES, outputCol="features")
+    total = {label: sum(n for (_, kind), n in counts.items() if kind == label) for label in (0, 1)}
+
+    def by_forest(train: DataFrame, rows: DataFrame, count: dict | None = None) -> DataFrame:
+        """Rows with score; with ``count``, the number of either label, both labels weigh the same."""
+        weight = F.when(F.col("label") == 1, 1 / count[1]).otherwise(1 / count[0]) * (sum(count.values()) / 2) if count else F.lit(1.0)
+        forest = RandomForestClassifier(labelCol="label", featuresCol="features", weightCol="weight", numTrees=TREES, maxDepth=DEPTH, seed=17)
+        model = forest.fit(assemble.transform(train.withColumn("weight", weight)))
+        return model.transform(assemble.transform(rows)).withColumn("score", vector_to_array("probability")[1]).select(*full.columns, "score")
+
+    out = None
+    for fold in range(FOLDS):
+        own = full.where(F.col("fold") == fold)
+        rest = {label: total[label] - counts.get((fold, label), 0) for label in (0, 1)}
+        if min(rest.values()) >= FEWEST:
+            part = by_forest(known.where(F.col("fold") != fold), own, rest)
+        else:
+            share = float(total[1] / max(sum(total.values()), 1))
+            part = own.where("label is not null").withColumn("score", F.col("label").cast("double"))
+            free = own.where("label is null")
+            part = part.unionByName(by_forest(known, free) if min(total.values()) else free.withColumn("score", F.lit(share)))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def labelled_findings(docs: DataFrame, labelled=rule_labels, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """All candidates of ``docs`` with FEATURES and label."""
+    words = materialise(dictionary(docs, text), "dictionary")
+    logp = letter_table(words)
+    found = materialise(findings(docs, doc_id, text, logp).dropDuplicates(ID), "findings")
+    return labelled(describe(found, words, logp))
 
 
 def scan(docs: DataFrame, labelled=rule_labels, doc_id: str = "doc_id", text: str = "text", threshold: float = 0.5, sample: int = SAMPLE) -> DataFrame:
@@ -198,24 +261,21 @@ def scan(docs: DataFrame, labelled=rule_labels, doc_id: str = "doc_id", text: st
 
     ``labelled`` is a function that adds a column label (1, 0 or null) to a table of findings, from a join with
     reviewed findings for example; the default labels by rule. ``row`` is a hash of the text. Null and empty texts have
-    no candidates; a text that occurs in several rows under one id is reported once. Without labels of both kinds the
-    score is the share of label 1 (0 without any). A finding of label 1 has score 1, be it of a kind too rare for the forest to learn. An empty table gives no rows; other columns are ignored.
+    no candidates; a text that occurs in several rows under one id is reported once. Of few labels see ``scored_findings``. An empty table gives no rows; other columns are ignored.
     """
-    words = materialise(dictionary(docs, text), "dictionary")
-    found = materialise(findings(docs, doc_id, text, letter_table(words)).dropDuplicates(ID), "findings")
-    full = materialise(labelled(describe(found, words)), "features")
-    known = full.where("label is not null").orderBy(F.xxhash64(*ID), *ID).limit(sample)
-    known = materialise(known.select(*FEATURES, F.col("label").cast("double").alias("label")), "labelled")
-    kinds = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
-    columns = ["doc_id", "row", "pos", "value", "key"]
-    if len(kinds) < 2:
-        share = float(max(kinds, default=0.0))
-        return full.select(*columns, F.lit(share).alias("score"), F.lit(share >= threshold).alias("secret"))
-    certain = F.col("label").eqNullSafe(F.lit(1))
-    assemble = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    forest = RandomForestClassifier(labelCol="label", featuresCol="features", numTrees=TREES, maxDepth=DEPTH, seed=17).fit(assemble.transform(known))
-    scored = forest.transform(assemble.transform(full)).withColumn("score", F.when(certain, 1.0).otherwise(vector_to_array("probability")[1]))
-    return scored.select(*columns, "score", (F.col("score") >= threshold).alias("secret"))
+    scored = scored_findings(labelled_findings(docs, labelled, doc_id, text), sample)
+    return scored.select("doc_id", "row", "pos", "value", "key", "score", (F.col("score") >= threshold).alias("secret"))
+
+
+def held_out_report(scored: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """(kind, labelled_1, labelled_0, recall, precision) of scored findings that have a label: how the forests, which saw none of them,
+    answer, by kind of finding: format, private key, assigned, other."""
+    kind = F.when(F.col("value").rlike(KNOWN), "format").when(F.col("key") == PEM_KEY, "private key").when((F.length("key") > 0) | F.col("before").rlike(SIGN), "assigned").otherwise("other")
+    one, yes = F.col("label") == 1, F.col("score") >= threshold
+    n = lambda c: F.count_if(c)
+    return scored.where("label is not null").groupBy(kind.alias("kind")).agg(
+        n(one).alias("labelled_1"), n(~one).alias("labelled_0"), F.try_divide(n(one & yes), n(one)).alias("recall"), F.try_divide(n(one & yes), n(yes)).alias("precision")
+    )
 
 
 def mask(docs: DataFrame, scanned: DataFrame, doc_id: str = "doc_id", text: str = "text", by: str = MASK) -> DataFrame:
