@@ -217,8 +217,8 @@ def sampled(full: DataFrame, sample: int) -> DataFrame:
 def scored_findings(full: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """Described and labelled findings with score: of each fold by a forest of the other folds, both labels weighing the same.
 
-    Where the other folds have fewer than FEWEST findings of a label, labels stand for themselves, and findings without one, which
-    no forest has seen, are scored by a forest of all labels, or by the share of label 1 if there is one kind only (0 without any).
+    Where the other folds have fewer than FEWEST findings of a label, labels stand for themselves, and for findings of the same value
+    that have none (1 before 0); the rest, which no forest has seen, are scored by a forest of all labels, or by the share of label 1 if there is one kind only (0 without any).
     """
     full = materialise(full.withColumn("fold", F.pmod(F.xxhash64("value"), F.lit(FOLDS)).cast("int")), "features")
     known = materialise(sampled(full, sample), "labelled")
@@ -241,8 +241,9 @@ def scored_findings(full: DataFrame, sample: int = SAMPLE) -> DataFrame:
             part = by_forest(known.where(F.col("fold") != fold), own, rest)
         else:
             share = float(total[1] / max(sum(total.values()), 1))
-            part = own.where("label is not null").withColumn("score", F.col("label").cast("double"))
-            free = own.where("label is null")
+            said = own.where("label is not null").groupBy("value").agg(F.max("label").cast("double").alias("said"))
+            said = own.join(said, "value", "left").withColumn("score", F.coalesce(F.col("label").cast("double"), "said")).select(*full.columns, "score")
+            part, free = said.where("score is not null"), said.where("score is null").drop("score")
             part = part.unionByName(by_forest(known, free) if min(total.values()) else free.withColumn("score", F.lit(share)))
         out = part if out is None else out.unionByName(part)
     return out
