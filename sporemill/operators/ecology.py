@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.order import numbered
+from ..functions.scratch import materialise
+from .ordination import principal_coordinates
+from .permute import Families
 
 
 def richness(counts: DataFrame) -> DataFrame:
@@ -98,23 +101,19 @@ def with_p(stat: DataFrame, value: str, keys: list[str]) -> DataFrame:
     return agg.select(*keys, F.col("_real").alias(value), ((F.col("ge") + 1) / (F.col("k") + 1)).alias("p"))
 
 
-def permanova(dist: DataFrame, groups: DataFrame, permutations: int = 999) -> DataFrame:
-    """One row (df, f, r2, p): distances explained by groups(sample, grp)."""
-    d2 = dist.select("s1", "s2", (F.col("d") * F.col("d")).alias("d2"))
-    g = groups.where("grp is not null")
-    sizes = g.agg(F.count("*").alias("n"), F.count_distinct("grp").alias("k"))
-    in_use = d2.join(g.select(F.col("sample").alias("s1")), "s1", "left_semi").join(g.select(F.col("sample").alias("s2")), "s2", "left_semi")
-    total = in_use.agg(F.sum("d2").alias("total"))
-    labels = permuted_labels(g, permutations)
-    members = labels.groupBy("perm", "grp").agg(F.count("*").alias("m"))
-    a, b = labels.select("perm", F.col("sample").alias("s1"), F.col("grp").alias("g1")), labels.select("perm", F.col("sample").alias("s2"), F.col("grp").alias("g2"))
-    within = in_use.join(a, "s1").join(b, ["perm", "s2"]).where("g1 = g2").groupBy("perm", F.col("g1").alias("grp")).agg(F.sum("d2").alias("ss"))
-    within = within.join(members, ["perm", "grp"]).groupBy("perm").agg(F.sum(F.col("ss") / F.col("m")).alias("within"))
-    f = within.join(F.broadcast(sizes)).join(F.broadcast(total)).withColumn("all", F.col("total") / F.col("n"))
-    between = F.col("all") - F.col("within")
-    stat = f.select("perm", (F.col("k") - 1).alias("df"), (between / (F.col("k") - 1) / (F.col("within") / (F.col("n") - F.col("k")))).alias("f"), (between / F.col("all")).alias("r2"))
-    out = with_p(stat, "f", [])
-    return stat.where("perm = 0").select("df", "r2").join(out).select("df", "f", "r2", "p")
+def permanovas(dist: DataFrame, members: DataFrame, permutations: int) -> DataFrame:
+    """(fam, df, f, r2, p): distances explained by each family's groups, members(fam, sample, grp)."""
+    families = Families(members, permutations)
+    w = families.within(dist).join(F.broadcast(families.sizes()), "fam").withColumn("all", F.col("total") / F.col("n"))  # a row a family
+    between, df = F.col("all") - F.col("within"), F.col("k") - 1
+    stat = w.select("fam", "perm", df.alias("df"), (between / df / (F.col("within") / (F.col("n") - F.col("k")))).alias("f"), (between / F.col("all")).alias("r2"))
+    stat = materialise(stat, "permutations")
+    return stat.where("perm = 0").select("fam", "df", "r2").join(with_p(stat, "f", ["fam"]), "fam").select("fam", "df", "f", "r2", "p")
+
+
+def permanova(dist: DataFrame, groups: DataFrame, permutations: int = 9999) -> DataFrame:
+    """One row (df, f, r2, p): distances explained by groups(sample, grp); none where no group has a distance."""
+    return permanovas(dist, groups.select(F.lit("").alias("fam"), "sample", "grp"), permutations).drop("fam")
 
 
 def centroid_distances(dist: DataFrame, groups: DataFrame) -> DataFrame:
@@ -128,18 +127,16 @@ def centroid_distances(dist: DataFrame, groups: DataFrame) -> DataFrame:
     return own.join(half, "grp").select(F.col("s1").alias("sample"), "grp", F.sqrt(F.greatest(F.col("s") / F.col("m") - F.col("h"), F.lit(0.0))).alias("z"))
 
 
-def dispersion(dist: DataFrame, groups: DataFrame, permutations: int = 999) -> DataFrame:
+def dispersion(dist: DataFrame, groups: DataFrame, permutations: int = 9999) -> DataFrame:
     """One row (f, p): do groups differ in their samples' distances to the group centroid?"""
-    z = centroid_distances(dist, groups)
-    labels = permuted_labels(z.select("sample", "grp"), permutations)
-    j = labels.join(z.select("sample", "z"), "sample")
-    per = j.groupBy("perm", "grp").agg(F.count("*").alias("m"), F.avg("z").alias("a"), F.sum(F.col("z") * F.col("z")).alias("q"))
-    t = per.groupBy("perm").agg(
-        F.sum("m").alias("n"), F.count("*").alias("k"), (F.sum(F.col("m") * F.col("a")) / F.sum("m")).alias("mean"), F.sum(F.col("m") * F.col("a") * F.col("a")).alias("b"), F.sum("q").alias("q")
-    )
-    between = F.col("b") - F.col("n") * F.col("mean") * F.col("mean")
+    z = materialise(centroid_distances(dist, groups).select(F.lit("").alias("fam"), "sample", "grp", "z"), "centroids")
+    families = Families(z, permutations)
+    per = families.sums(z.select("fam", "sample", F.col("z").alias("v"))).join(F.broadcast(families.group_sizes()), ["fam", "code"])  # a row a group
+    q = z.agg(F.sum(F.col("z") * F.col("z")).alias("q"))
+    t = per.groupBy("perm").agg(F.sum("m").alias("n"), F.count("*").alias("k"), F.sum("s").alias("s"), F.sum(F.col("s") * F.col("s") / F.col("m")).alias("b")).join(F.broadcast(q))
+    between = F.col("b") - F.col("s") * F.col("s") / F.col("n")
     stat = t.select("perm", (between / (F.col("k") - 1) / ((F.col("q") - F.col("b")) / (F.col("n") - F.col("k")))).alias("f"))
-    return with_p(stat, "f", [])
+    return with_p(materialise(stat, "permutations"), "f", [])
 
 
 def stars(p) -> object:
@@ -147,15 +144,17 @@ def stars(p) -> object:
 
 
 def pairwise_permanova(dist: DataFrame, groups: DataFrame, permutations: int = 999) -> DataFrame:
-    """(g1, g2, df, f, r2, p, adjusted, sig): PERMANOVA of each pair of groups, Bonferroni-adjusted."""
-    names = sorted(r["grp"] for r in groups.where("grp is not null").select("grp").distinct().collect())
-    pairs = [(a, b) for i, a in enumerate(names) for b in names[i + 1 :]]
-    out = None
-    for a, b in pairs:
-        one = permanova(dist, groups.where(F.col("grp").isin(a, b)), permutations).select(F.lit(a).alias("g1"), F.lit(b).alias("g2"), "*")
-        out = one if out is None else out.unionByName(one)
-    adjusted = F.least(F.lit(1.0), F.col("p") * len(pairs))
-    return out.withColumn("adjusted", adjusted).withColumn("sig", stars(adjusted))
+    """(g1, g2, df, f, r2, p, adjusted, sig): PERMANOVA of each pair of groups, all in one dataflow, Bonferroni-adjusted."""
+    g = groups.where("grp is not null").select("sample", "grp").distinct()
+    names = g.select("grp").distinct()
+    pairs = names.select(F.col("grp").alias("g1")).join(names.select(F.col("grp").alias("g2")), F.col("g1") < F.col("g2")).withColumn("fam", F.to_json(F.struct("g1", "g2")))
+    members = pairs.select("fam", F.explode(F.array("g1", "g2")).alias("grp")).join(g, "grp")
+    tests = pairs.join(permanovas(dist, members, permutations), "fam").drop("fam")
+    adjusted = F.least(F.lit(1.0), F.col("p") * F.col("_k"))
+    k = pairs.agg(F.count("*").alias("_k"))
+    a = F.col("adjusted")
+    sig = F.when(a <= 1e-4, "***").when(a <= 0.001, "**").when(a <= 0.01, "*").when(a <= 0.05, ".").otherwise("")
+    return tests.join(F.broadcast(k)).withColumn("adjusted", adjusted).withColumn("sig", sig).drop("_k")
 
 
 #: Tests of a block; blocks are what later minima are taken over.
@@ -217,18 +216,17 @@ def raup_crick(counts: DataFrame, simulations: int = 999, seed: str = "raup") ->
     return real.join(ge, ["s1", "s2"], "left").select("s1", "s2", d.alias("d"))
 
 
-def ordination(counts: DataFrame, axes: int = 2) -> DataFrame:
-    """(sample, axis1, ..): principal components of Hellinger-transformed counts; signs are arbitrary."""
-    from pyspark.ml.feature import PCA, VectorAssembler
-    from pyspark.ml.functions import vector_to_array
-
+def hellinger(counts: DataFrame) -> DataFrame:
+    """Euclidean distance of the square roots of shares."""
     t = counts.groupBy("sample").agg(F.sum("n").alias("t"))
-    h = counts.join(t, "sample").select("sample", "otu", F.sqrt(F.col("n") / F.col("t")).alias("h"))
-    otus = [r["otu"] for r in counts.select("otu").distinct().orderBy("otu").collect()]
-    wide = h.groupBy("sample").pivot("otu", otus).agg(F.first("h")).na.fill(0.0)
-    v = VectorAssembler(inputCols=[f"`{o}`" if "." in o else o for o in otus], outputCol="v").transform(wide).select("sample", "v")
-    scores = PCA(k=axes, inputCol="v", outputCol="p").fit(v).transform(v).withColumn("p", vector_to_array("p"))
-    return scores.select("sample", *[F.get("p", F.lit(i)).alias(f"axis{i + 1}") for i in range(axes)])
+    h = counts.join(t, "sample").select("otu", "sample", F.sqrt(F.col("n") / F.col("t")).alias("n"))
+    return from_shared(h, shared(h, lambda a, b: a * b), F.sum(F.col("n") * F.col("n")), lambda x, a, b: F.sqrt(F.greatest(a + b - 2 * x, F.lit(0.0))))
+
+
+def ordination(counts: DataFrame, axes: int = 2) -> DataFrame:
+    """(sample, axis1, ..): principal components of Hellinger-transformed counts, which are the principal coordinates of
+    their distances. Each axis's largest score is positive."""
+    return principal_coordinates(hellinger(counts), axes).select("sample", *[f"axis{i + 1}" for i in range(axes)])
 
 
 def group_centres(scores: DataFrame, groups: DataFrame, axes: int = 2) -> DataFrame:

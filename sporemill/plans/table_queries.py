@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.scratch import materialise
-from ..operators import ecology, reads, refdb, table, taxonomy
+from ..operators import ecology, ordination, reads, refdb, table, taxonomy
 from ..sources import scans, sinks
 from . import pipelines
 from . import views as v
@@ -233,13 +233,30 @@ PAIRWISE = """gp AS (SELECT a.grp AS g1, b.grp AS g2 FROM (SELECT DISTINCT grp F
 mem AS (SELECT g1, g2, sample, grp FROM gp JOIN g ON grp = g1 OR grp = g2),
 sz AS (SELECT g1, g2, grp, count(*) AS m FROM mem GROUP BY ALL),
 al AS (SELECT a.g1, a.g2, sum(d * d) / any_value(n) AS al, any_value(n) AS n FROM dist JOIN mem a ON a.sample = s1 JOIN mem b ON b.sample = s2 AND a.g1 = b.g1 AND a.g2 = b.g2 JOIN (SELECT g1, g2, count(*) AS n FROM mem GROUP BY ALL) c ON c.g1 = a.g1 AND c.g2 = a.g2 GROUP BY 1, 2),
-wi AS (SELECT g1, g2, sum(ss / m) AS w FROM (SELECT a.g1, a.g2, a.grp, sum(d * d) AS ss FROM dist JOIN mem a ON a.sample = s1 JOIN mem b ON b.sample = s2 AND a.g1 = b.g1 AND a.g2 = b.g2 WHERE a.grp = b.grp GROUP BY ALL) JOIN sz USING (g1, g2, grp) GROUP BY 1, 2)"""
+memr AS (SELECT g1, g2, grp, row_number() OVER (PARTITION BY g1, g2 ORDER BY grp, sample) AS r FROM mem),
+slots AS (SELECT perm, g1, g2, sample, row_number() OVER (PARTITION BY perm, g1, g2 ORDER BY md5(CAST(perm AS VARCHAR) || ':' || sample || 'perm'), sample) AS r FROM range(1, 1000) AS q(perm), mem),
+pdealt AS (SELECT perm, g1, g2, sample, grp FROM slots JOIN memr USING (g1, g2, r) UNION ALL SELECT 0, g1, g2, sample, grp FROM mem),
+pw AS (SELECT perm, g1, g2, sum(ss / m) AS w FROM (SELECT a.perm, a.g1, a.g2, a.grp, sum(d * d) AS ss FROM dist JOIN pdealt a ON a.sample = s1 JOIN pdealt b ON b.sample = s2 AND a.perm = b.perm AND a.g1 = b.g1 AND a.g2 = b.g2 WHERE a.grp = b.grp GROUP BY ALL) JOIN sz USING (g1, g2, grp) GROUP BY ALL),
+pf AS (SELECT perm, g1, g2, (al - w) / (w / (n - 2)) AS f, (al - w) / al AS r2 FROM al JOIN pw USING (g1, g2)),
+pt AS (SELECT r.g1, r.g2, r.f, r.r2, (count_if(o.f >= r.f - 1e-12) + 1) / (count(*) + 1) AS p FROM pf r JOIN pf o USING (g1, g2) WHERE r.perm = 0 AND o.perm > 0 GROUP BY ALL),
+pa AS (SELECT *, least(1, p * (SELECT count(*) FROM gp)) AS adjusted FROM pt)"""
 
 
-@query("SELECT g1, g2, CAST(1 AS BIGINT) AS df, round((al - w) / (w / (n - 2)), 6) AS f, round((al - w) / al, 6) AS r2 FROM al JOIN wi USING (g1, g2)", v.COUNTS, v.METADATA, GROUPS, BRAY, PAIRWISE)
+@query(
+    "SELECT g1, g2, CAST(1 AS BIGINT) AS df, round(f, 6) AS f, round(r2, 6) AS r2, round(p, 6) AS p, round(adjusted, 6) AS adjusted, CASE WHEN adjusted <= 1e-4 THEN '***' WHEN adjusted <= 0.001 THEN '**' WHEN adjusted <= 0.01 THEN '*' WHEN adjusted <= 0.05 THEN '.' ELSE '' END AS sig FROM pa",
+    v.COUNTS, v.METADATA, GROUPS, BRAY, PAIRWISE,
+)
 def pairwise_permanova(spark, sf_dir):
     d = materialise(ecology.bray_curtis(v.counts(spark, sf_dir)), "distances")
-    return rounded(ecology.pairwise_permanova(d, groups(spark, sf_dir), 199).select("g1", "g2", "df", "f", "r2"), "f", "r2")
+    return rounded(ecology.pairwise_permanova(d, groups(spark, sf_dir), 999), "f", "r2", "p", "adjusted")
+
+
+@query()
+def ordination_axes(spark, sf_dir):
+    """Three principal coordinates of the Bray-Curtis distances, and what each explains."""
+    d = materialise(ecology.bray_curtis(v.counts(spark, sf_dir)), "distances")
+    axes = [f"{name}{i}" for name in ("axis", "share") for i in (1, 2, 3)]
+    return rounded(ordination.principal_coordinates(d, 3), *axes, digits=5)
 
 
 def indicator_sql(permutations: int, stat: str, extra: str = "") -> tuple:
