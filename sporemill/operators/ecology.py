@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.order import numbered
 from ..functions.scratch import materialise
+from .nullmodel import raup_crick  # noqa: F401
 from .ordination import principal_coordinates
 from .permute import Families
 
@@ -196,26 +197,6 @@ def indicators(counts: DataFrame, groups: DataFrame, permutations: int = 999, ho
     return benjamini_hochberg(tests.select("otu", "grp", F.col("real").alias("stat"), "p"))
 
 
-def raup_crick(counts: DataFrame, simulations: int = 999, seed: str = "raup") -> DataFrame:
-    """Share of null communities in which a pair of samples shares at least as many OTUs as it does.
-
-    A null community has the sample's richness; OTUs are drawn without replacement, by how many samples have them
-    (exponential keys over the weight, least first), from a hash of simulation, sample and OTU.
-    """
-    weight = counts.groupBy("otu").agg(F.count("*").alias("w"))
-    rich = counts.groupBy("sample").agg(F.count("*").alias("k"))
-    sims = counts.sparkSession.range(simulations).withColumnRenamed("id", "sim")
-    u = (F.pmod(F.xxhash64("sim", "sample", "otu", F.lit(seed)), F.lit(1 << 40).cast("long")) + 1) / float((1 << 40) + 1)
-    order = Window.partitionBy("sim", "sample").orderBy(-F.log(u) / F.col("w"), "otu")
-    drawn = sims.join(rich).join(weight).withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= F.col("k")).select("sim", "sample", "otu")
-    a, b = drawn.withColumnRenamed("sample", "s1"), drawn.withColumnRenamed("sample", "s2")
-    null = a.join(b, ["sim", "otu"]).where("s1 < s2").groupBy("sim", "s1", "s2").agg(F.count("*").alias("x"))
-    real = pairs_of(counts).join(shared(counts, lambda a, b: F.lit(1)).withColumnRenamed("x", "obs"), ["s1", "s2"], "left").withColumn("obs", F.coalesce("obs", F.lit(0)))
-    ge = null.join(real, ["s1", "s2"]).where("x >= obs").groupBy("s1", "s2").agg(F.count("*").alias("ge"))
-    d = F.when(F.col("obs") == 0, 1.0).otherwise((F.coalesce("ge", F.lit(0)) + 1) / (F.lit(simulations) + 1))
-    return real.join(ge, ["s1", "s2"], "left").select("s1", "s2", d.alias("d"))
-
-
 def hellinger(counts: DataFrame) -> DataFrame:
     """Euclidean distance of the square roots of shares."""
     t = counts.groupBy("sample").agg(F.sum("n").alias("t"))

@@ -251,6 +251,12 @@ def pairwise_permanova(spark, sf_dir):
     return rounded(ecology.pairwise_permanova(d, groups(spark, sf_dir), 999), "f", "r2", "p", "adjusted")
 
 
+@query()
+def raup_crick(spark, sf_dir):
+    """Pairs of samples against null communities of the same richness."""
+    return rounded(ecology.raup_crick(v.counts(spark, sf_dir)), "d")
+
+
 @query()
 def ordination_axes(spark, sf_dir):
     """Three principal coordinates of the Bray-Curtis distances, and what each explains."""
