@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.order import numbered
 from ..functions.scratch import materialise
+from . import permute
 from .nullmodel import raup_crick  # noqa: F401
 from .ordination import principal_coordinates
 from .permute import Families
@@ -80,19 +83,6 @@ def unifrac(counts: DataFrame, tree: DataFrame, weighted: bool = False) -> DataF
     return every.join(both, ["s1", "s2"], "left").select("s1", "s2", d.alias("d"))
 
 
-def permuted_labels(groups: DataFrame, permutations: int, seed: str = "perm") -> DataFrame:
-    """(perm, sample, grp): labels dealt anew for perm 1.., perm 0 as they are. Only the labels are multiplied."""
-    g = groups.select("sample", F.col("grp"))
-    perms = g.sparkSession.range(1, permutations + 1).withColumnRenamed("id", "perm")
-    each = perms.join(g)
-    by = Window.partitionBy("perm")
-    key = F.md5(F.concat(F.col("perm").cast("string"), F.lit(":"), "sample", F.lit(seed)))
-    slots = each.select("perm", "sample", F.row_number().over(by.orderBy(key, "sample")).alias("r"))
-    labels = g.select("grp", F.row_number().over(Window.orderBy("grp", "sample")).alias("r"))  # a row a sample
-    dealt = slots.join(F.broadcast(labels), "r").select("perm", "sample", "grp")
-    return dealt.unionByName(g.select(F.lit(0).cast("long").alias("perm"), "sample", "grp"))
-
-
 def with_p(stat: DataFrame, value: str, keys: list[str]) -> DataFrame:
     """Statistics per perm to (keys, value, p): the share of permutations at least as large, the real one counted."""
     real = stat.where("perm = 0").select(*keys, F.col(value).alias("_real"))
@@ -178,22 +168,36 @@ def indicators(counts: DataFrame, groups: DataFrame, permutations: int = 999, ho
 
     "indval": sqrt(specificity * fidelity) with groups equalised; "phi": the group-equalised point-biserial correlation.
     """
-    g = groups.where("grp is not null").select("sample", "grp")
-    labels = permuted_labels(g, permutations)
-    size = labels.groupBy("perm", "grp").agg(F.count("*").alias("m"))
-    k = g.agg(F.count_distinct("grp").alias("k"))
-    per = counts.join(labels, "sample").groupBy("perm", "otu", "grp").agg(F.sum("n").alias("s"), F.sum(F.col("n") * F.col("n")).alias("q"), F.count("*").alias("c")).join(size, ["perm", "grp"])
-    per = per.withColumn("mean", F.col("s") / F.col("m"))
-    of = Window.partitionBy("perm", "otu")
-    if how == "phi":
-        per = per.join(F.broadcast(k))
-        mean, square = F.sum("mean").over(of) / F.col("k"), F.sum(F.col("q") / F.col("m")).over(of) / F.col("k")
-        stat = (F.col("mean") - mean) / F.sqrt(F.greatest(square - mean * mean, F.lit(1e-12)) * (F.col("k") - 1))
-    else:
-        stat = F.sqrt(F.col("mean") / F.sum("mean").over(of) * F.col("c") / F.col("m"))
-    best = per.select("perm", "otu", "grp", stat.alias("stat")).groupBy("perm", "otu").agg(F.max("stat").alias("stat"), F.max_by("grp", F.struct("stat", "grp")).alias("grp"))
-    real = best.where("perm = 0").select("otu", "grp", F.col("stat").alias("real"))
-    tests = real.join(best.where("perm > 0").select("otu", "stat"), "otu").groupBy("otu", "grp", "real").agg(((F.count_if(F.col("stat") >= F.col("real") - 1e-12) + 1) / (F.lit(permutations) + 1)).alias("p"))
+    families = Families(groups.select(F.lit("").alias("fam"), "sample", "grp"), permutations)
+    names, sizes = families.groups.get("", []), [int(m) for m in families.of[""][2]] if families.of else []
+    chunk = permute.CHUNK  # goes with the tasks' code
+
+    def best(own: pd.DataFrame) -> pd.DataFrame:
+        """The OTUs of a bucket in a chunk of permutations: sums of all blocks, each permutation's best group."""
+        width = min(chunk, permutations + 1 - int(own["chunk"].iloc[0]) * chunk)
+        otus = sorted({o for some in own["otus"] for o in some})
+        place = {o: i for i, o in enumerate(otus)}
+        sums = np.zeros((3, len(otus), len(sizes), width))
+        for some, b in zip(own["otus"], own["sums"]):
+            sums[:, [place[o] for o in some]] += np.frombuffer(b).reshape(3, len(some), len(sizes), width)
+        m = np.array(sizes, float)[:, None]
+        k, (s, q, c) = len(sizes), sums
+        mean = s / m
+        if how == "phi":
+            centre, square = mean.sum(1, keepdims=True) / k, (q / m).sum(1, keepdims=True) / k
+            stat = (mean - centre) / np.sqrt(np.maximum(square - centre * centre, 1e-12) * (k - 1)) if k > 1 else np.full_like(mean, np.nan)
+        else:
+            stat = np.sqrt(mean / mean.sum(1, keepdims=True) * c / m)
+        stat = np.where(c > 0, stat, -np.inf)  # a group without the OTU says nothing
+        first = k - 1 - stat[:, ::-1, 0].argmax(1)  # the later name where two are alike
+        return pd.DataFrame({"otu": otus, "chunk": own["chunk"].iloc[0], "grp": [names[i] for i in first], "best": list(stat.max(1))})
+
+    sums = families.table_sums(counts.select("otu", "sample", "n"))
+    chunks = materialise(sums.groupBy("bucket", "chunk").applyInPandas(best, "otu string, chunk long, grp string, best array<double>"), "chunks")
+    real = chunks.where("chunk = 0").select("otu", "grp", F.get("best", F.lit(0)).alias("real"))
+    ge = F.size(F.filter("best", lambda x: x >= F.col("real") - 1e-12))
+    # the real labels are permutation 0, which always counts
+    tests = chunks.select("otu", "best").join(real, "otu").groupBy("otu", "grp", "real").agg((F.sum(ge) / (F.lit(permutations) + 1)).alias("p"))
     return benjamini_hochberg(tests.select("otu", "grp", F.col("real").alias("stat"), "p"))
 
 

@@ -32,12 +32,14 @@ class Families:
             raise ValueError(f"permutation tests hold at most {MOST_MEMBERS} members")
         self.permutations, self.seed = permutations, seed
         self.of: dict[str, tuple[list, np.ndarray, np.ndarray]] = {}
+        self.groups: dict[str, list] = {}
         listed: dict[str, list] = {}
         for r in rows:
             listed.setdefault(r["fam"], []).append((r["grp"], r["sample"]))
         for fam, some in listed.items():
             some.sort()
-            _, codes, size = np.unique(np.array([g for g, _ in some], object), return_inverse=True, return_counts=True)
+            names, codes, size = np.unique(np.array([g for g, _ in some], object), return_inverse=True, return_counts=True)
+            self.groups[fam] = names.tolist()
             self.of[fam] = ([s for _, s in some], codes.astype(np.int32), size)
         self.shared = self.spark.sparkContext.broadcast(self.of)
 
@@ -129,6 +131,33 @@ class Families:
         each = self.labels().join(blocks, ["fam", "block"]).select("fam", "chunk", "v", "codes").mapInPandas(run, "fam string, chunk long, code int, s array<double>")
         return each.select("fam", "chunk", "code", F.posexplode("s").alias("_i", "s")).groupBy("fam", (F.col("chunk") * CHUNK + F.col("_i")).alias("perm"), "code").agg(F.sum("s").alias("s"))
 
+    def table_sums(self, counts: DataFrame, bucket: int = 256) -> DataFrame:
+        """(bucket, block, chunk, otus, sums) of one family's counts(otu, sample, n): for the OTUs of a bucket, sums of n, of n * n
+        and of cells over each group in each of a chunk's permutations, in the samples of a block; float64, in this order of axes:
+        kind, otu, group, permutation. About ``bucket`` OTUs, and PLACES samples, are multiplied with labels at once."""
+        at = counts.join(self.places().drop("fam"), "sample")
+        buckets = F.lit(max(1, -(-counts.select("otu").distinct().count() // bucket)))
+        cell = F.struct("otu", (F.col("at") % PLACES).cast("int").alias("i"), F.col("n").cast("double").alias("n"))
+        cells = at.groupBy(F.pmod(F.xxhash64("otu"), buckets).alias("bucket"), F.floor(F.col("at") / PLACES).alias("block")).agg(F.array_sort(F.collect_list(cell)).alias("c"))
+        cells = cells.select("bucket", "block", F.col("c.otu").alias("otu"), F.col("c.i").alias("i"), F.col("c.n").alias("n"))
+        shared, permutations = self.shared, self.permutations
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                for r in b.itertuples():
+                    ((_, _, size),) = shared.value.values()
+                    dealt = np.frombuffer(r.codes, np.int32).reshape(-1, min(CHUNK, permutations + 1 - r.chunk * CHUNK))
+                    otus, row = np.unique(np.array(r.otu, object), return_inverse=True)
+                    m = np.zeros((3, len(otus), len(dealt)))
+                    n = np.asarray(r.n, float)
+                    for kind, v in enumerate((n, n * n, np.ones(len(n)))):
+                        np.add.at(m[kind], (row, np.asarray(r.i)), v)
+                    sums = np.stack([m @ (dealt == g) for g in range(len(size))], 2)
+                    yield pd.DataFrame({"bucket": [r.bucket], "block": [r.block], "chunk": [r.chunk], "otus": [otus.tolist()], "sums": [sums.tobytes()]})
+
+        joined = cells.join(self.labels().drop("fam"), "block")
+        return joined.mapInPandas(run, "bucket long, block long, chunk long, otus array<string>, sums binary")
+
     def group_sizes(self) -> DataFrame:
         """(fam, code, m)."""
         return self.spark.createDataFrame([(fam, i, int(m)) for fam, (_, _, size) in self.of.items() for i, m in enumerate(size)], "fam string, code int, m long")

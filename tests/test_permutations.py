@@ -117,3 +117,31 @@ def test_ordination_query(spark):
     for i in range(3):
         mine = np.array([got[n][f"axis{i + 1}"] for n in names])
         assert np.abs(mine - want[:, i] * np.sign(mine @ want[:, i])).max() < 2e-5 and got[names[0]][f"share{i + 1}"] == pytest.approx(values[i] / trace, abs=1e-5)
+
+
+@pytest.mark.parametrize("places", [8, 256])
+def test_indicators_in_blocks(spark, monkeypatch, places):
+    """Against every permutation by itself; an OTU outside the groups and a sample without a group say nothing."""
+    monkeypatch.setattr(permute, "PLACES", places)
+    monkeypatch.setattr(permute, "CHUNK", 16)
+    rng = np.random.default_rng(9)
+    names, groups = [f"s{i}" for i in range(20)], [f"g{i % 2}" for i in range(20)]
+    m = rng.poisson(1.0, (6, 20)) * (1 + 3 * (rng.random((6, 1)) < 0.5) * (np.arange(20) % 2))
+    rows = [(f"o{o}", s, int(m[o, i])) for o in range(6) for i, s in enumerate(names) if m[o, i]]
+    c = spark.createDataFrame([*rows, ("o0", "x", 50), ("alone", "x", 1)], "otu string, sample string, n long")
+    g = spark.createDataFrame([*zip(names, groups), ("x", None)], "sample string, grp string")
+
+    def best(labels):
+        each = np.stack([[m[:, labels == x].mean(1), (m[:, labels == x] > 0).mean(1)] for x in ("g0", "g1")])
+        stat = np.sqrt(each[:, 0] / each[:, 0].sum(0) * each[:, 1])
+        return stat.max(0), np.where(stat[1] >= stat[0], "g1", "g0")
+
+    real, which = best(np.array(groups, object))
+    others = np.array([best(dealt(names, groups, p))[0] for p in range(1, 51)])
+    got = {r.otu: r for r in ecology.indicators(c, g, 50).collect()}
+    assert set(got) == {f"o{o}" for o in range(6)}
+    for o in range(6):
+        r = got[f"o{o}"]
+        assert r.stat == pytest.approx(real[o]) and r.grp == which[o] and r.p == pytest.approx(((others[:, o] >= real[o] - 1e-12).sum() + 1) / 51)
+    none = g.where("false")
+    assert ecology.indicators(c, none, 9).count() == 0 and ecology.indicators(c.where("false"), g, 9, "phi").count() == 0
