@@ -8,6 +8,8 @@ language, and the full length of the profile for n-grams that the language's lac
 
 from __future__ import annotations
 
+import functools
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,16 +27,16 @@ MOST_LANGUAGES = 20_000
 CHARS = 21  # bits of a code point
 
 
+@functools.cache
 def letter_table() -> np.ndarray:
-    """Code points below 0x30000: the letter itself, or 0 for what is not a letter."""
-    return np.array([i if chr(i).isalpha() else 0 for i in range(0x30000)], np.int64)
+    """All code points: the letter itself, or 0 for what is not a letter."""
+    return np.array([i if chr(i).isalpha() else 0 for i in range(sys.maxunicode + 1)], np.int64)
 
 
 def grams(text: str, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(distinct n-grams as integers, their counts) of a text."""
     s = np.frombuffer(text.lower().encode("utf-32-le", "replace"), "<u4").astype(np.int64)
-    s = np.where(s < len(letters), letters[np.minimum(s, len(letters) - 1)], 0)
-    s = np.concatenate([[0], s, [0]])
+    s = np.concatenate([[0], letters[s], [0]])
     keep = np.ones(len(s), bool)
     keep[1:] = (s[1:] != 0) | (s[:-1] != 0)  # one blank between words
     s = s[keep]
@@ -98,23 +100,28 @@ def learn_profiles(docs: DataFrame, top: int = TOP) -> dict[str, list[int]]:
 
 
 class Profiles:
-    """All profiles as one sorted table of n-grams with a row of ranks for each language."""
+    """All profiles as one sorted table of n-grams, each with its languages and the ranks that it has there."""
 
     def __init__(self, profiles: dict[str, list[int]], top: int):
         self.names, self.top = sorted(profiles), top
-        self.grams = np.unique(np.array([g for p in profiles.values() for g in p], np.int64))
-        self.rank = np.full((len(self.grams) + 1, len(self.names)), -1, np.int64)
-        for j, name in enumerate(self.names):
-            self.rank[np.searchsorted(self.grams, profiles[name]), j] = np.arange(len(profiles[name]))
+        lengths = [len(profiles[x]) for x in self.names]
+        grams = np.array([g for x in self.names for g in profiles[x]], np.int64)
+        order = np.argsort(grams, kind="stable")
+        self.grams, first = np.unique(grams[order], return_index=True)
+        self.first = np.append(first, len(grams))
+        self.language = np.repeat(np.arange(len(self.names), dtype=np.int32), lengths)[order]
+        self.rank = np.concatenate([np.arange(n, dtype=np.int32) for n in lengths] + [np.zeros(0, np.int32)])[order]
 
     def distances(self, profile: np.ndarray) -> np.ndarray:
         """Out-of-place distance to each language, as a share of the most that is possible."""
         at = np.searchsorted(self.grams, profile)
         at[at == len(self.grams)] = 0
-        at = np.where(self.grams[at] == profile, at, len(self.grams))
-        rank = self.rank[at]
-        far = np.where(rank < 0, self.top, np.abs(rank - np.arange(len(profile))[:, None]))
-        return far.sum(0) / (self.top * len(profile))
+        place = np.flatnonzero(self.grams[at] == profile)
+        first, n = self.first[at[place]], self.first[at[place] + 1] - self.first[at[place]]
+        posting = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+        nearer = self.top - np.abs(self.rank[posting] - np.repeat(place, n))
+        most = self.top * len(profile)
+        return (most - np.bincount(self.language[posting], nearer, len(self.names))) / most
 
     def predict(self, profile: np.ndarray) -> tuple[str, float]:
         """(language, score): ties go to the first name; the score is the nearness of the best among all nearnesses, sharpened."""

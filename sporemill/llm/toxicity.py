@@ -1,6 +1,6 @@
 """Toxicity by noisy-channel deobfuscation.
 
-A writer hides a word by look-alike characters ("1d10t"), separators ("i.d.i.o.t", "i d i o t") and repetition
+A writer hides a word by look-alike characters ("1d10t"), separators ("i.d.i.o.t", "i d i o t", "id i ot") and repetition
 ("idiooot"). Suspicious tokens, and runs of single characters, become lattices: each position lists the letters that
 may have been meant, with the channel's cost; length does not matter. A Viterbi search under a character trigram model, counted over all
 documents, picks the likeliest letters. Restored and plain words are then scored by a lexicon of words and word
@@ -39,11 +39,15 @@ BEAM = 24
 BEGINNINGS = (4, 5, 6)
 #: Letters that a word within a run of single letters has at least.
 INSIDE = 4
+#: Letters of a piece that shows a word to be split; at least half of the pieces are as short.
+SHORT = 2
+#: A token mostly of digits that would spell more letters than this is a number or a hash.
+SPELT_BY_DIGITS = 12
 LEAST_DOCUMENTS = 3
 PRECISION = 0.7
 
 EDGE = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum()) + "«»“”„‘’…¿¡–—"
-SUSPICIOUS = re.compile(r"[^\W\d_][%s]+[^\W\d_]|^[01345789@$|+(][^\W\d_]|[^\W\d_][01345789@$|(]+$|([^\W\d_])\1\1|([^\W\d_])\2([^\W\d_])\3([^\W\d_])\4" % re.escape("".join(LOOKALIKE) + SEPARATORS))
+SUSPICIOUS = re.compile(r"[^\W\d_][{0}]|[{0}][^\W\d_]|([^\W\d_])\1\1|([^\W\d_])\2([^\W\d_])\3([^\W\d_])\4".format(re.escape("".join(LOOKALIKE) + SEPARATORS)))
 PARTS = re.compile("[%s]+" % re.escape(SEPARATORS))
 ADDRESS = re.compile(r"://|^www\.|.@.")
 #: One letter for all that a look-alike may stand for; ``l`` and ``i`` share theirs.
@@ -122,7 +126,9 @@ class Decoder:
 
 
 def suspicious(word: str) -> bool:
-    return len(word) > 2 and SUSPICIOUS.search(word) is not None and sum(map(str.isdigit, word)) <= max(2, len(word) // 2 + 1)
+    if SUSPICIOUS.search(word) is None:
+        return False
+    return sum(map(str.isdigit, word)) <= max(2, len(word) // 2 + 1) or len(canonical(word)) <= SPELT_BY_DIGITS
 
 
 def spelled(word: str) -> bool:
@@ -212,8 +218,27 @@ def spaced(codes: np.ndarray, lengths: np.ndarray, bares: list[str], least: int
     return out
 
 
-def each_row(text: pa.Array, decoder: Decoder, word_value, run_value, word_may=bool, run_may=bool) -> list[tuple[int, object]]:
-    """(row, value) for the words and the runs of letters of each row, plain and restored, where there is a value.
+def pieced(codes: np.ndarray, lengths: np.ndarray, bares: list[str], lexicon: Lexicon) -> list[tuple[int, str]]:
+    """(row, joined tokens) where tokens that follow one another spell a long word of the lexicon, look-alikes counted as
+    letters, and at least half of them have SHORT letters or fewer."""
+    if len(codes) < 2 or not lexicon.long:
+        return []
+    same = [w.translate(SAME) if len(w) < lexicon.longest else "" for w in bares]
+    opens, inner = (np.array([w in known for w in same], bool) for known in (lexicon.openings, lexicon.pieces))
+    row = np.repeat(np.arange(len(lengths)), lengths)
+    out = []
+    for i in np.flatnonzero(opens[codes[:-1]] & inner[codes[1:]] & (row[:-1] == row[1:])).tolist():
+        joined, short, j = same[codes[i]], int(len(same[codes[i]]) <= SHORT), i + 1
+        while j < len(codes) and row[j] == row[i] and inner[codes[j]] and len(joined) < lexicon.longest:
+            joined, short, j = joined + same[codes[j]], short + (len(same[codes[j]]) <= SHORT), j + 1
+            if joined in lexicon.long and 2 * short >= j - i:
+                out.append((int(row[i]), "".join(bares[c] for c in codes[i:j])))
+    return out
+
+
+def each_row(text: pa.Array, decoder: Decoder, word_value, run_value, word_may=bool, run_may=bool, lexicon: Lexicon | None = None) -> list[tuple[int, object]]:
+    """(row, value) for the words and the runs of letters of each row, plain and restored, where there is a value; with a
+    lexicon also for its words that are split in pieces.
 
     Each distinct token of the piece is read once, each run where it stands.
     """
@@ -235,6 +260,10 @@ def each_row(text: pa.Array, decoder: Decoder, word_value, run_value, word_may=b
     for r, joined in spaced(codes, lengths, bares):
         if run_may(canonical(joined)) and (v := run_value(decoder.decode(joined))):
             out.append((r, v))
+    for r, joined in pieced(codes, lengths, bares, lexicon) if lexicon else ():
+        w = joined if joined in lexicon.whole else decoder.decode(joined)
+        if w in lexicon.whole:
+            out.append((r, word_value(w)))
     return out
 
 
@@ -316,6 +345,10 @@ class Lexicon:
         self.whole = {f: p for f, p in features.items() if not f.endswith("-")}
         self.start = {f[:-1]: p for f, p in features.items() if f.endswith("-")}
         self.lengths = sorted({len(f) for f in self.whole if len(f) >= INSIDE})
+        self.long = {f.translate(SAME) for f in self.whole if len(f) >= INSIDE}
+        self.longest = max(map(len, self.long), default=0)
+        self.openings = {f[:i] for f in self.long for i in range(1, len(f))}
+        self.pieces = {f[i:j] for f in self.long for i in range(1, len(f)) for j in range(i + 1, len(f) + 1)}
         self.forms = {canonical(f) for f in self.whole}
         self.start_forms = {canonical(f) for f in self.start}
         self.inner_forms = {canonical(f) for f in self.whole if len(f) >= INSIDE} | self.start_forms
@@ -393,7 +426,7 @@ def scorer(features: dict, rest: float, decoder: Decoder):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in slices(batches):
             score, words = [rest] * rows.num_rows, [None] * rows.num_rows
-            for r, (p, w) in each_row(rows["text"], decoder, lexicon.word, lexicon.run, lexicon.word_may, lexicon.run_may):
+            for r, (p, w) in each_row(rows["text"], decoder, lexicon.word, lexicon.run, lexicon.word_may, lexicon.run_may, lexicon):
                 if (p, w) > (score[r] if words[r] else 0.0, words[r] or ""):
                     score[r], words[r] = p, w
             yield pa.RecordBatch.from_arrays([rows["doc_id"], rows["held_out"], pa.array(score, pa.float64()), pa.array(words, pa.string())], names=["doc_id", "held_out", "score", "worst"])

@@ -430,9 +430,9 @@ def test_language(spark, docs):
     got = langid.identify_languages(docs, queries.remainder(5) != 0).join(docs.select("doc_id", "lang"), "doc_id").collect()
     held = [r for r in got if r.held_out]
     assert sum(r.lang == r.lang_pred for r in held) / len(held) > 0.95 and all(0 <= r.score <= 1 for r in got)
-    df, rows = odd_documents(spark, [(30, "12 34 !!"), (31, "\U0001f600")])
+    df, rows = odd_documents(spark, [(30, "12 34 !!"), (31, "\U0001f600"), (32, "\U00030000\U00030001\U00030002")])
     by = {r.doc_id: r for r in langid.identify_languages(df, queries.remainder(5) != 0).collect()}
-    assert {i for i, r in by.items() if r.lang_pred == "und"} == {1, 2, 3, 30, 31} and by[4].lang_pred == "en"
+    assert {i for i, r in by.items() if r.lang_pred == "und"} == {1, 2, 3, 30, 31} and by[4].lang_pred == "en"  # 32 has letters
     assert {r.lang_pred for r in langid.identify_languages(df, F.lit(False)).collect()} == {"und"}
     assert langid.identify_languages(empty(spark), F.lit(True)).count() == 0
 
@@ -573,12 +573,12 @@ def test_network_learns_and_is_calibrated():
 def test_toxicity(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
-    hidden = spark.createDataFrame([(10**6 + i, f"of the {w} and on") for i, w in enumerate(["idiot", "1d10t", "i.d.i.o.t", "i d i o t", "idiooot", "IDIOT!!", "of"])], "doc_id long, text string")
+    hidden = spark.createDataFrame([(10**6 + i, f"of the {w} and on") for i, w in enumerate(["idiot", "1d10t", "i.d.i.o.t", "i d i o t", "idiooot", "IDIOT!!", "1d107", "1.d.1.0.7", "id i ot", "1d 1 ot", "of", "id", "i ot"])], "doc_id long, text string")
     got = toxicity.toxicity_scores(docs.select("doc_id", "text").union(hidden), labels, queries.remainder(4) != 2)
     right, rows = accuracy(got, labels, "toxic")
     assert right > 0.9 and not any(r.predicted and not r.toxic for r in rows) or right > 0.93
     found = {r.doc_id - 10**6: r.predicted for r in got.where(f"doc_id >= {10**6}").collect()}
-    assert [found[i] for i in range(7)] == [1, 1, 1, 1, 1, 1, 0]
+    assert [found[i] for i in range(13)] == [1] * 10 + [0] * 3
     df, known = odd_documents(spark)
     some = labels_of(spark, [(i, 1, i % 2) for i in range(1, 8)])
     got = toxicity.toxicity_scores(df, some, F.lit(True)).collect()
@@ -586,8 +586,8 @@ def test_toxicity(spark):
     assert toxicity.toxicity_scores(empty(spark), labels_of(spark, []), F.lit(True)).count() == 0
 
 
-HIDDEN = ["nonsensically", "n.o.n.s.e.n.s.i.c.a.l.l.y", "n o n s e n s i c a l l y", "nonse" + "n" * 40 + "sically", "n0n5en$ic4lly", "(n-o-n-s-e-n-s-i-c-a-l-l-y)!", "drat", "d r a t", "dr@t", "d.r.4.t", "hex", "h3x", "h.e.x", "h e x", "he" + "x" * 99, "so/nonsensically/so"]
-PLAIN = ["sensible", "n o n e s u c h", "drab", "h.o.w", "hexagon", "nonsense", "1234567890", "----", "-. -. -.", "a b c"]
+HIDDEN = ["nonsensically", "n.o.n.s.e.n.s.i.c.a.l.l.y", "n o n s e n s i c a l l y", "nonse" + "n" * 40 + "sically", "n0n5en$ic4lly", "(n-o-n-s-e-n-s-i-c-a-l-l-y)!", "drat", "d r a t", "dr@t", "d.r.4.t", "hex", "h3x", "h.e.x", "h e x", "he" + "x" * 99, "so/nonsensically/so", "dr at", "d r4 t", "non sens ic al ly", "n0 n53n51 c4 lly"]
+PLAIN = ["sensible", "n o n e s u c h", "drab", "h.o.w", "hexagon", "nonsense", "1234567890", "----", "-. -. -.", "a b c", "non sensically", "dra", "at dr", "dr4t7f3907e5c3b1890", "he x", "1.d.1"]
 
 
 def lexicon_of():
@@ -654,6 +654,12 @@ def test_toxicity_against_brute_force(spark):
                         continue
                 if not toxicity.ADDRESS.search(w):
                     todo += [x for x in parts if len(x) > 2 and x != w]
+        plain = [toxicity.bare(toxicity.plain_lower(t)) or toxicity.plain_lower(t) for t in words(text)]
+        for i in range(len(plain)):
+            for j in range(i + 2, min(len(plain), i + 24) + 1):
+                w, long = "".join(plain[i:j]), {w.translate(toxicity.SAME) for w in whole if len(w) >= 4}
+                if w.translate(toxicity.SAME) in long and 2 * sum(len(x) <= 2 for x in plain[i:j]) >= j - i:
+                    found.append(whole.get(decoder.decode(w), 0) if w not in whole else best(w, False))
         return max(found) or rest
 
     known = {r.doc_id: r.text for r in some.collect()}
