@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,8 +39,6 @@ BEAM = 24
 BEGINNINGS = (4, 5, 6)
 #: Letters that a word within a run of single letters has at least.
 INSIDE = 4
-#: Letters of a piece that shows a word to be split; at least half of the pieces are as short.
-SHORT = 2
 #: A token mostly of digits that would spell more letters than this is a number or a hash.
 SPELT_BY_DIGITS = 12
 LEAST_DOCUMENTS = 3
@@ -220,7 +218,7 @@ def spaced(codes: np.ndarray, lengths: np.ndarray, bares: list[str], least: int
 
 def pieced(codes: np.ndarray, lengths: np.ndarray, bares: list[str], lexicon: Lexicon) -> list[tuple[int, str]]:
     """(row, joined tokens) where tokens that follow one another spell a long word of the lexicon, look-alikes counted as
-    letters, and at least half of them have SHORT letters or fewer."""
+    letters, and most of them are no words of documents with label 0."""
     if len(codes) < 2 or not lexicon.long:
         return []
     same = [w.translate(SAME) if len(w) < lexicon.longest else "" for w in bares]
@@ -228,10 +226,10 @@ def pieced(codes: np.ndarray, lengths: np.ndarray, bares: list[str], lexicon: Le
     row = np.repeat(np.arange(len(lengths)), lengths)
     out = []
     for i in np.flatnonzero(opens[codes[:-1]] & inner[codes[1:]] & (row[:-1] == row[1:])).tolist():
-        joined, short, j = same[codes[i]], int(len(same[codes[i]]) <= SHORT), i + 1
+        joined, strange, j = same[codes[i]], int(same[codes[i]] not in lexicon.ordinary), i + 1
         while j < len(codes) and row[j] == row[i] and inner[codes[j]] and len(joined) < lexicon.longest:
-            joined, short, j = joined + same[codes[j]], short + (len(same[codes[j]]) <= SHORT), j + 1
-            if joined in lexicon.long and 2 * short >= j - i:
+            joined, strange, j = joined + same[codes[j]], strange + (same[codes[j]] not in lexicon.ordinary), j + 1
+            if joined in lexicon.long and 2 * strange > j - i:
                 out.append((int(row[i]), "".join(bares[c] for c in codes[i:j])))
     return out
 
@@ -338,10 +336,24 @@ def feature_lists(wanted: dict):
     return run
 
 
+def ordinary_pieces(features: dict[str, float]):
+    """Which pieces of the lexicon's words are words of documents with label 0, look-alikes as letters."""
+    lexicon = Lexicon(features)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            have = {w for label, words in zip(rows["label"].to_pylist(), rows["words"].to_pylist()) if not label > 0 for w in words if len(w) < lexicon.longest}
+            same = {w.translate(SAME) for w in have}
+            yield pa.RecordBatch.from_arrays([pa.array(sorted(same & (lexicon.openings | lexicon.pieces)), pa.string())], names=["piece"])
+
+    return run
+
+
 class Lexicon:
-    """Features with their precision, looked up in words and in runs of letters."""
+    """Features with their precision, looked up in words and in runs of letters; ``ordinary`` are pieces that are words."""
 
-    def __init__(self, features: dict[str, float]):
+    def __init__(self, features: dict[str, float], ordinary: Iterable[str] = ()):
+        self.ordinary = frozenset(ordinary)
         self.whole = {f: p for f, p in features.items() if not f.endswith("-")}
         self.start = {f[:-1]: p for f, p in features.items() if f.endswith("-")}
         self.lengths = sorted({len(f) for f in self.whole if len(f) >= INSIDE})
@@ -377,8 +389,9 @@ class Lexicon:
         return max(best, default=None)
 
 
-def learn_lexicon(sample: DataFrame, decoder: Decoder) -> tuple[dict[str, float], float]:
-    """({feature: precision}, rate of label 1 where no feature occurs), from the labelled sample.
+def learn_lexicon(sample: DataFrame, decoder: Decoder) -> tuple[dict[str, float], float, list[str]]:
+    """({feature: precision}, rate of label 1 where no feature occurs, pieces of features that are words), from the
+    labelled sample.
 
     Near copies count once. A feature must be precise, and either frequent among the documents of label 1 or needed to
     explain documents that better features leave unexplained; words that merely stand beside toxic ones are neither.
@@ -417,11 +430,13 @@ def learn_lexicon(sample: DataFrame, decoder: Decoder) -> tuple[dict[str, float]
             kept[f] = precision[f]
             covered |= by_feature[f]
     without = [label > 0 for label, have in zip(lists["label"], lists["have"]) if not kept.keys() & set(have)]
-    return {names[f]: float(p) for f, p in kept.items()}, (sum(without) + 0.5) / (len(without) + 10)
+    features = {names[f]: float(p) for f, p in kept.items()}
+    pieces = once.mapInArrow(ordinary_pieces(features), "piece string").distinct().orderBy("piece").toPandas()
+    return features, (sum(without) + 0.5) / (len(without) + 10), pieces["piece"].tolist()
 
 
-def scorer(features: dict, rest: float, decoder: Decoder):
-    lexicon = Lexicon(features)
+def scorer(features: dict, rest: float, decoder: Decoder, ordinary: Iterable[str] = ()):
+    lexicon = Lexicon(features, ordinary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in slices(batches):
@@ -446,7 +461,7 @@ def toxicity_scores(
     """
     source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     decoder = learn_characters(source)
-    lexicon, rest = learn_lexicon(labelled_sample(docs, labels, label, learn, doc_id, text, sample), decoder)
+    lexicon, rest, ordinary = learn_lexicon(labelled_sample(docs, labels, label, learn, doc_id, text, sample), decoder)
     rows = source.select("doc_id", (~F.coalesce(learn, F.lit(False))).alias("held_out"), "text")
-    scored = rows.mapInArrow(scorer(lexicon, rest, decoder), f"doc_id {type_of(source, 'doc_id')}, held_out boolean, score double, worst string")
+    scored = rows.mapInArrow(scorer(lexicon, rest, decoder, ordinary), f"doc_id {type_of(source, 'doc_id')}, held_out boolean, score double, worst string")
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

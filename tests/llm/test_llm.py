@@ -586,8 +586,8 @@ def test_toxicity(spark):
     assert toxicity.toxicity_scores(empty(spark), labels_of(spark, []), F.lit(True)).count() == 0
 
 
-HIDDEN = ["nonsensically", "n.o.n.s.e.n.s.i.c.a.l.l.y", "n o n s e n s i c a l l y", "nonse" + "n" * 40 + "sically", "n0n5en$ic4lly", "(n-o-n-s-e-n-s-i-c-a-l-l-y)!", "drat", "d r a t", "dr@t", "d.r.4.t", "hex", "h3x", "h.e.x", "h e x", "he" + "x" * 99, "so/nonsensically/so", "dr at", "d r4 t", "non sens ic al ly", "n0 n53n51 c4 lly"]
-PLAIN = ["sensible", "n o n e s u c h", "drab", "h.o.w", "hexagon", "nonsense", "1234567890", "----", "-. -. -.", "a b c", "non sensically", "dra", "at dr", "dr4t7f3907e5c3b1890", "he x", "1.d.1"]
+HIDDEN = ["nonsensically", "n.o.n.s.e.n.s.i.c.a.l.l.y", "n o n s e n s i c a l l y", "nonse" + "n" * 40 + "sically", "n0n5en$ic4lly", "(n-o-n-s-e-n-s-i-c-a-l-l-y)!", "drat", "d r a t", "dr@t", "d.r.4.t", "hex", "h3x", "h.e.x", "h e x", "he" + "x" * 99, "so/nonsensically/so", "dr at", "d r4 t", "non sens ic al ly", "n0 n53n51 c4 lly", "non sensically"]
+PLAIN = ["sensible", "n o n e s u c h", "drab", "h.o.w", "hexagon", "nonsense", "1234567890", "----", "-. -. -.", "a b c", "the rapist", "dra", "at dr", "dr4t7f3907e5c3b1890", "he x", "1.d.1"]
 
 
 def lexicon_of():
@@ -604,7 +604,7 @@ def decoder_of(texts):
 def test_hidden_words_of_any_length(texts):
     decoder = decoder_of(list(texts.values()) + ["nonsensically drat hex sensible"] * 50)
     lexicon = lexicon_of()
-    score = toxicity.scorer({"nonsensically": 0.9, "drat": 0.8, "hex": 0.7}, 0.1, decoder)
+    score = toxicity.scorer({"nonsensically": 0.9, "drat": 0.8, "hex": 0.7, "therapist": 0.9}, 0.1, decoder, ["the", "rapist"])
     letters = " ".join("weallknowthatyouaresonontrivially" * 9)
     more = [letters + " d r a t " + letters, "x " * 3000 + "n o n s e n s i c a l l y " + "y " * 3000, "q" * 200_000 + " h3x"]
     every = [f"of the {w} and on" for w in HIDDEN + PLAIN] + more + ["", None]
@@ -622,7 +622,7 @@ def test_toxicity_against_brute_force(spark):
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
     learn = queries.remainder(4) != 2
     decoder = toxicity.learn_characters(some)
-    features, rest = toxicity.learn_lexicon(labelled.labelled_sample(some, labels, "toxic", learn), decoder)
+    features, rest, ordinary = toxicity.learn_lexicon(labelled.labelled_sample(some, labels, "toxic", learn), decoder)
     whole = {f: p for f, p in features.items() if f[-1] != "-"}
     begin = {f[:-1]: p for f, p in features.items() if f[-1] == "-"}
 
@@ -658,7 +658,7 @@ def test_toxicity_against_brute_force(spark):
         for i in range(len(plain)):
             for j in range(i + 2, min(len(plain), i + 24) + 1):
                 w, long = "".join(plain[i:j]), {w.translate(toxicity.SAME) for w in whole if len(w) >= 4}
-                if w.translate(toxicity.SAME) in long and 2 * sum(len(x) <= 2 for x in plain[i:j]) >= j - i:
+                if w.translate(toxicity.SAME) in long and 2 * sum(x.translate(toxicity.SAME) not in ordinary for x in plain[i:j]) > j - i:
                     found.append(whole.get(decoder.decode(w), 0) if w not in whole else best(w, False))
         return max(found) or rest
 
