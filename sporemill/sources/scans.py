@@ -1,6 +1,7 @@
 """Scans: sequence files, sheets, count tables, hit and classifier results, as DataFrames.
 
-All go through Spark's own readers, so any path that Spark can open works. Bad rows are kept with a reason where the
+All but FASTQ go through Spark's own readers, so any path that Spark can open works; FASTQ is listed by Spark and read in byte
+ranges through ``open`` or Arrow's file systems. Bad rows are kept with a reason where the
 format allows it.
 """
 
@@ -10,7 +11,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import seq
+from ..functions.scratch import materialise
 from ..operators import taxonomy
+from . import ranges
 
 
 def fasta(spark: SparkSession, path: str) -> DataFrame:
@@ -21,27 +24,25 @@ def fasta(spark: SparkSession, path: str) -> DataFrame:
     return raw.where("trim(v) <> ''").select("source", F.split(head, r"\s+").getItem(0).alias("id"), head.alias("description"), body.alias("seq"))
 
 
-def fastq(spark: SparkSession, path: str) -> DataFrame:
-    """(source, rec_no, read_id, title, seq, qual, reason) of four-line FASTQ, plain or compressed.
+def fastq(spark: SparkSession, path: str, numbered: bool = True, range_bytes: int = ranges.RANGE) -> DataFrame:
+    """(source, rec_no, read_id, title, seq, qual, reason) of four-line FASTQ, plain, gzip or block gzip.
 
-    Lines are numbered within a file by byte order of Spark's splits: Spark cuts plain files at line ends, and a record
-    is four lines from the file's start on, so lines are counted per split first and records are then put together by
-    number. The quality may begin with @ without harm. reason: malformed, or null.
+    Plain files and block gzip are read in byte ranges, other gzip as one piece a file; records are not shuffled. Their
+    numbers within a file follow from the records of each range, counted in a pass before; without ``numbered`` there is
+    no such pass and no rec_no. The quality may begin with @ without harm. reason: malformed, or null.
     """
-    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("source"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), F.regexp_replace("value", r"\r$", "").alias("line"))
-    by_block = Window.partitionBy("source", "block").orderBy("at")
-    numbered = lines.withColumn("i", F.row_number().over(by_block) - 1)
-    sizes = lines.groupBy("source", "block").agg(F.count("*").alias("n"))
-    before = sizes.alias("a").join(sizes.alias("b"), (F.col("a.source") == F.col("b.source")) & (F.col("b.block") < F.col("a.block")), "left")
-    before = before.groupBy(F.col("a.source").alias("source"), F.col("a.block").alias("block")).agg(F.coalesce(F.sum("b.n"), F.lit(0)).alias("first"))
-    each = numbered.join(before, ["source", "block"]).withColumn("k", F.col("first") + F.col("i"))
-    pick = lambda j: F.max(F.when(F.col("k") % 4 == j, F.col("line")))
-    r = each.groupBy("source", F.floor(F.col("k") / 4).alias("rec_no")).agg(pick(0).alias("h"), pick(1).alias("seq"), pick(2).alias("plus"), pick(3).alias("qual"))
+    cut = ranges.ranges_of(spark, path, range_bytes)
+    r = ranges.records(cut).withColumns({c: F.regexp_replace(c, r"\r$", "") for c in ("h", "seq", "plus", "qual")})
+    if numbered:
+        sizes = materialise(ranges.counts(cut), "range-sizes")  # a row a range
+        before = F.coalesce(F.sum("n").over(Window.partitionBy("source").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        first = sizes.select("source", "start", before.alias("first"))
+        r = r.join(first, ["source", "start"]).withColumn("rec_no", F.col("first") + F.col("i"))
     r = r.where("h <> '' or seq is not null")
     good = F.startswith("h", F.lit("@")) & F.startswith("plus", F.lit("+")) & (F.length("seq") == F.length("qual"))
     title = F.regexp_replace("h", "^@", "")
     reason = F.when(F.coalesce(good, F.lit(False)), None).otherwise("malformed").cast("string")
-    return r.select("source", "rec_no", F.split(title, r"\s+").getItem(0).alias("read_id"), title.alias("title"), "seq", "qual", reason.alias("reason"))
+    return r.select("source", *["rec_no"] * numbered, F.split(title, r"\s+").getItem(0).alias("read_id"), title.alias("title"), "seq", "qual", reason.alias("reason"))
 
 
 def pairs(first: DataFrame, second: DataFrame, index: DataFrame | None = None, source_key=lambda c: F.regexp_replace(c, "_(R[12]|I1)(?=[_.])", "")) -> DataFrame:
