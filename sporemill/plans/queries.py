@@ -395,4 +395,4 @@ def unifrac(spark, sf_dir):
 
 ORACLE_SQL["unifrac"] = f"WITH {v.COUNTS}, {v.RANKS}" + UNIFRAC_SQL
 
-from . import distant_queries, longread_queries, read_queries, table_queries, variant_queries  # noqa: E402, F401  (they register themselves)
+from . import classify_queries, distant_queries, longread_queries, read_queries, table_queries, variant_queries  # noqa: E402, F401  (they register themselves)
