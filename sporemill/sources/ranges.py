@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of a range, and of text held at once.
 RANGE, PIECE = 64 << 20, 1 << 20
+#: Other codecs by the end of a name; such a file is one piece, as gzip without blocks is.
+CODECS = {".bz2": "bz2", ".zst": "zstd", ".lz4": "lz4"}
 #: How a block of block gzip begins; its length less one follows.
 BLOCK = bytes.fromhex("1f8b0804")
 SCHEMA = "source string, start long, i long, h string, seq string, plus string, qual string"
@@ -64,13 +66,14 @@ class Text:
         self.f, self.size = opened(path), size
         head = self.f.read(18)
         self.blocks = block_size(head) is not None
-        self.stream = head[:2] == b"\x1f\x8b" and not self.blocks  # one run of text: only range 0 reads it
+        self.codec = CODECS.get(path[path.rfind(".") :].lower())
+        self.stream = self.codec is not None or head[:2] == b"\x1f\x8b" and not self.blocks  # one run of text: only range 0 reads it
         self.f.seek(0)
 
     def pieces(self, start: int, stop: int) -> Iterator[bytes]:
         if self.stream:
             if start == 0:
-                with gzip.open(self.f) as g:
+                with pa.CompressedInputStream(self.f, self.codec) if self.codec else gzip.open(self.f) as g:
                     while piece := g.read(PIECE):
                         yield piece
         elif self.blocks:

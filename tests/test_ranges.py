@@ -1,8 +1,10 @@
+import bz2
 import gzip
 import random
 import struct
 import zlib
 
+import pyarrow as pa
 import pytest
 
 from sporemill.sources import scans
@@ -58,6 +60,10 @@ def test_gzip_members_and_line_ends(spark, tmp_path, text):
     (tmp_path / "c.fastq.gz").write_bytes(gzip.compress(text[:half].encode()) + gzip.compress(text[half:].encode()))
     (tmp_path / "empty.fastq").write_text("")
     assert read(spark, tmp_path, 5000)[0] == records_of(text)
+    for codec in ("bz2", "zstd"):
+        packed = pa.compress(text.encode(), codec, asbytes=True) if codec == "zstd" else bz2.compress(text.encode())
+        (tmp_path / f"g.fastq.{codec[:3]}").write_bytes(packed)
+        assert read(spark, tmp_path / f"g.fastq.{codec[:3]}", 9000)[0] == records_of(text)
     (tmp_path / "d.fastq").write_bytes(text.replace("\n", "\r\n").encode())
     assert read(spark, tmp_path / "d.fastq", 7000)[0] == records_of(text)
 
