@@ -107,10 +107,10 @@ def clean_table(spark, sf_dir):
 
 @query("SELECT sample, treatment, otu, n FROM counts JOIN metadata USING (sample)", v.COUNTS, v.METADATA)
 def metadata_by_otu(spark, sf_dir):
-    """Sample rows with a column for every OTU, turned back to cells."""
-    wide = sinks.metadata_by_otu(v.metadata(spark, sf_dir), v.counts(spark, sf_dir))
-    otus = [c for c in wide.columns if c not in ("sample", "treatment")]
-    return wide.unpivot(["sample", "treatment"], [F.col(f"`{o}`") for o in otus], "otu", "n").where("n > 0")
+    """Sample rows with a value for every OTU, turned back to cells."""
+    wide, header = sinks.metadata_by_otu(v.metadata(spark, sf_dir), v.counts(spark, sf_dir))
+    cells = wide.select("sample", "treatment", F.posexplode("values").alias("at", "n")).where("n > 0")
+    return cells.join(header, F.col("at") + 1 == F.col("place")).select("sample", "treatment", "otu", "n")
 
 
 @query("SELECT DISTINCT 'lacking' AS what, sample FROM counts WHERE sample NOT LIKE '%1' UNION ALL SELECT 'twice', sample FROM metadata WHERE sample LIKE '%3'", v.COUNTS, v.METADATA)

@@ -106,3 +106,12 @@ def test_statistics_against_numpy(spark):
     z = {r["sample"]: r.z for r in ecology.centroid_distances(ecology.aitchison(c), g).collect()}
     for i, s in enumerate(samples):
         assert np.isclose(z[s], np.linalg.norm(x[i] - x[i % 2 :: 2].mean(0)))
+
+
+def test_metadata_rows_have_no_column_an_otu(spark):
+    counts = spark.createDataFrame([("OTU10", "a", 3), ("OTU2", "a", 1), ("OTU2", "a", 4), ("OTU2", "b", 7)], "otu string, sample string, n long")
+    meta = spark.createDataFrame([("a", "x"), ("b", "y"), ("c", "z")], "sample string, treatment string")
+    wide, header = sinks.metadata_by_otu(meta, counts)
+    assert wide.columns == ["sample", "treatment", "values"]
+    assert {tuple(r) for r in header.collect()} == {("OTU2", 1), ("OTU10", 2)}
+    assert {(r["sample"], r.treatment, tuple(r["values"])) for r in wide.collect()} == {("a", "x", (5, 3)), ("b", "y", (7, 0))}
