@@ -138,7 +138,7 @@ def lines_of(pieces: Iterator[bytes]) -> Iterator[list[str]]:
 def read_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for rows in batches:
         for r in rows.to_pylist():
-            done = 0
+            done = r["first"]
             for lines in lines_of(Text(r["path"], r["length"]).owned(r["start"], r["stop"])):
                 lines += [None] * (-len(lines) % 4)
                 n = len(lines) // 4
@@ -155,7 +155,7 @@ def count_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for piece in Text(r["path"], r["length"]).owned(r["start"], r["stop"]):
                 lines, last = lines + piece.count(b"\n"), piece[-1:] or last
             n = (lines + (last != b"\n") + 3) // 4
-            yield pa.RecordBatch.from_arrays([pa.array([r["source"]]), pa.array([r["start"]], pa.int64()), pa.array([n], pa.int64())], names=["source", "start", "n"])
+            yield pa.RecordBatch.from_pylist([r | {"n": n}], pa.schema([*rows.schema, ("n", pa.int64())]))
 
 
 def ranges_of(spark: SparkSession, path: str, size: int = RANGE) -> DataFrame:
@@ -163,14 +163,21 @@ def ranges_of(spark: SparkSession, path: str, size: int = RANGE) -> DataFrame:
     files = spark.read.format("binaryFile").load(path).where("length > 0").select(F.col("_metadata.file_path").alias("source"), "path", "length")
     cut = files.withColumn("start", F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(size).cast("long"))))
     cut = cut.withColumn("stop", F.least(F.col("start") + size, "length"))
-    return cut.repartition(max(1, min(cut.count(), 20_000)))
+    return spread(cut)
+
+
+def spread(ranges: DataFrame) -> DataFrame:
+    """Each range its own task, as far as possible."""
+    return ranges.repartition(max(1, min(ranges.count(), 20_000)))
 
 
 def records(ranges: DataFrame) -> DataFrame:
-    """(source, start, i, h, seq, plus, qual): the lines of each record, and its number within its range."""
-    return ranges.mapInArrow(read_ranges, SCHEMA)
+    """(source, start, i, h, seq, plus, qual): the lines of each record, and its number within its range, from ``first`` where
+    ranges have it. Spark takes the records to be as few as the ranges, so joins of them should not be left to its estimates."""
+    first = F.col("first") if "first" in ranges.columns else F.lit(0).cast("long")
+    return ranges.withColumn("first", first).mapInArrow(read_ranges, SCHEMA)
 
 
 def counts(ranges: DataFrame) -> DataFrame:
-    """(source, start, n): records a range."""
-    return ranges.mapInArrow(count_ranges, "source string, start long, n long")
+    """(source, path, length, start, stop, n): records a range."""
+    return ranges.mapInArrow(count_ranges, "source string, path string, length long, start long, stop long, n long")

@@ -32,12 +32,11 @@ def fastq(spark: SparkSession, path: str, numbered: bool = True, range_bytes: in
     no such pass and no rec_no. The quality may begin with @ without harm. reason: malformed, or null.
     """
     cut = ranges.ranges_of(spark, path, range_bytes)
-    r = ranges.records(cut).withColumns({c: F.regexp_replace(c, r"\r$", "") for c in ("h", "seq", "plus", "qual")})
     if numbered:
         sizes = materialise(ranges.counts(cut), "range-sizes")  # a row a range
         before = F.coalesce(F.sum("n").over(Window.partitionBy("source").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        first = sizes.select("source", "start", before.alias("first"))
-        r = r.join(first, ["source", "start"]).withColumn("rec_no", F.col("first") + F.col("i"))
+        cut = ranges.spread(sizes.withColumn("first", before))
+    r = ranges.records(cut).withColumns({c: F.regexp_replace(c, r"\r$", "") for c in ("h", "seq", "plus", "qual")}).withColumnRenamed("i", "rec_no")
     r = r.where("h <> '' or seq is not null")
     good = F.startswith("h", F.lit("@")) & F.startswith("plus", F.lit("+")) & (F.length("seq") == F.length("qual"))
     title = F.regexp_replace("h", "^@", "")
@@ -48,7 +47,8 @@ def fastq(spark: SparkSession, path: str, numbered: bool = True, range_bytes: in
 def pairs(first: DataFrame, second: DataFrame, index: DataFrame | None = None, source_key=lambda c: F.regexp_replace(c, "_(R[12]|I1)(?=[_.])", "")) -> DataFrame:
     """Records of mates by file pair and number: (pair, rec_no, read_id, r1, r2[, index]); nulls where a mate lacks."""
     def side(df: DataFrame, name: str) -> DataFrame:
-        return df.select(source_key(F.col("source")).alias("pair"), "rec_no", F.col("read_id").alias(f"_{name}"), F.struct("seq", "qual").alias(name))
+        # by its estimate a scan is as small as its list of ranges, and would be broadcast whole
+        return df.select(source_key(F.col("source")).alias("pair"), "rec_no", F.col("read_id").alias(f"_{name}"), F.struct("seq", "qual").alias(name)).hint("merge")
 
     out = side(first, "r1").join(side(second, "r2"), ["pair", "rec_no"], "full_outer")
     if index is not None:

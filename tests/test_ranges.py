@@ -88,3 +88,13 @@ def test_records_are_not_shuffled(spark, tmp_path, text):
     (tmp_path / "a.fastq").write_text(text)
     plan = scans.fastq(spark, str(tmp_path / "a.fastq"), numbered=False)._jdf.queryExecution().executedPlan().toString()
     assert plan.index("MapInArrow") < plan.index("Exchange") and plan.count("Exchange") == 1  # of ranges only
+
+
+def test_mates_are_not_broadcast(spark, tmp_path):
+    for mate in ("R1", "R2", "I1"):
+        (tmp_path / f"x_{mate}.fastq").write_text("".join(f"@r{i}\n{mate[0]}ACGT\n+\nIIIII\n" for i in range(300)))
+    sides = [scans.fastq(spark, str(tmp_path / f"x_{mate}.fastq"), range_bytes=1000) for mate in ("R1", "R2", "I1")]
+    paired = scans.pairs(*sides)
+    assert sorted((r.rec_no, r.read_id, r["index"]) for r in paired.collect()) == [(i, f"r{i}", "IACGT") for i in range(300)]
+    # the scans are as large as the files, whatever a list of ranges weighs
+    assert "Broadcast" not in paired._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
