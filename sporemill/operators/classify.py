@@ -7,6 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.scratch import materialise
 from . import simjoin, taxonomy
 
 ITERATIONS, PICKS = 100, 32
@@ -68,24 +69,30 @@ def bootstrap(queries: DataFrame, ref: DataFrame, k: int = 8, iterations: int =
     An iteration draws ``picks`` of the query's k-mers (k <= 8) by a hash, and the reference with most of them gives its
     ranks; ties go to the smallest ref. Draws that pick one k-mer twice count it twice. Queries are stated and meet all
     references in blocks, whatever k-mers they share: a pair of blocks gives at most one row for each query and iteration, and
-    the best over blocks is a grouped minimum. A k-mer of all references costs a task what any other does.
+    the best over blocks is a grouped minimum. A k-mer of all references costs a task what any other does. Of references with
+    one sequence only the smallest can be the best, so blocks are made of distinct sequences.
     """
     if not 1 <= k <= 8:
         raise ValueError("k must be 1 to 8")
     q = queries.where(F.length("seq") >= k).select(F.col("otu").cast("string").alias("otu"), "seq")
     r = ref.where(F.length("seq") >= k).select(F.col("ref").cast("string").alias("ref"), "seq")
+    r = materialise(r.groupBy("seq").agg(F.min("ref").alias("ref")).select("ref", "seq"), "references")
     n_q, n_r = (-(-df.count() // size) or 1 for df, size in ((q, query_block), (r, ref_block)))
     kmers = F.transform(F.sequence(F.lit(1), F.length("seq") - k + 1), lambda i: F.substring("seq", i, F.lit(k)))
     draw = F.transform(F.sequence(F.lit(0), F.lit(iterations * picks - 1)), lambda d: F.pmod(F.xxhash64("otu", d), F.col("n")).cast("int"))
-    q = q.withColumn("n", F.size(F.array_distinct(kmers)).cast("long")).select("otu", "seq", draw.alias("draws"))
+    q = q.withColumn("n", F.size(F.array_distinct(kmers)).cast("long"))
     number = lambda column, n: F.pmod(F.xxhash64(column), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     q = q.withColumn("qb", number("otu", n_q)).withColumn("rb", every(n_r))
     r = r.withColumn("rb", number("ref", n_r)).withColumn("qb", every(n_q))
+    # drawn behind the shuffle: the draws of a query are a hundred times its sequence
+    q = q.repartition("qb", "rb").select("otu", "seq", "qb", "rb", draw.alias("draws"))
     votes = q.groupBy("qb", "rb").cogroup(r.groupBy("qb", "rb")).applyInArrow(block_votes(k, iterations), VOTES)
     best = votes.groupBy("otu", "it").agg(F.min(F.struct((-F.col("c")).alias("c"), "ref")).alias("b")).select("otu", F.col("b.ref").alias("ref"))
-    named = best.join(ref.select("ref", "ranks"), "ref").select("otu", F.posexplode("ranks").alias("rank", "name"))
-    return named.groupBy("otu", "rank", "name").agg((F.count("*") / F.lit(float(iterations))).alias("support"))
+    won = best.groupBy("otu", "ref").agg(F.count("*").alias("times"))
+    ranked = ref.select(F.col("ref").cast("string").alias("ref"), "ranks").join(r.select("ref"), "ref", "left_semi")
+    named = won.join(ranked, "ref").select("otu", "times", F.posexplode("ranks").alias("rank", "name"))
+    return named.groupBy("otu", "rank", "name").agg((F.sum("times") / F.lit(float(iterations))).alias("support"))
 
 
 def sintax(queries: DataFrame, ref: DataFrame, cutoff: float = 0.8, k: int = 8, **options) -> DataFrame:

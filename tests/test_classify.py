@@ -60,3 +60,25 @@ def test_query_against_counting(spark):
             if name is not None:
                 best = min((-n, x) for (otu, k, x), n in want.items() if otu == o and k == rank)
                 assert (name, support) == (best[1], -best[0])
+
+
+def test_copies_of_references_meet_no_query(spark, monkeypatch):
+    plain = classify.block_votes
+
+    def checked(k, iterations):
+        run = plain(k, iterations)
+
+        def only_distinct(queries, refs):
+            texts = refs["seq"].to_pylist()
+            assert len(set(texts)) == len(texts)
+            return run(queries, refs)
+
+        return only_distinct
+
+    monkeypatch.setattr(classify, "block_votes", checked)
+    rng = random.Random(8)
+    texts = ["".join(rng.choices("ACGT", k=60)) for _ in range(3)]
+    r = spark.createDataFrame([(f"r{i:03d}", [f"s:{i}"], texts[i % 3]) for i in range(60)], "ref string, ranks array<string>, seq string")
+    q = spark.createDataFrame([(f"q{i}", t) for i, t in enumerate(texts)], "otu string, seq string")
+    got = {(x.otu, x.name): x.support for x in classify.bootstrap(q, r, iterations=10).collect()}
+    assert got == {(f"q{i}", f"s:{i}"): 1.0 for i in range(3)}
