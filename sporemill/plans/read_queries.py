@@ -59,7 +59,7 @@ def fastq_by_sample(spark, sf_dir):
     """One output a sample: the sample is the folder's name when it is scanned."""
     path = scratch_path(spark, "samples")
     sinks.write_fastq_by_sample(v.reads(spark, sf_dir), path)
-    r = scans.fastq(spark, f"{path}/sample=*").withColumn("sample", F.regexp_extract("source", "/sample=([^/]*)/", 1))
+    r = scans.fastq(spark, f"{path}/sample=*", numbered=False).withColumn("sample", F.regexp_extract("source", "/sample=([^/]*)/", 1))
     return r.groupBy("sample").agg(F.count("*").alias("reads"), F.sum(F.length("seq")).alias("bases"))
 
 

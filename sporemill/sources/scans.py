@@ -36,7 +36,7 @@ def fastq(spark: SparkSession, path: str, numbered: bool = True, range_bytes: in
         sizes = materialise(ranges.counts(cut), "range-sizes")  # a row a range
         before = F.coalesce(F.sum("n").over(Window.partitionBy("source").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         cut = ranges.spread(sizes.withColumn("first", before))
-    r = ranges.records(cut).withColumns({c: F.regexp_replace(c, r"\r$", "") for c in ("h", "seq", "plus", "qual")}).withColumnRenamed("i", "rec_no")
+    r = ranges.records(cut).withColumns({c: F.rtrim(c, F.lit("\r")) for c in ("h", "seq", "plus", "qual")}).withColumnRenamed("i", "rec_no")
     r = r.where("h <> '' or seq is not null")
     good = F.startswith("h", F.lit("@")) & F.startswith("plus", F.lit("+")) & (F.length("seq") == F.length("qual"))
     title = F.regexp_replace("h", "^@", "")
