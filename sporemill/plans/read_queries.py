@@ -37,7 +37,7 @@ def cores(spark, sf_dir):
 
 def text_file(df, path: str) -> str:
     """One column of lines, written where all executors see it."""
-    df.write.mode("error").text(path)
+    sinks.packed(df).text(path)
     return path
 
 
