@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import seq
 from ..functions.order import numbered
-from ..functions.scratch import scratch_path
+from ..functions.scratch import materialise, scratch_path
 from ..operators import demux, peaks, reads, refdb, simjoin, table, taxonomy
 from ..sources import scans, sinks
 from . import pipelines
@@ -388,7 +388,7 @@ def strip_padding(spark, sf_dir):
 
 @query("SELECT md5(seq) AS id, substr(seq, 1, 90) AS seq FROM reads GROUP BY seq HAVING count(*) < 3", v.READS)
 def trim_ends(spark, sf_dir):
-    u = reads.dereplicate(v.reads(spark, sf_dir)).select(F.md5("seq").alias("id"), "seq", "size")
+    u = materialise(reads.dereplicate(v.reads(spark, sf_dir)).select(F.md5("seq").alias("id"), "seq", "size"), "uniques")
     return reads.trim_three_prime(u.select("id", "seq"), 90, u.where("size >= 3"))
 
 
