@@ -67,8 +67,8 @@ def unpaired(paired: DataFrame) -> DataFrame:
 def fasta_with_qual(spark: SparkSession, fasta_path: str, qual_path: str) -> DataFrame:
     """(id, seq, qual) from sequences and space-separated scores."""
     raw = spark.read.option("lineSep", "\n>").text(qual_path).select(F.regexp_replace("value", "^>", "").alias("v")).where("trim(v) <> ''")
-    scores = F.split(F.trim(F.regexp_replace(F.regexp_replace("v", r"^[^\n]*\n", ""), r"\s+", " ")), " ")
-    q = raw.select(F.split(F.substring_index("v", "\n", 1), r"\s+").getItem(0).alias("id"), F.array_join(F.transform(scores, lambda x: F.char(x.cast("int") + 33)), "").alias("qual"))
+    scores = F.when(F.instr("v", "\n") > 0, F.substring("v", F.instr("v", "\n") + 1, F.length("v"))).otherwise(F.lit(""))
+    q = raw.select(F.split(F.substring_index("v", "\n", 1), r"\s+").getItem(0).alias("id"), seq.phred_text(scores).alias("qual"))
     return fasta(spark, fasta_path).select("id", "seq").join(q, "id")
 
 
