@@ -125,11 +125,14 @@ def single_reads(raw: DataFrame, forward: str, reverse: str, barcodes: list[tupl
 
 
 def merged_pairs(pairs: DataFrame, length: int | None, min_length: int, rescue: bool) -> DataFrame:
-    """Pairs without reason are merged and cut; those that have one keep it."""
-    good = demux.merge_pairs(pairs.where("reason is null").drop("reason"), min_length=min_length, rescue=rescue)
+    """Pairs without reason are merged and cut; those that have one keep it. All go through once: what found the reason costs
+    more than the merging."""
+    bare = pairs.withColumnRenamed("reason", "_why").withColumns({m: F.when(F.col("_why").isNull(), F.col(m)) for m in ("r1", "r2")})
+    out = demux.merge_pairs(bare, min_length=min_length, rescue=rescue)
+    out = out.withColumns({"merged": F.when(F.col("_why").isNull(), F.col("merged")), "reason": F.coalesce("_why", "reason")}).drop("_why")
     if length:
-        good = good.withColumn("seq", F.left("seq", F.lit(length))).withColumn("qual", F.left("qual", F.lit(length)))
-    return good.unionByName(pairs.where("reason is not null").drop("r1", "r2"), allowMissingColumns=True)
+        out = out.withColumn("seq", F.left("seq", F.lit(length))).withColumn("qual", F.left("qual", F.lit(length)))
+    return out
 
 
 def barcoded_pairs(pairs: DataFrame, sheet: DataFrame, forward_barcodes: list[tuple[str, str]], reverse_barcodes: list[tuple[str, str]], forward: str, reverse: str, mismatches: int = 0, primer_mismatches: int = 2, length: int | None = None, min_length: int = 50, rescue: bool = False) -> dict[str, DataFrame]:
