@@ -66,17 +66,20 @@ def fastq_by_sample(spark, sf_dir):
 @query("SELECT read_id, md5(substr(seq, 1, 80) || right(seq, 60)) AS digest, md5(substr(qual, 1, 80) || right(qual, 60)) AS quality, substr(seq, 1, 8) AS code FROM reads", v.READS)
 def paired_scan(spark, sf_dir):
     """R1, R2 and index files, put together by file pair and number."""
-    r = v.reads(spark, sf_dir).repartition(4, "read_id").sortWithinPartitions("read_id")
-    base, got = scratch_path(spark, "pairs"), {}
+    r = v.reads(spark, sf_dir)  # the rows of a task are in the same order each time
+    base, paths = scratch_path(spark, "pairs"), []
     n = F.length("seq")
     for mate, begin, size in (("R1", F.lit(1), F.lit(80)), ("R2", n - 59, F.lit(60)), ("I1", F.lit(1), F.lit(8))):
         side = r.select("read_id", F.substring("seq", begin, size).alias("seq"), F.substring("qual", begin, size).alias("qual"))
-        sinks.write_fastq(side, f"{base}/x_{mate}_001", "none", title=F.col("read_id"))
-        got[mate] = scans.fastq(spark, f"{base}/x_{mate}_001")
+        paths.append(f"{base}/x_{mate}_001")
+        sinks.write_fastq(side, paths[-1], title=F.col("read_id"))
     key = lambda c: F.regexp_replace(c, r"_(R[12]|I1)_001/part-([0-9]+)-.*$", "/$2")
-    p = scans.pairs(got["R1"], got["R2"], got["I1"], key)
+    p = scans.mates(spark, *paths, key)
+    there = {m: F.when(F.col(m).isNotNull(), 1).alias(m) for m in ("r1", "r2")}
+    digests = F.md5(F.concat("r1.seq", "r2.seq")).alias("digest"), F.md5(F.concat("r1.qual", "r2.qual")).alias("quality")
+    p = materialise(p.select("pair", "read_id", *digests, F.col("index").alias("code"), *there.values()), "mates")  # files are read once
     lost = scans.unpaired(p).select(F.col("pair").alias("read_id"), F.lit("unpaired").alias("digest"), F.lit("").alias("quality"), F.lit("").alias("code"))
-    good = p.select("read_id", F.md5(F.concat("r1.seq", "r2.seq")).alias("digest"), F.md5(F.concat("r1.qual", "r2.qual")).alias("quality"), F.col("index").alias("code"))
+    good = p.select("read_id", "digest", "quality", "code")
     return good.unionByName(lost)
 
 

@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.fs  # noqa: F401
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Bytes of a range, and of text held at once.
@@ -181,3 +181,74 @@ def records(ranges: DataFrame) -> DataFrame:
 def counts(ranges: DataFrame) -> DataFrame:
     """(source, path, length, start, stop, n): records a range."""
     return ranges.mapInArrow(count_ranges, "source string, path string, length long, start long, stop long, n long")
+
+
+def record_columns(pieces: list[dict], low: int, high: int) -> Iterator[list[list]]:
+    """The four lines of records ``low`` to ``high`` of one file, some MB at a time, from those of its ranges that hold them."""
+    for r in sorted(pieces, key=lambda r: r["first"]):
+        at = r["first"]
+        if at >= high or at + r["n"] <= low:
+            continue
+        for lines in lines_of(Text(r["path"], r["length"]).owned(r["start"], r["stop"])):
+            lines += [None] * (-len(lines) % 4)
+            n = len(lines) // 4
+            a, b = max(low - at, 0), min(high - at, n)
+            if a < b:
+                yield [lines[4 * a + k : 4 * b : 4] for k in range(4)]
+            at += n
+            if at >= high:
+                break
+
+
+def in_step(mates: list[list[dict]], low: int, high: int) -> Iterator[tuple[int, list[list[list]]]]:
+    """(number of the first record, columns of each mate) of records ``low`` to ``high`` of several files, read in step; a file
+    that has ended gives None."""
+    streams = [record_columns(pieces, low, high) for pieces in mates]
+    held: list = [[[], [], [], []] for _ in mates]
+    while True:
+        for m, stream in enumerate(streams):
+            while stream is not None and not held[m][0]:
+                held[m] = next(stream, None)
+                if held[m] is None:
+                    streams[m] = stream = None
+                    held[m] = [[], [], [], []]
+        sizes = [len(h[0]) for h in held if h[0]]
+        if not sizes:
+            return
+        n = min(sizes)
+        yield low, [[c[:n] for c in h] if h[0] else [[None] * n] * 4 for h in held]
+        held = [[c[n:] for c in h] if h[0] else h for h in held]
+        low += n
+
+
+def mates_schema(mates: int) -> str:
+    return "pair string, rec_no long, " + ", ".join(f"h{m} string, s{m} string, q{m} string" for m in range(mates))
+
+
+def read_mates(mates: int):
+    """Rows (pair, low, high, pieces of each mate) to the records of all mates by their numbers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [c.split()[0] for c in mates_schema(mates).split(", ")]
+        for rows in batches:
+            for r in rows.to_pylist():
+                for at, columns in in_step([[p for p in r["pieces"] if p["mate"] == m] for m in range(mates)], r["low"], r["high"]):
+                    n = len(columns[0][0])
+                    out = [pa.array([r["pair"]] * n, pa.string()), pa.array(range(at, at + n), pa.int64())]
+                    out += [pa.array(c[k], pa.string()) for c in columns for k in (0, 1, 3)]
+                    yield pa.RecordBatch.from_arrays(out, names=names)
+
+    return run
+
+
+def pieces_of(sizes: DataFrame) -> DataFrame:
+    """sizes(pair, mate, path, length, start, stop, n) to a row a piece of work: the records from the beginning of a range of one
+    of the first two mates up to that of the next, and the ranges of all mates that hold them. Rows are as few as ranges."""
+    first = F.coalesce(F.sum("n").over(Window.partitionBy("pair", "mate").orderBy("path", "start").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    each = sizes.withColumn("first", first)
+    files = each.groupBy("pair").agg(F.collect_list(F.struct("mate", "path", "length", "start", "stop", "first", "n")).alias("pieces"))
+    lows = F.array_sort(F.array_distinct(F.transform(F.filter("pieces", lambda p: (p["mate"] < 2) & (p["n"] > 0)), lambda p: p["first"])))
+    each = files.withColumn("lows", lows).select("*", F.posexplode("lows").alias("i", "low"))
+    each = each.withColumn("high", F.coalesce(F.get("lows", F.col("i") + 1), F.lit((1 << 62))))
+    held = F.filter("pieces", lambda p: (p["first"] < F.col("high")) & (p["first"] + p["n"] > F.col("low")))
+    return each.select("pair", "low", "high", held.alias("pieces"))

@@ -58,6 +58,29 @@ def pairs(first: DataFrame, second: DataFrame, index: DataFrame | None = None, s
     return out.withColumn("read_id", F.coalesce("_r1", "_r2")).drop("_r1", "_r2")
 
 
+def mates(spark: SparkSession, first: str, second: str, index: str | None = None, source_key=lambda c: F.regexp_replace(c, "_(R[12]|I1)(?=[_.])", ""), range_bytes: int = ranges.RANGE) -> DataFrame:
+    """The rows of ``pairs`` of scans of these paths, without a shuffle of records: the files of a pair are read in step, each
+    task from one range's beginning to the next one's. A pair of files has one file of each mate; where it has several, they
+    count as one after another by name."""
+    paths = [first, second, *([index] if index else [])]
+    cut = None
+    for m, path in enumerate(paths):
+        one = ranges.counts(ranges.ranges_of(spark, path, range_bytes)).withColumn("mate", F.lit(m))
+        cut = one if cut is None else cut.unionByName(one)
+    sizes = materialise(cut.withColumn("pair", source_key(F.col("source"))).drop("source"), "range-sizes")
+    work = materialise(ranges.pieces_of(sizes), "range-pairs")
+    r = ranges.spread(work).mapInArrow(ranges.read_mates(len(paths)), ranges.mates_schema(len(paths)))
+    there, bare = {}, lambda c: F.rtrim(c, F.lit("\r"))
+    for m in range(len(paths)):
+        # a blank line at a file's end is no record
+        there[m] = (bare(f"h{m}") != "") | F.col(f"s{m}").isNotNull()
+    mate = lambda m: F.when(there[m], F.struct(bare(f"s{m}").alias("seq"), bare(f"q{m}").alias("qual")))
+    name = lambda m: F.when(there[m], F.split(F.regexp_replace(bare(f"h{m}"), "^@", ""), r"\s+").getItem(0))
+    some = F.coalesce(there[0], F.lit(False)) | F.coalesce(there[1], F.lit(False))
+    out = {"r1": mate(0), "r2": mate(1)} | ({"index": F.when(there[2], bare("s2"))} if index else {})
+    return r.where(some).select("pair", "rec_no", F.coalesce(name(0), name(1)).alias("read_id"), *[c.alias(n) for n, c in out.items()])
+
+
 def unpaired(paired: DataFrame) -> DataFrame:
     """(pair, missing_r1, missing_r2) of the file pairs that do not match; empty when all is well."""
     n = paired.groupBy("pair").agg(F.count_if(F.col("r1").isNull()).alias("missing_r1"), F.count_if(F.col("r2").isNull()).alias("missing_r2"))

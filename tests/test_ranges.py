@@ -98,3 +98,24 @@ def test_mates_are_not_broadcast(spark, tmp_path):
     assert sorted((r.rec_no, r.read_id, r["index"]) for r in paired.collect()) == [(i, f"r{i}", "IACGT") for i in range(300)]
     # the scans are as large as the files, whatever a list of ranges weighs
     assert "Broadcast" not in paired._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+
+@pytest.mark.parametrize("size", [700, 10**7])
+def test_mates_are_read_in_step(spark, tmp_path, size):
+    """As pairs() of three scans, also where files end early, in a blank line or lack; and no record is shuffled."""
+    def write(name, records, packed=False, tail=""):
+        data = ("".join(f"@{i} x\n{s}\n+\n{'I' * len(s)}\n" for i, s in records) + tail).encode()
+        (tmp_path / name).write_bytes(gzip.compress(data) if packed else data)
+
+    for i in range(3):
+        write(f"a{i}_R1.fastq", [(f"a{i}_{n}", "ACGT" * (n % 7 + 1)) for n in range(150)], tail="\n" if i == 1 else "")
+        write(f"a{i}_R2.fastq", [(f"a{i}_{n}", "TTGCA" * (n % 4 + 1)) for n in range((150, 120, 190)[i])], packed=i == 0)
+        write(f"a{i}_I1.fastq", [(f"a{i}_{n}", "GG") for n in range(140)])
+    write("b_R2.fastq", [(f"b_{n}", "CCC") for n in range(60)])
+    sides = [str(tmp_path / f"*_{mate}.fastq") for mate in ("R1", "R2", "I1")]
+    want = scans.pairs(*[scans.fastq(spark, path, range_bytes=size) for path in sides])
+    got = scans.mates(spark, *sides, range_bytes=size)
+    rows = lambda df: sorted(((r.pair, r.rec_no, r.read_id, r.r1, r.r2, r["index"]) for r in df.collect()), key=lambda r: r[:2])
+    assert rows(got) == rows(want) and len(rows(got)) == 150 + 150 + 190 + 60
+    plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "Join" not in plan and plan.index("MapInArrow") < plan.index("Exchange")  # of pieces of work only
