@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import seq
 from ..functions.order import numbered
-from ..functions.scratch import materialise, scratch_path
+from ..functions.scratch import materialise, scratch_path, shuffles_dropped
 from ..operators import demux, peaks, reads, refdb, simjoin, table, taxonomy
 from ..sources import scans, sinks
 from . import pipelines
@@ -37,7 +37,8 @@ def cores(spark, sf_dir):
 
 def text_file(df, path: str) -> str:
     """One column of lines, written where all executors see it."""
-    sinks.packed(df).text(path)
+    with shuffles_dropped(df.sparkSession):
+        sinks.packed(df).text(path)
     return path
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions import seq
+from ..functions import packed, seq
 from ..functions.scratch import materialise
 from ..operators import taxonomy
 from . import ranges
@@ -88,11 +88,12 @@ def unpaired(paired: DataFrame) -> DataFrame:
 
 
 def fasta_with_qual(spark: SparkSession, fasta_path: str, qual_path: str) -> DataFrame:
-    """(id, seq, qual) from sequences and space-separated scores."""
+    """(id, seq, qual) from sequences and space-separated scores; they are shuffled compressed."""
     raw = spark.read.option("lineSep", "\n>").text(qual_path).select(F.regexp_replace("value", "^>", "").alias("v")).where("trim(v) <> ''")
     scores = F.when(F.instr("v", "\n") > 0, F.substring("v", F.instr("v", "\n") + 1, F.length("v"))).otherwise(F.lit(""))
     q = raw.select(F.split(F.substring_index("v", "\n", 1), r"\s+").getItem(0).alias("id"), seq.phred_text(scores).alias("qual"))
-    return fasta(spark, fasta_path).select("id", "seq").join(q, "id")
+    files = spark.read.format("binaryFile").load([fasta_path, qual_path]).agg(F.sum("length")).first()[0]
+    return packed.joined(fasta(spark, fasta_path).select("id", "seq"), q, 6 * int(files or 0))  # as if all were gzip
 
 
 def sam(spark: SparkSession, path: str) -> DataFrame:

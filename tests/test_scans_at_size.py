@@ -63,3 +63,21 @@ def test_records_by_sample_need_no_numbers(spark, monkeypatch):
 
     monkeypatch.setattr(scans, "materialise", none)
     assert read_queries.fastq_by_sample(spark, SMALL).count() == 10
+
+
+def test_sequences_and_scores_meet_compressed(spark, tmp_path, monkeypatch):
+    """As by a join of the texts, with ids that repeat or lack on a side; the texts are no column of a shuffle."""
+    from sporemill.functions import packed
+
+    ids = [f"r{i}" for i in range(500)] + ["r7", "r8", "only"]
+    (tmp_path / "a.fasta").write_text("".join(f">{i} x\n{'ACGT' * (n % 9)}\nGG{n}\n" for n, i in enumerate(ids)))
+    (tmp_path / "a.qual").write_text("".join(f">{i}\n{' '.join(['40', '7'] * (n % 5 + 1))}\n" for n, i in enumerate([*ids[:-1], "r7", "other"])))
+    want = sorted((i, "ACGT" * (n % 9) + f"GG{n}", "I(" * (m % 5 + 1)) for n, i in enumerate(ids) for m, j in enumerate([*ids[:-1], "r7", "other"]) if i == j)
+    for size in (packed.GATHERED, 300):
+        monkeypatch.setattr(packed, "GATHERED", size)
+        df = scans.fasta_with_qual(spark, str(tmp_path / "a.fasta"), str(tmp_path / "a.qual"))
+        assert sorted((r.id, r.seq, r.qual) for r in df.collect()) == want
+    shuffles = [x for x in df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].splitlines() if "Exchange" in x]
+    assert len(shuffles) == 2 and all("part" in x for x in shuffles)
+    (tmp_path / "e.qual").write_text("")
+    assert scans.fasta_with_qual(spark, str(tmp_path / "a.fasta"), str(tmp_path / "e.qual")).count() == 0
