@@ -19,11 +19,6 @@ from .queries import plate, query, rounded
 PRIMERS = ("GTGARTCATCGAATCTTTG", "TCCTCCGCTTATTGATATGC")
 
 
-def part(i: int):
-    """A number in a read's id: 1 the order, 2 the line, 3 the part, 4 the supplier."""
-    return F.split("read_id", "_").getItem(i).cast("long")
-
-
 #: The reads with the numbers of their ids and their core between the primers.
 CORES = """cores AS (
   SELECT *, CAST(string_split(read_id, '_')[2] AS BIGINT) AS o, CAST(string_split(read_id, '_')[3] AS BIGINT) AS l, CAST(string_split(read_id, '_')[4] AS BIGINT) AS p,
@@ -31,8 +26,8 @@ CORES = """cores AS (
 
 
 def cores(spark, sf_dir):
-    numbers = {"o": part(1), "l": part(2), "p": part(3), "s": part(4)}
-    return v.reads(spark, sf_dir).withColumns(numbers | {"bc": F.left("seq", F.lit(8)), "core": F.substring("seq", F.lit(28), F.length("seq") - 47)})
+    ends = {"bc": F.left("seq", F.lit(8)), "core": F.substring("seq", F.lit(28), F.length("seq") - 47)}
+    return v.reads(spark, sf_dir, keys=True).withColumns(ends)
 
 
 def text_file(df, path: str) -> str:
@@ -652,6 +647,7 @@ def mock_community(spark, sf_dir):
 def dereplicate_references(spark, sf_dir):
     """Identical records once: with the first record's ranks, and with those that all of them have."""
     c = cores(spark, sf_dir).select(F.left("core", F.lit(4)).alias("seq"), (F.col("p") + 100000).alias("p")).distinct()
+    c = materialise(c, "references")  # reads are spelt once for both
     s = c.select("seq", F.concat(F.lit("ref"), "p").alias("ref"), F.array(F.lit("k:Q"), F.concat(F.lit("p:A"), F.col("p") % 2)).alias("ranks"))
     parts = [refdb.dereplicate(s, lca=lca).select(F.lit(name).alias("how"), "seq", "ref", F.array_join("ranks", ",").alias("ranks")) for name, lca in (("lca", True), ("first", False))]
     return parts[0].unionByName(parts[1])

@@ -81,3 +81,13 @@ def test_sequences_and_scores_meet_compressed(spark, tmp_path, monkeypatch):
     assert len(shuffles) == 2 and all("part" in x for x in shuffles)
     (tmp_path / "e.qual").write_text("")
     assert scans.fasta_with_qual(spark, str(tmp_path / "a.fasta"), str(tmp_path / "e.qual")).count() == 0
+
+
+def test_reads_of_references_are_spelt_once(spark):
+    """Both ways of dereplication read one table of records; numbers of ids come from the rows and not from their text."""
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert "md5(" not in plan(queries.QUERIES["dereplicate_references"](spark, SMALL))
+    c = read_queries.cores(spark, SMALL)
+    assert "split(" not in plan(c)
+    for r in c.limit(200).collect():
+        assert [r.o, r.l, r.p, r.s] == [int(x) for x in r.read_id.split("_")[1:]] and r.core == r.seq[27:-20] and r.bc == r.seq[:8]
